@@ -106,16 +106,17 @@ def running_total(
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
     level = [*keys, buckets[0]]
+    before_it, within_it = f"_before_{buckets[0]}", f"_within_{buckets[0]}"
     w = W.partitionBy(*keys).orderBy(buckets[0]).rowsBetween(W.unboundedPreceding, -1)
     before = (
         df.groupBy(*level)
         .agg(F.sum(value).alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(w), F.lit(0)))
+        .withColumn(before_it, F.coalesce(F.sum("_total").over(w), F.lit(0)))
         .drop("_total")
     )
-    inner = running_total(df, level, buckets[1:], order, value, "_within")
+    inner = running_total(df, level, buckets[1:], order, value, within_it)
     return (
         inner.join(before, level)
-        .withColumn(out, F.col("_before") + F.col("_within"))
-        .drop("_before", "_within")
+        .withColumn(out, F.col(before_it) + F.col(within_it))
+        .drop(before_it, within_it)
     )

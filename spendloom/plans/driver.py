@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.schemas import ADS_BATCHES, AUDIT, STATE
+
 LOADED_AT = "2024-01-31 06:00:00"
 FLIGHT = ("2024-01-01", "2024-01-30")
 COVERED = {"ad_platforms": "2024-01-27", "web_analytics": "2024-01-27", "crm": "2024-01-26", "plan": "2024-01-30"}
@@ -124,7 +126,7 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit(FLIGHT[0]).alias("start"), F.lit(FLIGHT[1]).alias("end"),
         F.when(F.col("n") % 7 == 0, "paused").otherwise("live").alias("status"),
     )
-    # Requests 0-3 of 15 by (client, channel) number: 2-1 pending, 1-4 rejected, 1-2 too low.
+    # One request per client and channel: 2-1 is pending, 1-4 rejected, 1-2 approved too low.
     rid = F.col("request_id")
     status = F.when(rid == "SAR-2-1", "PENDING").when(rid == "SAR-1-4", "REJECTED").otherwise("APPROVED")
     share = F.when(rid == "SAR-1-2", 80).otherwise(120)
@@ -132,7 +134,8 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         launched.groupBy("client", "channel", "request_id")
         .agg(F.sum("budget").alias("b"), F.sum("daily").alias("d"))
         .select(
-            "client", rid.alias("id"), F.lit("*").alias("campaign"), "channel",
+            "client", rid.alias("id"),
+            F.when(rid == "SAR-0-0", "cmp_0").otherwise("*").alias("campaign"), "channel",
             money_of(F.floor(F.col("b") * 125 / 100)).alias("amount"),
             money_of(F.when(status == "APPROVED", F.floor(F.col("b") * share / 100)).otherwise(0))
             .alias("approved_amount"),
@@ -259,3 +262,168 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "gate_campaigns": campaigns, "gate_spend": spend,
         }
     )
+
+
+# ---------------------------------------------------------------- gate inputs from events
+
+
+def state_documents(raw: dict[str, DataFrame]) -> DataFrame:
+    """One nested state document per client, through JSON text, as the gate writes it.
+
+    A document holds the client's requests, campaigns and ledger days: at most 5, 10 and 300
+    entries in this mapping, whatever the size of the log.
+    """
+    requests = raw["gate_requests"].drop("_loaded_at")
+    entry = F.struct(
+        *(F.col(c) for c in requests.columns if c != "client"),
+        F.when(F.col("id").endswith("3"), F.create_map(F.lit("chat"), F.lit("a1b2"))).alias("nonces"),
+    )
+    campaign = F.struct("request_id", "channel", "budget", "daily_budget", "start", "end", "status")
+    by_client = lambda df, c: df.groupBy("client").agg(c)
+    docs = (
+        raw["gate_engagement"].drop("_loaded_at")
+        .join(by_client(requests, F.map_from_entries(F.collect_list(F.struct("id", entry))).alias("requests")), "client", "left")
+        .join(by_client(raw["gate_campaigns"], F.map_from_entries(F.collect_list(F.struct("campaign", campaign))).alias("campaigns")), "client", "left")
+        .join(by_client(raw["gate_spend"], F.collect_list(F.struct("campaign", "amount", "date")).alias("spend")), "client", "left")
+    )
+    bound = F.struct(F.lit(7).cast("bigint").alias("user_id"), F.lit(70).cast("bigint").alias("chat_id"))
+    channels = F.when(F.col("client") != "c1", F.create_map(F.lit("chat"), bound))
+    text = docs.select(F.to_json(F.struct("*", channels.alias("channels"))).alias("json"))
+    return text.select(F.from_json("json", STATE).alias("d")).select("d.*")
+
+
+def _every(n: int, rest: int = 0) -> Column:
+    return F.col("event_id") % n == rest
+
+
+def proposed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One proposed campaign action per signup, with gaps and faults by event number."""
+    kinds = ("launch", "increase_budget", "extend_flight", "decrease_budget", "pause", "boost")
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("event_id") % 6 + 1).cast("int"))
+    rid = F.when(_every(3), None).when(_every(7), "").when(_every(17), "SAR-9-9").otherwise(_request_id())
+    return event_log(spark, sf_dir).filter("event_type = 'signup'").select(
+        "client", F.col("event_id").alias("action_id"), kind.alias("type"),
+        F.when(_every(5), F.concat(F.lit("new_"), F.col("event_id") % 40)).otherwise(F.col("campaign")).alias("campaign"),
+        rid.alias("request_id"),
+        F.when(_every(4), None).when(_every(19), "ch_9").otherwise(F.col("channel")).alias("channel"),
+        F.when(_every(23), None).otherwise(money_of(F.col("c") * 60)).alias("budget"),
+        F.when(_every(9), None).otherwise(money_of(F.col("c"))).alias("daily_budget"),
+        F.lit(None).cast("string").alias("start"),
+        F.when(_every(29), "2024-02-10").alias("end"),
+        F.when(_every(31), F.lit("2024-02-05").cast("date")).otherwise(F.col("date")).alias("today"),
+    )
+
+
+def spend_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One proposed spend request per purchase."""
+    return event_log(spark, sf_dir).filter("event_type = 'purchase'").select(
+        "client", F.col("event_id").alias("proposal_id"), money_of(F.col("c") * 100).alias("amount"),
+        F.when(_every(11), 0.0).otherwise(F.col("value")).alias("daily_cap"),
+        F.when(_every(13), "2024-02-20").otherwise("2024-02-01").alias("start"),
+        F.lit("2024-02-10").alias("end"),
+    )
+
+
+def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit events as parsed JSON lines: one per log event, and one launch per campaign."""
+    log = event_log(spark, sf_dir)
+    kind = F.col("event_type")
+    event = (
+        F.when(kind == "view", "action_executed")
+        .when(kind == "click", "spend_recorded")
+        .when((kind == "signup") & _every(3), "request_modified_and_approved")
+        .when(kind == "signup", "request_approved")
+        .when(kind == "purchase", "request_created")
+        .when(_every(4, 2), "decision_refused_stale_message")
+        .when(_every(4, 3), "decision_refused_bad_key")
+        .otherwise("action_blocked")
+    )
+    reasons = F.array(*map(F.lit, ("expired", "over_daily_cap", "unknown_action")))
+    kinds = F.array(*map(F.lit, ("increase_budget", "decrease_budget", "extend_flight", "pause")))
+    act = F.element_at(kinds, F.when((F.col("event_id") % 16 == 3), 4).otherwise((F.col("event_id") % 3) + 1).cast("int"))
+    action = F.struct(
+        act.alias("type"), "campaign",
+        F.when(act.isin("increase_budget", "decrease_budget"), F.col("value")).alias("budget"),
+        F.when(act.isin("increase_budget", "decrease_budget") & ~_every(4, 1), money_of(F.floor(F.col("c") / 10))).alias("daily_budget"),
+        F.when(act == "extend_flight", F.date_format("date", "yyyy-MM-dd")).alias("end"),
+    )
+    approval = kind == "signup"
+    lines = log.select(
+        "client", F.col("event_id").alias("seq"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("at"),
+        F.lit("agent").alias("actor"), event.alias("event"),
+        F.when(approval, _request_id()).alias("request_id"),
+        F.when(approval & ~_every(5), F.col("value")).alias("approved_amount"),
+        F.when(approval & _every(7), money_of(F.floor(F.col("c") / 10))).alias("daily_cap"),
+        F.when(approval & _every(4), "chat").alias("via"),
+        F.when(event == "action_blocked", F.element_at(reasons, (F.col("event_id") % 3 + 1).cast("int"))).alias("reason"),
+        F.when(kind == "view", action).alias("action"),
+    )
+    launches = log.select("client", "campaign", "channel").distinct().select(
+        "client", F.lit(-1).cast("bigint").alias("seq"), F.lit("2023-12-31T00:00:00+00:00").alias("at"),
+        F.lit("agent").alias("actor"), F.lit("action_executed").alias("event"),
+        F.struct(
+            F.lit("launch").alias("type"), "campaign", _request_id().alias("request_id"), "channel",
+            F.lit(1000.0).alias("budget"), F.lit(50.0).alias("daily_budget"),
+        ).alias("action"),
+    )
+
+    def parsed(df: DataFrame) -> DataFrame:
+        return df.select(F.from_json(F.to_json(F.struct("*")), AUDIT).alias("e")).select("e.*")
+
+    return parsed(lines).unionByName(parsed(launches))
+
+
+def recorded_approvals(audit: DataFrame) -> DataFrame:
+    return audit.filter(F.col("event").isin("request_approved", "request_modified_and_approved")).select(
+        "client", "request_id", F.col("at").cast("timestamp_ntz").alias("at"), "seq",
+        "approved_amount", "daily_cap", "via",
+    )
+
+
+# ---------------------------------------------------------------- ads report from events
+
+
+def ads_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-shaped batches, one per client and day (at most 10 campaigns each), as JSON text
+    parsed with the declared schema. Some fields are absent."""
+    rows = from_events(spark, sf_dir)["platform_daily"]
+    n = F.substring("campaign", 5, 9).cast("int")
+    kinds = F.array(*map(F.lit, ("SEARCH", "PERFORMANCE_MAX", "VIDEO", "DISPLAY", "HOTEL")))
+    channel_no = F.substring("channel", 4, 9).cast("int")
+    result = F.struct(
+        F.struct(
+            (n + 100).cast("string").alias("id"), F.concat(F.lit("Net | "), "campaign").alias("name"),
+            F.when(n != 29, F.element_at(kinds, channel_no + 1)).alias("advertisingChannelType"),
+        ).alias("campaign"),
+        F.struct(
+            F.col("impressions").cast("string").alias("impressions"),
+            F.col("clicks").cast("string").alias("clicks"),
+            (F.round(F.col("spend") * 100).cast("bigint") * 10_000).cast("string").alias("costMicros"),
+            F.when(n % 4 != 0, F.col("platform_conversions").cast("string")).alias("conversions"),
+            F.when(n % 4 != 0, F.col("platform_revenue").cast("string")).alias("conversionsValue"),
+        ).alias("metrics"),
+        F.struct(F.date_format("date", "yyyy-MM-dd").alias("date")).alias("segments"),
+    )
+    batches = rows.groupBy("client", "date").agg(F.collect_list(result).alias("results"))
+    text = batches.select("client", F.to_json(F.struct("results")).alias("json"))
+    return text.select("client", F.from_json("json", ADS_BATCHES).alias("b")).select("client", "b.*")
+
+
+def ads_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    money_unit = F.when(F.col("client") == "c2", "USD").otherwise("INR")
+    return event_log(spark, sf_dir).select("client").distinct().select(
+        "client", F.concat(F.lit("123-456-789"), F.substring("client", 2, 1)).alias("account_id"),
+        money_unit.alias("currency"), F.lit("Asia/Kolkata").alias("time_zone"),
+    )
+
+
+def ads_campaign_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns 0-9 by id (5 mapped to nothing), 10-19 by name; the rest unmapped."""
+    rows = event_log(spark, sf_dir).select("client", "campaign", "n").distinct().filter("n < 20")
+    return rows.select(
+        "client",
+        F.when(F.col("n") < 10, (F.col("n") + 100).cast("string"))
+        .otherwise(F.concat(F.lit("Net | "), "campaign")).alias("key"),
+        F.when(F.col("n") == 5, "").otherwise(F.concat(F.lit("agency_"), F.col("n"))).alias("campaign"),
+    )

@@ -36,9 +36,16 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c) + oracle.TIE_SHIFT, 4) for c in doubles})
 
 
-def warehouse(spark: SparkSession, sf_dir: str, source: str = "events") -> Warehouse:
+# Models that read the fact or the campaign mart more than once keep them; the others read
+# them once, and then keeping them would only stop Spark from pruning columns.
+SHARED = {"mart_alerts", "mart_exec_overview"}
+
+
+def warehouse(
+    spark: SparkSession, sf_dir: str, source: str = "events", persist: bool = False
+) -> Warehouse:
     raw = {"events": driver.from_events, "lineitem": driver.from_lineitem}[source](spark, sf_dir)
-    return Warehouse(raw, PARAMS)
+    return Warehouse(raw, PARAMS, persist)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -46,8 +53,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return rounded(warehouse(spark, "/root/testdata/sf0.001").mart_campaign_performance())
 
 
-def _on_warehouse(build: Callable[[Warehouse], DataFrame], source: str = "events") -> Query:
-    return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir, source)))
+def _on_warehouse(
+    build: Callable[[Warehouse], DataFrame], source: str = "events", persist: bool = False
+) -> Query:
+    return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir, source, persist)))
 
 
 def _ads(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -85,20 +94,19 @@ def _saved(name: str, source: str = "events") -> Query:
 
 
 def _alert(rule: str) -> Query:
-    """One alert rule alone; Spark plans only this rule's branch."""
-    build = {
-        "overspend": lambda w: alerts.overspend(w._campaigns),
-        "budget_exhaustion": lambda w: alerts.budget_exhaustion(w._campaigns),
-        "pacing_deviation": lambda w: alerts.pacing_deviation(w._campaigns, w.params),
-        "cpa_spike": lambda w: alerts.cpa_spike(w.daily, w.params),
-        "tracking_break": lambda w: alerts.tracking_break(w.daily),
-        "reconciliation": lambda w: alerts.reconciliation_gap(w._reconciliation, w.params),
-        "unapproved_spend": lambda w: alerts.unapproved_spend(w._campaigns),
-        "approval_breach": lambda w: alerts.approval_breach(
-            w.mart_approvals(), fact.reporting_context(w.stg)
-        ),
+    """One alert rule alone, over the one input it reads."""
+    p = PARAMS
+    rows, made = {
+        "overspend": (lambda w: w.campaigns_checked, alerts.overspend()),
+        "budget_exhaustion": (lambda w: w.campaigns_checked, alerts.budget_exhaustion()),
+        "pacing_deviation": (lambda w: w.campaigns_checked, alerts.pacing_deviation(p)),
+        "cpa_spike": (lambda w: alerts.cpa_windows(w.daily), alerts.cpa_spike(p)),
+        "tracking_break": (lambda w: w.daily, alerts.tracking_break()),
+        "reconciliation": (lambda w: w.campaigns_checked, alerts.reconciliation_gap(p)),
+        "unapproved_spend": (lambda w: w.campaigns_checked, alerts.unapproved_spend()),
+        "approval_breach": (lambda w: w.approvals_dated, alerts.approval_breach()),
     }[rule]
-    return _on_warehouse(build)
+    return _on_warehouse(lambda w: alerts.raise_alerts(rows(w), made))
 
 
 def _ledger(w: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -128,20 +136,23 @@ def queries() -> dict[str, Query]:
     out["campaign_day_spine"] = _on_warehouse(lambda w: fact.spine(w.stg))
     # Marts, over both views of the given tables.
     for name in MODELS:
-        out[name] = _on_warehouse(lambda w, name=name: getattr(w, name)())
-        out[f"{name}_lineitem"] = _on_warehouse(lambda w, name=name: getattr(w, name)(), "lineitem")
-    out["campaign_totals"] = _on_warehouse(lambda w: marts.campaign_totals(w.daily).drop("ref_date"))
-    out["campaign_run_rate"] = _on_warehouse(lambda w: marts.run_rate(w.daily))
+        build = lambda w, name=name: getattr(w, name)()
+        out[name] = _on_warehouse(build, "events", name in SHARED)
+        out[f"{name}_lineitem"] = _on_warehouse(build, "lineitem", name in SHARED)
+    out["campaign_totals"] = _on_warehouse(
+        lambda w: marts.campaign_totals(w.daily).drop("ref_date", *marts.RECENT)
+    )
+    out["campaign_run_rate"] = _on_warehouse(lambda w: marts.run_rate(marts.campaign_totals(w.daily)))
     out["cpa_windows"] = _on_warehouse(lambda w: alerts.cpa_windows(w.daily).drop("ref_date"))
     for rule in alerts.TEXTS:
-        out[f"alert_{rule}"] = _alert(rule)
+        out[f"alert_{rule}"] = lambda spark, d, rule=rule: _alert(rule)(spark, d)
     # Reports and saved queries.
     out["spend_trend"] = _on_warehouse(lambda w: w.spend_trend())
     out["spend_trend_lineitem"] = _on_warehouse(lambda w: w.spend_trend(), "lineitem")
     for name in ("mart_campaign_performance", "mart_channel_performance", "mart_funnel",
                  "mart_approvals", "mart_alerts", "mart_reconciliation", "mart_freshness"):
         out[f"report_{name[5:]}"] = _on_warehouse(
-            lambda w, name=name: reports.ordered(name, getattr(w, name)())
+            lambda w, name=name: reports.ordered(name, getattr(w, name)()), "events", name in SHARED
         )
     out["platform_over_claim"] = _saved("platform_over_claim")
     out["channel_by_week"] = _saved("channel_by_week")
@@ -244,10 +255,11 @@ def queries() -> dict[str, Query]:
                 "channel_days": w.mart_channel_daily(),
                 "overview": w.mart_exec_overview(),
             }
-        )
+        ),
+        persist=True,
     )
     out["budget_agreement"] = _on_warehouse(
-        lambda w: quality.budget_position(w.mart_exec_overview(), w.ledger())
+        lambda w: quality.budget_position(w.mart_exec_overview(), w.ledger()), persist=True
     )
     out["backend_after_coverage"] = _on_warehouse(
         lambda w: quality.backend_after_coverage(

@@ -38,52 +38,61 @@ TEXTS = {
 
 
 def _alert(
-    hits: DataFrame,
     rule: str,
     severity: Column | str,
     value: Column | str,
     threshold: Column | float | None,
     subject: str = "campaign",
     **text: Column,
-) -> DataFrame:
-    number = lambda v: (F.col(v) if isinstance(v, str) else v if isinstance(v, Column) else F.lit(v))
-    return hits.select(
+) -> Column:
+    """One alert as a struct over the columns of the row that raises it."""
+    column = lambda v: F.col(v) if isinstance(v, str) else v if isinstance(v, Column) else F.lit(v)
+    return F.struct(
         "client",
         F.lit(rule).alias("rule"),
         (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
         F.col(subject).alias("campaign"),
-        "channel",
+        F.col("channel"),
         fill(TEXTS[rule], **text).alias("detail"),
-        number(value).cast("double").alias("value"),
-        number(threshold).cast("double").alias("threshold"),
+        column(value).cast("double").alias("value"),
+        column(threshold).cast("double").alias("threshold"),
         F.col("ref_date").alias("data_as_of"),
     )
 
 
-def overspend(campaigns: DataFrame) -> DataFrame:
-    return _alert(
-        campaigns.filter("spend > budget"),
+Rule = tuple[Column, Column]  # when it fires, the alert
+
+
+def raise_alerts(rows: DataFrame, *rules: Rule) -> DataFrame:
+    """All rules over one pass of ``rows``: a row gives one alert per rule that fires on it."""
+    fired = [F.when(when, alert) for when, alert in rules]
+    alerts_of_row = F.filter(F.array(*fired), lambda a: a.isNotNull())
+    return rows.select(F.inline(alerts_of_row))
+
+
+def overspend() -> Rule:
+    alert = _alert(
         "overspend", ACT, "spend", F.col("budget"),
         spend=number_text(F.col("spend")), budget=number_text(F.col("budget")),
     )
+    return F.col("spend") > F.col("budget"), alert
 
 
-def budget_exhaustion(campaigns: DataFrame) -> DataFrame:
+def budget_exhaustion() -> Rule:
     """The division is guarded by its own null, not by the order of the conditions."""
     days_left_over = F.col("days_remaining") - safe_div(
         F.col("budget") - F.col("spend"), "mean_daily"
     )
-    hits = campaigns.filter((F.col("mean_daily") > 0) & (days_left_over >= 1))
-    return _alert(
-        hits, "budget_exhaustion", REVIEW, days_left_over, 1, days=number_text(days_left_over, 1)
+    alert = _alert(
+        "budget_exhaustion", REVIEW, days_left_over, 1, days=number_text(days_left_over, 1)
     )
+    return (F.col("mean_daily") > 0) & (days_left_over >= 1), alert
 
 
-def pacing_deviation(campaigns: DataFrame, params: Params) -> DataFrame:
+def pacing_deviation(params: Params) -> Rule:
     tolerance = params.pacing_tolerance_pct / 100.0
     off = F.abs("pacing_vs_plan")
-    return _alert(
-        campaigns.filter(off > tolerance),
+    alert = _alert(
         "pacing_deviation",
         F.when(off > 2 * params.pacing_tolerance_pct / 100.0, ACT).otherwise(REVIEW),
         "pacing_vs_plan",
@@ -91,6 +100,21 @@ def pacing_deviation(campaigns: DataFrame, params: Params) -> DataFrame:
         pacing=number_text(F.col("pacing_vs_plan") * 100, 1),
         tolerance=F.lit(str(params.pacing_tolerance_pct)),
     )
+    return off > tolerance, alert
+
+
+def unapproved_spend() -> Rule:
+    alert = _alert("unapproved_spend", ACT, "spend", 0, spend=number_text(F.col("spend")))
+    return F.col("request_id").isNull() & (F.col("spend") > 0), alert
+
+
+def reconciliation_gap(params: Params) -> Rule:
+    alert = _alert(
+        "reconciliation", REVIEW, "difference_pct", params.reconciliation_tolerance_pct / 100.0,
+        pct=number_text(F.col("difference_pct") * 100, 1),
+        difference=number_text(F.col("difference")),
+    )
+    return ~F.col("within_tolerance"), alert
 
 
 def cpa_windows(fact: DataFrame) -> DataFrame:
@@ -109,81 +133,63 @@ def cpa_windows(fact: DataFrame) -> DataFrame:
     )
 
 
-def cpa_spike(fact: DataFrame, params: Params) -> DataFrame:
+def cpa_spike(params: Params) -> Rule:
+    """Over `cpa_windows`. Too few conversions are noise, not a spike."""
     threshold = F.col("cpa_prior7") * params.cpa_spike_ratio
-    hits = cpa_windows(fact).filter(
-        (F.col("cpa_last3") > threshold)
-        & (F.col("conv_last3") >= params.cpa_spike_min_conversions)
-    )
-    return _alert(
-        hits, "cpa_spike", REVIEW, "cpa_last3", threshold,
+    alert = _alert(
+        "cpa_spike", REVIEW, "cpa_last3", threshold,
         last=number_text(F.col("cpa_last3")), prior=number_text(F.col("cpa_prior7")),
         ratio=number_text(safe_div("cpa_last3", "cpa_prior7"), 2),
     )
+    enough = F.col("conv_last3") >= params.cpa_spike_min_conversions
+    return (F.col("cpa_last3") > threshold) & enough, alert
 
 
-def tracking_break(fact: DataFrame) -> DataFrame:
-    """One alert per campaign-day. Sessions that are not reported yet are null and never hit."""
-    hits = fact.filter(
-        F.col("has_platform_data")
-        & (F.col("clicks") >= TRACKING_MIN_CLICKS)
-        & (F.col("sessions") == 0)
-    )
-    return _alert(
-        hits, "tracking_break", ACT, "sessions", None,
+def tracking_break() -> Rule:
+    """Over the fact, one alert per campaign-day. Sessions that are not reported yet are null
+    and never hit."""
+    alert = _alert(
+        "tracking_break", ACT, "sessions", None,
         day=F.date_format("date", "yyyy-MM-dd"), clicks=F.col("clicks").cast("string"),
     )
+    silent = (F.col("clicks") >= TRACKING_MIN_CLICKS) & (F.col("sessions") == 0)
+    return F.col("has_platform_data") & silent, alert
 
 
-def reconciliation_gap(reconciliation: DataFrame, params: Params) -> DataFrame:
-    return _alert(
-        reconciliation.filter(~F.col("within_tolerance")),
-        "reconciliation", REVIEW, "difference_pct", params.reconciliation_tolerance_pct / 100.0,
-        pct=number_text(F.col("difference_pct") * 100, 1),
-        difference=number_text(F.col("difference")),
+def approval_breach() -> Rule:
+    """Over the approvals mart. The request id stands in the campaign column."""
+    alert = _alert(
+        "approval_breach", ACT, "committed", F.col("approved_amount"),
+        subject="request_id", request=F.col("request_id"),
     )
-
-
-def unapproved_spend(campaigns: DataFrame) -> DataFrame:
-    hits = campaigns.filter(F.col("request_id").isNull() & (F.col("spend") > 0))
-    return _alert(
-        hits, "unapproved_spend", ACT, "spend", 0, spend=number_text(F.col("spend"))
+    over = (
+        (F.col("committed") > F.col("approved_amount"))
+        | (F.col("live_daily_budget") > F.col("daily_cap"))
+        | (F.col("platform_spend") > F.col("approved_amount"))
     )
+    return (F.col("status") == "APPROVED") & over, alert
 
 
-def approval_breach(approvals: DataFrame, context: DataFrame) -> DataFrame:
-    """The request id stands in the campaign column. Requests carry no day, so the client's
-    reference day is joined on after the filter, to the few rows left."""
-    hits = approvals.filter(
-        (F.col("status") == "APPROVED")
-        & (
-            (F.col("committed") > F.col("approved_amount"))
-            | (F.col("live_daily_budget") > F.col("daily_cap"))
-            | (F.col("platform_spend") > F.col("approved_amount"))
-        )
-    ).join(context.select("client", "ref_date"), "client", "left")
-    return _alert(
-        hits, "approval_breach", ACT, "committed", F.col("approved_amount"),
-        subject="request_id", request=F.col("request_id"),
-    )
+def campaign_rules(params: Params) -> list[Rule]:
+    """The rules that read a campaign's row of the campaign mart (with its reconciliation)."""
+    return [
+        overspend(),
+        budget_exhaustion(),
+        pacing_deviation(params),
+        reconciliation_gap(params),
+        unapproved_spend(),
+    ]
 
 
 def alerts(
-    fact: DataFrame,
-    campaigns: DataFrame,
-    reconciliation: DataFrame,
-    approvals: DataFrame,
-    context: DataFrame,
-    params: Params,
+    fact: DataFrame, campaigns: DataFrame, approvals: DataFrame, params: Params
 ) -> DataFrame:
+    """All open alerts, one pass per input. ``campaigns`` is the campaign mart with its
+    reconciliation columns; ``approvals`` carries the client's ``ref_date``."""
     branches = [
-        overspend(campaigns),
-        budget_exhaustion(campaigns),
-        pacing_deviation(campaigns, params),
-        cpa_spike(fact, params),
-        tracking_break(fact),
-        reconciliation_gap(reconciliation, params),
-        unapproved_spend(campaigns),
-        approval_breach(approvals, context),
+        raise_alerts(campaigns, *campaign_rules(params)),
+        raise_alerts(cpa_windows(fact), cpa_spike(params)),
+        raise_alerts(fact.filter(tracking_break()[0]), tracking_break()),
+        raise_alerts(approvals, approval_breach()),
     ]
     return reduce(DataFrame.unionByName, branches)

@@ -16,7 +16,9 @@ from spendloom.functions.values import zero_if_null
 from spendloom.operators.joins import fan_out, lookup
 from spendloom.params import Params
 
-KEY = ["client", "date", "campaign"]
+# Joins sort by their keys in this order. Campaign first: a sort compares the first bytes of the
+# first key, and a whole partition often has one client.
+KEY = ["campaign", "date", "client"]
 
 FACT_COLUMNS = (
     *KEY, "channel", "request_id", "kpi", "kpi_target", "planned_spend", "has_platform_data",
@@ -114,14 +116,13 @@ def daily_fact(stg: dict[str, DataFrame], params: Params) -> DataFrame:
     requests = stg["stg_gate_campaigns"].select("client", "campaign", "request_id")
     rows = lookup(spine(stg), reporting_context(stg), ["client"], ["campaign", "date"], params.salts)
     rows = lookup(rows, requests, ["client", "campaign"], ["date", "channel"], params.salts)
-    rows = rows.join(daily_activity(stg), KEY, "left")
     plan = stg["stg_plan_daily"].select(
         *KEY, "planned_spend", "kpi", "kpi_target", F.col("is_synthetic").alias("plan_synthetic")
     )
     platform = stg["stg_platform_daily"].drop("channel", "platform").withColumnRenamed(
         "is_synthetic", "platform_synthetic"
     )
-    rows = fan_out(rows, plan, platform, KEY, params.hot_key_rows)
+    rows = fan_out(rows, daily_activity(stg), plan, platform, KEY, params.hot_key_rows)
 
     web_covers = F.col("date") <= F.col("web_as_of")
     crm_covers = F.col("date") <= F.col("crm_as_of")

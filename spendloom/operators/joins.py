@@ -31,7 +31,8 @@ def lookup(
 
 
 def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Keys with at least ``rows`` rows in either frame: keys, n_left, n_right.
+    """Keys with at least ``rows`` rows in either frame, and into how many slices of about
+    ``rows`` rows each side is to be cut: keys, left_slices, right_slices.
 
     Counted with map-side partial sums. The result has at most
     (rows of both frames) / ``rows`` rows, which is what makes it safe to broadcast.
@@ -42,55 +43,63 @@ def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int)
     counts = (
         tagged.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        .filter((F.col("l") >= rows) | (F.col("r") >= rows))
     )
-    return counts.filter((F.col("n_left") >= rows) | (F.col("n_right") >= rows))
+    slices = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows))).cast("int")
+    return counts.select(*keys, slices("l").alias("left_slices"), slices("r").alias("right_slices"))
 
 
 def fan_out(
-    base: DataFrame, left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int
+    base: DataFrame,
+    unique: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    rows: int,
 ) -> DataFrame:
-    """``base LEFT JOIN left USING keys LEFT JOIN right USING keys``, row for row.
-
-    Neither side need be unique. Ordinary keys take the two plain joins. A hot key is cut
-    into (left slice x right slice) cells joined apart; a hot key absent from one side gets
-    one null row there, so its cells join inner and no row is invented or lost. When there
-    is no hot key, adaptive execution sees the empty broadcast and drops that branch unread.
+    """``base LEFT JOIN unique LEFT JOIN left LEFT JOIN right``, all on ``keys``, row for row and
+    with no key in one task. ``unique`` has one row per key; left and right may have many.
+
+    Each key is joined in (left slice x right slice) cells: one cell for an ordinary key, more
+    for a hot one. A left row stands in the cells of its slice, a right row likewise, base and
+    unique rows in every cell. A cell left empty on a side that was cut is dropped: the key has
+    its rows of that side in other cells. All joins share the keys (keys, cell), so base is
+    shuffled once for the three of them.
     """
     keys = list(keys)
-    hot = hot_keys(left, right, keys, rows)
-    names = F.broadcast(hot.select(*keys))
-    plain = (
-        base.join(names, keys, "left_anti")
-        .join(left.join(names, keys, "left_anti"), keys, "left")
-        .join(right.join(names, keys, "left_anti"), keys, "left")
+    on = [*keys, "_cell"]
+    # Bounded by (rows of both frames) / rows; mostly empty, and then the joins to it vanish.
+    hot = F.broadcast(hot_keys(left, right, keys, rows))
+    n_left, n_right = F.col("left_slices"), F.col("right_slices")
+    ones = {n: F.coalesce(n, F.lit(1)) for n in ("left_slices", "right_slices")}
+
+    def in_cells(frame: DataFrame, first, last, step=F.lit(1)) -> DataFrame:
+        return frame.withColumn("_cell", F.explode(F.sequence(first, last, step)))
+
+    def cut(frame: DataFrame) -> DataFrame:
+        # Row position, not row content, picks the slice: exact copies must spread as well.
+        at = {"_at": F.monotonically_increasing_id()}
+        return frame.withColumns(at).join(hot, keys, "left").withColumns(ones)
+
+    def done(frame: DataFrame, *extra: str) -> DataFrame:
+        return frame.drop("_at", "_slice", "left_slices", "right_slices", *extra)
+
+    everywhere = (F.lit(0), n_left * n_right - 1)
+    in_left = cut(left).withColumn("_slice", F.pmod("_at", n_left).cast("int"))
+    in_left = in_cells(in_left, F.col("_slice") * n_right, (F.col("_slice") + 1) * n_right - 1)
+    in_right = cut(right).withColumn("_slice", F.pmod("_at", n_right).cast("int"))
+    in_right = in_cells(in_right, F.col("_slice"), (n_left - 1) * n_right + F.col("_slice"), n_right)
+    empty = ((n_left > 1) & F.col("_has_left").isNull()) | (
+        (n_right > 1) & F.col("_has_right").isNull()
     )
-
-    def parts(n: str) -> Column:
-        return F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows))).cast("int")
-
-    cells = F.broadcast(
-        hot.select(*keys, "n_left", "n_right", parts("n_left").alias("_nl"), parts("n_right").alias("_nr"))
+    joined = (
+        in_cells(cut(base), *everywhere)
+        .join(done(in_cells(cut(unique), *everywhere)), on, "left")
+        .join(done(in_left).withColumn("_has_left", F.lit(True)), on, "left")
+        .join(done(in_right).withColumn("_has_right", F.lit(True)), on, "left")
     )
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    # Row position, not row content, picks the slice: exact copies must spread as well.
-    one = lambda n: F.pmod(F.monotonically_increasing_id(), F.col(n)).cast("int")
-
-    def sliced(frame: DataFrame, n_rows: str, n: str, slot: str) -> DataFrame:
-        columns = [c for c in frame.columns if c not in keys]
-        rows_here = frame.join(cells, keys).withColumn(slot, one(n))
-        absent = cells.filter(F.col(n_rows) == 0).select(
-            "*", F.lit(0).alias(slot), *(F.lit(None).cast(frame.schema[c].dataType).alias(c) for c in columns)
-        )
-        wanted = [*keys, "_nl", "_nr", slot, *columns]
-        return rows_here.select(*wanted).unionByName(absent.select(*wanted))
-
-    hot_base = base.join(cells.select(*keys, "_nl", "_nr"), keys)
-    hot_base = hot_base.withColumn("_l", every("_nl")).withColumn("_r", every("_nr")).drop("_nl", "_nr")
-    hot_left = sliced(left, "n_left", "_nl", "_l").drop("_nl", "_nr")
-    hot_right = sliced(right, "n_right", "_nr", "_r").withColumn("_l", every("_nl")).drop("_nl", "_nr")
-    cut = hot_base.join(hot_left, [*keys, "_l"]).join(hot_right, [*keys, "_l", "_r"]).drop("_l", "_r")
-    return plain.unionByName(cut.select(*plain.columns))
+    return done(joined.filter(~empty), "_cell", "_has_left", "_has_right")
 
 
 def running_total(

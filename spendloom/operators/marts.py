@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendloom.functions import metrics as m
@@ -35,44 +36,77 @@ def pacing(spend="spend", planned="planned_spend_to_date") -> Column:
 
 
 def campaign_totals(fact: DataFrame) -> DataFrame:
+    """Totals per campaign, channel and request, in one pass over the fact. The ``recent_``
+    columns cover the last 7 covered days, for the run rate.
+
+    Text cannot be aggregated by hashing, so the fact is first summed with KPI and target as
+    keys; the earliest KPI is then picked among the few rows that are left.
+    """
+    key = ["client", "campaign", "channel", "request_id"]
     covered, uncovered = F.col("has_platform_data"), ~F.col("has_platform_data")
-    return fact.groupBy("client", "campaign", "channel", "request_id").agg(
-        earliest("kpi"),
-        earliest("kpi_target"),
+    recent_spend = F.when(is_recent(7), F.col("spend"))
+    added = ("planned_spend_flight", "planned_spend_to_date", *DELIVERY, *BACKEND, "ledger_spend",
+             "days_remaining", "recent_spend", "recent_days")
+    per_kpi = fact.groupBy(*key, "kpi", "kpi_target").agg(
+        F.min("date").alias("date"),
         F.sum("planned_spend").alias("planned_spend_flight"),
         F.sum(F.when(covered, F.col("planned_spend"))).alias("planned_spend_to_date"),
         *sums(*DELIVERY, *BACKEND, "ledger_spend"),
         F.count_if(uncovered).alias("days_remaining"),
         F.bool_or("is_synthetic").alias("is_synthetic"),
         F.max("ref_date").alias("ref_date"),
+        F.min(recent_spend).alias("recent_low"),
+        F.max(recent_spend).alias("recent_high"),
+        F.sum(recent_spend).alias("recent_spend"),
+        F.count(recent_spend).alias("recent_days"),
+    )
+    return per_kpi.groupBy(*key).agg(
+        earliest("kpi"),
+        earliest("kpi_target"),
+        *sums(*added),
+        F.bool_or("is_synthetic").alias("is_synthetic"),
+        F.max("ref_date").alias("ref_date"),
+        F.min("recent_low").alias("recent_low"),
+        F.max("recent_high").alias("recent_high"),
     )
 
 
-def run_rate(fact: DataFrame) -> DataFrame:
-    """Lowest, mean and highest daily spend of a campaign over the last 7 covered days. A
-    covered plan day without delivery is a day of zero spend."""
+RECENT = ("recent_low", "recent_high", "recent_spend", "recent_days")
+
+
+def run_rate(totals: DataFrame) -> DataFrame:
+    """Lowest, mean and highest daily spend of a campaign over the last 7 covered days, over all
+    its channels. A covered plan day without delivery is a day of zero spend."""
     return (
-        fact.filter(is_recent(7))
-        .groupBy("client", "campaign")
+        totals.groupBy("client", "campaign")
         .agg(
-            F.min("spend").alias("low_daily"),
-            F.avg("spend").alias("mean_daily"),
-            F.max("spend").alias("high_daily"),
+            F.min("recent_low").alias("low_daily"),
+            safe_div(F.sum("recent_spend"), F.sum("recent_days")).alias("mean_daily"),
+            F.max("recent_high").alias("high_daily"),
         )
+        .filter(F.col("mean_daily").isNotNull())
     )
 
 
+def with_run_rate(totals: DataFrame) -> DataFrame:
+    """`run_rate` on every row of the totals. The window holds one campaign's channels."""
+    w = W.partitionBy("client", "campaign")
+    return totals.withColumns(
+        {
+            "low_daily": F.min("recent_low").over(w),
+            "mean_daily": safe_div(F.sum("recent_spend").over(w), F.sum("recent_days").over(w)),
+            "high_daily": F.max("recent_high").over(w),
+        }
+    ).drop(*RECENT)
+
+
 def campaign_performance(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Totals to date, pacing and a spend forecast to the end of the flight: remaining days at
     the low, mean and high daily rate, capped at the budget (no budget, no cap)."""
     terms = campaigns.select(
         "client", "campaign", "budget", "daily_budget", "status", "start_date", "end_date"
     )
-    rows = (
-        campaign_totals(fact)
-        .join(terms, ["client", "campaign"], "left")
-        .join(run_rate(fact), ["client", "campaign"], "left")
-    )
+    rows = with_run_rate(campaign_totals(fact)).join(terms, ["client", "campaign"], "left")
 
     def projected(rate: str) -> Column:
         return F.col("spend") + F.col("days_remaining") * F.col(rate)
@@ -83,21 +117,18 @@ def campaign_performance(fact: DataFrame, campaigns: DataFrame) -> DataFrame:
     by_kpi = F.when(
         F.col("kpi") == "cpa_backend", m.cpa("spend_backend_window", "backend_orders")
     ).when(F.col("kpi") == "cpm", m.cpm())
-    return (
-        rows.withColumns(
-            {
-                "budget_used": safe_div("spend", "budget"),
-                "pacing_vs_plan": pacing(),
-                "forecast_spend_low": capped("low_daily"),
-                "forecast_spend_base": capped("mean_daily"),
-                "forecast_spend_high": capped("high_daily"),
-                "would_exceed_budget_uncapped": projected("high_daily") > F.col("budget"),
-                **metric_columns(),
-                "kpi_actual": by_kpi,
-            }
-        )
-        .drop("low_daily", "high_daily")
-    )
+    return rows.withColumns(
+        {
+            "budget_used": safe_div("spend", "budget"),
+            "pacing_vs_plan": pacing(),
+            "forecast_spend_low": capped("low_daily"),
+            "forecast_spend_base": capped("mean_daily"),
+            "forecast_spend_high": capped("high_daily"),
+            "would_exceed_budget_uncapped": projected("high_daily") > F.col("budget"),
+            **metric_columns(),
+            "kpi_actual": by_kpi,
+        }
+    ).drop("low_daily", "high_daily")
 
 
 def channel_performance(campaign_mart: DataFrame) -> DataFrame:
@@ -153,27 +184,28 @@ def funnel(fact: DataFrame) -> DataFrame:
     )
 
 
-def reconciliation(campaign_mart: DataFrame, params: Params) -> DataFrame:
+def with_reconciliation(campaign_mart: DataFrame, params: Params) -> DataFrame:
     """Platform spend against the ledger. Without platform spend the share is null and counts
     as within tolerance, whatever the ledger says."""
     difference = F.col("spend") - F.col("ledger_spend")
     share = safe_div(difference, "spend")
-    return campaign_mart.select(
-        "client",
-        "campaign",
-        "channel",
-        "request_id",
-        F.col("spend").alias("platform_spend"),
-        "ledger_spend",
-        difference.alias("difference"),
-        share.alias("difference_pct"),
-        (F.abs(zero_if_null(share)) * 100 <= params.reconciliation_tolerance_pct).alias(
-            "within_tolerance"
-        ),
-        "ref_date",
+    off_pct = F.abs(zero_if_null(share)) * 100
+    return campaign_mart.withColumns(
+        {
+            "difference": difference,
+            "difference_pct": share,
+            "within_tolerance": off_pct <= params.reconciliation_tolerance_pct,
+        }
     )
 
 
+def reconciliation(campaign_mart: DataFrame, params: Params) -> DataFrame:
+    return with_reconciliation(campaign_mart, params).select(
+        "client", "campaign", "channel", "request_id", F.col("spend").alias("platform_spend"),
+        "ledger_spend", "difference", "difference_pct", "within_tolerance",
+    )
+
+
 def approvals(requests: DataFrame, campaigns: DataFrame, fact: DataFrame) -> DataFrame:
     """Every spend request with what was committed and spent under it."""
     key = ["client", "request_id"]

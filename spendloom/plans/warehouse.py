@@ -57,8 +57,18 @@ class Warehouse:
         return self._hold(marts.campaign_performance(self.daily, self.stg["stg_gate_campaigns"]))
 
     @cached_property
-    def _reconciliation(self) -> DataFrame:
-        return marts.reconciliation(self._campaigns, self.params)
+    def context(self) -> DataFrame:
+        return fact.reporting_context(self.stg)
+
+    @property
+    def campaigns_checked(self) -> DataFrame:
+        return marts.with_reconciliation(self._campaigns, self.params)
+
+    @property
+    def approvals_dated(self) -> DataFrame:
+        """The approvals mart with the client's reference day, for the alerts."""
+        dates = self.context.select("client", "ref_date")
+        return self.mart_approvals().join(dates, "client", "left")
 
     def fct_performance_daily(self) -> DataFrame:
         return self.daily.drop("ref_date")
@@ -76,7 +86,7 @@ class Warehouse:
         return marts.funnel(self.daily)
 
     def mart_reconciliation(self) -> DataFrame:
-        return self._reconciliation.drop("ref_date")
+        return marts.reconciliation(self._campaigns, self.params)
 
     def mart_approvals(self) -> DataFrame:
         return marts.approvals(
@@ -88,12 +98,7 @@ class Warehouse:
 
     def mart_alerts(self) -> DataFrame:
         return alert_rules.alerts(
-            self.daily,
-            self._campaigns,
-            self._reconciliation,
-            self.mart_approvals(),
-            fact.reporting_context(self.stg),
-            self.params,
+            self.daily, self.campaigns_checked, self.approvals_dated, self.params
         )
 
     def mart_exec_overview(self) -> DataFrame:

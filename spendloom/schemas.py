@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
+
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(columns: str) -> T.StructType:
+    """A flat schema from "name type, ..." (built without a running session)."""
+    pairs = (c.split(" ") for c in columns.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Extract name -> columns of its file. The client is not a column of the file.
@@ -48,7 +58,8 @@ GATE: dict[str, T.StructType] = {
 
 RAW_TABLES = (*EXTRACTS, *GATE)
 
-STATE = _schema(
+# Nested inputs, as DDL.
+STATE = (
     "client string, currency string, ceiling double, seq bigint, "
     "requests map<string, struct<id:string, campaign:string, channel:string, amount:double, "
     "start:string, end:string, daily_cap:double, summary:string, requested_by:string, "
@@ -60,32 +71,27 @@ STATE = _schema(
     "channels map<string, struct<user_id:bigint, chat_id:bigint>>"
 )
 
-ACTION = _schema(
-    "type string, campaign string, request_id string, channel string, budget double, "
-    "daily_budget double, start string, end string"
+ACTION = (
+    "struct<type:string, campaign:string, request_id:string, channel:string, budget:double, "
+    "daily_budget:double, start:string, end:string>"
 )
 
 # One line of the append-only audit log; a field an event does not carry is null.
-AUDIT = T.StructType(
-    [
-        *_schema(
-            "client string, seq bigint, at string, actor string, event string, "
-            "request_id string, amount double, channel string, campaign string, "
-            "approved_amount double, daily_cap double, via string, user_id bigint, "
-            "reason string, date string, note string"
-        ).fields,
-        T.StructField("action", ACTION),
-    ]
+AUDIT = (
+    "client string, seq bigint, at string, actor string, event string, "
+    "request_id string, amount double, channel string, campaign string, "
+    "approved_amount double, daily_cap double, via string, user_id bigint, "
+    f"reason string, date string, note string, action {ACTION}"
 )
 
 # A landed ads report: a file holds a list of batches, each with result rows.
-ADS_BATCHES = _schema(
+ADS_BATCHES = (
     "results array<struct<"
     "campaign:struct<id:string, name:string, advertisingChannelType:string, status:string>, "
     "metrics:struct<impressions:string, clicks:string, costMicros:string, "
     "conversions:string, conversionsValue:string>, "
     "segments:struct<date:string>>>"
 )
-ADS_ACCOUNTS = _schema(
+ADS_ACCOUNTS = (
     "results array<struct<customer:struct<id:string, currencyCode:string, timeZone:string>>>"
 )

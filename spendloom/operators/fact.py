@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendloom.functions.metrics import METRICS, metric_columns
 from spendloom.functions.values import zero_if_null
-from spendloom.operators.joins import fan_out, lookup
+from spendloom.operators.joins import fan_out, hot_keys, lookup, row_counts
 from spendloom.params import Params
 
 # Joins sort by their keys in this order. Campaign first: a sort compares the first bytes of the
@@ -41,19 +41,25 @@ def as_of_dates(freshness: DataFrame) -> DataFrame:
     )
 
 
-def reporting_context(stg: dict[str, DataFrame]) -> DataFrame:
+def spine(stg: dict[str, DataFrame]) -> DataFrame:
+    """Every campaign-day-channel that was planned or delivered, once, with its plan and
+    platform rows. Plan and platform are read for this once; the reporting context and the
+    hot-key check build on the same shuffle. (The filter always holds. It keeps the counts in
+    every use of the spine, without which Spark would prune them and not see the plans are one.)
+    """
+    counts = row_counts(stg["stg_plan_daily"], stg["stg_platform_daily"], [*KEY, "channel"])
+    return counts.filter(F.col("left_rows") + F.col("right_rows") > 0)
+
+
+def reporting_context(days: DataFrame, freshness: DataFrame) -> DataFrame:
     """One row per client: as-of dates and ``ref_date``, the last day of the fact that the
     ad platforms cover. Taken from the client's distinct days, so the fact itself can carry
     it and no mart has to join the fact to its own maximum."""
-    days = (
-        stg["stg_plan_daily"].select("client", "date")
-        .unionByName(stg["stg_platform_daily"].select("client", "date"))
-        .distinct()
-    )
-    fresh = as_of_dates(stg["stg_source_freshness"])
     covered = F.when(F.col("date") <= F.col("platform_as_of"), F.col("date"))
     return (
-        days.join(fresh, "client", "full")
+        days.select("client", "date")
+        .distinct()
+        .join(as_of_dates(freshness), "client", "full")
         .groupBy("client")
         .agg(
             F.max("platform_as_of").alias("platform_as_of"),
@@ -99,22 +105,15 @@ def daily_activity(stg: dict[str, DataFrame]) -> DataFrame:
     return stacked.groupBy(*KEY).agg(*(F.sum(m).alias(m) for m in measures))
 
 
-def spine(stg: dict[str, DataFrame]) -> DataFrame:
-    """Every campaign-day-channel that was planned or delivered, once."""
-    columns = [*KEY, "channel"]
-    return (
-        stg["stg_plan_daily"].select(*columns)
-        .unionByName(stg["stg_platform_daily"].select(*columns))
-        .distinct()
-    )
-
-
 def daily_fact(stg: dict[str, DataFrame], params: Params) -> DataFrame:
     """The fact plus ``ref_date``. Plan and platform rows are matched on campaign-day, not on
     channel, and are not pre-aggregated: a campaign-day in two channels or with two platform
     rows multiplies, and the uniqueness check on the fact is what reports it."""
+    days = spine(stg)
+    hot = hot_keys(days, KEY, params.hot_key_rows)
+    context = reporting_context(days, stg["stg_source_freshness"])
     requests = stg["stg_gate_campaigns"].select("client", "campaign", "request_id")
-    rows = lookup(spine(stg), reporting_context(stg), ["client"], ["campaign", "date"], params.salts)
+    rows = lookup(days, context, ["client"], ["campaign", "date"], params.salts)
     rows = lookup(rows, requests, ["client", "campaign"], ["date", "channel"], params.salts)
     plan = stg["stg_plan_daily"].select(
         *KEY, "planned_spend", "kpi", "kpi_target", F.col("is_synthetic").alias("plan_synthetic")
@@ -122,7 +121,7 @@ def daily_fact(stg: dict[str, DataFrame], params: Params) -> DataFrame:
     platform = stg["stg_platform_daily"].drop("channel", "platform").withColumnRenamed(
         "is_synthetic", "platform_synthetic"
     )
-    rows = fan_out(rows, daily_activity(stg), plan, platform, KEY, params.hot_key_rows)
+    rows = fan_out(rows, daily_activity(stg), plan, platform, KEY, hot)
 
     web_covers = F.col("date") <= F.col("web_as_of")
     crm_covers = F.col("date") <= F.col("crm_as_of")

@@ -30,24 +30,30 @@ def lookup(
     return salted.join(slices, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Keys with at least ``rows`` rows in either frame, and into how many slices of about
-    ``rows`` rows each side is to be cut: keys, left_slices, right_slices.
-
-    Counted with map-side partial sums. The result has at most
-    (rows of both frames) / ``rows`` rows, which is what makes it safe to broadcast.
-    """
+def row_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key of either frame, once, with its rows on each side: keys, left_rows, right_rows.
+    Partial sums before the shuffle, so a hot key is one row per map task."""
     tagged = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
         right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
-    counts = (
-        tagged.dropna(subset=list(keys))
+    return tagged.groupBy(*keys).agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Keys with at least ``rows`` rows on either side of `row_counts` (which may be finer than
+    ``keys``), and into how many slices of about ``rows`` rows each side is to be cut.
+
+    The result has at most (all rows counted) / ``rows`` rows, which is what makes it safe to
+    broadcast.
+    """
+    totals = (
+        counts.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        .agg(F.sum("left_rows").alias("l"), F.sum("right_rows").alias("r"))
         .filter((F.col("l") >= rows) | (F.col("r") >= rows))
     )
     slices = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows))).cast("int")
-    return counts.select(*keys, slices("l").alias("left_slices"), slices("r").alias("right_slices"))
+    return totals.select(*keys, slices("l").alias("left_slices"), slices("r").alias("right_slices"))
 
 
 def fan_out(
@@ -56,7 +62,7 @@ def fan_out(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    rows: int,
+    hot: DataFrame,
 ) -> DataFrame:
     """``base LEFT JOIN unique LEFT JOIN left LEFT JOIN right``, all on ``keys``, row for row and
     with no key in one task. ``unique`` has one row per key; left and right may have many.
@@ -69,8 +75,8 @@ def fan_out(
     """
     keys = list(keys)
     on = [*keys, "_cell"]
-    # Bounded by (rows of both frames) / rows; mostly empty, and then the joins to it vanish.
-    hot = F.broadcast(hot_keys(left, right, keys, rows))
+    # Bounded (see `hot_keys`); mostly empty, and then the joins to it vanish.
+    hot = F.broadcast(hot)
     n_left, n_right = F.col("left_slices"), F.col("right_slices")
     ones = {n: F.coalesce(n, F.lit(1)) for n in ("left_slices", "right_slices")}
 

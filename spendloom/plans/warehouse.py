@@ -58,7 +58,7 @@ class Warehouse:
 
     @cached_property
     def context(self) -> DataFrame:
-        return fact.reporting_context(self.stg)
+        return fact.reporting_context(fact.spine(self.stg), self.stg["stg_source_freshness"])
 
     @property
     def campaigns_checked(self) -> DataFrame:

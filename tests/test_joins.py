@@ -5,11 +5,20 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from spendloom.operators.joins import fan_out, hot_keys, lookup, running_total
+from spendloom.operators import joins
+from spendloom.operators.joins import lookup, running_total
 
 KEYS = ["a", "b"]
 
 
+def hot_keys(left, right, keys, rows):
+    return joins.hot_keys(joins.row_counts(left, right, keys), keys, rows)
+
+
+def fan_out(base, unique, left, right, keys, rows):
+    return joins.fan_out(base, unique, left, right, keys, hot_keys(left, right, keys, rows))
+
+
 def _rows(rng, n, hot_share=0.4):
     """Rows with one key holding a large share, some keys missing, some keys null."""
     out = []

@@ -22,7 +22,7 @@ from spendloom.plans import driver, saved
 from spendloom.plans.warehouse import MODELS, Warehouse
 from spendloom.sources import state as state_tables
 from spendloom.sources.ads import report_rows
-from spendloom.sources.extracts import load_counts, restate_window
+from spendloom.sources.extracts import load_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +117,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     # Sources: counts per raw table, nested state documents and report batches to rows.
     out["load_counts"] = lambda spark, d: load_counts(driver.from_events(spark, d))
+    out["extract_csv_rows"] = lambda spark, d: rounded(driver.csv_rows(spark, d))
     for name, flatten in {
         "state_engagement": state_tables.flatten_engagement,
         "state_requests": state_tables.flatten_requests,
@@ -178,7 +179,9 @@ def queries() -> dict[str, Query]:
     out["ads_extract_summary"] = _ads(lambda s: ads.extract_summary(s["extract"], s["window"]))
     out["freshness_upsert"] = _ads(lambda s: ads.upsert_freshness(s["freshness"], s["window"]))
     out["restated_platform"] = _ads(
-        lambda s: restate_window(s["platform"], s["extract"].select(s["platform"].columns), s["window"])
+        lambda s: ads.restate_window(
+            s["platform"], s["extract"].select(s["platform"].columns), s["window"]
+        )
     )
     # Gate and ledger.
     out["approved_total"] = _gate(lambda w, s, d: gate.approved_total(w.stg["stg_gate_requests"]))

@@ -582,6 +582,7 @@ def statements() -> dict[str, str]:
         "load_counts",
         " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t}" for n, t in counts.items()),
     )
+    put("extract_csv_rows", "SELECT * FROM raw_platform", ADS_MONEY)
     put("state_engagement", "SELECT client, currency, ceiling FROM raw_engagement", "ceiling")
     put(
         "state_requests",

@@ -171,3 +171,14 @@ def upsert_freshness(freshness: DataFrame, window: DataFrame) -> DataFrame:
     )
     kept = freshness.join(new.select("client", "source"), ["client", "source"], "left_anti")
     return kept.select(*new.columns).unionByName(new)
+
+
+def restate_window(existing: DataFrame, fresh: DataFrame, window: DataFrame) -> DataFrame:
+    """Restatement as a query: the old rows outside each client's window, plus the fresh rows.
+    Older days stay, as do clients that were not pulled. ``window``: client, start, end."""
+    spans = window.select("client", "start", "end")
+    inside = F.col("date").between(F.col("start"), F.col("end"))
+    kept = lookup(existing, spans, ["client"], ["campaign", "date"], 16).filter(
+        ~F.coalesce(inside, F.lit(False))
+    )
+    return kept.select(*existing.columns).unionByName(fresh)

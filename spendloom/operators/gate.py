@@ -18,6 +18,8 @@ SPEND_ACTIONS = ("launch", "increase_budget", "extend_flight")
 SAFE_ACTIONS = ("pause", "decrease_budget")
 ANY_CAMPAIGN = "*"
 
+SEQ_BLOCK = 10_000
+
 
 def exact(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("decimal(20,2)")
@@ -182,13 +184,12 @@ def authorise(
     )
 
 
-def check_requests(proposals: DataFrame, position: DataFrame) -> DataFrame:
+def check_requests(proposals: DataFrame, position: DataFrame, salts: int = 16) -> DataFrame:
     """May a spend request be filed? ``proposals``: client, proposal_id, amount, daily_cap,
     start, end; ``position``: the ledger position."""
     amount, cap = money(F.col("amount")), money(F.col("daily_cap"))
-    rows = lookup(
-        proposals, position.select("client", "ceiling", "approved"), ["client"], ["proposal_id"], 16
-    )
+    room = position.select("client", "ceiling", "approved")
+    rows = lookup(proposals, room, ["client"], ["proposal_id"], salts)
     reason = first_broken(
         ((amount > 0) & (cap > 0), "not_positive"),
         (F.col("start").cast("date") <= F.col("end").cast("date"), "start_after_end"),
@@ -199,26 +200,31 @@ def check_requests(proposals: DataFrame, position: DataFrame) -> DataFrame:
     )
 
 
-def check_approvals(decisions: DataFrame, requests: DataFrame, engagement: DataFrame) -> DataFrame:
+def check_approvals(
+    decisions: DataFrame, requests: DataFrame, engagement: DataFrame, salts: int = 16
+) -> DataFrame:
     """Audit recorded approvals. ``decisions``: client, request_id, at, seq, approved_amount and
     daily_cap (null: as requested), via (null: not from a chat); ``requests``: client,
     request_id, requested_amount, daily_cap.
 
-    The approved total runs in decision order within a client, day by day and second by
-    second, so that no window holds more than a client's calendar or one second's decisions.
+    The approved total runs in decision order within a client: by day, by second and by block
+    of sequence numbers, so that no window holds more than a calendar, the seconds of a day or
+    one block.
     """
     asked = requests.select(
         "client", "request_id", "requested_amount", F.col("daily_cap").alias("requested_cap")
     )
+    rows = lookup(decisions, asked, ["client", "request_id"], ["seq"], salts, "inner")
     rows = (
-        decisions.join(asked, ["client", "request_id"])
-        .join(engagement.select("client", "ceiling"), "client")
+        lookup(rows, engagement.select("client", "ceiling"), ["client"], ["seq"], salts, "inner")
         .withColumn("approved", money(F.coalesce("approved_amount", "requested_amount")))
         .withColumn("cap", money(F.coalesce("daily_cap", "requested_cap")))
         .withColumn("_value", exact("approved"))
         .withColumn("_day", F.to_date("at"))
+        .withColumn("_block", F.floor(F.col("seq") / SEQ_BLOCK))
     )
-    rows = running_total(rows, ["client"], ["_day", "at"], ["seq"], "_value", "running")
+    buckets = ["_day", "at", "_block"]
+    rows = running_total(rows, ["client"], buckets, ["seq"], "_value", "running", salts)
     raised = (F.col("approved") > F.col("requested_amount")) | (F.col("cap") > F.col("requested_cap"))
     changed = (F.col("approved") != F.col("requested_amount")) | (F.col("cap") != F.col("requested_cap"))
     reason = first_broken(

@@ -109,13 +109,19 @@ def fan_out(
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], buckets: Sequence[str], order: Sequence[str], value: str, out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    buckets: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    salts: int = 16,
 ) -> DataFrame:
     """Running sum of ``value`` within ``keys``, in ``(*buckets, *order)`` order.
 
-    A single window would put a hot key into one task. Here each bucket level (say day, then
-    second) is summed first and only the totals run through a window, so a window holds one
-    row per bucket, and the finest window holds the rows of one finest bucket.
+    A single window would put a hot key into one task. Here each bucket level (say day, second,
+    block of sequence numbers) is summed first and only the totals run through a window, so a
+    window holds one row per bucket, and the last one the rows of one finest bucket.
     """
     if not buckets:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -129,9 +135,10 @@ def running_total(
         .withColumn(before_it, F.coalesce(F.sum("_total").over(w), F.lit(0)))
         .drop("_total")
     )
-    inner = running_total(df, level, buckets[1:], order, value, within_it)
+    inner = running_total(df, level, buckets[1:], order, value, within_it, salts)
+    spread = [*buckets[1:], *order]
     return (
-        inner.join(before, level)
+        lookup(inner, before, level, spread, salts, "inner")
         .withColumn(out, F.col(before_it) + F.col(within_it))
         .drop(before_it, within_it)
     )

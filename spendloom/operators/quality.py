@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendloom.operators.joins import lookup
+
 
 def duplicate_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     """Key combinations that occur more than once."""
@@ -66,7 +68,7 @@ def backend_after_coverage(fact: DataFrame, freshness: DataFrame) -> DataFrame:
     late = (F.col("date") > F.col("data_as_of")) & (
         F.col("backend_orders").isNotNull() | (F.col("spend_backend_window") != 0)
     )
-    return fact.join(crm, "client").filter(late)
+    return lookup(fact, crm, ["client"], ["campaign", "date"], 16, "inner").filter(late)
 
 
 def forecast_out_of_order(campaigns: DataFrame) -> DataFrame:

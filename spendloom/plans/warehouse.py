@@ -127,7 +127,8 @@ class Warehouse:
     def save(self) -> None:
         """Replace the saved fact and marts: database ``core`` and database ``marts``."""
         for name, build in self.models().items():
-            replace_table(build(), f"{MODELS[name]}.{name}")
+            by = ("date",) if name == "fct_performance_daily" else ()
+            replace_table(build(), f"{MODELS[name]}.{name}", by)
 
 
 # Model -> database of its saved table.

@@ -72,11 +72,13 @@ def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
     df.write.mode("overwrite").option("header", True).partitionBy(*partition_by).csv(path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Full refresh of a saved table."""
+def replace_table(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> None:
+    """Full refresh of a saved table, partitioned by ``by``. Rows are rebalanced on it first:
+    few files per partition, and a big partition is split over several tasks."""
     if "." in name:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{name.split('.')[0]}`")
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    rows = df.hint("rebalance", *by) if by else df
+    rows.write.mode("overwrite").format("parquet").partitionBy(*by).saveAsTable(name)
 
 
 def restate_partitions(df: DataFrame, path: str, by: tuple[str, ...] = ("client", "date")) -> None:
@@ -90,18 +92,3 @@ def restate_partitions(df: DataFrame, path: str, by: tuple[str, ...] = ("client"
         .partitionBy(*by)
         .parquet(path)
     )
-
-
-def restate_window(
-    existing: DataFrame, fresh: DataFrame, window: DataFrame, client: str = "client"
-) -> DataFrame:
-    """The same restatement as a query: the old rows outside each client's window, plus the
-    fresh rows. ``window`` has one row per client: client, start, end."""
-    w = window.select(F.col(client).alias("_c"), "start", "end")
-    kept = existing.join(
-        w,
-        (existing[client] == w["_c"])
-        & existing["date"].between(w["start"], w["end"]),
-        "left_anti",
-    )
-    return kept.unionByName(fresh)

@@ -211,7 +211,7 @@ def queries() -> dict[str, Query]:
     )
     out["check_approvals"] = _gate(
         lambda w, s, d: gate.check_approvals(
-            driver.recorded_approvals(driver.audit_log(s, d)),
+            driver.recorded_approvals(s, d),
             w.stg["stg_gate_requests"],
             w.stg["stg_gate_engagement"],
         )
@@ -223,7 +223,7 @@ def queries() -> dict[str, Query]:
     )
     out["campaign_state_replay"] = _gate(
         lambda w, s, d: gate.replay(
-            driver.audit_log(s, d).filter("event = 'action_executed'"), w.stg["stg_gate_requests"]
+            driver.executed_actions(s, d), w.stg["stg_gate_requests"]
         )
     )
     out["audit_counts"] = lambda s, d: gate.audit_counts(driver.audit_log(s, d))

@@ -131,11 +131,12 @@ raw_spend AS (
 
 LINEITEM = """
 sup AS (
-  SELECT s_suppkey AS k, r_name AS client, 'sup_' || s_suppkey AS campaign, 'ch_' || (s_suppkey % 5) AS channel
-  FROM supplier, nation, region WHERE s_nationkey = n_nationkey AND n_regionkey = r_regionkey),
+  SELECT s_suppkey AS k, 'client_' || (s_suppkey % 5) AS client, 'sup_' || s_suppkey AS campaign,
+         'ch_' || (s_suppkey % 7) AS channel
+  FROM supplier),
 lines AS (
   SELECT client, campaign, channel, k, l_orderkey, l_linenumber, CAST(l_shipdate AS date) AS date,
-         CAST(l_quantity AS bigint) AS q, CAST(round(l_extendedprice * 100) AS bigint) AS c, l_returnflag
+         CAST(l_quantity AS bigint) AS q, CAST(round(l_extendedprice * 100) AS bigint) AS c, l_extendedprice, l_returnflag
   FROM lineitem JOIN sup ON l_suppkey = k),
 raw_platform AS (
   SELECT client, 'network' AS source, date, campaign, channel, k,
@@ -177,7 +178,7 @@ raw_requests AS (
 raw_engagement AS (
   SELECT client, 'USD' AS currency, count(*) * 26000000::double AS ceiling
   FROM raw_campaigns GROUP BY client),
-raw_spend AS (SELECT client, campaign, date, spend AS ledger_spend FROM raw_platform WHERE k % 17 <> 0)"""
+raw_spend AS (SELECT client, campaign, date, l_extendedprice AS ledger_spend FROM lines WHERE k % 17 <> 0)"""
 
 _DAY = "x.client = s.client AND x.date = s.date AND x.campaign = s.campaign"
 

@@ -224,7 +224,7 @@ def check_approvals(
         .withColumn("_block", F.floor(F.col("seq") / SEQ_BLOCK))
     )
     buckets = ["_day", "at", "_block"]
-    rows = running_total(rows, ["client"], buckets, ["seq"], "_value", "running", salts)
+    rows = running_total(rows, ["client"], buckets, ["seq"], "_value", "running")
     raised = (F.col("approved") > F.col("requested_amount")) | (F.col("cap") > F.col("requested_cap"))
     changed = (F.col("approved") != F.col("requested_amount")) | (F.col("cap") != F.col("requested_cap"))
     reason = first_broken(

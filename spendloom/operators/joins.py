@@ -115,30 +115,25 @@ def running_total(
     order: Sequence[str],
     value: str,
     out: str,
-    salts: int = 16,
 ) -> DataFrame:
     """Running sum of ``value`` within ``keys``, in ``(*buckets, *order)`` order.
 
-    A single window would put a hot key into one task. Here each bucket level (say day, second,
-    block of sequence numbers) is summed first and only the totals run through a window, so a
-    window holds one row per bucket, and the last one the rows of one finest bucket.
+    One window over a key would put a hot key into one task. Here a window runs only inside a
+    finest bucket (say a block of sequence numbers within a second within a day), and what came
+    before the bucket is the running total of the bucket totals, found the same way one level
+    up. So the rows are shuffled once, and each window holds one bucket's rows or totals.
     """
+    rows_to_here = lambda w: w.rowsBetween(W.unboundedPreceding, W.currentRow)
     if not buckets:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.withColumn(out, F.sum(value).over(w))
-    level = [*keys, buckets[0]]
-    before_it, within_it = f"_before_{buckets[0]}", f"_within_{buckets[0]}"
-    w = W.partitionBy(*keys).orderBy(buckets[0]).rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        df.groupBy(*level)
-        .agg(F.sum(value).alias("_total"))
-        .withColumn(before_it, F.coalesce(F.sum("_total").over(w), F.lit(0)))
-        .drop("_total")
-    )
-    inner = running_total(df, level, buckets[1:], order, value, within_it, salts)
-    spread = [*buckets[1:], *order]
+        return df.withColumn(out, F.sum(value).over(rows_to_here(W.partitionBy(*keys).orderBy(*order))))
+    bucket = [*keys, *buckets]
+    totals = df.groupBy(*bucket).agg(F.sum(value).alias("_total"))
+    through = running_total(totals, keys, buckets[:-1], buckets[-1:], "_total", "_through")
+    before = through.select(*bucket, (F.col("_through") - F.col("_total")).alias("_before"))
+    within = F.sum(value).over(rows_to_here(W.partitionBy(*bucket).orderBy(*order)))
     return (
-        lookup(inner, before, level, spread, salts, "inner")
-        .withColumn(out, F.col(before_it) + F.col(within_it))
-        .drop(before_it, within_it)
+        df.withColumn("_within", within)
+        .join(before, bucket, "left")
+        .withColumn(out, F.col("_before") + F.col("_within"))
+        .drop("_before", "_within")
     )

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.operators.joins import lookup
 from spendloom.schemas import ADS_BATCHES, AUDIT, EXTRACTS, STATE
 
 SUPPLIERS = 10**12  # above any supplier number
@@ -167,41 +166,40 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
 
 
+def _named(suppkey: str) -> dict[str, Column]:
+    """A supplier as a campaign: client and channel are its number modulo 5 and 7."""
+    k = F.col(suppkey)
+    return {
+        "client": F.concat(F.lit("client_"), k % 5),
+        "campaign": F.concat(F.lit("sup_"), k),
+        "channel": F.concat(F.lit("ch_"), k % 7),
+    }
+
+
 def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Suppliers as campaigns, regions as clients, order lines as delivery, orders as CRM."""
+    """Suppliers as campaigns, order lines as delivery, sessions and ledger, orders as CRM."""
     read = lambda name: table(spark, sf_dir, name)
-    suppliers = (
-        read("supplier")
-        .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "s_suppkey", F.col("r_name").alias("client"),
-            F.concat(F.lit("sup_"), "s_suppkey").alias("campaign"),
-            F.concat(F.lit("ch_"), F.col("s_suppkey") % 5).alias("channel"),
-        )
-    )
+    suppliers = read("supplier").select("s_suppkey").withColumns(_named("s_suppkey"))
     lines = read("lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", F.to_date("l_shipdate").alias("date"),
-        F.col("l_quantity").cast("bigint").alias("q"), cents("l_extendedprice").alias("c"),
+        F.col("l_quantity").cast("bigint").alias("q"), "l_extendedprice",
         (F.col("l_returnflag") == "R").alias("returned"),
     )
-    # Lines are summed per supplier and day before the supplier's names are looked up.
+    # Summed by supplier number; the names are put on afterwards.
     platform = (
         lines.groupBy("l_suppkey", "date")
         .agg(
             (F.sum("q") * 1000).alias("impressions"), (F.sum("q") * 10).alias("clicks"),
-            money_of(F.sum("c")).alias("spend"), F.count("*").cast("double").alias("platform_conversions"),
-            money_of(F.sum(F.col("c") * 2)).alias("platform_revenue"),
+            F.sum(cents("l_extendedprice")).alias("c"), F.count("*").cast("double").alias("platform_conversions"),
         )
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumns(_named("l_suppkey"))
         .select(
             "client", F.lit("network").alias("source"), "date", "campaign", "channel", "impressions",
-            "clicks", "spend", "platform_conversions", "platform_revenue", F.lit(False).alias("is_synthetic"),
+            "clicks", money_of(F.col("c")).alias("spend"), "platform_conversions",
+            money_of(F.col("c") * 2).alias("platform_revenue"), F.lit(False).alias("is_synthetic"),
         )
     )
-    # A supplier may have a third of all lines: its name is looked up in salted slices.
-    named = suppliers.withColumnRenamed("s_suppkey", "l_suppkey")
-    web = lookup(lines, named, ["l_suppkey"], ["l_orderkey"], 16, "inner").select(
+    web = lines.withColumns(_named("l_suppkey")).select(
         "client", "date", F.lit("network").alias("utm_source"), F.lit("cpc").alias("utm_medium"),
         F.col("campaign").alias("utm_campaign"),
         F.when(F.col("returned"), 0).otherwise(F.col("q") * 8).alias("sessions"),
@@ -213,9 +211,10 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     first = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         (F.min(line_then_supplier) % SUPPLIERS).alias("l_suppkey")
     )
-    attributed = read("orders").join(first, "o_orderkey", "left")
     crm = (
-        lookup(attributed, named, ["l_suppkey"], ["o_orderkey"], 16)
+        read("orders")
+        .join(first, "o_orderkey", "left")
+        .withColumns(_named("l_suppkey"))
         .select(
             "client", F.concat(F.lit("ord_"), "o_orderkey").alias("order_id"),
             F.to_date("o_orderdate").alias("order_date"), F.col("campaign").alias("utm_campaign"),
@@ -259,8 +258,9 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     engagement = grouped.groupBy("client").agg(F.sum("n").alias("n")).select(
         "client", F.lit("USD").alias("currency"), (F.col("n") * 26_000_000.0).alias("ceiling")
     )
-    spend = platform.filter(F.substring("campaign", 5, 18).cast("bigint") % 17 != 0).select(
-        "client", "campaign", F.col("spend").alias("amount"), F.col("date").cast("string").alias("date")
+    # One ledger entry per line, none for unapproved suppliers.
+    spend = lines.filter(F.col("l_suppkey") % 17 != 0).withColumns(_named("l_suppkey")).select(
+        "client", "campaign", F.col("l_extendedprice").alias("amount"), F.col("date").cast("string").alias("date")
     )
     return _loaded(
         {
@@ -340,8 +340,8 @@ def spend_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit events as parsed JSON lines: one per log event, and one launch per campaign."""
+def audit_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Audit events: one per log event, and one launch per campaign."""
     log = event_log(spark, sf_dir)
     kind = F.col("event_type")
     event = (
@@ -384,14 +384,43 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("action"),
     )
 
-    def parsed(df: DataFrame) -> DataFrame:
-        return df.select(F.from_json(F.to_json(F.struct("*")), AUDIT).alias("e")).select("e.*")
+    return lines, launches
 
-    return parsed(lines).unionByName(parsed(launches))
 
-
-def recorded_approvals(audit: DataFrame) -> DataFrame:
-    return audit.filter(F.col("event").isin("request_approved", "request_modified_and_approved")).select(
+def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit events through JSON lines, as the log's readers see them."""
+    parsed = [
+        df.select(F.from_json(F.to_json(F.struct("*")), AUDIT).alias("e")).select("e.*")
+        for df in audit_events(spark, sf_dir)
+    ]
+    return parsed[0].unionByName(parsed[1])
+
+
+def executed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, launches = audit_events(spark, sf_dir)
+    done = lines.filter("event = 'action_executed'")
+    columns = ("client", "at", "seq", "action")
+    fields = ("type", "campaign", "request_id", "channel", "budget", "daily_budget", "start", "end")
+
+    def whole(df: DataFrame) -> DataFrame:
+        has = set(df.schema["action"].dataType.names)
+        money_fields = ("budget", "daily_budget")
+        action = F.struct(
+            *(
+                (F.col(f"action.{f}") if f in has else F.lit(None))
+                .cast("double" if f in money_fields else "string").alias(f)
+                for f in fields
+            )
+        )
+        return df.withColumn("action", action).select(*columns)
+
+    return whole(done).unionByName(whole(launches))
+
+
+def recorded_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, _ = audit_events(spark, sf_dir)
+    granted = F.col("event").isin("request_approved", "request_modified_and_approved")
+    return lines.filter(granted).select(
         "client", "request_id", F.col("at").cast("timestamp_ntz").alias("at"), "seq",
         "approved_amount", "daily_cap", "via",
     )

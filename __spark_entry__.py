@@ -100,8 +100,8 @@ def _alert(rule: str) -> Query:
         "overspend": (lambda w: w.campaigns_checked, alerts.overspend()),
         "budget_exhaustion": (lambda w: w.campaigns_checked, alerts.budget_exhaustion()),
         "pacing_deviation": (lambda w: w.campaigns_checked, alerts.pacing_deviation(p)),
-        "cpa_spike": (lambda w: alerts.cpa_windows(w.daily), alerts.cpa_spike(p)),
-        "tracking_break": (lambda w: w.daily, alerts.tracking_break()),
+        "cpa_spike": (lambda w: alerts.cpa_windows(w.daily_of()), alerts.cpa_spike(p)),
+        "tracking_break": (lambda w: w.daily_of("web"), alerts.tracking_break()),
         "reconciliation": (lambda w: w.campaigns_checked, alerts.reconciliation_gap(p)),
         "unapproved_spend": (lambda w: w.campaigns_checked, alerts.unapproved_spend()),
         "approval_breach": (lambda w: w.approvals_dated, alerts.approval_breach()),
@@ -144,7 +144,7 @@ def queries() -> dict[str, Query]:
         lambda w: marts.campaign_totals(w.daily).drop("ref_date", *marts.RECENT)
     )
     out["campaign_run_rate"] = _on_warehouse(lambda w: marts.run_rate(marts.campaign_totals(w.daily)))
-    out["cpa_windows"] = _on_warehouse(lambda w: alerts.cpa_windows(w.daily).drop("ref_date"))
+    out["cpa_windows"] = _on_warehouse(lambda w: alerts.cpa_windows(w.daily_of()).drop("ref_date"))
     for rule in alerts.TEXTS:
         out[f"alert_{rule}"] = lambda spark, d, rule=rule: _alert(rule)(spark, d)
     # Reports and saved queries.
@@ -236,7 +236,7 @@ def queries() -> dict[str, Query]:
     )
     # Data quality.
     out["duplicate_campaign_days"] = _on_warehouse(
-        lambda w: quality.duplicate_keys(w.daily, ["client", "date", "campaign"])
+        lambda w: quality.duplicate_keys(w.daily_of(), ["client", "date", "campaign"])
     )
     out["duplicate_order_lines"] = lambda s, d: quality.duplicate_keys(
         driver.table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]

@@ -8,6 +8,8 @@ are null, neither true nor false.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,45 +72,57 @@ def reporting_context(days: DataFrame, freshness: DataFrame) -> DataFrame:
     )
 
 
-def daily_activity(stg: dict[str, DataFrame]) -> DataFrame:
+# The logs, and the measures of the fact that come from each.
+LOGS = {
+    "web": ("sessions",),
+    "crm": ("backend_orders", "backend_revenue", "new_customers"),
+    "ledger": ("ledger_spend",),
+}
+
+
+def daily_activity(stg: dict[str, DataFrame], logs: tuple[str, ...] = tuple(LOGS)) -> DataFrame:
     """Sessions, orders and ledger spend per campaign-day, in one grouped pass.
 
-    The three logs are stacked and summed together: partial sums before the only shuffle,
-    so a hot campaign is safe. Rows without a campaign or day can match nothing and go first.
+    The logs are stacked and summed together: partial sums before the only shuffle, so a hot
+    campaign is safe. Rows without a campaign or day can match nothing and go first.
     """
-    measures = {
-        "sessions": "bigint",
-        "backend_orders": "bigint",
-        "backend_revenue": "double",
-        "new_customers": "bigint",
-        "ledger_spend": "double",
+    values = {
+        "web": (stg["stg_web_sessions"], {"sessions": F.col("sessions")}),
+        "crm": (
+            stg["stg_crm_orders"],
+            {
+                "backend_orders": F.lit(1),
+                "backend_revenue": F.col("revenue"),
+                "new_customers": F.when(F.col("new_customer"), 1).otherwise(0),
+            },
+        ),
+        "ledger": (stg["stg_gate_spend"], {"ledger_spend": F.col("ledger_spend")}),
     }
-
-    def log(frame: DataFrame, **given: Column) -> DataFrame:
-        frame = frame.filter(F.col("campaign").isNotNull() & F.col("date").isNotNull())
-        return frame.select(
-            *KEY, *(given.get(m, F.lit(None)).cast(t).alias(m) for m, t in measures.items())
+    money = {"backend_revenue", "ledger_spend"}
+    measures = [m for name in logs for m in LOGS[name]]
+
+    def stacked(name: str) -> DataFrame:
+        frame, given = values[name]
+        known = frame.filter(F.col("campaign").isNotNull() & F.col("date").isNotNull())
+        as_type = lambda m: "double" if m in money else "bigint"
+        return known.select(
+            *KEY, *(given.get(m, F.lit(None)).cast(as_type(m)).alias(m) for m in measures)
         )
 
-    stacked = (
-        log(stg["stg_web_sessions"], sessions=F.col("sessions"))
-        .unionByName(
-            log(
-                stg["stg_crm_orders"],
-                backend_orders=F.lit(1),
-                backend_revenue=F.col("revenue"),
-                new_customers=F.when(F.col("new_customer"), 1).otherwise(0),
-            )
-        )
-        .unionByName(log(stg["stg_gate_spend"], ledger_spend=F.col("ledger_spend")))
-    )
-    return stacked.groupBy(*KEY).agg(*(F.sum(m).alias(m) for m in measures))
+    rows = reduce(DataFrame.unionByName, map(stacked, logs))
+    return rows.groupBy(*KEY).agg(*(F.sum(m).alias(m) for m in measures))
 
 
-def daily_fact(stg: dict[str, DataFrame], params: Params) -> DataFrame:
+def daily_fact(
+    stg: dict[str, DataFrame], params: Params, logs: tuple[str, ...] = tuple(LOGS)
+) -> DataFrame:
     """The fact plus ``ref_date``. Plan and platform rows are matched on campaign-day, not on
     channel, and are not pre-aggregated: a campaign-day in two channels or with two platform
-    rows multiplies, and the uniqueness check on the fact is what reports it."""
+    rows multiplies, and the uniqueness check on the fact is what reports it.
+
+    With fewer ``logs`` the others are not read, and their measures and the ratio metrics are
+    not in the result: for a mart that needs none of them.
+    """
     days = spine(stg)
     hot = hot_keys(days, KEY, params.hot_key_rows)
     context = reporting_context(days, stg["stg_source_freshness"])
@@ -121,21 +135,27 @@ def daily_fact(stg: dict[str, DataFrame], params: Params) -> DataFrame:
     platform = stg["stg_platform_daily"].drop("channel", "platform").withColumnRenamed(
         "is_synthetic", "platform_synthetic"
     )
-    rows = fan_out(rows, daily_activity(stg), plan, platform, KEY, hot)
+    activity = daily_activity(stg, logs) if logs else None
+    rows = fan_out(rows, activity, plan, platform, KEY, hot)
 
     web_covers = F.col("date") <= F.col("web_as_of")
     crm_covers = F.col("date") <= F.col("crm_as_of")
-    spend = zero_if_null("spend")
     measures = {
         "has_platform_data": F.col("date") <= F.col("platform_as_of"),
         "has_crm_data": crm_covers,
-        "spend_backend_window": F.when(crm_covers, spend).otherwise(F.lit(0.0)),
-        "sessions": F.when(web_covers, zero_if_null("sessions")),
+        "spend_backend_window": F.when(crm_covers, zero_if_null("spend")).otherwise(F.lit(0.0)),
         "is_synthetic": F.coalesce("platform_synthetic", "plan_synthetic", F.lit(False)),
     }
-    for m in ("backend_orders", "backend_revenue", "new_customers"):
-        measures[m] = F.when(crm_covers, zero_if_null(m))
     for m in ("planned_spend", "impressions", "clicks", "spend", "platform_conversions",
-              "platform_revenue", "ledger_spend"):
+              "platform_revenue"):
         measures[m] = zero_if_null(m)
-    return rows.withColumns(measures).withColumns(metric_columns()).select(*FACT_COLUMNS, "ref_date")
+    gates = {"web": web_covers, "crm": crm_covers}
+    for name in logs:
+        for m in LOGS[name]:
+            seen = zero_if_null(m)
+            measures[m] = F.when(gates[name], seen) if name in gates else seen
+    rows = rows.withColumns(measures)
+    if set(logs) == set(LOGS):
+        return rows.withColumns(metric_columns()).select(*FACT_COLUMNS, "ref_date")
+    absent = {m for name in LOGS if name not in logs for m in LOGS[name]}.union(METRICS)
+    return rows.select(*(c for c in FACT_COLUMNS if c not in absent), "ref_date")

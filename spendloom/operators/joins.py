@@ -58,7 +58,7 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
 
 def fan_out(
     base: DataFrame,
-    unique: DataFrame,
+    unique: DataFrame | None,
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
@@ -99,10 +99,11 @@ def fan_out(
     empty = ((n_left > 1) & F.col("_has_left").isNull()) | (
         (n_right > 1) & F.col("_has_right").isNull()
     )
+    joined = in_cells(cut(base), *everywhere)
+    if unique is not None:
+        joined = joined.join(done(in_cells(cut(unique), *everywhere)), on, "left")
     joined = (
-        in_cells(cut(base), *everywhere)
-        .join(done(in_cells(cut(unique), *everywhere)), on, "left")
-        .join(done(in_left).withColumn("_has_left", F.lit(True)), on, "left")
+        joined.join(done(in_left).withColumn("_has_left", F.lit(True)), on, "left")
         .join(done(in_right).withColumn("_has_right", F.lit(True)), on, "left")
     )
     return done(joined.filter(~empty), "_cell", "_has_left", "_has_right")

@@ -52,6 +52,11 @@ class Warehouse:
         """The fact with the client's reference day on every row."""
         return self._hold(fact.daily_fact(self.stg, self.params))
 
+    def daily_of(self, *logs: str) -> DataFrame:
+        """The fact for models that need only these logs. A kept fact serves everyone; without
+        one, a model builds its own and leaves the other logs unread."""
+        return self.daily if self._persist else fact.daily_fact(self.stg, self.params, logs)
+
     @cached_property
     def _campaigns(self) -> DataFrame:
         return self._hold(marts.campaign_performance(self.daily, self.stg["stg_gate_campaigns"]))
@@ -80,17 +85,19 @@ class Warehouse:
         return marts.channel_performance(self._campaigns)
 
     def mart_channel_daily(self) -> DataFrame:
-        return marts.channel_daily(self.daily)
+        return marts.channel_daily(self.daily_of("web", "crm"))
 
     def mart_funnel(self) -> DataFrame:
-        return marts.funnel(self.daily)
+        return marts.funnel(self.daily_of("web", "crm"))
 
     def mart_reconciliation(self) -> DataFrame:
         return marts.reconciliation(self._campaigns, self.params)
 
     def mart_approvals(self) -> DataFrame:
         return marts.approvals(
-            self.stg["stg_gate_requests"], self.stg["stg_gate_campaigns"], self.daily
+            self.stg["stg_gate_requests"],
+            self.stg["stg_gate_campaigns"],
+            self.daily_of("ledger"),
         )
 
     def mart_freshness(self) -> DataFrame:
@@ -111,7 +118,7 @@ class Warehouse:
         )
 
     def spend_trend(self) -> DataFrame:
-        return reports.spend_trend(self.daily)
+        return reports.spend_trend(self.daily_of())
 
     def ledger(self) -> DataFrame:
         return gate.ledger_position(

@@ -127,8 +127,9 @@ def daily_fact(
     hot = hot_keys(days, KEY, params.hot_key_rows)
     context = reporting_context(days, stg["stg_source_freshness"])
     requests = stg["stg_gate_campaigns"].select("client", "campaign", "request_id")
+    # A client may have a third of the spine; a campaign has at most its days x channels.
     rows = lookup(days, context, ["client"], ["campaign", "date"], params.salts)
-    rows = lookup(rows, requests, ["client", "campaign"], ["date", "channel"], params.salts)
+    rows = rows.join(requests, ["client", "campaign"], "left")
     plan = stg["stg_plan_daily"].select(
         *KEY, "planned_spend", "kpi", "kpi_target", F.col("is_synthetic").alias("plan_synthetic")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -46,11 +47,17 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     The result has at most (all rows counted) / ``rows`` rows, which is what makes it safe to
     broadcast.
     """
+    # A null key joins nothing, so it is never cut. Told by the totals, not by a filter on the
+    # keys: that would be pushed below the counts and split them off from their other uses.
+    no_null = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
     totals = (
-        counts.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.sum("left_rows").alias("l"), F.sum("right_rows").alias("r"))
-        .filter((F.col("l") >= rows) | (F.col("r") >= rows))
+        counts.groupBy(*keys)
+        .agg(
+            F.sum("left_rows").alias("l"),
+            F.sum("right_rows").alias("r"),
+            F.bool_and(no_null).alias("joins"),
+        )
+        .filter(F.col("joins") & ((F.col("l") >= rows) | (F.col("r") >= rows)))
     )
     slices = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows))).cast("int")
     return totals.select(*keys, slices("l").alias("left_slices"), slices("r").alias("right_slices"))
@@ -76,7 +83,7 @@ def fan_out(
     keys = list(keys)
     on = [*keys, "_cell"]
     # Bounded (see `hot_keys`); mostly empty, and then the joins to it vanish.
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys}))
     n_left, n_right = F.col("left_slices"), F.col("right_slices")
     ones = {n: F.coalesce(n, F.lit(1)) for n in ("left_slices", "right_slices")}
 
@@ -86,7 +93,9 @@ def fan_out(
     def cut(frame: DataFrame) -> DataFrame:
         # Row position, not row content, picks the slice: exact copies must spread as well.
         at = {"_at": F.monotonically_increasing_id()}
-        return frame.withColumns(at).join(hot, keys, "left").withColumns(ones)
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys))
+        found = frame.withColumns(at).join(hot, same, "left").withColumns(ones)
+        return found.drop(*(f"_hot_{k}" for k in keys))
 
     def done(frame: DataFrame, *extra: str) -> DataFrame:
         return frame.drop("_at", "_slice", "left_slices", "right_slices", *extra)

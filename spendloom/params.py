@@ -15,5 +15,5 @@ class Params:
     # A campaign-day with at least this many plan or platform rows is joined in salted
     # slices. It also bounds the broadcast list of such days: total rows / hot_key_rows.
     hot_key_rows: int = 1_000_000
-    # Copies of a one-row-per-key lookup table in a salted join.
-    salts: int = 16
+    # Slices of a hot client, and so copies of a client's one row, in a salted join.
+    salts: int = 64

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spendloom.operators import alerts as alert_rules
 from spendloom.operators import fact, gate, marts, reports
@@ -69,11 +70,17 @@ class Warehouse:
     def campaigns_checked(self) -> DataFrame:
         return marts.with_reconciliation(self._campaigns, self.params)
 
+    @property
+    def reference_days(self) -> DataFrame:
+        """Client and reference day: from the kept campaign mart if there is one."""
+        if not self._persist:
+            return self.context.select("client", "ref_date")
+        return self._campaigns.groupBy("client").agg(F.max("ref_date").alias("ref_date"))
+
     @property
     def approvals_dated(self) -> DataFrame:
         """The approvals mart with the client's reference day, for the alerts."""
-        dates = self.context.select("client", "ref_date")
-        return self.mart_approvals().join(dates, "client", "left")
+        return self.mart_approvals().join(self.reference_days, "client", "left")
 
     def fct_performance_daily(self) -> DataFrame:
         return self.daily.drop("ref_date")

@@ -86,7 +86,7 @@ def test_overview_uses_crm_covered_spend(built):
     ).collect()[0]
     assert ov.cpa_backend == pytest.approx(total[0] / total[1])
     assert (ov.platform_as_of, ov.crm_as_of) == (date(2026, 10, 1), date(2026, 9, 30))
-    assert ov.is_synthetic and ov.pending_requests == 0 and ov.approved == 1_350_000.0
+    assert ov.is_synthetic and ov.pending_requests == 0 and ov.approved == 1_420_000.0
 
 
 def test_trend_is_cumulative_and_null_where_nobody_reported(built):

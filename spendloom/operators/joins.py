@@ -91,7 +91,8 @@ def fan_out(
         return frame.withColumn("_cell", F.explode(F.sequence(first, last, step)))
 
     def cut(frame: DataFrame) -> DataFrame:
-        # Row position, not row content, picks the slice: exact copies must spread as well.
+        # Row position, not row content, picks the slice: exact copies must spread as well. A
+        # position in a file scan is the same when a lost task is run again.
         at = {"_at": F.monotonically_increasing_id()}
         same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys))
         found = frame.withColumns(at).join(hot, same, "left").withColumns(ones)

@@ -24,6 +24,14 @@ from spendloom.sources import state as state_tables
 from spendloom.sources.ads import report_rows
 from spendloom.sources.extracts import load_counts
 
+try:  # the operations for training data are a part that can be taken out
+    import corpus_pipeline
+    from spendloom.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "spendloom.llm"):
+        raise
+    training_data = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Conversions per campaign are few in the given log, so a spike needs fewer of them here.
@@ -273,8 +281,16 @@ def queries() -> dict[str, Query]:
         lambda w: quality.forecast_out_of_order(w.mart_campaign_performance()).select("client", "campaign")
     )
     out["mixed_provenance"] = _on_warehouse(lambda w: quality.mixed_provenance(w.mart_freshness()))
+    if training_data:
+        out |= training_data.queries()
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    out = oracle.statements()
+    if training_data:
+        out |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import packing, toxicity
+from spendloom.llm import minhash, packing, toxicity
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,16 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_harmonic_packing": _pack, "op9_toxicity": _toxicity}
+    return {
+        "op1_harmonic_packing": _pack,
+        "op7_dart_minhash": _near,
+        "op9_toxicity": _toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

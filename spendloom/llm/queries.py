@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import minhash, packing, toxicity, vectors
+from spendloom.llm import minhash, packing, secret_scan, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,11 +29,21 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": _pack,
         "op2_sorted_projections": _vectors,
+        "op6_repair_token_files": _token_files,
         "op7_dart_minhash": _near,
+        "op8_secret_index": _secrets,
         "op9_toxicity": _toxicity,
     }
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
@@ -20,7 +21,7 @@ _SAFE = re.compile(r"(?<=\S)(?= )")
 class SegmentEncoder:
     """Ids as little-endian unsigned 32-bit bytes. Memory: at most `limit` segments of up to 64 characters."""
 
-    def __init__(self, path: str, spaces_matter: bool, limit: int = 600_000) -> None:
+    def __init__(self, path: str, spaces_matter: bool, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -28,33 +29,51 @@ class SegmentEncoder:
         self._tokenizer.encode_special_tokens = True
         self._spaces_matter = spaces_matter
         self._limit = limit
-        self._known: dict[str, bytes] = {"": b""}
+        # By segment, without the space it begins with; None stands for no segment.
+        self._known: dict[str | None, bytes] = {None: b""}
 
-    def _segments(self, text: str) -> list[str]:
-        if not self._spaces_matter:
+    def _segments(self, text: str) -> list[str | None]:
+        """What comes before the first cut, then the segments without their first space."""
+        if not self._spaces_matter or not _RUN.search(text):
             return text.split(" ")
-        if _RUN.search(text):
-            return _SAFE.split(text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + x for x in rest]]
+        head, *rest = _SAFE.split(text)
+        return [head, *[x[1:] for x in rest]]
+
+    def _ids(self, segments: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(segments, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of segments not known so far; long ones are returned and not kept."""
+        long_ones, space = {}, " " * self._spaces_matter
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            for word, ids in zip(part, self._ids([space + w for w in part]), strict=True):
+                (self._known if len(word) <= 64 else long_ones)[word] = ids
+        return long_ones
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self._segments(t) for t in texts]
-        if len(self._known) > self._limit:
-            self._known = {"": b""}
-        known = self._known
-        new = list(set().union(*parts).difference(known)) if parts else []
-        extra = {}
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            found = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, ids in zip(part, found, strict=True):
-                to = known if len(word) <= 64 else extra
-                to[word] = np.array(ids.ids, "<u4").tobytes()
-        if extra:
-            both = lambda w: known[w] if w in known else extra[w]
-            return [b"".join(map(both, p)) for p in parts]
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        if len(self._known) > self._limit:  # frequent segments come early: keep the first half
+            self._known = dict(islice(self._known.items(), self._limit // 2))
+        get, heads, parts, new = self._known.get, [], [], set()
+        for text in texts:
+            found = self._segments(text)
+            heads.append(found[0])
+            found[0] = None
+            ids = list(map(get, found))
+            if None in ids:
+                new.update(w for w, x in zip(found, ids, strict=True) if x is None)
+                parts.append((found, None))
+            else:
+                parts.append((found, ids))
+        long_ones = self._learn(list(new))
+        if long_ones:
+            get = lambda w: self._known[w] if w in self._known else long_ones[w]
+        starts = self._ids(heads)
+        return [
+            start + b"".join(map(get, found) if ids is None else ids)
+            for start, (found, ids) in zip(starts, parts, strict=True)
+        ]
 
 
 _ENCODERS: dict[tuple[str, bool], SegmentEncoder] = {}

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import held_out, training_rows
+from spendloom.llm.common import held_out, training_rows, written
 
 ORDERS = (4, 5)
 SLOTS = 1 << 19
@@ -83,18 +83,21 @@ def _log_ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[int, in
     """Numbers whose ratio is beyond chance, their ratios, documents by label. Collects at most
     SLOTS rows, whatever the size of the corpus."""
     by = train.select("text", "label").mapInArrow(_counted, "label int, slot int, n long")
-    sums = by.groupBy("slot").agg(
-        *[F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
+    sums = written(
+        by.groupBy("slot").agg(
+            *[F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
+        )
     )
-    slot, n0, n1 = (sums.toPandas().sort_values("slot").astype("int64")[c].to_numpy() for c in ("slot", "n0", "n1"))
-    at = np.searchsorted(slot, SLOTS)
-    if at == len(slot):
+    total = sums.where(F.col("slot") == SLOTS).collect()
+    if not total:
         return np.empty(0, np.int64), np.empty(0), (0, 0)
-    docs = int(n0[at]), int(n1[at])
-    a, b = n1[:at] + 0.5, n0[:at] + 0.5
-    ratio = np.log(a / (docs[1] + 1)) - np.log(b / (docs[0] + 1))
-    kept = np.abs(ratio) >= LEAST_Z * np.sqrt(1 / a + 1 / b)
-    return slot[:at][kept], ratio[kept], docs
+    docs = total[0].n0, total[0].n1
+    a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
+    ratio = F.log(a / (docs[1] + 1)) - F.log(b / (docs[0] + 1))
+    kept = sums.where(F.col("slot") < SLOTS).withColumn("ratio", ratio)
+    kept = kept.where(F.abs("ratio") >= LEAST_Z * F.sqrt(1 / a + 1 / b)).select("slot", "ratio").toPandas()
+    kept = kept.sort_values("slot")
+    return kept["slot"].to_numpy(np.int64), kept["ratio"].to_numpy(float), docs
 
 
 def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -119,7 +122,7 @@ def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: fl
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Counts over all training documents; weights from a bounded sample of them."""
-    rows = training_rows(docs, labels, label)
+    rows = written(training_rows(docs, labels, label))
     features, ratios, (n0, n1) = _log_ratios(rows)
     if not n0 or not n1:
         share = 0.5 if not n0 + n1 else n1 / (n0 + n1)
@@ -133,10 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
                 names=["present", "label"],
             )
 
-    order = F.xxhash64("doc_id")
-    sample = rows.where(F.col("label") == 0).orderBy(order, "doc_id").limit(FIT_ROWS).select("text", "label").unionAll(
-        rows.where(F.col("label") == 1).orderBy(order, "doc_id").limit(FIT_ROWS).select("text", "label")
-    )
+    ids = rows.select("doc_id", "label")
+    few = [ids.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) for y in (0, 1)]
+    sample = rows.join(few[0].union(few[1]).select("doc_id").distinct(), "doc_id", "left_semi").select("text", "label")
     got = sample.mapInArrow(present, "present binary, label int").collect()
     w, bias = _fit(
         [np.frombuffer(r.present, "<i4").astype(np.int64) for r in got],

@@ -98,17 +98,15 @@ def _packer(path: str, capacity: int):
         end = np.array([END_ID], "<u4").tobytes()
         encode = encoder(path, spaces_matter=True).encode
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, out = batch.slice(at, 500), []
-                ids = encode(part.column(1).to_pylist())
-                for doc_id, data in zip(part.column(0).to_pylist(), ids, strict=True):
-                    data += end
-                    start, n = 0, len(data) // 4
-                    for length, k in cut_lengths(n, capacity):
-                        piece = data[4 * start : 4 * (start + length)]
-                        out += bins.add((doc_id, start, length, crc32(piece), n, piece), k)
-                        start += length
-                yield _batch(out, _ARROW)
+            out = []
+            for doc_id, data in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                data += end
+                start, n = 0, len(data) // 4
+                for length, k in cut_lengths(n, capacity):
+                    piece = data[4 * start : 4 * (start + length)]
+                    out += bins.add((doc_id, start, length, crc32(piece), n, piece), k)
+                    start += length
+            yield _batch(out, _ARROW)
         yield _batch(bins.rest(), _ARROW)
 
     return pack

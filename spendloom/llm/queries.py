@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import minhash, packing, secret_scan, token_files, toxicity, vectors
+from spendloom.llm import fingerprints, minhash, packing, quality_rules, secret_scan, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +37,20 @@ def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": _pack,
         "op2_sorted_projections": _vectors,
+        "op4_weighted_sampling": _fingerprints,
+        "op5_rule_ensemble": _quality,
         "op6_repair_token_files": _token_files,
         "op7_dart_minhash": _near,
         "op8_secret_index": _secrets,

@@ -9,17 +9,22 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import islice
+from collections.abc import Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space before a space: the space may then belong to a run, and isn't a safe cut.
-_RUN = re.compile(r"\s ")
+_RUN = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _SAFE = re.compile(r"(?<=\S)(?= )")
+# Texts are encoded in portions of about so many bytes.
+PORTION = 1 << 23
 
 
 class SegmentEncoder:
-    """Ids as little-endian unsigned 32-bit bytes. Memory: at most `limit` segments of up to 64 characters."""
+    """Ids of texts. Memory: at most `limit` segments of up to 64 characters, and one portion of texts."""
 
     def __init__(self, path: str, spaces_matter: bool, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,51 +34,69 @@ class SegmentEncoder:
         self._tokenizer.encode_special_tokens = True
         self._spaces_matter = spaces_matter
         self._limit = limit
-        # By segment, without the space it begins with; None stands for no segment.
-        self._known: dict[str | None, bytes] = {None: b""}
-
-    def _segments(self, text: str) -> list[str | None]:
-        """What comes before the first cut, then the segments without their first space."""
-        if not self._spaces_matter or not _RUN.search(text):
-            return text.split(" ")
-        head, *rest = _SAFE.split(text)
-        return [head, *[x[1:] for x in rest]]
+        # Ids by segment, without the space that it begins with, as little-endian 32-bit bytes.
+        self._known: dict[str, bytes] = {}
 
     def _ids(self, segments: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(segments, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of segments not known so far; long ones are returned and not kept."""
-        long_ones, space = {}, " " * self._spaces_matter
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, ids in zip(part, self._ids([space + w for w in part]), strict=True):
-                (self._known if len(word) <= 64 else long_ones)[word] = ids
-        return long_ones
+        found = [x.ids for x in self._tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        data = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        ends = list(accumulate(4 * len(x) for x in found))
+        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _looked_up(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments after a space; those not known are asked for, and kept unless they are long."""
         if len(self._known) > self._limit:  # frequent segments come early: keep the first half
             self._known = dict(islice(self._known.items(), self._limit // 2))
-        get, heads, parts, new = self._known.get, [], [], set()
-        for text in texts:
-            found = self._segments(text)
-            heads.append(found[0])
-            found[0] = None
-            ids = list(map(get, found))
-            if None in ids:
-                new.update(w for w, x in zip(found, ids, strict=True) if x is None)
-                parts.append((found, None))
-            else:
-                parts.append((found, ids))
-        long_ones = self._learn(list(new))
-        if long_ones:
-            get = lambda w: self._known[w] if w in self._known else long_ones[w]
-        starts = self._ids(heads)
-        return [
-            start + b"".join(map(get, found) if ids is None else ids)
-            for start, (found, ids) in zip(starts, parts, strict=True)
-        ]
+        out = list(map(self._known.get, segments))
+        new = [i for i, x in enumerate(out) if x is None]
+        space = " " * self._spaces_matter
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            for i, ids in zip(part, self._ids([space + segments[i] for i in part]), strict=True):
+                out[i] = ids
+                if len(segments[i]) <= 64:
+                    self._known[segments[i]] = ids
+        return out
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """First segment of each text and the end of the last, and the segments of all texts."""
+        lists = pc.split_pattern(texts, " ")
+        if self._spaces_matter and pc.any(runs := pc.match_substring_regex(texts, _RUN)).as_py():
+            lists = lists.to_pylist()
+            for i in np.flatnonzero(runs.to_numpy(zero_copy_only=False)).tolist():
+                head, *rest = _SAFE.split(texts[i].as_py())
+                lists[i] = [head, *[x[1:] for x in rest]]
+            lists = pa.array(lists, pa.list_(pa.string()))
+        sizes = pc.list_value_length(lists).to_numpy()
+        return np.concatenate([[0], np.cumsum(sizes)]), lists.flatten()
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text (not null) as little-endian unsigned 32-bit bytes, in order."""
+        size = np.cumsum(pc.binary_length(texts).to_numpy())
+        start = 0
+        while start < len(texts):
+            before = size[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(size, before + PORTION)))
+            yield from self._portion(texts[start:end])
+            start = end
+
+    def _portion(self, texts: pa.Array) -> Iterator[bytes]:
+        bounds, segments = self._cut(texts)
+        coded = segments.dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        heads = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1])))
+        found = self._looked_up(coded.dictionary.to_pylist())
+        code[bounds[:-1]] = len(found) + np.arange(len(texts))  # the first segment has no space before it
+        found += self._ids(heads.to_pylist())
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        shift = np.cumsum(size) - size
+        each = size[code]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(shift[code] - (ends - each), each) + np.arange(ends[-1])]
+        data, stops = ids.tobytes(), (4 * ends[bounds[1:] - 1]).tolist()
+        for i, j in zip([0, *stops], stops, strict=False):
+            yield data[i:j]
 
 
 _ENCODERS: dict[tuple[str, bool], SegmentEncoder] = {}

@@ -9,6 +9,8 @@ per-key work is a minimum with map-side partial sums, and joins on hot nodes can
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,5 +51,47 @@ def components(links: DataFrame) -> DataFrame:
     return to.join(least, "root").select("id", "component")
 
 
-def no_links(spark) -> DataFrame:
-    return spark.createDataFrame([], "a long, b long")
+
+# Leaders of a bucket in the first round, and in later ones.
+FIRST, LATER = 1, 16
+
+
+def _pairs(members: DataFrame, leaders: int, salt: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of each bucket's leaders and its members of other classes; the leaders by bucket."""
+    slot = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(leaders)) if leaders > 1 else F.lit(0)
+    chosen = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "class")).alias("l"))
+    chosen = chosen.select("bucket", F.col("l.id").alias("a"), F.col("l.class").alias("a_class"))
+    pairs = members.join(chosen, "bucket").where("class != a_class")
+    pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    return pairs, chosen.select("bucket", F.col("a").alias("id"))
+
+
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """Buckets that hold two ids or more, with their smallest id. rows: bucket, id."""
+    ends = rows.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    return ends.where("low < high").select("bucket")
+
+
+def bucket_classes(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """id, component of the ids that are linked through pairs of one bucket.
+
+    members: bucket, id, each pair once, and only buckets of two or more. verified: the linked ones among pairs (a, b).
+    In each round a bucket's members are compared to a few leaders, a number of pairs in proportion to
+    its size; leaders then step back, and a bucket whose members are all in one class is done. The
+    others go on, so no pair of a bucket stays open unless its ids are already connected.
+    """
+    spark = members.sparkSession
+    members = members.select("bucket", "id", F.col("id").alias("class"))
+    links = classes = None
+    step = 0
+    while not members.isEmpty():
+        pairs, leaders = _pairs(members, FIRST if step == 0 else LATER, step)
+        found = written(verified(pairs).select("a", "b"))
+        links = found if links is None else links.unionByName(found)
+        classes = written(components(links))
+        rest = members.select("bucket", "id").join(leaders, ["bucket", "id"], "left_anti")
+        rest = rest.join(classes, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("class"))
+        split = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+        members = written(rest.join(split.select("bucket"), "bucket"))
+        step += 1
+    return spark.createDataFrame([], "id long, component long") if classes is None else classes

@@ -36,13 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import texts, written
-from spendloom.llm.components import components
+from spendloom.llm.components import bucket_classes, shared_buckets
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
-# Leaders of a bucket in the first round, and in later ones.
-FIRST, LATER = 1, 16
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -189,42 +187,22 @@ def _verified(least: float):
     return check
 
 
-def _pairs(members: DataFrame, leaders: int, salt: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of each bucket's leaders and its members of other classes; the leaders by bucket."""
-    slot = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(leaders)) if leaders > 1 else F.lit(0)
-    chosen = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "class")).alias("l"))
-    chosen = chosen.select("bucket", F.col("l.id").alias("a"), F.col("l.class").alias("a_class"))
-    pairs = members.join(chosen, "bucket").where("class != a_class")
-    pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-    return pairs, chosen.select("bucket", F.col("a").alias("id"))
-
-
 def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """id, component of every text (by its 64-bit hash) that has a near copy with another text."""
     slim = texts(docs).select(F.xxhash64("text").alias("id"), "text")
-    signed = written(slim.mapInArrow(_banded, "id long, bands array<long>").where("bands is not null"))
-    rows = signed.select("id", F.explode("bands").alias("bucket")).distinct()
-    rows = written(rows)
-    shared = rows.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    members = written(rows.join(shared.select("bucket"), "bucket").select("bucket", "id", F.col("id").alias("class")))
+    signed = slim.mapInArrow(_banded, "id long, bands array<long>").where("bands is not null")
+    rows = written(signed.select("id", F.explode("bands").alias("bucket")).distinct())
+    members = written(rows.join(shared_buckets(rows), "bucket"))
     wanted = members.select("id").distinct()
     sets = slim.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled, "id long, elements binary")
     sets = written(sets)
     one, two = (sets.select(F.col("id").alias(c), F.col("elements").alias(f"of_{c}")) for c in ("a", "b"))
-    links = None
-    step = 0
-    while not members.isEmpty():
-        pairs, leaders = _pairs(members, FIRST if step == 0 else LATER, step)
+
+    def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(two, "b").join(one, "a").select("a", "b", "of_a", "of_b")
-        found = written(both.mapInArrow(_verified(least), "a long, b long"))
-        links = found if links is None else links.unionByName(found)
-        classes = written(components(links))
-        open_ = members.select("bucket", "id").join(leaders, ["bucket", "id"], "left_anti")
-        open_ = open_.join(classes, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("class"))
-        split = open_.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-        members = written(open_.join(split.select("bucket"), "bucket"))
-        step += 1
-    return classes if links is not None else docs.sparkSession.createDataFrame([], "id long, component long")
+        return both.mapInArrow(_verified(least), "a long, b long")
+
+    return bucket_classes(members, verified)
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import fingerprints, minhash, packing, quality_rules, secret_scan, token_files, toxicity, vectors
+from spendloom.llm import fingerprints, lines, minhash, packing, quality_rules, secret_scan, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,10 +45,15 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).drop("h")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": _pack,
         "op2_sorted_projections": _vectors,
+        "op3_fuzzy_lines": _lines,
         "op4_weighted_sampling": _fingerprints,
         "op5_rule_ensemble": _quality,
         "op6_repair_token_files": _token_files,

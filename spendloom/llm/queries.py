@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import fingerprints, lines, minhash, packing, quality_rules, secret_scan, token_files, toxicity, vectors
+from spendloom.llm import fingerprints, lines, minhash, packing, pieces, quality_rules, secret_scan, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).drop("h")
 
 
+def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": _pack,
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op7_dart_minhash": _near,
         "op8_secret_index": _secrets,
         "op9_toxicity": _toxicity,
+        "op10_shared_prefix_viterbi": _pieces,
     }
 
 

@@ -26,6 +26,8 @@ PORTION = 1 << 23
 class SegmentEncoder:
     """Ids of texts. Memory: at most `limit` segments of up to 64 characters, and one portion of texts."""
 
+    run, safe = _RUN, _SAFE
+
     def __init__(self, path: str, spaces_matter: bool, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -43,6 +45,10 @@ class SegmentEncoder:
         ends = list(accumulate(4 * len(x) for x in found))
         return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
+    def _head_ids(self, heads: list[str]) -> list[bytes]:
+        """Ids of the first segments of texts, which have no space before them."""
+        return self._ids(heads)
+
     def _looked_up(self, segments: list[str]) -> list[bytes]:
         """Ids of segments after a space; those not known are asked for, and kept unless they are long."""
         if len(self._known) > self._limit:  # frequent segments come early: keep the first half
@@ -61,10 +67,10 @@ class SegmentEncoder:
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """First segment of each text and the end of the last, and the segments of all texts."""
         lists = pc.split_pattern(texts, " ")
-        if self._spaces_matter and pc.any(runs := pc.match_substring_regex(texts, _RUN)).as_py():
+        if self._spaces_matter and pc.any(runs := pc.match_substring_regex(texts, self.run)).as_py():
             lists = lists.to_pylist()
             for i in np.flatnonzero(runs.to_numpy(zero_copy_only=False)).tolist():
-                head, *rest = _SAFE.split(texts[i].as_py())
+                head, *rest = self.safe.split(texts[i].as_py())
                 lists[i] = [head, *[x[1:] for x in rest]]
             lists = pa.array(lists, pa.list_(pa.string()))
         sizes = pc.list_value_length(lists).to_numpy()
@@ -87,7 +93,7 @@ class SegmentEncoder:
         heads = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1])))
         found = self._looked_up(coded.dictionary.to_pylist())
         code[bounds[:-1]] = len(found) + np.arange(len(texts))  # the first segment has no space before it
-        found += self._ids(heads.to_pylist())
+        found += self._head_ids(heads.to_pylist())
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")
         shift = np.cumsum(size) - size

@@ -32,10 +32,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import texts, written
+from spendloom.llm.common import fresh, texts, with_text_hash, written
 from spendloom.llm.components import bucket_classes, shared_buckets
 
 WORDS, LEAST = 5, 0.8
@@ -214,3 +214,23 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return rows.join(first, "class").select(
         "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
     )
+
+
+def one_per_class(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of docs that are the first of their class: by doc_id (null last), then by the hash of the text.
+
+    Of rows that are equal in both one stays. All columns stay.
+    """
+    classes = near_classes(docs, least)
+    marked, h = with_text_hash(docs)
+    rows = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(h).alias("id"))
+    rows = rows.join(classes, "id", "left").withColumn("class", F.coalesce("component", "id"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id")
+    first = written(rows.groupBy("class").agg(F.min(order).alias("first")).select("first.doc_id", "first.id"))
+    names = {c: fresh(marked, f"_{c}") for c in first.columns}
+    first = first.select(*[F.col(c).alias(n) for c, n in names.items()])
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col(names["doc_id"])) & (F.col(h) == F.col(names["id"]))
+    turn = fresh(marked, "_turn")
+    same = Window.partitionBy(names["doc_id"], names["id"]).orderBy(names["id"])
+    kept = marked.join(first, key).withColumn(turn, F.row_number().over(same)).where(F.col(turn) == 1)
+    return kept.select(*docs.columns)

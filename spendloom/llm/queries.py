@@ -46,7 +46,7 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents")).drop("h")
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
 
 
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

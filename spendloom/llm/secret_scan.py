@@ -24,9 +24,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import texts
+from spendloom.llm.common import fresh, texts, with_text, with_text_hash
 
 BLOCK = 1 << 12
+# What stands for a secret in a cleaned text.
+MASK = "[secret]"
 
 
 @dataclass(frozen=True)
@@ -137,30 +139,28 @@ def _joined(found: Column, kinds: list[str]) -> Column:
     )
 
 
-def find(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """doc_id, text and an array of spans per rule, in columns named by kind."""
-    rows = texts(docs).withColumn("id", F.xxhash64("text"))
-    blocks = F.ceil(F.count("*") / BLOCK)
-    total = rows.select(blocks.alias("n")).first()["n"] or 1
+def _found(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """id, kinds of the texts (rows: id, text) that pass the trigram query of a rule."""
+    total = rows.select(F.ceil(F.count("*") / BLOCK).alias("n")).first()["n"] or 1
     index = postings(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(total))), rules)
-    found = candidates(index, rules)
-    both = rows.join(found, "id", "left")
+    return candidates(index, rules)
+
+
+def _verified(text: Column, kinds: Column, rule: Rule) -> Column:
+    """Spans of a rule; a text that doesn't pass its query has none and isn't read."""
+    found = spans(text, rule)
+    if not rule.words:
+        return found
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    passed = lambda r: F.coalesce(F.array_contains("kinds", r.kind), F.lit(False))
-    return both.select(
-        "doc_id",
-        "text",
-        *[
-            (F.when(passed(r), spans(F.col("text"), r)).otherwise(none) if r.words else spans(F.col("text"), r)).alias(r.kind)
-            for r in rules
-        ],
-    )
+    return F.when(F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False)), found).otherwise(none)
 
 
 def secrets(docs: DataFrame, more: tuple[Rule, ...] = MORE_RULES) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
     rules = (*BASE_RULES, *more)
-    found = find(docs, rules)
+    rows = texts(docs).withColumn("id", F.xxhash64("text"))
+    both = rows.join(_found(rows.select("id", "text"), rules), "id", "left")
+    found = both.select("doc_id", *[_verified(F.col("text"), F.col("kinds"), r).alias(r.kind) for r in rules])
     base = [r.kind for r in BASE_RULES]
     kinds = [r.kind for r in rules]
     return found.select(
@@ -171,6 +171,26 @@ def secrets(docs: DataFrame, more: tuple[Rule, ...] = MORE_RULES) -> DataFrame:
     )
 
 
-def masked(text: Column, rule: Rule, by: str) -> Column:
-    """text with a rule's matches replaced."""
-    return F.regexp_replace(text, F.lit(rule.regex), F.lit(by))
+def _masked(text: Column, found: Column) -> Column:
+    """text with every stretch that spans cover, also overlapping ones, replaced by MASK."""
+    begin = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(so_far: Column, s: Column) -> Column:
+        gap = F.substring(text, so_far["at"] + 1, F.greatest(s["start"] - so_far["at"], F.lit(0)))
+        piece = F.when(s["start"] >= so_far["at"], F.concat(so_far["done"], gap, F.lit(MASK))).otherwise(so_far["done"])
+        return F.struct(piece.alias("done"), F.greatest(so_far["at"], s["end"]).alias("at"))
+
+    ordered = F.sort_array(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    rest = lambda s: F.concat(s["done"], F.substring(text, s["at"] + 1, F.length(text)))
+    return F.when(F.size(found) > 0, F.aggregate(ordered, begin, step, rest)).otherwise(text)
+
+
+def without_secrets(docs: DataFrame, more: tuple[Rule, ...] = MORE_RULES) -> DataFrame:
+    """docs with the secrets in their texts replaced by MASK (n_chars follows); all rows and columns stay."""
+    rules = (*BASE_RULES, *more)
+    marked, h = with_text_hash(docs)
+    found = _found(marked.select(F.col(h).alias("id"), "text"), rules)
+    of, kinds, every = (fresh(marked, n) for n in ("_id", "_kinds", "_spans"))
+    joined = marked.join(found.select(F.col("id").alias(of), F.col("kinds").alias(kinds)), F.col(h) == F.col(of), "left")
+    joined = joined.withColumn(every, F.concat(*[_verified(F.col("text"), F.col(kinds), r) for r in rules]))
+    return with_text(joined, _masked(F.col("text"), F.col(every))).select(*docs.columns)

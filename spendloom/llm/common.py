@@ -57,25 +57,47 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_text_hash(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with null texts empty and a 64-bit hash of the text; the name of that column."""
+    h = fresh(docs, "_h")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumn("text", text).withColumn(h, F.xxhash64("text")), h
+
+
+def with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """docs with another text; n_chars follows, where there is such a column."""
+    out = docs.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out
+
+
 def held_out() -> Column:
     """Whether a document is kept out of learning: crc32(doc_id as text) mod 4 is 2."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     return F.coalesce(crc % 4 == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text, label (0/1) of the labelled documents that are not held out.
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """doc_id, label (0/1) of the labelled documents that are not held out.
 
     Rows with a null id, a null label or a label other than 0 and 1 teach nothing. A document with
     several labels counts with the largest.
     """
-    known = (
+    return (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1) & ~held_out())
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    return texts(docs).join(known, "doc_id")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: tuple[int, int]) -> DataFrame:
+    """doc_id, text, label of at most `most` training documents of each label, taken by the hash of
+    their ids. The ids are few by that bound, so they are broadcast and no text is shuffled."""
+    known = training_labels(labels, label)
+    few = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[y]) for y in (0, 1)]
+    return texts(docs).join(F.broadcast(few[0].unionAll(few[1])), "doc_id")
 
 
 def crc32(data: bytes) -> int:

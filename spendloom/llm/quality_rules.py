@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import held_out, texts, written
+from spendloom.llm.common import held_out, texts, training_labels, written
 
 # Fit on at most so many labelled documents.
 FIT_ROWS = 20_000
@@ -183,12 +183,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataF
     """doc_id, held_out, score, predicted of every document."""
     stats = texts(docs).select("doc_id", *[c.alias(k) for k, c in statistics(F.col("text")).items()])
     stats = written(stats)
-    known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1) & ~held_out())
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
+    known = training_labels(labels, label)
     rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).toPandas()
     ensemble = fit(rows[list(NAMES)].to_numpy(float), rows["label"].to_numpy(float))
     return stats.withColumn("score", ensemble.column()).select(

@@ -1,11 +1,11 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 A document is the set of its lower-case character n-grams, each hashed to one of SLOTS numbers.
-For every number the labelled training documents are counted by label, all of them, in Spark; r is
-the log ratio of the smoothed shares among toxic and other documents. Numbers whose ratio is within
-chance are left out. A logistic regression over the remaining presences, each scaled by its r, gives
-the weights; it is fitted on at most FIT_ROWS training documents of each label, taken by the hash of
-their ids. A score reads the whole text and neither label, language, source nor id.
+For every number the training documents are counted by label, in Spark; r is the log ratio of the
+smoothed shares among toxic and other documents. Numbers whose shares differ within chance are left
+out. A logistic regression over the remaining presences, each scaled by its r, gives the weights. Counts
+and weights are fitted on at most FIT_ROWS training documents of each label, taken by the hash of their
+ids. A score reads the whole text and neither label, language, source nor id.
 
 Results in special cases: null text is an empty one; an empty text has no n-grams and scores the
 bias alone; texts with equal words score equally; without training rows of both labels every
@@ -23,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import held_out, training_rows, written
+from spendloom.llm.common import fresh, held_out, training_rows, written
 
 ORDERS = (4, 5)
 SLOTS = 1 << 19
-# Fit on at most this many training documents of each label.
-FIT_ROWS = 4_000
-# A feature must differ between labels by so many standard errors of its log ratio.
-LEAST_Z = 4.0
+# Learn from at most this many training documents of each label (0, 1).
+FIT_ROWS = (24_000, 8_000)
+# The shares of a feature must differ between labels by so many standard errors.
+LEAST_Z = 5.0
+# The model has at most so many features: those whose shares differ most, in standard errors.
+FEATURES = 4_096
 THRESHOLD = 0.3
 
 
@@ -81,7 +83,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _log_ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
     """Numbers whose ratio is beyond chance, their ratios, documents by label. Collects at most
-    SLOTS rows, whatever the size of the corpus."""
+    FEATURES rows, whatever the size of the corpus."""
     by = train.select("text", "label").mapInArrow(_counted, "label int, slot int, n long")
     sums = written(
         by.groupBy("slot").agg(
@@ -92,10 +94,15 @@ def _log_ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[int, in
     if not total:
         return np.empty(0, np.int64), np.empty(0), (0, 0)
     docs = total[0].n0, total[0].n1
-    a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
-    ratio = F.log(a / (docs[1] + 1)) - F.log(b / (docs[0] + 1))
-    kept = sums.where(F.col("slot") < SLOTS).withColumn("ratio", ratio)
-    kept = kept.where(F.abs("ratio") >= LEAST_Z * F.sqrt(1 / a + 1 / b)).select("slot", "ratio").toPandas()
+    if not all(docs):
+        return np.empty(0, np.int64), np.empty(0), docs
+    ratio = F.log((F.col("n1") + 0.5) / (docs[1] + 1)) - F.log((F.col("n0") + 0.5) / (docs[0] + 1))
+    pooled = (F.col("n0") + F.col("n1")) / float(sum(docs))
+    error = F.sqrt(pooled * (1 - pooled) * (1 / docs[0] + 1 / docs[1]))
+    apart = F.abs(F.col("n1") / float(docs[1]) - F.col("n0") / float(docs[0]))
+    kept = sums.where((F.col("slot") < SLOTS) & (error > 0) & (apart >= LEAST_Z * error))
+    best = kept.orderBy((apart / error).desc(), "slot").limit(FEATURES)
+    kept = best.select("slot", ratio.alias("ratio")).toPandas()
     kept = kept.sort_values("slot")
     return kept["slot"].to_numpy(np.int64), kept["ratio"].to_numpy(float), docs
 
@@ -103,8 +110,8 @@ def _log_ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[int, in
 def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Logistic regression with a ridge by accelerated gradient steps over sparse presences."""
     lengths = np.array([len(r) for r in rows])
-    index, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), lengths)
-    # Each label weighs as much as it does among all training documents.
+    index, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
+    # Each label weighs as much as it does among all that were counted.
     weight = np.where(label == 1, prior / max(1, label.sum()), (1 - prior) / max(1, (1 - label).sum()))
     w, bias, ridge = np.zeros(len(scale)), np.log(prior / (1 - prior)), 1e-5
     curve = np.bincount(owner, (scale[index]) ** 2, len(rows))
@@ -121,8 +128,8 @@ def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Counts over all training documents; weights from a bounded sample of them."""
-    rows = written(training_rows(docs, labels, label))
+    """The model learned from a bounded sample of the training documents."""
+    rows = written(training_rows(docs, labels, label, FIT_ROWS))
     features, ratios, (n0, n1) = _log_ratios(rows)
     if not n0 or not n1:
         share = 0.5 if not n0 + n1 else n1 / (n0 + n1)
@@ -132,16 +139,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         for batch in batches:
             found = [np.flatnonzero(np.isin(features, gram_slots(t), assume_unique=True)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f.astype("<i4").tobytes() for f in found], pa.binary()), batch.column(1)],
+                [pa.array([f.astype("<u2").tobytes() for f in found], pa.binary()), batch.column(1)],
                 names=["present", "label"],
             )
 
-    ids = rows.select("doc_id", "label")
-    few = [ids.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) for y in (0, 1)]
-    sample = rows.join(few[0].union(few[1]).select("doc_id").distinct(), "doc_id", "left_semi").select("text", "label")
-    got = sample.mapInArrow(present, "present binary, label int").collect()
+    got = rows.select("text", "label").mapInArrow(present, "present binary, label int").collect()
     w, bias = _fit(
-        [np.frombuffer(r.present, "<i4").astype(np.int64) for r in got],
+        [np.frombuffer(r.present, "<u2") for r in got],
         np.array([r.label for r in got]),
         ratios,
         n1 / (n0 + n1),
@@ -177,3 +181,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, learn_from: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that the model doesn't hold for toxic; all columns stay."""
+    score = fresh(docs, "_score")
+    scored = with_score(docs, train(learn_from, labels), F.col("text"), score)
+    return scored.where(F.col(score) < THRESHOLD).select(*docs.columns)

@@ -20,8 +20,7 @@ from spendloom.llm.common import written
 def components(links: DataFrame) -> DataFrame:
     """id, component (smallest id reachable) of every node of links(a, b). Loops are allowed."""
     links = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).distinct())
-    ids = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    to = written(ids.select("id", F.col("id").alias("root")))
+    to = links.select(F.col("a").alias("id")).union(links.select("b")).distinct().withColumn("root", F.col("id"))
     links = links.where("a != b")
     step = 0
     while not links.isEmpty():
@@ -41,19 +40,15 @@ def components(links: DataFrame) -> DataFrame:
         links = written(
             moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct()
         )
-        to = written(
-            to.join(mapped, F.col("root") == F.col("was"), "left").select(
-                "id", F.coalesce("now", "root").alias("root")
-            )
-        )
+        to = to.join(mapped, F.col("root") == F.col("was"), "left").select("id", F.coalesce("now", "root").alias("root"))
         step += 1
+    to = written(to)
     least = to.groupBy("root").agg(F.min("id").alias("component"))
     return to.join(least, "root").select("id", "component")
 
 
-
-# Leaders of a bucket in the first round, and in later ones.
-FIRST, LATER = 1, 16
+# Leaders of a bucket, by round; the last number holds for all further ones.
+LEADERS = (1, 16, 256, 2_048)
 
 
 def _pairs(members: DataFrame, leaders: int, salt: int) -> tuple[DataFrame, DataFrame]:
@@ -76,18 +71,20 @@ def bucket_classes(members: DataFrame, verified: Callable[[DataFrame], DataFrame
     """id, component of the ids that are linked through pairs of one bucket.
 
     members: bucket, id, each pair once, and only buckets of two or more. verified: the linked ones among pairs (a, b).
-    In each round a bucket's members are compared to a few leaders, a number of pairs in proportion to
-    its size; leaders then step back, and a bucket whose members are all in one class is done. The
-    others go on, so no pair of a bucket stays open unless its ids are already connected.
+    In each round a bucket's members are compared to a bounded number of leaders, so the pairs are in
+    proportion to its size; leaders then step back, and a bucket whose members are all in one class is
+    done. The others go on, with more leaders, so no pair of a bucket stays open unless its ids are
+    already connected. Later rounds have few members: copies are connected by the first.
     """
     spark = members.sparkSession
     members = members.select("bucket", "id", F.col("id").alias("class"))
-    links = classes = None
+    classes = None
     step = 0
     while not members.isEmpty():
-        pairs, leaders = _pairs(members, FIRST if step == 0 else LATER, step)
-        found = written(verified(pairs).select("a", "b"))
-        links = found if links is None else links.unionByName(found)
+        pairs, leaders = _pairs(members, LEADERS[min(step, len(LEADERS) - 1)], step)
+        links = verified(pairs).select("a", "b")
+        if classes is not None:  # what is known so far is a star per class
+            links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
         classes = written(components(links))
         rest = members.select("bucket", "id").join(leaders, ["bucket", "id"], "left_anti")
         rest = rest.join(classes, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("class"))

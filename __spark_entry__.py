@@ -95,8 +95,9 @@ def _gate(build: Callable[[Warehouse, SparkSession, str], DataFrame]) -> Query:
 def _saved(name: str, source: str = "events") -> Query:
     return _on_warehouse(
         lambda w: saved.run_saved_query(
-            w.daily.sparkSession, name, {"fct_performance_daily": w.fct_performance_daily()}
-        ).rows,
+            w.daily.sparkSession, name,
+            {"fct_performance_daily": w.fct_performance_daily(), "mart_freshness": w.mart_freshness()},
+        ).rows,
         source,
     )
 
@@ -217,11 +218,10 @@ def queries() -> dict[str, Query]:
     out["check_requests"] = _gate(
         lambda w, s, d: gate.check_requests(driver.spend_proposals(s, d), w.ledger())
     )
-    out["check_approvals"] = _gate(
-        lambda w, s, d: gate.check_approvals(
-            driver.recorded_approvals(s, d),
-            w.stg["stg_gate_requests"],
-            w.stg["stg_gate_engagement"],
+    out["check_approvals"] = lambda s, d: rounded(gate.check_approvals(**driver.recorded_approvals(s, d)))
+    out["request_state_replay"] = lambda s, d: rounded(
+        gate.request_states(
+            driver.recorded_approvals(s, d)["requests"], gate.check_approvals(**driver.recorded_approvals(s, d))
         )
     )
     out["check_decreases"] = _gate(

@@ -465,21 +465,6 @@ audited AS (
   SELECT DISTINCT client, 'action_executed', NULL FROM (SELECT DISTINCT client, campaign FROM log) WHERE false
   UNION ALL
   SELECT client, 'action_executed', NULL FROM (SELECT DISTINCT client, campaign FROM log)),
-granted AS (
-  SELECT l.client, l.rid AS request_id, date_trunc('second', ts) AS "at", event_id AS seq,
-         CASE WHEN event_id % 5 = 0 THEN r.requested_amount ELSE value END AS approved,
-         CASE WHEN event_id % 7 = 0 THEN (c // 10)::double / 100 ELSE r.daily_cap END AS cap,
-         event_id % 4 = 0 AS chat, r.requested_amount, r.daily_cap, e.ceiling
-  FROM log l JOIN raw_requests r ON r.client = l.client AND r.request_id = l.rid
-  JOIN raw_engagement e ON e.client = l.client WHERE event_type = 'signup'),
-approval_audit AS (
-  SELECT client, request_id, "at", seq, approved, running_approved::double AS running_approved,
-         approved <> requested_amount OR cap <> daily_cap AS modified,
-         CASE WHEN approved <= 0 THEN 'amount_not_positive' WHEN cap <= 0 THEN 'cap_not_positive'
-              WHEN chat AND (approved > requested_amount OR cap > daily_cap) THEN 'raised_from_chat'
-              WHEN running_approved > ceiling THEN 'over_ceiling' END AS reason
-  FROM (SELECT *, sum(CAST(approved AS decimal(18, 2))) OVER (PARTITION BY client ORDER BY "at", seq
-                 ROWS UNBOUNDED PRECEDING) AS running_approved FROM granted)),
 ads AS (
   SELECT client, date, n, (n + 100)::varchar AS platform_id, 'Net | ' || campaign AS platform_name,
          CASE WHEN n = 29 THEN 'google_ads_other'
@@ -495,6 +480,43 @@ ads_extract AS (
   SELECT client, 'google_ads' AS source, date, campaign, channel, impressions, clicks, spend, platform_conversions,
          platform_revenue, false AS is_synthetic FROM ads_named)"""
 
+# The gate, decision by decision (recursive): the state of a client is what it has approved and for which requests.
+APPROVALS_REPLAYED = """
+WITH RECURSIVE signups AS (
+  SELECT 'c' || (user_id % 3) AS client, event_id, ts, value, CAST(round(value * 100) AS bigint) AS c
+  FROM events WHERE event_type = 'signup'),
+decided AS (
+  SELECT client, CASE WHEN event_id % 13 = 0 THEN 'NONE-' ELSE 'RQ-' END || event_id AS request_id,
+         date_trunc('second', ts) AS "at", event_id * 2 + again.i AS seq, event_id % 13 = 0 AS unknown,
+         CASE WHEN event_id % 13 = 0 AND event_id % 9 <> 0 AND event_id % 6 <> 0 AND event_id % 5 = 0 THEN NULL
+              WHEN event_id % 9 = 0 THEN -c WHEN event_id % 6 = 0 THEN 2 * c ELSE c END AS cents,
+         CASE WHEN event_id % 13 <> 0 THEN c END AS asked, event_id % 19 = 0 AS no_cap, c // 10 AS cap_asked, event_id % 4 = 0 AS chat
+  FROM signups, (SELECT unnest([0, 1]) AS i) again WHERE again.i = 0 OR event_id % 7 = 0),
+queue AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY client ORDER BY "at", seq) AS bigint) AS pos FROM decided),
+ceilings AS (SELECT client, CAST(sum(c) AS bigint) * 60 // 100 AS ceiling FROM signups GROUP BY client),
+walk AS (
+  SELECT client, 0::bigint AS pos, 0::bigint AS total, []::varchar[] AS granted,
+         NULL::varchar AS reason FROM ceilings
+  UNION ALL
+  SELECT client, pos, CASE WHEN reason IS NULL THEN total + cents ELSE total END,
+         CASE WHEN reason IS NULL THEN list_append(granted, request_id) ELSE granted END, reason
+  FROM (SELECT q.client, q.pos, w.total, w.granted, q.cents, q.request_id,
+               CASE WHEN unknown THEN 'no_request'
+                    WHEN list_contains(w.granted, q.request_id) THEN 'already_decided'
+                    WHEN q.cents <= 0 THEN 'amount_not_positive'
+                    WHEN no_cap OR cap_asked <= 0 THEN 'cap_not_positive'
+                    WHEN chat AND q.cents > asked THEN 'raised_from_chat'
+                    WHEN w.total + q.cents > k.ceiling THEN 'over_ceiling' END AS reason
+        FROM walk w JOIN queue q ON q.client = w.client AND q.pos = w.pos + 1 JOIN ceilings k ON k.client = q.client)),
+audited_decisions AS (
+  SELECT q.client, q.request_id, q."at", q.seq, round(q.cents::double / 100, 6) AS approved,
+         CASE WHEN no_cap THEN 0 WHEN NOT unknown THEN round(cap_asked::double / 100, 6) END AS cap,
+         round(w.total::double / 100, 6) AS running_approved,
+         NOT unknown AND (q.cents <> q.asked OR (no_cap AND cap_asked <> 0)) AS modified, w.reason IS NULL AS valid, w.reason
+  FROM queue q JOIN walk w ON w.client = q.client AND w.pos = q.pos)
+"""
+
 FACT_DOUBLES = (
     "kpi_target planned_spend spend platform_conversions platform_revenue backend_revenue "
     f"spend_backend_window ledger_spend {METRICS}"
@@ -558,11 +580,12 @@ FROM (SELECT client, channel, sum(platform_conversions) AS claimed, CAST(sum(bac
       FROM fact WHERE has_crm_data GROUP BY client, channel)"""
 
 _WEEKS = f"""
-SELECT client, week, channel, round(spent) AS spend, claimed AS platform_conversions,
+SELECT client, week, channel, CAST(round(spent) AS double) AS spend, claimed AS platform_conversions,
        round({div("spent", "claimed")}) AS cpa_platform, orders AS backend_orders,
        round({div("covered", "orders")}) AS cpa_backend
-FROM (SELECT client, date - CAST(isodow(date) - 1 AS integer) AS week, channel, round(sum(spend), 2) AS spent,
-             round(sum(spend_backend_window), 2) AS covered, sum(platform_conversions) AS claimed,
+FROM (SELECT client, date - CAST(isodow(date) - 1 AS integer) AS week, channel,
+             sum(CAST(spend AS decimal(24, 6))) AS spent,
+             sum(CAST(spend_backend_window AS decimal(24, 6))) AS covered, sum(platform_conversions) AS claimed,
              CAST(sum(backend_orders) AS bigint) AS orders
       FROM fact WHERE has_platform_data GROUP BY ALL)"""
 
@@ -722,12 +745,12 @@ def statements() -> dict[str, str]:
         "WHEN event_id % 13 = 0 THEN 'start_after_end' WHEN approved + c > ceiling THEN 'over_ceiling' END AS reason "
         "FROM log l JOIN standing p ON p.client = l.client WHERE event_type = 'purchase')",
     )
-    put(
-        "check_approvals",
-        "SELECT client, request_id, \"at\", seq, approved, running_approved, modified, reason IS NULL AS valid, reason "
-        "FROM approval_audit",
-        "approved running_approved",
-    )
+    out["check_approvals"] = f"{APPROVALS_REPLAYED} SELECT * FROM audited_decisions"
+    out["request_state_replay"] = f"""{APPROVALS_REPLAYED}
+SELECT s.client, 'RQ-' || s.event_id AS request_id, s.value AS requested_amount,
+       CASE WHEN d.seq IS NULL THEN 'PENDING' ELSE 'APPROVED' END AS status, coalesce(d.approved, 0) AS approved_amount,
+       coalesce(d.cap, (s.c // 10)::double / 100) AS daily_cap, d."at" AS decided_at
+FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.request_id = 'RQ-' || s.event_id AND d.valid"""
     put(
         "check_decreases",
         "SELECT client, action_id, campaign, reason IS NULL AS valid, reason, "

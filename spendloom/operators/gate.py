@@ -7,19 +7,20 @@ depend on the order of rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.functions.values import money, zero_if_null
-from spendloom.operators.joins import lookup, running_total
+from spendloom.operators.joins import lookup
 
 # Action kinds and the scope that covers every campaign.
 SPEND_ACTIONS = ("launch", "increase_budget", "extend_flight")
 SAFE_ACTIONS = ("pause", "decrease_budget")
 ANY_CAMPAIGN = "*"
 
-SEQ_BLOCK = 10_000
-
 
 def exact(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("decimal(20,2)")
@@ -88,7 +89,7 @@ def campaigns_over_budget(campaigns: DataFrame, ledger: DataFrame) -> DataFrame:
 def budget_line(requests: DataFrame, position: DataFrame) -> DataFrame:
     """What an approver sees next to a pending request: the ceiling and what would be left."""
     return pending_requests(requests).join(
-        position.select("client", "ceiling", "approved", "spent"), "client"
+        position.select("client", "ceiling", "approved", "spent"), "client", "left"
     ).select(
         "client", "request_id", "requested_amount", "ceiling", "approved", "spent",
         (F.col("ceiling") - F.col("approved") - F.col("requested_amount")).alias("headroom_after"),
@@ -141,8 +142,9 @@ def authorise(
     kind, launched = F.col("type"), F.coalesce("launched", F.lit(False))
     # Missing fields fall back to the campaign, then to the request; a budget does not.
     channel = F.coalesce(present("channel"), present("c_channel"))
-    start = F.coalesce(present("start").cast("date"), "c_start", "r_start")
-    end = F.coalesce(present("end").cast("date"), "c_end", "r_end")
+    start = F.coalesce(present("start").try_cast("date"), "c_start", "r_start")
+    end = F.coalesce(present("end").try_cast("date"), "c_end", "r_end")
+    readable = lambda c: present(c).isNull() | present(c).try_cast("date").isNotNull()
     budget = money(F.coalesce("budget", F.lit(0.0)))
     daily = money(F.coalesce("daily_budget", "c_daily", F.lit(0.0)))
     # Others under the request = the request's total without this campaign's own share.
@@ -170,6 +172,7 @@ def authorise(
         ((kind != "launch") | ~launched, "already_exists"),
         (channel.eqNullSafe(F.col("r_channel")), "channel_mismatch"),
         (in_scope, "campaign_out_of_scope"),
+        (readable("start") & readable("end"), "unreadable_date"),
         ((start >= F.col("r_start")) & (end <= F.col("r_end")), "outside_approved_dates"),
         (dates_only | ((budget > 0) & (daily > 0)), "budget_not_positive"),
         ((kind != "increase_budget") | raised, "not_an_increase"),
@@ -192,7 +195,7 @@ def check_requests(proposals: DataFrame, position: DataFrame, salts: int = 16) -
     rows = lookup(proposals, room, ["client"], ["proposal_id"], salts)
     reason = first_broken(
         ((amount > 0) & (cap > 0), "not_positive"),
-        (F.col("start").cast("date") <= F.col("end").cast("date"), "start_after_end"),
+        (F.col("start").try_cast("date") <= F.col("end").try_cast("date"), "start_after_end"),
         (F.col("approved") + amount <= F.col("ceiling"), "over_ceiling"),
     )
     return rows.select(
@@ -200,43 +203,89 @@ def check_requests(proposals: DataFrame, position: DataFrame, salts: int = 16) -
     )
 
 
+AUDITED = (
+    "client string, request_id string, at timestamp_ntz, seq bigint, approved double, cap double, "
+    "running_approved double, modified boolean, valid boolean, reason string"
+)
+
+
+def _fold_approvals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Decisions in order of client and time. Kept between rows: the client's approved cents and
+    its decided requests."""
+    client, total, decided = None, 0, set()
+    for rows in batches:
+        reasons, totals = [], []
+        for r in rows.itertuples(index=False):
+            if r.client != client:
+                client, total, decided = r.client, 0, set()
+            reason = r.reason
+            if reason != "no_request" and r.request_id in decided:
+                reason = "already_decided"
+            elif reason is None and total + int(r.cents) > r.ceiling_cents:
+                reason = "over_ceiling"
+            elif reason is None:
+                total += int(r.cents)
+                decided.add(r.request_id)
+            reasons.append(reason)
+            totals.append(total / 100)
+        yield rows[["client", "request_id", "at", "seq", "approved", "cap"]].assign(
+            running_approved=totals, modified=rows["modified"],
+            valid=[x is None for x in reasons], reason=reasons,
+        )
+
+
 def check_approvals(
     decisions: DataFrame, requests: DataFrame, engagement: DataFrame, salts: int = 16
 ) -> DataFrame:
-    """Audit recorded approvals. ``decisions``: client, request_id, at, seq, approved_amount and
-    daily_cap (null: as requested), via (null: not from a chat); ``requests``: client,
-    request_id, requested_amount, daily_cap.
-
-    The approved total runs in decision order within a client: by day, by second and by block
-    of sequence numbers, so that no window holds more than a calendar, the seconds of a day or
-    one block.
+    """Recorded approvals, replayed: would the gate have taken each one, given those before it?
+
+    ``decisions``: client, request_id, at, seq, approved_amount and daily_cap (null: as
+    requested), via (null: not from a chat); ``requests``: client, request_id, requested_amount,
+    daily_cap. A refused decision changes nothing: neither the approved total nor its request.
+    ``running_approved`` is the total after the decision. Decisions on unknown requests stay in
+    the result. What doesn't depend on the order is decided in columns; the rest is one pass over
+    each client's decisions in order, a row at a time, as each result is an input of the next.
     """
     asked = requests.select(
         "client", "request_id", "requested_amount", F.col("daily_cap").alias("requested_cap")
     )
-    rows = lookup(decisions, asked, ["client", "request_id"], ["seq"], salts, "inner")
+    rows = lookup(decisions, asked, ["client", "request_id"], ["seq"], salts)
     rows = (
-        lookup(rows, engagement.select("client", "ceiling"), ["client"], ["seq"], salts, "inner")
+        lookup(rows, engagement.select("client", "ceiling"), ["client"], ["seq"], salts)
         .withColumn("approved", money(F.coalesce("approved_amount", "requested_amount")))
         .withColumn("cap", money(F.coalesce("daily_cap", "requested_cap")))
-        .withColumn("_value", exact("approved"))
-        .withColumn("_day", F.to_date("at"))
-        .withColumn("_block", F.floor(F.col("seq") / SEQ_BLOCK))
     )
-    buckets = ["_day", "at", "_block"]
-    rows = running_total(rows, ["client"], buckets, ["seq"], "_value", "running")
     raised = (F.col("approved") > F.col("requested_amount")) | (F.col("cap") > F.col("requested_cap"))
     changed = (F.col("approved") != F.col("requested_amount")) | (F.col("cap") != F.col("requested_cap"))
     reason = first_broken(
+        (F.col("requested_amount").isNotNull(), "no_request"),
         (F.col("approved") > 0, "amount_not_positive"),
         (F.col("cap") > 0, "cap_not_positive"),
         (F.col("via").isNull() | ~raised, "raised_from_chat"),
-        (F.col("running") <= F.col("ceiling"), "over_ceiling"),
+        (F.col("ceiling").isNotNull(), "no_engagement"),
     )
-    return rows.select(
-        "client", "request_id", "at", "seq", "approved",
-        F.col("running").cast("double").alias("running_approved"),
-        changed.alias("modified"), reason.isNull().alias("valid"), reason.alias("reason"),
+    cents = lambda c: F.coalesce(F.round(F.col(c) * 100).cast("bigint"), F.lit(0))
+    ordered = rows.select(
+        "client", "request_id", "at", "seq", "approved", "cap", F.coalesce(changed, F.lit(False)).alias("modified"),
+        reason.alias("reason"), cents("approved").alias("cents"), cents("ceiling").alias("ceiling_cents"),
+    )
+    ordered = ordered.repartition("client").sortWithinPartitions("client", "at", "seq")
+    return ordered.mapInPandas(_fold_approvals, AUDITED)
+
+
+def request_states(requests: DataFrame, audited: DataFrame) -> DataFrame:
+    """Requests after their recorded decisions (`check_approvals`): approved with the amount and
+    cap that were granted, or still pending. A request has at most one valid decision."""
+    granted = audited.filter("valid").select(
+        "client", "request_id", F.col("approved").alias("_amount"), F.col("cap").alias("_cap"),
+        F.col("at").alias("decided_at"),
+    )
+    taken = F.col("decided_at").isNotNull()
+    return requests.join(granted, ["client", "request_id"], "left").select(
+        "client", "request_id", "requested_amount",
+        F.when(taken, "APPROVED").otherwise("PENDING").alias("status"),
+        F.coalesce("_amount", F.lit(0.0)).alias("approved_amount"),
+        F.coalesce("_cap", "daily_cap").alias("daily_cap"), "decided_at",
     )
 
 
@@ -323,9 +372,9 @@ def replay(executed: DataFrame, requests: DataFrame, salts: int = 16) -> DataFra
         .select(
             *key, "request_id", "channel", "budget",
             F.least("daily_set", "lowered_to").alias("daily_budget"),
-            F.coalesce(present("launch_start").cast("date"), "r_start").alias("start_date"),
+            F.coalesce(present("launch_start").try_cast("date"), "r_start").alias("start_date"),
             F.coalesce(
-                present("extended_to").cast("date"), present("launch_end").cast("date"), "r_end"
+                present("extended_to").try_cast("date"), present("launch_end").try_cast("date"), "r_end"
             ).alias("end_date"),
             F.when(F.col("paused_when") > F.col("launched_when"), "paused")
             .otherwise("live").alias("status"),

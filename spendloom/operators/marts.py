@@ -84,20 +84,21 @@ def run_rate(totals: DataFrame) -> DataFrame:
             safe_div(F.sum("recent_spend"), F.sum("recent_days")).alias("mean_daily"),
             F.max("recent_high").alias("high_daily"),
         )
-        .filter(F.col("mean_daily").isNotNull())
+        .filter(F.col("mean_daily").isNotNull() & F.col("campaign").isNotNull())
     )
 
 
 def with_run_rate(totals: DataFrame) -> DataFrame:
-    """`run_rate` on every row of the totals. The window holds one campaign's channels."""
+    """`run_rate` on every row of the totals. The window holds one campaign's channels. Rows without
+    a campaign belong to none and have no rate."""
     w = W.partitionBy("client", "campaign")
-    return totals.withColumns(
-        {
-            "low_daily": F.min("recent_low").over(w),
-            "mean_daily": safe_div(F.sum("recent_spend").over(w), F.sum("recent_days").over(w)),
-            "high_daily": F.max("recent_high").over(w),
-        }
-    ).drop(*RECENT)
+    rates = {
+        "low_daily": F.min("recent_low").over(w),
+        "mean_daily": safe_div(F.sum("recent_spend").over(w), F.sum("recent_days").over(w)),
+        "high_daily": F.max("recent_high").over(w),
+    }
+    named = F.col("campaign").isNotNull()
+    return totals.withColumns({k: F.when(named, v) for k, v in rates.items()}).drop(*RECENT)
 
 
 def campaign_performance(fact: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -417,13 +417,29 @@ def executed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole(done).unionByName(whole(launches))
 
 
-def recorded_approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, _ = audit_events(spark, sf_dir)
-    granted = F.col("event").isin("request_approved", "request_modified_and_approved")
-    return lines.filter(granted).select(
-        "client", "request_id", F.col("at").cast("timestamp_ntz").alias("at"), "seq",
-        "approved_amount", "daily_cap", "via",
+def recorded_approvals(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Decisions, the requests they are about and the clients' ceilings, from the log's signups.
+
+    Every signup is a request for its value. Each is decided once; every seventh a second time.
+    Every 13th decision names a request that was never filed. Ceilings are 60 % of all requests.
+    """
+    log = event_log(spark, sf_dir).filter("event_type = 'signup'")
+    rid = F.concat(F.lit("RQ-"), "event_id")
+    requests = log.select(
+        "client", rid.alias("request_id"), F.col("value").alias("requested_amount"),
+        money_of(F.floor(F.col("c") / 10)).alias("daily_cap"),
+    )
+    asked = F.when(_every(9), -F.col("value")).when(_every(6), F.col("value") * 2).when(~_every(5), F.col("value"))
+    times = F.when(_every(7), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    decisions = log.select("*", F.explode(times).alias("time")).select(
+        "client",
+        F.when(_every(13), F.concat(F.lit("NONE-"), "event_id")).otherwise(rid).alias("request_id"),
+        F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").alias("at"),
+        (F.col("event_id") * 2 + F.col("time")).alias("seq"), asked.alias("approved_amount"),
+        F.when(_every(19), 0.0).alias("daily_cap"), F.when(_every(4), "chat").alias("via"),
     )
+    ceilings = log.groupBy("client").agg(money_of(F.floor(F.sum("c") * 60 / 100)).alias("ceiling"))
+    return {"decisions": decisions, "requests": requests, "engagement": ceilings}
 
 
 # ---------------------------------------------------------------- ads report from events

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +23,20 @@ class Answer:
 
 
 def load_saved_query(ref: str | Path) -> tuple[dict[str, str], str]:
-    """A file path, or the name of a query in the package folder. Refused without the header."""
+    """A file path, or the name of a query in the package folder. The comment lines on top are
+    its header, one ``field: value`` each; it is refused unless every required field is there."""
     path = Path(ref)
     text = (path if path.exists() else FOLDER / f"{ref}.sql").read_text()
-    lines = re.findall(r"^--\s*(\w+):\s*(.+)$", text, flags=re.M)
-    header = dict(lines)
-    absent = [field for field in REQUIRED if field not in header]
-    if absent:
-        raise ValueError(f"saved query {path.name} does not state: {', '.join(absent)}")
+    header: dict[str, str] = {}
+    for line in filter(None, map(str.strip, text.splitlines())):
+        if not line.startswith("--"):
+            break
+        field, _, value = line.lstrip("- ").partition(":")
+        if value.strip():
+            header.setdefault(field.strip(), value.strip())
+    missing = sorted(set(REQUIRED) - set(header), key=REQUIRED.index)
+    if missing:
+        raise ValueError(f"saved query {path.name} does not state: {', '.join(missing)}")
     return header, text
 
 
@@ -43,23 +50,33 @@ def provenance(freshness: DataFrame) -> DataFrame:
     )
 
 
+# A quoted text, a quoted name, a comment, or the name of a model with its database.
+_TOKEN = re.compile(r"'(?:[^']|'')*'|`[^`]*`|\"[^\"]*\"|--[^\n]*|/\*.*?\*/|\b(?:core|marts)\.(\w+)", re.S)
+
+
 def run_saved_query(
     spark: SparkSession, ref: str | Path, models: dict[str, DataFrame] | None = None
 ) -> Answer:
     """Run the text read-only. It stands inside a subquery, where Spark's grammar allows
     nothing but a query, so a statement that writes does not parse.
 
-    Without ``models`` the text runs as it is over the saved tables. With ``models`` it runs
-    over those frames, as temporary views; views have no database, so ``core.`` and
-    ``marts.`` in front of a model's name are dropped.
+    Without ``models`` the text runs as it is over the saved tables. With ``models``, of which
+    one must be ``mart_freshness``, it runs over those frames: under temporary names of their own,
+    which are gone afterwards, so no view of the caller is touched.
     """
     header, text = load_saved_query(ref)
-    if models is not None:
-        for name, df in models.items():
-            df.createOrReplaceTempView(name)
-        text = re.sub(rf"\b(?:core|marts)\.(?=(?:{'|'.join(models)})\b)", "", text)
-        freshness = models.get("mart_freshness")
-    else:
+    views: dict[str, str] = {}
+    if models is None:
         freshness = spark.table("marts.mart_freshness")
-    rows = spark.sql(f"SELECT * FROM (\n{text.rstrip().rstrip(';')}\n)")
-    return Answer(header, rows, provenance(freshness) if freshness is not None else None)
+    else:
+        freshness = models["mart_freshness"]
+        views = {name: f"saved_{uuid4().hex}" for name in models}
+        text = _TOKEN.sub(lambda m: views.get(m[1], m[0]) if m[1] else m[0], text)
+    try:
+        for name, view in views.items():
+            models[name].createTempView(view)
+        rows = spark.sql(f"SELECT * FROM (\n{text.rstrip().rstrip(';')}\n)")
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+    return Answer(header, rows, provenance(freshness))

@@ -150,27 +150,58 @@ def test_check_requests(spark):
     assert got == {1: None, 2: "over_ceiling", 3: "not_positive", 4: "not_positive", 5: "start_after_end", 6: None}
 
 
-def test_check_approvals(spark):
-    engagement, requests, _, _ = _ledger_frames(spark)
-    at = datetime(2026, 11, 1, 9, 0, 0)
-    rows = [
-        ("acme", "R", at, 1, None, None, None),
-        ("acme", "R", at, 2, 100_000.0, None, "chat"),
-        ("acme", "R", at + timedelta(days=1), 3, 200_000.01, None, "chat"),
-        ("acme", "R", at + timedelta(days=1), 4, 0.0, None, None),
-        ("acme", "R", at + timedelta(days=2), 5, None, 9_000.0, None),
-        ("acme", "R", at + timedelta(days=2), 6, None, -1.0, None),
+ASKED = "client string, request_id string, requested_amount double, daily_cap double"
+DECISIONS = "client string, request_id string, at timestamp_ntz, seq bigint, approved_amount double, " \
+    "daily_cap double, via string"
+
+
+def _audit(spark, ceiling, asked, decided):
+    at = datetime(2027, 5, 3, 8, 0, 0)
+    rows = [("kite", rid, at + timedelta(hours=i // 2), i, amount, cap, via) for i, (rid, amount, cap, via) in enumerate(decided)]
+    requests = spark.createDataFrame([("kite", *r) for r in asked], ASKED)
+    engagement = spark.createDataFrame([("kite", ceiling)], "client string, ceiling double")
+    return requests, gate.check_approvals(spark.createDataFrame(rows, DECISIONS).repartition(3), requests, engagement)
+
+
+def test_refused_decisions_count_for_nothing(spark):
+    asked = [("q1", 70.0, 5.0), ("q2", 45.0, 5.0), ("q3", 30.0, 5.0)]
+    decided = [
+        ("q1", 55.0, None, None),  # lowered: taken
+        ("q1", None, None, None),  # decided before
+        ("q9", 10.0, None, None),  # never filed
+        ("q2", -300.0, None, None),
+        ("q2", None, 0.0, None),
+        ("q2", 46.0, None, "chat"),
+        ("q2", 46.0, None, None),  # 55 + 46 > 90
+        ("q3", None, 4.0, "chat"),  # 55 + 30: taken, as the refused ones don't count
+        ("q2", 5.0, None, None),  # still pending, and now it fits
     ]
-    decisions = spark.createDataFrame(
-        rows, "client string, request_id string, at timestamp_ntz, seq bigint, "
-        "approved_amount double, daily_cap double, via string",
-    )
-    out = {r.seq: r for r in gate.check_approvals(decisions, requests, engagement).collect()}
-    assert {s: r.reason for s, r in out.items()} == {
-        1: None, 2: None, 3: "raised_from_chat", 4: "amount_not_positive", 5: "over_ceiling", 6: "cap_not_positive",
-    }
-    assert [out[s].modified for s in range(1, 7)] == [False, True, True, True, True, True]
-    assert out[2].running_approved == 300_000.0 and out[3].running_approved == 500_000.01
+    requests, audit = _audit(spark, 90.0, asked, decided)
+    rows = sorted(audit.collect(), key=lambda r: r.seq)
+    assert [r.reason for r in rows] == [
+        None, "already_decided", "no_request", "amount_not_positive", "cap_not_positive",
+        "raised_from_chat", "over_ceiling", None, None,
+    ]
+    assert [r.running_approved for r in rows] == [55.0] * 7 + [85.0, 90.0]
+    assert [r.modified for r in rows if r.valid] == [True, True, True]
+    states = {r.request_id: (r.status, r.approved_amount, r.daily_cap) for r in gate.request_states(requests, audit).collect()}
+    assert states == {"q1": ("APPROVED", 55.0, 5.0), "q2": ("APPROVED", 5.0, 5.0), "q3": ("APPROVED", 30.0, 4.0)}
+
+
+def test_a_client_without_an_engagement_keeps_its_decisions(spark):
+    requests = spark.createDataFrame([("lone", "q", 1.0, 1.0)], ASKED)
+    decisions = spark.createDataFrame([("lone", "q", datetime(2027, 1, 1), 1, None, None, None)], DECISIONS)
+    engagement = spark.createDataFrame([], "client string, ceiling double")
+    (row,) = gate.check_approvals(decisions, requests, engagement).collect()
+    assert (row.valid, row.reason) == (False, "no_engagement")
+
+
+def test_unreadable_dates_refuse_one_action_only(spark):
+    rows = [("acme", 1, *_launch(start="soon").values()), ("acme", 2, *_launch().values())]
+    actions = spark.createDataFrame(rows, ACTIONS)
+    campaigns = spark.createDataFrame([_campaign()], CAMPAIGNS)
+    out = gate.authorise(actions, campaigns, spark.createDataFrame([_request()], REQUESTS))
+    assert {r.action_id: r.reason for r in out.collect()} == {1: "unreadable_date", 2: None}
 
 
 def test_check_decreases(spark):
@@ -192,23 +223,28 @@ EXECUTED = "client string, at string, seq bigint, action struct<type:string, cam
     "request_id:string, channel:string, budget:double, daily_budget:double, start:string, end:string>"
 
 
+# What an event does to a field, by kind: "set" (a null leaves it), "lower", or a fixed value.
+EFFECTS = {
+    "launch": {"rid": "set", "channel": "set", "budget": "set", "daily": "set", "start": "set", "end": "set", "status": "=live"},
+    "increase_budget": {"budget": "set", "daily": "set"},
+    "decrease_budget": {"budget": "set", "daily": "lower"},
+    "extend_flight": {"end": "set"},
+    "pause": {"status": "=paused"},
+}
+FIELDS = ("rid", "channel", "budget", "daily", "start", "end")
+
+
 def _fold(events):
-    """Plain sequential replay of one campaign's events."""
-    state = None
-    for _, _, _, a in sorted(events, key=lambda e: (e[1], e[2])):
-        kind, _, rid, channel, budget, daily, start, end = a
-        if kind == "launch":
-            state = dict(rid=rid, channel=channel, budget=budget, daily=daily,
-                         start=start or str(NOV1), end=end or str(NOV30), status="live")
-        elif kind == "increase_budget":
-            state["budget"], state["daily"] = budget, state["daily"] if daily is None else daily
-        elif kind == "decrease_budget":
-            state["budget"] = budget
-            state["daily"] = min(state["daily"], state["daily"] if daily is None else daily)
-        elif kind == "extend_flight":
-            state["end"] = end
-        elif kind == "pause":
-            state["status"] = "paused"
+    """One campaign's events applied in order, by the table of effects."""
+    state = {"start": str(NOV1), "end": str(NOV30)}
+    for event in sorted(events, key=lambda e: e[1:3]):
+        kind, _, *values = event[3]
+        given = dict(zip(FIELDS, values, strict=True))
+        for field, effect in EFFECTS[kind].items():
+            if effect[0] == "=":
+                state[field] = effect[1:]
+            elif given[field] is not None:
+                state[field] = min(state[field], given[field]) if effect == "lower" else given[field]
     return state
 
 

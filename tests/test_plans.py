@@ -35,7 +35,7 @@ def test_no_nested_loop_no_cartesian_no_python(stored, name):
         assert bad not in plan
 
 
-@pytest.mark.parametrize("name", ["authorise_actions", "check_approvals", "campaign_state_replay",
+@pytest.mark.parametrize("name", ["authorise_actions", "check_requests", "campaign_state_replay",
                                   "ads_platform_extract", "restated_platform", "spend_trend"])
 def test_gate_and_ads_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))

@@ -8,7 +8,7 @@ import pytest
 import fixture
 from spendloom.operators import gate
 from spendloom.plans.saved import load_saved_query, run_saved_query
-from spendloom.plans.warehouse import Warehouse
+from spendloom.plans.warehouse import MODELS, Warehouse
 from spendloom.schemas import EXTRACTS
 from spendloom.sources import extracts
 from spendloom.sources.audit import read_audit
@@ -64,9 +64,9 @@ def test_extract_round_trip(spark, tmp_path):
 
 def test_load_stamp_and_counts(spark):
     raw = fixture.raw_tables(spark)
-    assert raw["plan_daily"].select("_loaded_at").distinct().collect()[0][0] == datetime(2026, 10, 2, 6)
+    assert raw["plan_daily"].select("_loaded_at").distinct().collect()[0][0] == fixture.LOADED
     counts = {r.table: r.rows for r in extracts.load_counts(raw).collect()}
-    assert counts["plan_daily"] == 140 and counts["platform_daily"] == 125 and counts["gate_requests"] == 3
+    assert (counts["plan_daily"], counts["platform_daily"], counts["gate_requests"]) == (9 * 21, 9 * 17, 3)
 
 
 def test_replace_table_and_restate(spark, tmp_path):
@@ -146,13 +146,13 @@ def saved_tables(spark):
 def test_saved_queries_run_over_saved_tables(spark, saved_tables):
     answer = run_saved_query(spark, "platform_over_claim")
     rows = answer.rows.collect()
-    assert {r.channel for r in rows} == {"paid_search", "paid_social", "programmatic"}
+    assert {r.channel for r in rows} == {"video", "audio", "maps"}
     assert [r.over_claim_ratio for r in rows] == sorted((r.over_claim_ratio for r in rows), reverse=True)
     assert "CRM" in answer.header["question"]
     made = answer.provenance.collect()[0]
-    assert (made.platform_as_of, made.crm_as_of, made.synthetic) == (date(2026, 10, 1), date(2026, 9, 30), True)
+    assert (made.platform_as_of, made.crm_as_of, made.synthetic) == (fixture.PLATFORM_TO, fixture.CRM_TO, False)
     weeks = run_saved_query(spark, "channel_by_week").rows.collect()
-    assert all(r.week.isoweekday() == 1 for r in weeks) and len(weeks) == 4 * 3
+    assert all(r.week.isoweekday() == 1 for r in weeks) and len(weeks) == 3 * 3
 
 
 def test_a_users_own_query_text_runs_unchanged(spark, saved_tables, tmp_path):
@@ -166,6 +166,19 @@ def test_a_users_own_query_text_runs_unchanged(spark, saved_tables, tmp_path):
     assert len(rows) == 3 and rows[0].spend >= rows[1].spend >= rows[2].spend
 
 
+def test_saved_query_over_frames_leaves_views_and_literals_alone(spark, saved_tables, tmp_path):
+    spark.range(1).createOrReplaceTempView("fct_performance_daily")
+    models = {n: spark.table(f"{MODELS[n]}.{n}") for n in ("fct_performance_daily", "mart_freshness")}
+    path = tmp_path / "literal.sql"
+    path.write_text(HEADER + "select 'core.fct_performance_daily' as t, count(*) as n -- marts.mart_freshness\nfrom core.fct_performance_daily")
+    answer = run_saved_query(spark, path, models)
+    (row,) = answer.rows.collect()
+    assert (row.t, row.n) == ("core.fct_performance_daily", 9 * 21)
+    assert answer.provenance.count() == 1 and spark.table("fct_performance_daily").count() == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("saved_")]
+    spark.catalog.dropTempView("fct_performance_daily")
+
+
 def test_saved_query_needs_its_header(tmp_path):
     path = tmp_path / "bare.sql"
     path.write_text("select 1")

@@ -18,13 +18,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import crc32, texts
+from spendloom.llm.common import crc32, texts, written
 from spendloom.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -113,21 +112,21 @@ def _packer(path: str, capacity: int):
 
 
 def _lay(capacity: int):
-    def lay(key: tuple, rest: pd.DataFrame) -> pd.DataFrame:
+    def lay(key: tuple, table: pa.Table) -> pa.Table:
         """Leftover pieces of a block of workers end to end, cut at the ends of sequences."""
-        rest = rest.sort_values(["items", "doc_id", "start", "ids_crc32"], kind="stable")
-        sequence, offset, out = (1 << 62) + (int(key[0]) << 32), 0, []
-        for p in rest.itertuples(index=False):
-            at, doc_id = 0, None if pd.isna(p.doc_id) else int(p.doc_id)
-            while at < p.length:
-                length = min(int(p.length) - at, capacity - offset)
-                ids = p.ids[4 * at : 4 * (at + length)]
-                out.append((doc_id, p.start + at, length, crc32(ids), p.doc_tokens, sequence, offset))
+        rest = table.to_pylist()
+        rest.sort(key=lambda p: (p["items"], p["doc_id"] is None, p["doc_id"] or 0, p["start"], p["ids_crc32"]))
+        sequence, offset, out = (1 << 62) + (key[0].as_py() << 32), 0, []
+        for p in rest:
+            at = 0
+            while at < p["length"]:
+                length = min(p["length"] - at, capacity - offset)
+                ids = p["ids"][4 * at : 4 * (at + length)]
+                out.append((p["doc_id"], p["start"] + at, length, crc32(ids), p["doc_tokens"], sequence, offset))
                 at, offset = at + length, offset + length
                 if offset == capacity:
                     sequence, offset = sequence + 1, 0
-        out = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        return out.astype("int64").astype({"doc_id": "Int64"}) if out.doc_id.isna().any() else out.astype("int64")
+        return pa.Table.from_batches([_batch(out, pa.schema(list(_ARROW)[:7]))])
 
     return lay
 
@@ -138,10 +137,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     The pieces of a document cover its ids (those of the tokenizer, then END_ID) without overlap;
     the pieces of a sequence lie gapless from 0 to at most `capacity`.
     """
-    from spendloom.llm.common import written
-
     packed = texts(docs).mapInArrow(_packer(tokenizer, capacity), PACKED)
     packed = written(packed)
     whole = packed.where(F.col("sequence_id").isNotNull()).select(*_ARROW.names[:7])
     rest = packed.where(F.col("sequence_id").isNull())
-    return whole.unionByName(rest.groupBy("block").applyInPandas(_lay(capacity), PIECES))
+    return whole.unionByName(rest.groupBy("block").applyInArrow(_lay(capacity), PIECES))

@@ -1,0 +1,149 @@
+"""Packing, token files and SentencePiece ids against the libraries' own encodings."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from llm import odd_rows
+from spendloom.llm import packing, pieces, token_files
+from spendloom.llm.tokens import SegmentEncoder
+
+BYTE, WORD = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
+ODD = ["", " ", "a ", " a", "a  b", "a\n b", "a \nb", "\t a", "x   ", "a\x1c b", "it's  ok 12 3.5 ", "é　 ü",
+       "\x00 a", "漢字 テスト😀", "<s> </s> <|endoftext|>", "a▁b", "▁ a", "ﬁ ½ Å Ａ", "    def f(x):\n  return x",
+       "z" * 300, "\r\n", odd_rows.prose(9, 200), odd_rows.LONG]
+
+
+def _library(path, text):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@pytest.mark.parametrize("path, spaces", [(BYTE, True), (WORD, False)])
+def test_segments_give_the_ids_of_the_whole_text(path, spaces):
+    encoder = SegmentEncoder(path, spaces, limit=50)  # also when what is known is dropped on the way
+    for texts in (ODD, ODD[::-1]):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+        assert got == [_library(path, t) for t in texts]
+
+
+@pytest.mark.parametrize("n", [1, 2, 31, 32, 33, 1023, 1024, 1025, 1500, 2047, 2048, 2049, 70_001])
+def test_cuts_cover_the_length_and_fit_their_class(n):
+    cuts = packing.cut_lengths(n)
+    assert sum(length for length, _ in cuts) == n
+    assert all(length <= packing.CAPACITY // k for length, k in cuts)
+
+
+def _by_document(docs):
+    return Counter((i, _crc([*_library(BYTE, t or ""), 1])) for i, t in docs)
+
+
+def test_packing_loses_nothing_and_pads_little(spark):
+    texts = odd_rows.odd_texts() + [(100 + i, odd_rows.prose(i, 20 + 37 * i % 900)) for i in range(150)]
+    rows = packing.pack(odd_rows.table(spark, texts).repartition(3), BYTE).collect()
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    padding = 0
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end and length > 0
+            end += length
+        assert end <= 2048
+        padding += 0 if end & (end - 1) == 0 else 2048 - end
+    assert padding <= 2048 + 0.03 * sum(r.length for r in rows)
+    # Every id of every document in exactly one piece.
+    expect = Counter()
+    for doc_id, text in texts:
+        ids = [*_library(BYTE, text or ""), 1]
+        expect[doc_id, len(ids)] += len(ids)
+    got = Counter()
+    for r in rows:
+        got[r.doc_id, r.doc_tokens] += r.length
+    assert got == expect
+    known = {i: [*_library(BYTE, t or ""), 1] for i, t in texts}
+    for r in rows:
+        assert _crc(known[r.doc_id][r.start : r.start + r.length]) == r.ids_crc32
+
+
+def test_packing_an_empty_table(spark):
+    assert packing.pack(odd_rows.empty(spark), BYTE).count() == 0
+
+
+@pytest.mark.parametrize("seed, kinds", [(1, 3), (2, 40), (3, 5_000)])
+def test_grammar_round_trip_and_random_access(seed, kinds):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, 400, 60)
+    ids = rng.integers(0, kinds, lengths.sum())
+    ids[:5_000] = np.resize([7, 8, 7, 8, 9, 7, 8], 5_000)
+    ends = np.cumsum(lengths)
+    symbols, first, rules, spans = token_files.compress(ids, ends)
+    grammar = token_files.Grammar(rules, spans, token_files.BASE)
+    assert (grammar.expand(symbols) == ids).all() and len(symbols) < len(ids) and len(rules) == len(spans)
+    stops = [*first[1:], len(symbols)]
+    for d, (i, j) in enumerate(zip(first, stops)):
+        whole = ids[ends[d] - lengths[d] : ends[d]]
+        assert (grammar.expand(symbols[i:j]) == whole).all()
+        start = int(rng.integers(0, lengths[d]))
+        length = int(rng.integers(0, lengths[d] - start + 1))
+        assert (grammar.id_range(symbols[i:j], start, length) == whole[start : start + length]).all()
+
+
+def test_one_id_again_and_again():
+    symbols, _, rules, spans = token_files.compress(np.full(100, 4), np.array([100]))
+    assert (token_files.Grammar(rules, spans, token_files.BASE).expand(symbols) == 4).all()
+
+
+def test_token_files_in_order_of_ids(spark, monkeypatch):
+    texts = odd_rows.odd_texts() + [(1000 - i, odd_rows.prose(i, 60)) for i in range(80)]
+    rows = token_files.token_index(odd_rows.table(spark, texts).repartition(4), WORD).collect()
+    rows.sort(key=lambda r: r.start)
+    order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    at = 0
+    for r, (doc_id, text) in zip(rows, order, strict=True):
+        ids = [*_library(WORD, text or ""), 1]
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, at, len(ids), _crc(ids))
+        at += len(ids)
+    assert token_files.token_index(odd_rows.empty(spark), WORD).count() == 0
+
+
+def test_prefix_search_equals_the_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    encoder = pieces.PieceEncoder(PIECE)
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(ODD))]
+    assert got == [library.encode(t) for t in ODD]
+    back = [pieces.decoded(np.array(x, "<u4").tobytes(), encoder.pieces.bytes_of) for x in got]
+    assert back == [t.replace("▁", " ") for t in ODD]
+
+
+def test_pieces_round_trip(spark):
+    texts = odd_rows.odd_texts()
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    rows = pieces.round_trip(odd_rows.table(spark, texts), PIECE).collect()
+    assert all(r.same for r in rows)
+    expect = Counter((i, _crc(library.encode(t or ""))) for i, t in texts)
+    assert Counter((r.doc_id, r.ids_crc32) for r in rows) == expect
+    assert pieces.round_trip(odd_rows.empty(spark), PIECE).count() == 0
+
+
+def test_padding_by_class():
+    """Over many lengths classes leave about a thousandth of their slots empty."""
+    total = empty = 0.0
+    for n in range(1, 6_000, 7):
+        total += n
+        empty += sum(packing.CAPACITY / k - length for length, k in packing.cut_lengths(n))
+    assert empty / total < 0.005 and math.isfinite(empty)

@@ -33,7 +33,16 @@ EMPTY = (1 << 63) - 1
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["h"] == b["h"])
+    return (a["doc_id"] == b["doc_id"]) & (a["h"] == b["h"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id and h, the key of a document, are never null, so that joins on them keep the
+    partitioning by document. missing: the id was null (h tells such rows from those with id 0)."""
+    missing = F.col("doc_id").isNull()
+    return texts(docs).select(
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.xxhash64("text", missing).alias("h"), missing.alias("missing"), "text"
+    )
 
 
 def words(text: Column) -> Column:
@@ -64,13 +73,14 @@ def sample_keys(term: Column, weights: list[Column], j: int) -> list[Column]:
 
 
 def successors(keys: DataFrame) -> DataFrame:
-    """doc_id, h, n_chars, n, next (doc_id, h) in ascending doc_id order; after the last comes the first.
+    """The keys with next (doc_id, h) in ascending doc_id order; after the last comes the first.
 
     keys: one row per (doc_id, h). Ranges have about equal numbers of rows whatever the ids are.
     """
     parts = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = written(keys.repartitionByRange(parts, "doc_id", "h").withColumn("range", F.spark_partition_id()))
-    inside = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "h")
+    order = (F.col("missing").desc(), F.col("doc_id"), F.col("h"))
+    ranged = written(keys.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()))
+    inside = Window.partitionBy("range").orderBy(*order)
     me = F.struct("doc_id", "h")
     near = ranged.select("*", F.lead(me).over(inside).alias("after"), F.row_number().over(inside).alias("place"))
     # One row per range: at most as many as there are partitions.
@@ -80,7 +90,9 @@ def successors(keys: DataFrame) -> DataFrame:
     firsts = firsts.select(
         "range", F.coalesce(F.lead("first").over(over), F.first("first").over(everything)).alias("follows")
     )
-    return near.join(firsts, "range").select("doc_id", "h", "n_chars", "n", F.coalesce("after", "follows").alias("next"))
+    return near.join(firsts, "range").select(
+        "doc_id", "h", "missing", "n_chars", "n", F.coalesce("after", "follows").alias("next")
+    )
 
 
 def _sampled(terms: DataFrame, weights: list[str]) -> DataFrame:
@@ -119,8 +131,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text of a document: its last floor(n_chars / 2) characters replaced by the first as many
     (or all) of the next document.
     """
-    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("h"), "text")
-    keys = rows.groupBy("doc_id", "h").agg(F.max(F.length("text")).alias("n_chars"), F.count("*").alias("n"))
+    rows = _keyed(docs)
+    keys = rows.groupBy("doc_id", "h").agg(
+        F.max("missing").alias("missing"), F.max(F.length("text")).alias("n_chars"), F.count("*").alias("n")
+    )
     order = written(successors(keys))
     once = rows.groupBy("doc_id", "h").agg(F.first("text").alias("text"))
     asked = order.select(
@@ -146,12 +160,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     told = written(told)
     nexts = told.select(F.struct("doc_id", "h").alias("k"), F.col("own").alias("follows"))
     found = told.join(order, _same(told, order)).select(
-        told["doc_id"], "edited_sha256", "own", "changed", "n_chars", "n", "next"
+        told["doc_id"], "missing", "edited_sha256", "own", "changed", "n_chars", "n", "next"
     )
-    same_next = found["next.doc_id"].eqNullSafe(nexts["k.doc_id"]) & (found["next.h"] == nexts["k.h"])
+    same_next = (found["next.doc_id"] == nexts["k.doc_id"]) & (found["next.h"] == nexts["k.h"])
     at = lambda c: [F.col(c)[j] for j in range(SAMPLES)]
     out = found.join(nexts, same_next).select(
-        "doc_id",
+        F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited_sha256",
         fingerprint_text(at("own")).alias("fingerprint"),

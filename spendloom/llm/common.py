@@ -42,11 +42,21 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+# Once a result is written, the shuffle files it was made from are of no further use.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, read again: later steps don't depend on lost executors."""
-    path = scratch(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder, read again: later steps don't depend on lost executors.
+    Shuffle files of this write are removed when it ends."""
+    spark = df.sparkSession
+    path, before = scratch(spark), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import written
@@ -51,43 +51,66 @@ def components(links: DataFrame) -> DataFrame:
 LEADERS = (1, 16, 256, 2_048)
 
 
-def _pairs(members: DataFrame, leaders: int, salt: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of each bucket's leaders and its members of other classes; the leaders by bucket."""
-    slot = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(leaders)) if leaders > 1 else F.lit(0)
-    chosen = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("id", "class")).alias("l"))
-    chosen = chosen.select("bucket", F.col("l.id").alias("a"), F.col("l.class").alias("a_class"))
-    pairs = members.join(chosen, "bucket").where("class != a_class")
-    pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-    return pairs, chosen.select("bucket", F.col("a").alias("id"))
-
-
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """Buckets that hold two ids or more, with their smallest id. rows: bucket, id."""
+    """Buckets that hold two ids or more. rows: bucket, id."""
     ends = rows.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     return ends.where("low < high").select("bucket")
 
 
-def bucket_classes(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _ranked(members: DataFrame) -> DataFrame:
+    """Members with the number of members that share buckets with them: the middle of a group has most."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    ranks = members.join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("rank"))
+    return members.join(ranks, "id").select("bucket", "id", "mark", "rank", F.col("id").alias("class"))
+
+
+def _leaders(members: DataFrame, number: int, salt: int) -> DataFrame:
+    slot = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(number)) if number > 1 else F.lit(0)
+    best = F.max(F.struct("rank", "id", "class", "mark"))
+    chosen = members.groupBy("bucket", slot.alias("slot")).agg(best.alias("l"))
+    return chosen.select("bucket", F.col("l.id").alias("a"), F.col("l.class").alias("a_class"), F.col("l.mark").alias("a_mark"))
+
+
+def bucket_classes(
+    members: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    may: Callable[[Column, Column], Column],
+    pivot: bool = False,
+) -> DataFrame:
     """id, component of the ids that are linked through pairs of one bucket.
 
-    members: bucket, id, each pair once, and only buckets of two or more. verified: the linked ones among pairs (a, b).
+    members: bucket, id, mark, each pair of bucket and id once, and only buckets of two or more.
+    verified: (a, b, linked, distance) of pairs (a, b). may: whether marks allow that two ids are linked.
+
     In each round a bucket's members are compared to a bounded number of leaders, so the pairs are in
     proportion to its size; leaders then step back, and a bucket whose members are all in one class is
     done. The others go on, with more leaders, so no pair of a bucket stays open unless its ids are
-    already connected. Later rounds have few members: copies are connected by the first.
+    already connected or their marks rule it out. The first leader is the member that shares most
+    buckets, the middle of a group, which most others are linked to. With `pivot`, a member's distance to
+    it becomes its mark: by the triangle inequality two ids whose distances to a third differ by more than
+    a link's length aren't linked, and such pairs are never made.
     """
     spark = members.sparkSession
-    members = members.select("bucket", "id", F.col("id").alias("class"))
-    classes = None
-    step = 0
+    members, classes, step = written(_ranked(members)), None, 0
     while not members.isEmpty():
-        pairs, leaders = _pairs(members, LEADERS[min(step, len(LEADERS) - 1)], step)
-        links = verified(pairs).select("a", "b")
+        leaders = _leaders(members, LEADERS[min(step, len(LEADERS) - 1)], step)
+        meets = members.join(leaders, "bucket").where((F.col("class") != F.col("a_class")) & may(F.col("a_mark"), F.col("mark")))
+        first = pivot and step == 0
+        if first:
+            pairs = meets.select("a", F.col("id").alias("b")).distinct()
+        else:
+            pairs = meets.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        found = written(verified(pairs))
+        links = found.where("linked").select("a", "b")
         if classes is not None:  # what is known so far is a star per class
             links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
         classes = written(components(links))
-        rest = members.select("bucket", "id").join(leaders, ["bucket", "id"], "left_anti")
-        rest = rest.join(classes, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("class"))
+        rest = members.join(leaders.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti")
+        if first:
+            to_leader = leaders.select("bucket", "a").join(found.select("a", F.col("b").alias("id"), "distance"), "a")
+            rest = rest.join(to_leader, ["bucket", "id"], "left").withColumn("mark", F.col("distance"))
+        rest = rest.drop("class").join(classes, "id", "left")
+        rest = rest.select("bucket", "id", "mark", "rank", F.coalesce("component", "id").alias("class"))
         split = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
         members = written(rest.join(split.select("bucket"), "bucket"))
         step += 1

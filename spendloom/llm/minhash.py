@@ -14,9 +14,8 @@ one, so the work per document is its length plus COORDINATES * log(COORDINATES).
 
 Links: signatures are cut into BANDS bands of ROWS coordinates; documents that agree in a band are
 candidates, and those with a likeness of at least LEAST are linked, checked over whole texts. Within a
-bucket all documents are compared to a few leaders, a linear number of pairs; then leaders step
-back, buckets whose documents are all connected are done, and the others choose again. So no pair of
-a bucket stays open unless its documents are already in one class, and no group is ever expanded into all its pairs.
+bucket all documents are compared to leaders, as `bucket_classes` says: no pair stays open unless its
+documents are already in one class or too differently far from a third, and no group is expanded into all its pairs.
 
 Results in special cases: equal texts are always in one class (also empty ones; null counts as
 empty); texts are told apart by a 64-bit hash; repeated rows are copies of each other; a null doc_id is
@@ -172,19 +171,22 @@ def likeness(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarr
     return float(shared / (total - shared))
 
 
-def _verified(least: float):
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(least: float):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, leader = None, None
         for batch in batches:
-            kept = []
+            found = []
             for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if a != last:
                     last, leader = a, _opened(x.as_py())
-                kept.append(likeness(leader, _opened(y.as_py())) >= least)
-            kept = pa.array(kept, pa.bool_())
-            yield batch.select(["a", "b"]).filter(kept)
+                found.append(likeness(leader, _opened(y.as_py())))
+            found = np.array(found)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found >= least), pa.array(1 - found)],
+                names=["a", "b", "linked", "distance"],
+            )
 
-    return check
+    return compare
 
 
 def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -192,7 +194,7 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     slim = texts(docs).select(F.xxhash64("text").alias("id"), "text")
     signed = slim.mapInArrow(_banded, "id long, bands array<long>").where("bands is not null")
     rows = written(signed.select("id", F.explode("bands").alias("bucket")).distinct())
-    members = written(rows.join(shared_buckets(rows), "bucket"))
+    members = written(rows.join(shared_buckets(rows), "bucket").withColumn("mark", F.lit(None).cast("double")))
     wanted = members.select("id").distinct()
     sets = slim.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled, "id long, elements binary")
     sets = written(sets)
@@ -200,9 +202,11 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(two, "b").join(one, "a").select("a", "b", "of_a", "of_b")
-        return both.mapInArrow(_verified(least), "a long, b long")
+        return both.mapInArrow(_compared(least), "a long, b long, linked boolean, distance double")
 
-    return bucket_classes(members, verified)
+    # One less the likeness is a metric. A little room for rounding.
+    may = lambda x, y: F.coalesce(F.abs(x - y) <= 1 - least + 1e-9, F.lit(True))
+    return bucket_classes(members, verified, may, pivot=True)
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:

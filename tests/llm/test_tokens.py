@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from llm import odd_rows
 from spendloom.llm import packing, pieces, token_files
-from spendloom.llm.tokens import SegmentEncoder
+from spendloom.llm.tokens import SegmentEncoder, WordEndEncoder
 
 BYTE, WORD = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
@@ -40,6 +40,13 @@ def test_segments_give_the_ids_of_the_whole_text(path, spaces):
         assert got == [_library(path, t) for t in texts]
 
 
+def test_word_ends_tell_segments_apart():
+    encoder = WordEndEncoder(WORD)
+    odd = [*ODD, "İstanbul STRASSE ﬁne ΣΑΣ ǅ. a., don't it's x'll naïve. é e\u0301 Å\u030a. \u0130, ª º."]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(odd))]
+    assert got == [_library(WORD, t) for t in odd]
+
+
 @pytest.mark.parametrize("n", [1, 2, 31, 32, 33, 1023, 1024, 1025, 1500, 2047, 2048, 2049, 70_001])
 def test_cuts_cover_the_length_and_fit_their_class(n):
     cuts = packing.cut_lengths(n)

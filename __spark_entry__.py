@@ -8,7 +8,6 @@ moves exact ties off the rounding edge, where that noise would decide them.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Conversions per campaign are few in the given log, so a spike needs fewer of them here.
 PARAMS = Params(cpa_spike_ratio=1.1, cpa_spike_min_conversions=3)
-ADS_DAYS, ADS_TODAY = 14, date(2024, 1, 28)
+ADS_DAYS = 14
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -73,7 +72,7 @@ def _ads(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = driver.from_events(spark, sf_dir)
         accounts = ads.require_currency(driver.ads_accounts(spark, sf_dir), raw["gate_engagement"])
-        window = ads.extraction_window(accounts, ADS_DAYS, ADS_TODAY)
+        window = ads.extraction_window(accounts, ADS_DAYS, driver.ads_today(spark, sf_dir))
         report = report_rows(driver.ads_report(spark, sf_dir))
         rows = ads.in_window(ads.normalise(report), window)
         mapped = ads.map_campaigns(rows, driver.ads_campaign_map(spark, sf_dir))

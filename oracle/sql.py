@@ -66,12 +66,14 @@ log AS (
          CAST(ts AS date) AS date, ts, event_id, event_type, value,
          CAST(round(value * 100) AS bigint) AS c
   FROM events),
+calendar AS (
+  SELECT client, min(date) AS first_day, max(date) AS last_day FROM log GROUP BY client),
 budgets AS (
-  SELECT *, budget // 30 AS daily FROM (
+  SELECT b.*, budget // date_diff('day', first_day, last_day + 3) AS daily, first_day AS starts, last_day + 3 AS ends FROM (
     SELECT client, campaign, channel, n, ch, rid,
            CAST(sum(c) FILTER (event_type IN ('view', 'click')) AS bigint)
              * CASE n % 10 WHEN 0 THEN 90 WHEN 1 THEN 105 WHEN 2 THEN 111 ELSE 130 END // 100 AS budget
-    FROM log WHERE date <= DATE '2024-01-27' GROUP BY client, campaign, channel, n, ch, rid)),
+    FROM log GROUP BY client, campaign, channel, n, ch, rid) b JOIN calendar USING (client)),
 raw_platform AS (
   SELECT client, 'src_' || ch AS source, date, campaign, channel,
          1000 * count(*) FILTER (event_type = 'view') AS impressions,
@@ -80,31 +82,29 @@ raw_platform AS (
          (count(*) FILTER (event_type IN ('purchase', 'signup')))::double AS platform_conversions,
          coalesce(sum(c) FILTER (event_type = 'purchase'), 0)::double / 100 AS platform_revenue,
          true AS is_synthetic
-  FROM log WHERE date <= DATE '2024-01-27' GROUP BY client, ch, date, campaign, channel),
+  FROM log GROUP BY client, ch, date, campaign, channel),
 raw_web AS (
   SELECT client, date, 'src_' || ch AS utm_source, 'cpc' AS utm_medium, campaign,
-         CASE WHEN n = 7 AND date BETWEEN DATE '2024-01-25' AND DATE '2024-01-26' THEN 0 ELSE 60 END::bigint AS sessions,
+         CASE WHEN n = 7 AND day(date) BETWEEN 25 AND 26 THEN 0 ELSE 60 END::bigint AS sessions,
          true AS is_synthetic
-  FROM log WHERE event_type = 'click' AND date <= DATE '2024-01-27'),
+  FROM log WHERE event_type = 'click'),
 raw_crm AS (
   SELECT client, 'ord_' || event_id AS order_id, date, campaign, value AS revenue,
          event_id % 3 <> 0 AS new_customer, true AS is_synthetic
-  FROM log WHERE event_type = 'purchase' AND date <= DATE '2024-01-26'),
+  FROM log WHERE event_type = 'purchase'),
 raw_plan AS (
   SELECT client, CAST(d.day AS date) AS date, campaign, channel, daily::double / 100 AS planned_spend,
          CASE WHEN ch <= 2 THEN 'cpa_backend' WHEN ch = 3 THEN 'cpm' ELSE 'reach' END AS kpi,
          (ch * 10 + 40)::double AS kpi_target, true AS is_synthetic
-  FROM budgets, (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS day) d
+  FROM (SELECT *, unnest(generate_series(starts, ends, INTERVAL 1 DAY)) AS day FROM budgets) d
   WHERE n <> 13),
 raw_freshness AS (
-  SELECT client, s.source, s.data_as_of, true AS is_synthetic
-  FROM (SELECT DISTINCT client FROM log),
-       (VALUES ('ad_platforms', DATE '2024-01-27'), ('web_analytics', DATE '2024-01-27'),
-               ('crm', DATE '2024-01-26'), ('plan', DATE '2024-01-30')) s(source, data_as_of)
+  SELECT client, s.source, last_day + s.n AS data_as_of, true AS is_synthetic
+  FROM calendar, (VALUES ('ad_platforms', 0), ('web_analytics', 0), ('crm', -1), ('plan', 3)) s(source, n)
   WHERE NOT (client = 'c2' AND s.source = 'crm')),
 raw_campaigns AS (
   SELECT client, campaign, rid AS request_id, channel, budget::double / 100 AS budget,
-         daily::double / 100 AS daily_budget, DATE '2024-01-01' AS start_date, DATE '2024-01-30' AS end_date,
+         daily::double / 100 AS daily_budget, starts AS start_date, ends AS end_date,
          CASE WHEN n % 7 = 0 THEN 'paused' ELSE 'live' END AS status
   FROM budgets WHERE n <> 17),
 raw_requests AS (
@@ -112,11 +112,12 @@ raw_requests AS (
          (b * 125 // 100)::double / 100 AS requested_amount,
          CASE status WHEN 'APPROVED' THEN (b * CASE rid WHEN 'SAR-1-2' THEN 80 ELSE 120 END // 100)::double / 100
               ELSE 0 END::double AS approved_amount,
-         DATE '2024-01-01' AS start_date, DATE '2024-01-30' AS end_date,
+         starts AS start_date, ends AS end_date,
          (d * 110 // 100)::double / 100 AS daily_cap, status, 'Envelope for ' || channel AS summary,
          TIMESTAMP '2023-12-20 09:00:00' AS requested_at,
          CASE WHEN status <> 'PENDING' THEN TIMESTAMP '2023-12-21 10:30:00' END AS decided_at
   FROM (SELECT client, channel, rid, CAST(sum(budget) AS bigint) AS b, CAST(sum(daily) AS bigint) AS d,
+               min(starts) AS starts, max(ends) AS ends,
                CASE rid WHEN 'SAR-2-1' THEN 'PENDING' WHEN 'SAR-1-4' THEN 'REJECTED' ELSE 'APPROVED' END AS status
         FROM budgets WHERE n <> 17 GROUP BY client, channel, rid)),
 raw_engagement AS (
@@ -153,16 +154,15 @@ raw_crm AS (
     SELECT l_orderkey, client, campaign,
            row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, k) AS pos FROM lines) x
     ON x.l_orderkey = o_orderkey AND x.pos = 1),
+calendar AS (SELECT client, min(date) AS first_day, max(date) AS last_day FROM lines GROUP BY client),
 raw_plan AS (
   SELECT client, CAST(d.day AS date) AS date, campaign, channel, 30000::double AS planned_spend,
          CASE WHEN k % 2 = 0 THEN 'cpa_backend' ELSE 'cpm' END AS kpi, 25000::double AS kpi_target,
          false AS is_synthetic
-  FROM sup, (SELECT unnest(generate_series(DATE '2001-07-01', DATE '2001-10-28', INTERVAL 1 DAY)) AS day) d),
+  FROM (SELECT sup.*, unnest(generate_series(last_day - 119, last_day, INTERVAL 1 DAY)) AS day FROM sup JOIN calendar USING (client)) d),
 raw_freshness AS (
-  SELECT client, s.source, s.data_as_of, false AS is_synthetic
-  FROM (SELECT DISTINCT client FROM sup),
-       (VALUES ('ad_platforms', DATE '2001-10-07'), ('web_analytics', DATE '2001-10-07'),
-               ('crm', DATE '2001-10-05')) s(source, data_as_of)),
+  SELECT client, s.source, last_day + s.n AS data_as_of, false AS is_synthetic
+  FROM calendar, (VALUES ('ad_platforms', -21), ('web_analytics', -21), ('crm', -23)) s(source, n)),
 raw_campaigns AS (
   SELECT client, campaign, 'SAR-' || client || '-' || channel AS request_id, channel,
          25000000::double AS budget, 30000::double AS daily_budget, DATE '1995-01-01' AS start_date,
@@ -390,9 +390,9 @@ acts AS (
          CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 'ch_9' ELSE channel END AS channel,
          CASE WHEN event_id % 23 = 0 THEN NULL ELSE (c * 60)::double / 100 END AS budget,
          CASE WHEN event_id % 9 = 0 THEN NULL ELSE c::double / 100 END AS daily_budget,
-         CASE WHEN event_id % 29 = 0 THEN DATE '2024-02-10' END AS end_on,
-         CASE WHEN event_id % 31 = 0 THEN DATE '2024-02-05' ELSE date END AS today
-  FROM log WHERE event_type = 'signup'),
+         CASE WHEN event_id % 29 = 0 THEN last_day + 14 END AS end_on,
+         CASE WHEN event_id % 31 = 0 THEN last_day + 9 ELSE date END AS today
+  FROM log JOIN calendar USING (client) WHERE event_type = 'signup'),
 asked AS (
   SELECT a.*, g.budget AS g_budget, g.daily_budget AS g_daily, g.channel AS g_channel, g.start_date AS g_start,
          g.end_date AS g_end, g.campaign IS NOT NULL AS launched,
@@ -443,9 +443,9 @@ replayed AS (
          least(coalesce((SELECT daily FROM ordered o WHERE o.client = k.client AND o.campaign = k.campaign AND o.pos = k.set_at), 50),
                (SELECT min(daily) FROM ordered o WHERE o.client = k.client AND o.campaign = k.campaign
                 AND type = 'decrease_budget' AND o.pos > k.set_at)) AS daily_budget,
-         DATE '2024-01-01' AS start_date,
+         (SELECT first_day FROM calendar x WHERE x.client = k.client) AS start_date,
          coalesce((SELECT arg_max(date, pos) FROM ordered o WHERE o.client = k.client AND o.campaign = k.campaign
-                   AND type = 'extend_flight'), DATE '2024-01-30') AS end_date,
+                   AND type = 'extend_flight'), (SELECT last_day + 3 FROM calendar x WHERE x.client = k.client)) AS end_date,
          CASE WHEN EXISTS (SELECT 1 FROM ordered o WHERE o.client = k.client AND o.campaign = k.campaign AND type = 'pause')
               THEN 'paused' ELSE 'live' END AS status
   FROM (SELECT b.client, b.campaign, b.channel, b.rid,
@@ -472,7 +472,7 @@ ads AS (
          impressions, clicks, spend, CASE WHEN n % 4 = 0 THEN 0 ELSE platform_conversions END AS platform_conversions,
          CASE WHEN n % 4 = 0 THEN 0 ELSE platform_revenue END AS platform_revenue
   FROM (SELECT *, CAST(substring(campaign, 5) AS integer) AS n, CAST(substring(channel, 4) AS integer) AS ch FROM raw_platform)),
-ads_in AS (SELECT * FROM ads WHERE impressions > 0 AND date BETWEEN DATE '2024-01-14' AND DATE '2024-01-27'),
+ads_in AS (SELECT * FROM ads WHERE impressions > 0 AND date BETWEEN (SELECT max(date) FROM log) - 13 AND (SELECT max(date) FROM log)),
 ads_named AS (
   SELECT *, n < 20 AND n <> 5 AS is_mapped, CASE WHEN n < 20 AND n <> 5 THEN 'agency_' || n ELSE platform_name END AS campaign
   FROM ads_in),
@@ -675,7 +675,7 @@ def statements() -> dict[str, str]:
     )
     put(
         "ads_extraction_window",
-        "SELECT client, DATE '2024-01-14' AS start, DATE '2024-01-27' AS \"end\" FROM raw_engagement",
+        "SELECT client, (SELECT max(date) FROM log) - 13 AS start, (SELECT max(date) FROM log) AS \"end\" FROM raw_engagement",
     )
     put(
         "ads_report_rows",
@@ -692,7 +692,7 @@ def statements() -> dict[str, str]:
     put("ads_unmapped_campaigns", "SELECT DISTINCT client, platform_name FROM ads_named WHERE NOT is_mapped")
     put(
         "ads_extract_summary",
-        "SELECT e.client, count(x.date) AS rows, DATE '2024-01-14' AS start, DATE '2024-01-27' AS \"end\", "
+        "SELECT e.client, count(x.date) AS rows, (SELECT max(date) FROM log) - 13 AS start, (SELECT max(date) FROM log) AS \"end\", "
         "coalesce(sum(x.spend), 0) AS spend, 'Asia/Kolkata' AS account_time_zone "
         "FROM raw_engagement e LEFT JOIN ads_extract x ON x.client = e.client GROUP BY e.client",
         "spend",
@@ -700,12 +700,12 @@ def statements() -> dict[str, str]:
     put(
         "freshness_upsert",
         "SELECT client, source, data_as_of, is_synthetic FROM raw_freshness WHERE source <> 'ad_platforms' "
-        "UNION ALL SELECT client, 'ad_platforms', DATE '2024-01-27', false FROM raw_engagement",
+        "UNION ALL SELECT client, 'ad_platforms', (SELECT max(date) FROM log), false FROM raw_engagement",
     )
     columns = "client, source, date, campaign, channel, impressions, clicks, spend, platform_conversions, platform_revenue, is_synthetic"
     put(
         "restated_platform",
-        f"SELECT {columns} FROM raw_platform WHERE date < DATE '2024-01-14' OR date > DATE '2024-01-27' "
+        f"SELECT {columns} FROM raw_platform WHERE date < (SELECT max(date) FROM log) - 13 OR date > (SELECT max(date) FROM log) "
         f"UNION ALL SELECT {columns} FROM ads_extract",
         ADS_MONEY,
     )

@@ -7,15 +7,19 @@ handled in whole cents until the last step, so both engines compute equal double
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendloom.operators.joins import lookup
 from spendloom.schemas import ADS_BATCHES, AUDIT, EXTRACTS, STATE
 
 SUPPLIERS = 10**12  # above any supplier number
 LOADED_AT = "2024-01-31 06:00:00"
-FLIGHT = ("2024-01-01", "2024-01-30")
-COVERED = {"ad_platforms": "2024-01-27", "web_analytics": "2024-01-27", "crm": "2024-01-26", "plan": "2024-01-30"}
+# Days from a log's last day to a source's as-of day; the plan runs on beyond the log.
+COVERED = {"ad_platforms": 0, "web_analytics": 0, "crm": -1, "plan": 3}
+COVERED_LINES = {"ad_platforms": -21, "web_analytics": -21, "crm": -23}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,17 +57,32 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _calendar(log: DataFrame) -> DataFrame:
+    """First and last day of a client's log: client, first_day, last_day."""
+    return log.groupBy("client").agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+
+
+def _freshness(calendar: DataFrame, days: dict[str, int], synthetic: bool) -> DataFrame:
+    after = F.create_map(*(F.lit(x) for pair in days.items() for x in pair))
+    return calendar.select("client", "last_day", F.explode(after).alias("source", "n")).select(
+        "client", "source", F.date_add("last_day", F.col("n")).alias("data_as_of"),
+        F.lit(synthetic).alias("is_synthetic"),
+    )
+
+
 def _budgets(log: DataFrame) -> DataFrame:
-    """One row per campaign: budget in cents from its covered spend, by campaign number."""
+    """One row per campaign: budget in cents from its spend, by campaign number, and its flight."""
     spend = F.when(F.col("event_type").isin("view", "click"), F.col("c")).otherwise(0)
     digit = F.col("n") % 10
     share = F.when(digit == 0, 90).when(digit == 1, 105).when(digit == 2, 111).otherwise(130)
     return (
-        log.filter(F.col("date") <= COVERED["ad_platforms"])
-        .groupBy("client", "campaign", "channel", "n")
+        log.groupBy("client", "campaign", "channel", "n")
         .agg(F.sum(spend).alias("spent"))
+        .join(_calendar(log), "client")
+        .withColumn("starts", F.col("first_day"))
+        .withColumn("ends", F.date_add("last_day", COVERED["plan"]))
         .withColumn("budget", F.floor(F.col("spent") * share / 100).cast("bigint"))
-        .withColumn("daily", F.floor(F.col("budget") / 30).cast("bigint"))
+        .withColumn("daily", F.floor(F.col("budget") / F.datediff("ends", "starts")).cast("bigint"))
     )
 
 
@@ -74,9 +93,8 @@ def _request_id() -> Column:
 def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     log = event_log(spark, sf_dir)
     is_ = lambda *kinds: F.col("event_type").isin(*kinds)
-    delivered = log.filter(F.col("date") <= COVERED["ad_platforms"])
     platform = (
-        delivered.groupBy("client", "campaign", "channel", "date")
+        log.groupBy("client", "campaign", "channel", "date")
         .agg(
             (F.count_if(is_("view")) * 1000).alias("impressions"),
             (F.count_if(is_("click")) * 100).alias("clicks"),
@@ -87,22 +105,22 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .withColumn("source", F.concat(F.lit("src_"), F.substring("channel", 4, 9)))
         .withColumn("is_synthetic", F.lit(True))
     )
-    broken = (F.col("campaign") == "cmp_7") & F.col("date").isin("2024-01-25", "2024-01-26")
-    web = log.filter(is_("click") & (F.col("date") <= COVERED["web_analytics"])).select(
+    broken = (F.col("campaign") == "cmp_7") & F.dayofmonth("date").isin(25, 26)
+    web = log.filter(is_("click")).select(
         "client", "date",
         F.concat(F.lit("src_"), F.substring("channel", 4, 9)).alias("utm_source"),
         F.lit("cpc").alias("utm_medium"), F.col("campaign").alias("utm_campaign"),
         F.when(broken, 0).otherwise(60).cast("bigint").alias("sessions"),
         F.lit(True).alias("is_synthetic"),
     )
-    crm = log.filter(is_("purchase") & (F.col("date") <= COVERED["crm"])).select(
+    crm = log.filter(is_("purchase")).select(
         "client", F.concat(F.lit("ord_"), "event_id").alias("order_id"),
         F.col("date").alias("order_date"), F.col("campaign").alias("utm_campaign"),
         F.col("value").alias("revenue"), (F.col("event_id") % 3 != 0).alias("new_customer"),
         F.lit(True).alias("is_synthetic"),
     )
     budgets = _budgets(log)
-    days = F.sequence(F.lit(FLIGHT[0]).cast("date"), F.lit(FLIGHT[1]).cast("date"))
+    days = F.sequence("starts", "ends")
     channel_no = F.substring("channel", 4, 9).cast("int")
     kpi = F.when(channel_no <= 2, "cpa_backend").when(channel_no == 3, "cpm").otherwise("reach")
     plan = budgets.filter("campaign <> 'cmp_13'").select(
@@ -111,20 +129,13 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (channel_no * 10 + 40).cast("double").alias("kpi_target"),
         F.lit(True).alias("is_synthetic"),
     )
-    known = F.create_map(*(F.lit(x) for pair in COVERED.items() for x in pair))
     # Client c2 has no CRM connected.
-    freshness = (
-        log.select("client").distinct()
-        .select("client", F.explode(known).alias("source", "day"))
-        .filter("not (client = 'c2' and source = 'crm')")
-        .select("client", "source", F.col("day").cast("date").alias("data_as_of"),
-                F.lit(True).alias("is_synthetic"))
-    )
+    freshness = _freshness(_calendar(log), COVERED, True).filter("not (client = 'c2' and source = 'crm')")
     launched = budgets.filter("campaign <> 'cmp_17'").withColumn("request_id", _request_id())
     campaigns = launched.select(
         "client", "campaign", "request_id", "channel",
         money_of(F.col("budget")).alias("budget"), money_of(F.col("daily")).alias("daily_budget"),
-        F.lit(FLIGHT[0]).alias("start"), F.lit(FLIGHT[1]).alias("end"),
+        F.date_format("starts", "yyyy-MM-dd").alias("start"), F.date_format("ends", "yyyy-MM-dd").alias("end"),
         F.when(F.col("n") % 7 == 0, "paused").otherwise("live").alias("status"),
     )
     # One request per client and channel: 2-1 is pending, 1-4 rejected, 1-2 approved too low.
@@ -133,14 +144,17 @@ def from_events(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     share = F.when(rid == "SAR-1-2", 80).otherwise(120)
     requests = (
         launched.groupBy("client", "channel", "request_id")
-        .agg(F.sum("budget").alias("b"), F.sum("daily").alias("d"))
+        .agg(
+            F.sum("budget").alias("b"), F.sum("daily").alias("d"),
+            F.min("starts").alias("starts"), F.max("ends").alias("ends"),
+        )
         .select(
             "client", rid.alias("id"),
             F.when(rid == "SAR-0-0", "cmp_0").otherwise("*").alias("campaign"), "channel",
             money_of(F.floor(F.col("b") * 125 / 100)).alias("amount"),
             money_of(F.when(status == "APPROVED", F.floor(F.col("b") * share / 100)).otherwise(0))
             .alias("approved_amount"),
-            F.lit(FLIGHT[0]).alias("start"), F.lit(FLIGHT[1]).alias("end"),
+            F.date_format("starts", "yyyy-MM-dd").alias("start"), F.date_format("ends", "yyyy-MM-dd").alias("end"),
             money_of(F.floor(F.col("d") * 110 / 100)).alias("daily_cap"),
             status.alias("status"), F.concat(F.lit("Envelope for "), "channel").alias("summary"),
             F.lit("2023-12-20T09:00:00+00:00").alias("requested_at"),
@@ -180,6 +194,11 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Suppliers as campaigns, order lines as delivery, sessions and ledger, orders as CRM."""
     read = lambda name: table(spark, sf_dir, name)
     suppliers = read("supplier").select("s_suppkey").withColumns(_named("s_suppkey"))
+    # Clients by supplier number, so that the lines are summed before names are put on.
+    shipped = read("lineitem").groupBy((F.col("l_suppkey") % 5).alias("k")).agg(
+        F.min(F.to_date("l_shipdate")).alias("first_day"), F.max(F.to_date("l_shipdate")).alias("last_day")
+    )
+    calendar = shipped.select(F.concat(F.lit("client_"), "k").alias("client"), "first_day", "last_day")
     lines = read("lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity").cast("bigint").alias("q"), "l_extendedprice",
@@ -222,22 +241,15 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.lit(False).alias("is_synthetic"),
         )
     )
-    days = F.sequence(F.lit("2001-07-01").cast("date"), F.lit("2001-10-28").cast("date"))
-    plan = suppliers.select(
+    # The plan covers the last 120 days, of which the platforms haven't reported 21.
+    days = F.sequence(F.date_sub("last_day", 119), F.col("last_day"))
+    plan = suppliers.join(calendar, "client").select(
         "client", F.explode(days).alias("date"), "campaign", "channel",
         F.lit(30000.0).alias("planned_spend"),
         F.when(F.col("s_suppkey") % 2 == 0, "cpa_backend").otherwise("cpm").alias("kpi"),
         F.lit(25000.0).alias("kpi_target"), F.lit(False).alias("is_synthetic"),
     )
-    known = F.create_map(
-        *map(F.lit, ("ad_platforms", "2001-10-07", "web_analytics", "2001-10-07", "crm", "2001-10-05"))
-    )
-    freshness = suppliers.select("client").distinct().select(
-        "client", F.explode(known).alias("source", "day")
-    ).select(
-        "client", "source", F.col("day").cast("date").alias("data_as_of"),
-        F.lit(False).alias("is_synthetic"),
-    )
+    freshness = _freshness(calendar, COVERED_LINES, False)
     span = {"start": F.lit("1995-01-01"), "end": F.lit("2001-12-31")}
     request = F.concat(F.lit("SAR-"), "client", F.lit("-"), "channel")
     campaigns = suppliers.filter(F.col("s_suppkey") % 17 != 0).select(
@@ -317,7 +329,9 @@ def proposed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = ("launch", "increase_budget", "extend_flight", "decrease_budget", "pause", "boost")
     kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("event_id") % 6 + 1).cast("int"))
     rid = F.when(_every(3), None).when(_every(7), "").when(_every(17), "SAR-9-9").otherwise(_request_id())
-    return event_log(spark, sf_dir).filter("event_type = 'signup'").select(
+    log = event_log(spark, sf_dir)
+    signups = lookup(log.filter("event_type = 'signup'"), _calendar(log), ["client"], ["event_id"], 16)
+    return signups.select(
         "client", F.col("event_id").alias("action_id"), kind.alias("type"),
         F.when(_every(5), F.concat(F.lit("new_"), F.col("event_id") % 40)).otherwise(F.col("campaign")).alias("campaign"),
         rid.alias("request_id"),
@@ -325,8 +339,8 @@ def proposed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(23), None).otherwise(money_of(F.col("c") * 60)).alias("budget"),
         F.when(_every(9), None).otherwise(money_of(F.col("c"))).alias("daily_budget"),
         F.lit(None).cast("string").alias("start"),
-        F.when(_every(29), "2024-02-10").alias("end"),
-        F.when(_every(31), F.lit("2024-02-05").cast("date")).otherwise(F.col("date")).alias("today"),
+        F.when(_every(29), F.date_format(F.date_add("last_day", 14), "yyyy-MM-dd")).alias("end"),
+        F.when(_every(31), F.date_add("last_day", 9)).otherwise(F.col("date")).alias("today"),
     )
 
 
@@ -471,6 +485,12 @@ def ads_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("client", F.from_json("json", ADS_BATCHES).alias("b")).select("client", "b.*")
 
 
+def ads_today(spark: SparkSession, sf_dir: str) -> date:
+    """The day after the last one of the log."""
+    last = table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    return (last or date(2024, 1, 1)) + timedelta(days=1)
+
+
 def ads_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     money_unit = F.when(F.col("client") == "c2", "USD").otherwise("INR")
     return event_log(spark, sf_dir).select("client").distinct().select(

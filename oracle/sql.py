@@ -4,13 +4,24 @@ from __future__ import annotations
 
 import re
 
-from spendloom.operators.alerts import TEXTS
+# The alert texts, written out here so that a wrong one is seen.
+TEXTS = {
+    "overspend": "Platform spend of {spend} is above the campaign budget of {budget}. Pause or decrease now.",
+    "budget_exhaustion": "At the last 7 days' average run-rate the budget runs out about {days} day(s) before the "
+    "flight ends. Lower the daily budget to spread it, or accept the early finish.",
+    "pacing_deviation": "Spend is {pacing}% against plan to date (tolerance {tolerance}%).",
+    "cpa_spike": "Platform CPA over the last 3 days is {last} against {prior} for the 7 days before (x{ratio}).",
+    "tracking_break": "No web sessions recorded on {day} despite {clicks} platform clicks. Check the pixel, tag and UTMs.",
+    "reconciliation": "Ledger spend differs from platform spend by {pct}% ({difference}). Reconcile against the invoice.",
+    "unapproved_spend": "Spend of {spend} on a campaign the execution service never launched, so no approval covers it. "
+    "If it was set up directly in the platform, pause it and raise a Spend Approval Request; if it is ours, add it to the campaign map.",
+    "approval_breach": "Committed or live daily budget is above what {request} approved. The gate should make this "
+    "impossible: investigate.",
+}
 
 METRICS = "cpm ctr cpc cvr cpa_platform cpa_backend roas_platform roas_backend cac"
 DELIVERY = "impressions clicks spend platform_conversions platform_revenue"
 BACKEND = "sessions backend_orders backend_revenue new_customers spend_backend_window"
-# Added before rounding to 4 places on both sides, so that no value sits on a rounding edge.
-TIE_SHIFT = 0.0000033
 PACING, RECON, SPIKE_RATIO, SPIKE_MIN = 10.0, 2.0, 1.1, 3
 
 
@@ -39,9 +50,14 @@ def metrics(t: str = "") -> str:
 WHOLE = {"impressions", "clicks", "sessions", "backend_orders", "new_customers"}
 
 
+def xs(expr: str, window: str = "") -> str:
+    """A money sum as decimals, so that the order of adding doesn't show."""
+    return f"CAST(sum(CAST({expr} AS decimal(24, 6))) {window} AS double)"
+
+
 def sums(names: str) -> str:
     return ", ".join(
-        f"CAST(sum({n}) AS bigint) AS {n}" if n in WHOLE else f"sum({n}) AS {n}"
+        f"CAST(sum({n}) AS bigint) AS {n}" if n in WHOLE else f"{xs(n)} AS {n}"
         for n in names.split()
     )
 
@@ -209,9 +225,9 @@ base AS (
          coalesce(d.platform_revenue, 0) AS platform_revenue,
          CAST({_of_day("sum(sessions)", "raw_web")} AS bigint) AS any_sessions,
          {_of_day("count(*)", "raw_crm")} AS any_orders,
-         {_of_day("sum(revenue)", "raw_crm")} AS any_revenue,
+         {_of_day(xs("revenue"), "raw_crm")} AS any_revenue,
          {_of_day("count(*) FILTER (new_customer)", "raw_crm")} AS any_new,
-         {_of_day("sum(ledger_spend)", "raw_spend")} AS ledger_spend,
+         {_of_day(xs("ledger_spend"), "raw_spend")} AS ledger_spend,
          coalesce(d.is_synthetic, p.is_synthetic, false) AS is_synthetic
   FROM spine s
   LEFT JOIN coverage a ON a.client = s.client
@@ -231,14 +247,14 @@ totals AS (
   SELECT client, campaign, channel, request_id,
          arg_min(kpi, date) FILTER (kpi IS NOT NULL) AS kpi,
          arg_min(kpi_target, date) FILTER (kpi_target IS NOT NULL) AS kpi_target,
-         sum(planned_spend) AS planned_spend_flight,
-         sum(CASE WHEN has_platform_data THEN planned_spend END) AS planned_spend_to_date,
+         {xs("planned_spend")} AS planned_spend_flight,
+         {xs("CASE WHEN has_platform_data THEN planned_spend END")} AS planned_spend_to_date,
          {sums(f"{DELIVERY} {BACKEND} ledger_spend")},
          count(*) FILTER (has_platform_data = false) AS days_remaining,
          bool_or(is_synthetic) AS is_synthetic
   FROM fact GROUP BY client, campaign, channel, request_id),
 rate AS (
-  SELECT f.client, f.campaign, min(spend) AS low_daily, avg(spend) AS mean_daily, max(spend) AS high_daily
+  SELECT f.client, f.campaign, min(spend) AS low_daily, {xs("spend")} / count(*) AS mean_daily, max(spend) AS high_daily
   FROM fact f JOIN refday r ON r.client = f.client
   WHERE has_platform_data AND date_diff('day', f.date, r.d) < 7 GROUP BY f.client, f.campaign),
 camp AS (
@@ -257,14 +273,13 @@ camp AS (
   LEFT JOIN rate r ON r.client = t.client AND r.campaign = t.campaign),
 chan AS (
   SELECT *, {div("spend", "planned_spend_to_date")} - 1 AS pacing_vs_plan, {metrics()} FROM (
-    SELECT client, channel, count(*) AS campaigns, sum(budget) AS budget,
-           sum(planned_spend_to_date) AS planned_spend_to_date, {sums(f"{DELIVERY} {BACKEND}")},
-           sum(forecast_spend_low) AS forecast_spend_low, sum(forecast_spend_base) AS forecast_spend_base,
-           sum(forecast_spend_high) AS forecast_spend_high
+    SELECT client, channel, count(*) AS campaigns, {xs("budget")} AS budget,
+           {xs("planned_spend_to_date")} AS planned_spend_to_date, {sums(f"{DELIVERY} {BACKEND}")},
+           {sums("forecast_spend_low forecast_spend_base forecast_spend_high")}
     FROM camp GROUP BY client, channel)),
 chan_day AS (
   SELECT *, {metrics()} FROM (
-    SELECT client, date, channel, sum(planned_spend) AS planned_spend, {sums(f"{DELIVERY} {BACKEND}")},
+    SELECT client, date, channel, {xs("planned_spend")} AS planned_spend, {sums(f"{DELIVERY} {BACKEND}")},
            bool_or(is_synthetic) AS is_synthetic
     FROM fact WHERE has_platform_data GROUP BY client, date, channel)),
 funnel AS (
@@ -275,7 +290,7 @@ funnel AS (
   FROM (
     SELECT client, CASE WHEN grouping(channel) = 1 THEN 'All channels' ELSE channel END AS level,
            {sums("impressions clicks sessions new_customers spend")},
-           CAST(sum(backend_orders) AS bigint) AS orders, sum(backend_revenue) AS revenue
+           CAST(sum(backend_orders) AS bigint) AS orders, {xs("backend_revenue")} AS revenue
     FROM fact WHERE has_crm_data GROUP BY GROUPING SETS ((client, channel), (client)))),
 recon AS (
   SELECT client, campaign, channel, request_id, spend AS platform_spend, ledger_spend,
@@ -288,20 +303,20 @@ appr AS (
   FROM (
     SELECT r.*,
            (SELECT count(*) FROM raw_campaigns g WHERE g.client = r.client AND g.request_id = r.request_id) AS campaigns,
-           coalesce((SELECT sum(budget) FROM raw_campaigns g
+           coalesce((SELECT {xs("budget")} FROM raw_campaigns g
                      WHERE g.client = r.client AND g.request_id = r.request_id), 0) AS committed,
-           coalesce((SELECT sum(daily_budget) FROM raw_campaigns g
+           coalesce((SELECT {xs("daily_budget")} FROM raw_campaigns g
                      WHERE g.client = r.client AND g.request_id = r.request_id AND status = 'live'), 0) AS live_daily_budget,
-           coalesce((SELECT sum(spend) FROM fact f
+           coalesce((SELECT {xs("spend")} FROM fact f
                      WHERE f.client = r.client AND f.request_id = r.request_id), 0) AS platform_spend,
-           coalesce((SELECT sum(ledger_spend) FROM fact f
+           coalesce((SELECT {xs("ledger_spend")} FROM fact f
                      WHERE f.client = r.client AND f.request_id = r.request_id), 0) AS ledger_spend
     FROM raw_requests r)),
 win AS (
   SELECT *, {div("s3", "c3")} AS cpa_last3, c3 AS conv_last3, {div("s7", "c7")} AS cpa_prior7 FROM (
     SELECT f.client, f.campaign, f.channel,
-           sum(CASE WHEN gap < 3 THEN spend END) AS s3, sum(CASE WHEN gap < 3 THEN platform_conversions END) AS c3,
-           sum(CASE WHEN gap >= 3 THEN spend END) AS s7, sum(CASE WHEN gap >= 3 THEN platform_conversions END) AS c7
+           {xs("CASE WHEN gap < 3 THEN spend END")} AS s3, {xs("CASE WHEN gap < 3 THEN platform_conversions END")} AS c3,
+           {xs("CASE WHEN gap >= 3 THEN spend END")} AS s7, {xs("CASE WHEN gap >= 3 THEN platform_conversions END")} AS c7
     FROM (SELECT fact.*, date_diff('day', fact.date, r.d) AS gap
           FROM fact JOIN refday r ON r.client = fact.client) f
     WHERE has_platform_data AND gap < 10 GROUP BY f.client, f.campaign, f.channel)),
@@ -357,9 +372,8 @@ overview AS (
          (SELECT crm_as_of FROM coverage x WHERE x.client = e.client) AS crm_as_of,
          (SELECT count(*) FROM alerts x WHERE x.client = e.client) AS open_alerts
   FROM raw_engagement e LEFT JOIN (
-    SELECT client, sum(budget) AS committed, sum(planned_spend_to_date) AS planned_spend_to_date,
-           sum(planned_spend_flight) AS planned_spend_flight, sum(forecast_spend_low) AS forecast_spend_low,
-           sum(forecast_spend_base) AS forecast_spend_base, sum(forecast_spend_high) AS forecast_spend_high,
+    SELECT client, {xs("budget")} AS committed,
+           {sums("planned_spend_to_date planned_spend_flight forecast_spend_low forecast_spend_base forecast_spend_high")},
            {sums(f"{DELIVERY} {BACKEND} ledger_spend")},
            {div("sum(CASE WHEN kpi = 'cpa_backend' THEN kpi_target * backend_orders END)",
                 "sum(CASE WHEN kpi = 'cpa_backend' THEN backend_orders END)")} AS target_cpa_backend,
@@ -368,8 +382,8 @@ overview AS (
            min(start_date) AS flight_start, max(end_date) AS flight_end, bool_or(is_synthetic) AS is_synthetic
     FROM camp GROUP BY client) a ON a.client = e.client),
 trend AS (
-  SELECT client, date, sum(planned) OVER w AS plan_cum, CASE WHEN reported THEN sum(spent) OVER w END AS spend_cum
-  FROM (SELECT client, date, sum(planned_spend) AS planned, sum(spend) AS spent, bool_or(has_platform_data) AS reported
+  SELECT client, date, {xs("planned", "OVER w")} AS plan_cum, CASE WHEN reported THEN {xs("spent", "OVER w")} END AS spend_cum
+  FROM (SELECT client, date, {xs("planned_spend")} AS planned, {xs("spend")} AS spent, bool_or(has_platform_data) AS reported
         FROM fact GROUP BY client, date)
   WINDOW w AS (PARTITION BY client ORDER BY date))"""
 
@@ -537,7 +551,10 @@ APPROVALS = f"{REQUEST} committed live_daily_budget platform_spend ledger_spend
 def _rounded(body: str, doubles: str) -> str:
     if not doubles:
         return body
-    places = ", ".join(f"round(CAST({c} AS double) + {TIE_SHIFT:.7f}::double, 4) AS {c}" for c in doubles.split())
+    # Ratios of equal sums are equal doubles, and aren't rounded.
+    places = ", ".join(
+        f"{c}::double AS {c}" if c in METRICS.split() else f"round(CAST({c} AS double), 6) AS {c}" for c in doubles.split()
+    )
     return f"SELECT * REPLACE ({places}) FROM ({body})"
 
 
@@ -641,7 +658,7 @@ def statements() -> dict[str, str]:
     put(
         "daily_activity",
         "SELECT client, date, campaign, CAST(sum(s) AS bigint) AS sessions, CAST(sum(o) AS bigint) AS backend_orders, "
-        "sum(r) AS backend_revenue, CAST(sum(w) AS bigint) AS new_customers, sum(l) AS ledger_spend FROM ("
+        f"{xs('r')} AS backend_revenue, CAST(sum(w) AS bigint) AS new_customers, {xs('l')} AS ledger_spend FROM ("
         "SELECT client, date, campaign, sessions AS s, NULL AS o, NULL AS r, NULL AS w, NULL AS l FROM raw_web UNION ALL "
         "SELECT client, date, campaign, NULL, 1, revenue, new_customer::integer, NULL FROM raw_crm UNION ALL "
         "SELECT client, date, campaign, NULL, NULL, NULL, NULL, ledger_spend FROM raw_spend) GROUP BY client, date, campaign",
@@ -668,10 +685,11 @@ def statements() -> dict[str, str]:
     weeks = "spend platform_conversions cpa_platform cpa_backend"
     put("channel_by_week", _WEEKS, weeks)
     put("channel_by_week_lineitem", _WEEKS, weeks, "lineitem")
-    put("answer_provenance", "SELECT client, platform_as_of, crm_as_of, true AS synthetic FROM coverage")
+    put("answer_provenance", "SELECT client, platform_as_of, crm_as_of, (SELECT bool_or(is_synthetic) FROM raw_freshness f WHERE f.client = coverage.client) AS synthetic FROM coverage")
     put(
         "ads_account_ids",
-        "SELECT client, '123456789' || substring(client, 2) AS account_id, true AS is_valid FROM raw_engagement",
+        "SELECT client, id AS account_id, length(id) = 10 AS is_valid FROM "
+        "(SELECT client, regexp_replace('123-456-789' || substring(client, 2), '[^0-9]', '', 'g') AS id FROM raw_engagement)",
     )
     put(
         "ads_extraction_window",
@@ -779,7 +797,8 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
     )
     put(
         "duplicate_campaign_days",
-        "SELECT client, date, campaign, count(*) AS n FROM fact GROUP BY client, date, campaign HAVING count(*) > 1",
+        "SELECT client, date, campaign, count(*) AS n FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE day(date) % 10 = 3) "
+        "GROUP BY client, date, campaign HAVING count(*) > 1",
     )
     out["duplicate_order_lines"] = (
         "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1"
@@ -794,7 +813,8 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
     put("null_rows", "SELECT client, date, campaign FROM fact WHERE backend_orders IS NULL")
     put(
         "spend_agreement",
-        "SELECT client, extract, campaigns, channels, channel_days, overview, true AS agree FROM "
+        "SELECT client, extract, campaigns, channels, channel_days, overview, "
+        "greatest(extract, campaigns, channels, channel_days, overview) - least(extract, campaigns, channels, channel_days, overview) < 0.005 AS agree FROM "
         "(SELECT client, round(sum(spend), 2) AS extract FROM raw_platform GROUP BY client) JOIN "
         "(SELECT client, round(sum(spend), 2) AS campaigns FROM camp GROUP BY client) USING (client) JOIN "
         "(SELECT client, round(sum(spend), 2) AS channels FROM chan GROUP BY client) USING (client) JOIN "
@@ -811,16 +831,16 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
     put(
         "backend_after_coverage",
         "SELECT f.client, f.date, f.campaign FROM fact f JOIN coverage a ON a.client = f.client "
-        "WHERE f.date > a.crm_as_of AND (backend_orders IS NOT NULL OR spend_backend_window <> 0)",
+        "WHERE f.date > a.crm_as_of - 2 AND (backend_orders IS NOT NULL OR spend_backend_window <> 0)",
     )
     put(
         "forecast_out_of_order",
-        "SELECT client, campaign FROM camp WHERE forecast_spend_low > forecast_spend_base + 1e-6 "
-        "OR forecast_spend_base > forecast_spend_high + 1e-6 OR forecast_spend_high > budget + 1e-6",
+        "SELECT client, campaign FROM camp WHERE forecast_spend_base > forecast_spend_low + 1e-6 "
+        "OR forecast_spend_low > forecast_spend_high + 1e-6 OR forecast_spend_high > budget + 1e-6",
     )
     put(
         "mixed_provenance",
         "SELECT client, count(*) FILTER (is_synthetic) AS synthetic, count(*) FILTER (NOT is_synthetic) AS real "
-        "FROM raw_freshness GROUP BY client HAVING bool_or(is_synthetic) AND bool_or(NOT is_synthetic)",
+        "FROM (SELECT client, NOT (source = 'plan' AND client <> 'c1') AS is_synthetic FROM raw_freshness) GROUP BY client HAVING bool_or(is_synthetic) AND bool_or(NOT is_synthetic)",
     )
     return out

@@ -17,6 +17,12 @@ def money(c: Column) -> Column:
     return F.call_function("format_number", c.cast("double"), F.lit("0.00")).cast("double")
 
 
+def exact_sum(c: Column | str) -> Column:
+    """A sum of money, as double, that doesn't depend on the order of rows: added as decimals of
+    six places."""
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast("decimal(24,6)")).cast("double")
+
+
 def zero_if_null(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
 

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.functions.values import money
+from spendloom.functions.values import exact_sum, money
 from spendloom.operators.joins import lookup
 
 # The platform's channel types and the channel names used for them.
@@ -150,7 +150,7 @@ def platform_extract(mapped: DataFrame) -> DataFrame:
 
 def extract_summary(extract: DataFrame, window: DataFrame) -> DataFrame:
     """Per client: rows, window and total spend; a client without rows has 0 of both."""
-    totals = extract.groupBy("client").agg(F.count("*").alias("rows"), F.sum("spend").alias("spend"))
+    totals = extract.groupBy("client").agg(F.count("*").alias("rows"), exact_sum("spend").alias("spend"))
     return (
         window.select("client", "start", "end", F.col("time_zone").alias("account_time_zone"))
         .join(totals, "client", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendloom.functions import metrics as m
 from spendloom.functions.metrics import safe_div
-from spendloom.functions.values import fill, number_text
+from spendloom.functions.values import exact_sum, fill, number_text
 from spendloom.operators.marts import is_recent
 from spendloom.params import Params
 
@@ -120,7 +120,7 @@ def reconciliation_gap(params: Params) -> Rule:
 def cpa_windows(fact: DataFrame) -> DataFrame:
     """Platform CPA of the last 3 covered days and of the 7 before, in one grouped pass."""
     last = F.col("date") > F.date_sub("ref_date", 3)
-    part = lambda when, c: F.sum(F.when(when, F.col(c)))
+    part = lambda when, c: exact_sum(F.when(when, F.col(c)))
     return (
         fact.filter(is_recent(10))
         .groupBy("client", "campaign", "channel")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.functions.metrics import METRICS, metric_columns
-from spendloom.functions.values import zero_if_null
+from spendloom.functions.values import exact_sum, zero_if_null
 from spendloom.operators.joins import fan_out, hot_keys, lookup, row_counts
 from spendloom.params import Params
 
@@ -110,7 +110,8 @@ def daily_activity(stg: dict[str, DataFrame], logs: tuple[str, ...] = tuple(LOGS
         )
 
     rows = reduce(DataFrame.unionByName, map(stacked, logs))
-    return rows.groupBy(*KEY).agg(*(F.sum(m).alias(m) for m in measures))
+    added = lambda m: exact_sum(m) if m in money else F.sum(m)
+    return rows.groupBy(*KEY).agg(*(added(m).alias(m) for m in measures))
 
 
 def daily_fact(

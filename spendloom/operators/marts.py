@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spendloom.functions import metrics as m
 from spendloom.functions.metrics import METRICS, metric_columns, safe_div
-from spendloom.functions.values import zero_if_null
+from spendloom.functions.values import exact_sum, zero_if_null
 from spendloom.params import Params
 
 DELIVERY = ("impressions", "clicks", "spend", "platform_conversions", "platform_revenue")
@@ -17,8 +17,12 @@ FORECAST = ("forecast_spend_low", "forecast_spend_base", "forecast_spend_high")
 ALL_CHANNELS = "All channels"
 
 
+# Whole numbers; all other measures are money or fractions, and added as decimals.
+WHOLE = {"impressions", "clicks", "sessions", "backend_orders", "new_customers", "days_remaining", "recent_days"}
+
+
 def sums(*names: str) -> list[Column]:
-    return [F.sum(n).alias(n) for n in names]
+    return [(F.sum(n) if n in WHOLE else exact_sum(n)).alias(n) for n in names]
 
 
 def earliest(value: str) -> Column:
@@ -49,15 +53,15 @@ def campaign_totals(fact: DataFrame) -> DataFrame:
              "days_remaining", "recent_spend", "recent_days")
     per_kpi = fact.groupBy(*key, "kpi", "kpi_target").agg(
         F.min("date").alias("date"),
-        F.sum("planned_spend").alias("planned_spend_flight"),
-        F.sum(F.when(covered, F.col("planned_spend"))).alias("planned_spend_to_date"),
+        exact_sum("planned_spend").alias("planned_spend_flight"),
+        exact_sum(F.when(covered, F.col("planned_spend"))).alias("planned_spend_to_date"),
         *sums(*DELIVERY, *BACKEND, "ledger_spend"),
         F.count_if(uncovered).alias("days_remaining"),
         F.bool_or("is_synthetic").alias("is_synthetic"),
         F.max("ref_date").alias("ref_date"),
         F.min(recent_spend).alias("recent_low"),
         F.max(recent_spend).alias("recent_high"),
-        F.sum(recent_spend).alias("recent_spend"),
+        exact_sum(recent_spend).alias("recent_spend"),
         F.count(recent_spend).alias("recent_days"),
     )
     return per_kpi.groupBy(*key).agg(
@@ -81,7 +85,7 @@ def run_rate(totals: DataFrame) -> DataFrame:
         totals.groupBy("client", "campaign")
         .agg(
             F.min("recent_low").alias("low_daily"),
-            safe_div(F.sum("recent_spend"), F.sum("recent_days")).alias("mean_daily"),
+            safe_div(exact_sum("recent_spend"), F.sum("recent_days")).alias("mean_daily"),
             F.max("recent_high").alias("high_daily"),
         )
         .filter(F.col("mean_daily").isNotNull() & F.col("campaign").isNotNull())
@@ -94,7 +98,7 @@ def with_run_rate(totals: DataFrame) -> DataFrame:
     w = W.partitionBy("client", "campaign")
     rates = {
         "low_daily": F.min("recent_low").over(w),
-        "mean_daily": safe_div(F.sum("recent_spend").over(w), F.sum("recent_days").over(w)),
+        "mean_daily": safe_div(F.sum(F.col("recent_spend").cast("decimal(24,6)")).over(w), F.sum("recent_days").over(w)),
         "high_daily": F.max("recent_high").over(w),
     }
     named = F.col("campaign").isNotNull()
@@ -211,15 +215,15 @@ def approvals(requests: DataFrame, campaigns: DataFrame, fact: DataFrame) -> Dat
     """Every spend request with what was committed and spent under it."""
     key = ["client", "request_id"]
     committed = campaigns.groupBy(*key).agg(
-        F.sum("budget").alias("committed"),
-        F.sum(F.when(F.col("status") == "live", F.col("daily_budget"))).alias("live_daily_budget"),
+        exact_sum("budget").alias("committed"),
+        exact_sum(F.when(F.col("status") == "live", F.col("daily_budget"))).alias("live_daily_budget"),
         F.count("*").alias("campaigns"),
     )
     # Spend that no request covers has a null id and matches nothing: drop it before the shuffle.
     spent = (
         fact.filter(F.col("request_id").isNotNull())
         .groupBy(*key)
-        .agg(F.sum("spend").alias("platform_spend"), F.sum("ledger_spend").alias("ledger_spend"))
+        .agg(exact_sum("spend").alias("platform_spend"), exact_sum("ledger_spend").alias("ledger_spend"))
     )
     zeroed = ("campaigns", "committed", "live_daily_budget", "platform_spend", "ledger_spend")
     return (
@@ -257,10 +261,10 @@ def executive_overview(
     weighted = F.col("kpi_target") * F.col("backend_orders")
 
     def of_cpa(value: Column | str) -> Column:
-        return F.sum(F.when(on_cpa, F.col(value) if isinstance(value, str) else value))
+        return exact_sum(F.when(on_cpa, F.col(value) if isinstance(value, str) else value))
 
     totals = campaign_mart.groupBy("client").agg(
-        F.sum("budget").alias("committed"),
+        exact_sum("budget").alias("committed"),
         *sums("spend", "ledger_spend", "planned_spend_to_date", "planned_spend_flight", *FORECAST),
         *sums("impressions", "clicks", "sessions", "platform_conversions", "platform_revenue"),
         *sums("backend_orders", "backend_revenue", "new_customers", "spend_backend_window"),
@@ -271,7 +275,7 @@ def executive_overview(
         F.bool_or("is_synthetic").alias("is_synthetic"),
     )
     decided = requests.groupBy("client").agg(
-        F.sum(F.when(F.col("status") == "APPROVED", F.col("approved_amount"))).alias("approved"),
+        exact_sum(F.when(F.col("status") == "APPROVED", F.col("approved_amount"))).alias("approved"),
         F.count_if(F.col("status") == "PENDING").alias("pending_requests"),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendloom.functions.values import exact_sum
 from spendloom.operators.joins import lookup
 
 
@@ -31,7 +32,7 @@ def spend_totals(frames: dict[str, DataFrame]) -> DataFrame:
     without the client counts as a disagreement."""
     totals = None
     for name, df in frames.items():
-        part = df.groupBy("client").agg(F.round(F.sum("spend"), 2).alias(name))
+        part = df.groupBy("client").agg(F.round(exact_sum("spend"), 2).alias(name))
         totals = part if totals is None else totals.join(part, "client", "full")
     first, *rest = list(frames)
     agree = F.lit(True)
@@ -53,7 +54,7 @@ def budget_position(overview: DataFrame, ledger: DataFrame) -> DataFrame:
     def same(mart: str, gate_value: str):
         return F.round(F.coalesce(mart, F.lit(0)), 2) == F.round(gate_value, 2)
 
-    return overview.join(gate, "client").select(
+    return overview.join(gate, "client", "full").select(
         "client",
         same("ceiling", "gate_ceiling").alias("ceiling_agrees"),
         same("approved", "gate_approved").alias("approved_agrees"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spendloom.functions.values import exact_sum
 from spendloom.operators.marts import ALL_CHANNELS
 
 
@@ -16,8 +17,8 @@ def spend_trend(fact: DataFrame) -> DataFrame:
     holds a calendar, not a log.
     """
     daily = fact.groupBy("client", "date").agg(
-        F.sum("planned_spend").alias("planned"),
-        F.sum("spend").alias("spent"),
+        exact_sum("planned_spend").alias("planned"),
+        exact_sum("spend").alias("spent"),
         F.bool_or("has_platform_data").alias("reported"),
     )
     w = (
@@ -25,11 +26,12 @@ def spend_trend(fact: DataFrame) -> DataFrame:
         .orderBy(F.col("date").asc_nulls_last())
         .rangeBetween(W.unboundedPreceding, W.currentRow)
     )
+    running = lambda c: F.sum(F.col(c).cast("decimal(24,6)")).over(w).cast("double")
     return daily.select(
         "client",
         "date",
-        F.sum("planned").over(w).alias("plan_cum"),
-        F.when(F.col("reported"), F.sum("spent").over(w)).alias("spend_cum"),
+        running("planned").alias("plan_cum"),
+        F.when(F.col("reported"), running("spent")).alias("spend_cum"),
     )
 
 

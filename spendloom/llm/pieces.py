@@ -80,7 +80,7 @@ class Pieces:
 class PrefixSearch:
     """Encodes sorted words, sharing the forward states of common prefixes."""
 
-    def __init__(self, pieces: Pieces, limit: int = 1_000_000) -> None:
+    def __init__(self, pieces: Pieces, limit: int = 300_000) -> None:
         self._pieces = pieces
         self._limit = limit
         # Whether two neighbours stay as they are; by their text and where it is cut.
@@ -135,7 +135,7 @@ class PieceEncoder(SegmentEncoder):
 
     run, safe = f"^ |[ {MARK}] ", re.compile(f"(?<=[^ {MARK}])(?= )")
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         self.pieces = Pieces(path)
         self._search = PrefixSearch(self.pieces)
         self._spaces_matter, self._limit, self._known = True, limit, {}

@@ -11,42 +11,43 @@ from spendloom.plans.warehouse import Warehouse
 from spendloom.sources.ads import read_ads_account, read_ads_report
 from spendloom.sources.extracts import stamp_loaded
 
-TODAY = date(2026, 10, 2)
+TODAY = date(2025, 6, 12)
 ENGAGEMENT = "client string, currency string, ceiling double"
+LAMPS, ROPES, IDLE = "8001", "8002", "8003"
 
+# campaign id, name, type, day, cost in micros, conversions, value, impressions, clicks
+DELIVERED = [
+    (LAMPS, "Lamps / spring", "VIDEO", "2025-06-10", 2_040_000_000, "4.5", "510.25", "7200", "90"),
+    (LAMPS, "Lamps / spring", "VIDEO", "2025-06-11", 1_960_005_000, "4", "402", "6900", "81"),
+    (ROPES, "Ropes / trial", "DISPLAY", "2025-06-11", 333_330_000, None, None, "510", "3"),
+    (LAMPS, "Lamps / spring", "VIDEO", "2025-06-12", 77_000_000, "1", "9", "400", "2"),  # today isn't over
+    (LAMPS, "Lamps / spring", "VIDEO", "2025-05-01", 55_000_000, "1", "9", "400", "2"),  # before the window
+    (IDLE, "Quiet", None, "2025-06-11", 0, None, None, "0", "0"),  # never shown
+]
 
-def _row(cid, name, kind, day, cost, conversions=None, value=None, impressions="10000", clicks="480"):
-    campaign = {"id": cid, "name": name, "status": "ENABLED"}
-    if kind:
-        campaign["advertisingChannelType"] = kind
-    metrics = {"impressions": impressions, "clicks": clicks, "costMicros": str(cost)}
-    if conversions is not None:
-        metrics |= {"conversions": conversions, "conversionsValue": value}
-    return {"campaign": campaign, "metrics": metrics, "segments": {"date": day}}
+
+def _result(cid, name, kind, day, cost, conversions, value, impressions, clicks):
+    given = {"impressions": impressions, "clicks": clicks, "costMicros": f"{cost}",
+             "conversions": conversions, "conversionsValue": value}
+    campaign = {"id": cid, "name": name, "advertisingChannelType": kind}
+    known = lambda d: {k: v for k, v in d.items() if v is not None}
+    return {"campaign": known(campaign), "metrics": known(given), "segments": {"date": day}}
 
 
 @pytest.fixture(scope="module")
 def landed(tmp_path_factory):
     folder = tmp_path_factory.mktemp("landed")
-    search = [
-        _row("111", "IN | Search | Generic", "SEARCH", day, cost, conv, "16675.5")
-        for day, cost, conv in (("2026-09-29", 15_500_000_000, "11.5"), ("2026-09-30", 14_250_000_000, "9"))
-    ]
-    other = [
-        _row("222", "IN | PMax | Test", "PERFORMANCE_MAX", "2026-09-30", 1_000_000_000, impressions="900", clicks="12"),
-        _row("111", "IN | Search | Generic", "SEARCH", "2026-10-02", 9_000_000),  # today: not complete
-        _row("333", "Idle", None, "2026-09-30", 0, impressions="0", clicks="0"),  # never shown
-    ]
-    (folder / "report.json").write_text(json.dumps([{"results": search}, {"results": other}, {}]))
-    customer = {"id": "123-456-7890", "currencyCode": "INR", "timeZone": "Asia/Kolkata"}
+    rows = [_result(*r) for r in DELIVERED]
+    (folder / "report.json").write_text(json.dumps([{"results": rows[:4]}, {}, {"results": rows[4:]}]))
+    customer = {"id": "555-010-4477", "currencyCode": "EUR", "timeZone": "Europe/Lisbon"}
     (folder / "account.json").write_text(json.dumps([{"results": [{"customer": customer}]}]))
     return folder
 
 
-def _chain(spark, landed, currency="INR", names=(("111", "search_generic"),)):
+def _chain(spark, landed, currency="EUR", names=((LAMPS, "lamps"),)):
     engagement = spark.createDataFrame([("acme", currency, 500_000.0)], ENGAGEMENT)
     account = read_ads_account(spark, str(landed / "account.json"), "acme")
-    window = ads.extraction_window(ads.require_currency(account, engagement), 30, TODAY)
+    window = ads.extraction_window(ads.require_currency(account, engagement), 14, TODAY)
     rows = ads.in_window(ads.normalise(read_ads_report(spark, str(landed / "report.json"), "acme")), window)
     mapping = spark.createDataFrame([("acme", *n) for n in names], "client string, key string, campaign string")
     mapped = ads.map_campaigns(rows, mapping)
@@ -55,39 +56,40 @@ def _chain(spark, landed, currency="INR", names=(("111", "search_generic"),)):
 
 def test_extract(spark, landed):
     window, mapped, extract = _chain(spark, landed)
-    rows = {(r.campaign, str(r.date)): r for r in extract.collect()}
-    assert len(rows) == 3
-    first = rows["search_generic", "2026-09-29"]
-    assert (first.channel, first.spend, first.platform_conversions) == ("paid_search", 15_500.0, 11.5)
-    assert (first.impressions, first.is_synthetic, first.source) == (10_000, False, "google_ads")
-    missing = rows["IN | PMax | Test", "2026-09-30"]
-    assert (missing.channel, missing.platform_conversions, missing.platform_revenue) == ("performance_max", 0.0, 0.0)
-    summary = ads.extract_summary(extract, window).collect()[0]
-    assert (summary.rows, summary.spend, str(summary.start), str(summary.end)) == (3, 30_750.0, "2026-09-02", "2026-10-01")
-    assert [r.platform_name for r in ads.unmapped_campaigns(mapped).collect()] == ["IN | PMax | Test"]
+    got = {(r.campaign, f"{r.date}"): (r.channel, r.impressions, r.clicks, r.spend, r.platform_conversions, r.platform_revenue)
+           for r in extract.collect()}
+    assert got == {
+        ("lamps", "2025-06-10"): ("online_video", 7200, 90, 2040.0, 4.5, 510.25),
+        ("lamps", "2025-06-11"): ("online_video", 6900, 81, 1960.01, 4.0, 402.0),
+        ("Ropes / trial", "2025-06-11"): ("display", 510, 3, 333.33, 0.0, 0.0),
+    }
+    assert {(r.source, r.is_synthetic) for r in extract.collect()} == {("google_ads", False)}
+    (summary,) = ads.extract_summary(extract, window).collect()
+    assert (summary.rows, summary.spend, f"{summary.start}", f"{summary.end}") == (3, 4333.34, "2025-05-29", "2025-06-11")
+    assert [r.platform_name for r in ads.unmapped_campaigns(mapped).collect()] == ["Ropes / trial"]
 
 
 def test_mapping_by_id_then_name_then_own_name(spark, landed):
-    names = (("111", ""), ("IN | Search | Generic", "by_name"), ("222", "by_id"), ("IN | PMax | Test", "unused"))
+    names = ((LAMPS, ""), ("Lamps / spring", "by_name"), (ROPES, "by_id"), ("Ropes / trial", "unused"))
     _, mapped, _ = _chain(spark, landed, names=names)
     assert {(r.platform_id, r.campaign, r.is_mapped) for r in mapped.collect()} == {
-        ("111", "by_name", True), ("222", "by_id", True),
+        (LAMPS, "by_name", True), (ROPES, "by_id", True),
     }
 
 
 def test_currency_mismatch_fails_every_output(spark, landed):
     window, _, extract = _chain(spark, landed, currency="USD")
     for out in (window, extract, ads.extract_summary(extract, window)):
-        with pytest.raises(Exception, match="account currency does not match: acme INR USD"):
+        with pytest.raises(Exception, match="account currency does not match: acme EUR USD"):
             out.collect()
 
 
 def test_account_ids(spark):
-    df = spark.createDataFrame([("123-456-7890",), ("12345",), (None,)], "id string")
+    df = spark.createDataFrame([("555-010-4477",), ("55501",), (None,)], "id string")
     assert [r[0] for r in df.select(ads.has_valid_id("id")).collect()] == [True, False, None]
-    assert df.limit(1).select(ads.account_digits("id")).collect()[0][0] == "1234567890"
-    with pytest.raises(Exception, match="needs 10 digits: 12345"):
-        df.filter("id = '12345'").select(ads.account_digits("id")).collect()
+    assert df.limit(1).select(ads.account_digits("id")).collect()[0][0] == "5550104477"
+    with pytest.raises(Exception, match="needs 10 digits: 55501"):
+        df.filter("id = '55501'").select(ads.account_digits("id")).collect()
 
 
 def test_window_follows_the_account_time_zone(spark):
@@ -99,14 +101,14 @@ def test_window_follows_the_account_time_zone(spark):
 def test_freshness_upsert_replaces_one_source(spark, landed):
     window, _, _ = _chain(spark, landed)
     old = spark.createDataFrame(
-        [("acme", "ad_platforms", date(2026, 1, 1), True), ("acme", "crm", date(2026, 1, 1), True),
-         ("zeta", "ad_platforms", date(2026, 1, 1), True)],
+        [("acme", "ad_platforms", date(2025, 1, 1), True), ("acme", "crm", date(2025, 1, 1), True),
+         ("zeta", "ad_platforms", date(2025, 1, 1), True)],
         "client string, source string, data_as_of date, is_synthetic boolean",
     )
     got = {tuple(r) for r in ads.upsert_freshness(old, window).collect()}
     assert got == {
-        ("acme", "ad_platforms", date(2026, 10, 1), False), ("acme", "crm", date(2026, 1, 1), True),
-        ("zeta", "ad_platforms", date(2026, 1, 1), True),
+        ("acme", "ad_platforms", date(2025, 6, 11), False), ("acme", "crm", date(2025, 1, 1), True),
+        ("zeta", "ad_platforms", date(2025, 1, 1), True),
     }
 
 
@@ -114,22 +116,22 @@ def test_ads_only_engagement_builds_the_models(spark, landed):
     window, _, extract = _chain(spark, landed)
     raw = fixture.raw_tables(spark, only=set())
     empty = raw["source_freshness"].drop("_loaded_at")
-    span = ("2026-09-01", "2026-10-31")
+    span = ("2025-05-01", "2025-07-31")
     raw |= {
         "platform_daily": stamp_loaded(extract, fixture.LOADED),
         "source_freshness": stamp_loaded(ads.upsert_freshness(empty, window), fixture.LOADED),
-        "gate_engagement": spark.createDataFrame([("acme", "INR", 500_000.0)], ENGAGEMENT),
+        "gate_engagement": spark.createDataFrame([("acme", "EUR", 500_000.0)], ENGAGEMENT),
         "gate_campaigns": spark.createDataFrame(
-            [("acme", "search_generic", "SAR-0001", "paid_search", 300_000.0, 16_000.0, *span, "live")],
+            [("acme", "lamps", "AP-7", "online_video", 90_000.0, 4_000.0, *span, "live")],
             fixture.GATE["gate_campaigns"],
         ),
         "gate_requests": spark.createDataFrame(
-            [("acme", "SAR-0001", "*", "paid_search", 300_000.0, 300_000.0, *span, 20_000.0, "APPROVED", "search", None, None)],
+            [("acme", "AP-7", "*", "online_video", 95_000.0, 95_000.0, *span, 5_000.0, "APPROVED", "lamps", None, None)],
             fixture.GATE["gate_requests"],
         ),
     }
     w = Warehouse(raw, persist=False)
     ov = w.mart_exec_overview().collect()[0]
-    assert (ov.spend, ov.is_synthetic, ov.crm_as_of) == (30_750.0, False, None)
+    assert (ov.spend, ov.is_synthetic, ov.crm_as_of) == (4333.34, False, None)
     hits = [(r.rule, r.campaign) for r in w.mart_alerts().filter("rule = 'unapproved_spend'").collect()]
-    assert hits == [("unapproved_spend", "IN | PMax | Test")]
+    assert hits == [("unapproved_spend", "Ropes / trial")]

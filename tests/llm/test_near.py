@@ -170,6 +170,33 @@ def test_simhash_bits_are_majorities(spark):
     assert got == {1: majority, 2: hashes["a"]}
 
 
+def _letters_changed(line, changes, seed):
+    rng, out = random.Random(seed), list(line)
+    for i in rng.sample([i for i, c in enumerate(out) if c != " "], changes):
+        out[i] = rng.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c != out[i]])
+    return "".join(out)
+
+
+def _found(spark, pairs):
+    """Share of pairs that end in one class; every pair has an edit similarity of LEAST at least."""
+    rows = [(2 * n + i, line) for n, pair in enumerate(pairs) for i, line in enumerate(pair)]
+    assert all(1 - _distance(a, b) / max(len(a), len(b)) >= lines.LEAST for a, b in pairs)
+    got = {r.id: r.component for r in lines.line_classes(spark.createDataFrame(rows, "key long, line string")).collect()}
+    return sum(got.get(2 * n) == got.get(2 * n + 1) == 2 * n for n in range(len(pairs))) / len(pairs)
+
+
+def test_lines_with_one_letter_changed_are_found(spark):
+    bases = [" ".join(odd_rows.words(3_000 + 31 * n + i, n)) for n in (2, 3, 5, 8, 16, 30, 50) for i in range(24)]
+    pairs = [(b, _letters_changed(b, 1, i)) for i, b in enumerate(bases) if len(b) >= lines.LEAST_CHARS]
+    assert _found(spark, pairs) == 1.0
+
+
+@pytest.mark.parametrize("share, least", [(0.02, 0.98), (0.05, 0.85)])
+def test_lines_with_scattered_edits_are_found(spark, share, least):
+    bases = [" ".join(odd_rows.words(5_000 + i, 8 + i % 40)) for i in range(120)]
+    assert _found(spark, [(b, _letters_changed(b, max(1, int(len(b) * share)), i)) for i, b in enumerate(bases)]) >= least
+
+
 # ---------------------------------------------------------------- vectors
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, unit string, component_id string"

@@ -5,7 +5,7 @@ For every number the training documents are counted by label, in Spark; r is the
 smoothed shares among toxic and other documents. Numbers whose shares differ within chance are left
 out. A logistic regression over the remaining presences, each scaled by its r, gives the weights. Counts
 and weights are fitted on at most FIT_ROWS training documents of each label, taken by the hash of their
-ids. A score reads the whole text and neither label, language, source nor id.
+ids; the prior of the labels is their share among all training documents. A score reads the whole text and neither label, language, source nor id.
 
 Results in special cases: null text is an empty one; an empty text has no n-grams and scores the
 bias alone; texts with equal words score equally; without training rows of both labels every
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import fresh, held_out, training_rows, written
+from spendloom.llm.common import fresh, held_out, training_labels, training_rows, written
 
 ORDERS = (4, 5)
 SLOTS = 1 << 19
@@ -111,7 +111,7 @@ def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: fl
     """Logistic regression with a ridge by accelerated gradient steps over sparse presences."""
     lengths = np.array([len(r) for r in rows])
     index, owner = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
-    # Each label weighs as much as it does among all that were counted.
+    # Each label weighs as much as it does among all training documents, however many of it are fitted.
     weight = np.where(label == 1, prior / max(1, label.sum()), (1 - prior) / max(1, (1 - label).sum()))
     w, bias, ridge = np.zeros(len(scale)), np.log(prior / (1 - prior)), 1e-5
     curve = np.bincount(owner, (scale[index]) ** 2, len(rows))
@@ -127,12 +127,20 @@ def _fit(rows: list[np.ndarray], label: np.ndarray, scale: np.ndarray, prior: fl
     return w * scale, float(bias)
 
 
+def _documents_by_label(docs: DataFrame, labels: DataFrame, label: str) -> tuple[int, int]:
+    """How many training documents have label 0 and 1, all of them; reads no text."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    found = dict(ids.join(training_labels(labels, label), "doc_id").groupBy("label").agg(F.count("*")).collect())
+    return found.get(0, 0), found.get(1, 0)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """The model learned from a bounded sample of the training documents."""
+    """The model learned from a bounded sample of the training documents, with the prior of all."""
+    all0, all1 = _documents_by_label(docs, labels, label)
     rows = written(training_rows(docs, labels, label, FIT_ROWS))
     features, ratios, (n0, n1) = _log_ratios(rows)
     if not n0 or not n1:
-        share = 0.5 if not n0 + n1 else n1 / (n0 + n1)
+        share = 0.5 if not all0 + all1 else all1 / (all0 + all1)
         return Model(features[:0], ratios[:0], float(np.log((share + 1e-6) / (1 - share + 1e-6))))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         [np.frombuffer(r.present, "<u2") for r in got],
         np.array([r.label for r in got]),
         ratios,
-        n1 / (n0 + n1),
+        all1 / (all0 + all1),
     )
     return Model(features, w, bias)
 

@@ -190,6 +190,21 @@ def test_toxic_rows_go_and_columns_stay(spark):
     assert sum(i in ids for i in range(n) if i % 6 == 0) <= 2 and sum(i in ids for i in range(n) if i % 6) >= 0.97 * n * 5 / 6
 
 
+@pytest.mark.parametrize("caps", [(24_000, 8_000), (60, 60), (300, 40)])
+def test_scores_keep_the_share_of_labels_under_any_cap(spark, monkeypatch, caps):
+    """One in six is toxic, half of them show it: others are toxic by one in eleven, whatever is fitted."""
+    monkeypatch.setattr(toxicity, "FIT_ROWS", caps)
+    docs = [(i, odd_rows.prose(900 + i, 60) + (" numbskullish" if i % 12 == 0 else "")) for i in range(720)]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(720)] + [(9_000 + i, 1) for i in range(720)], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.toxicity(odd_rows.table(spark, docs), labels.where("doc_id < 9000")).collect()}
+    plain = [s for i, s in scores.items() if i % 12]
+    assert abs(sum(plain) / len(plain) - 1 / 11) < 0.05 and sum(x >= toxicity.THRESHOLD for x in plain) < 0.05 * len(plain)
+    # Labels of documents that aren't there don't count.
+    assert toxicity._documents_by_label(odd_rows.table(spark, docs), labels, "toxic") == toxicity._documents_by_label(
+        odd_rows.table(spark, docs), labels.where("doc_id < 9000"), "toxic"
+    )
+
+
 def test_rules_are_columns(spark):
     """Scores of the compiled expression equal those of the fitted rules."""
     import numpy as np

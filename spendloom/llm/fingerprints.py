@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 
 from spendloom.llm.common import texts, written
 
-SAMPLES = 16
+# The likeness of a pair has a standard error of sqrt(s * (1 - s) / SAMPLES), 0.0625 at most.
+SAMPLES = 64
+# Samples that one row of the aggregation holds.
+AT_ONCE = 16
 # Not a sample of any term.
 EMPTY = (1 << 63) - 1
 
@@ -55,10 +58,10 @@ def _uniform(h: Column, shift: int) -> Column:
     return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)) + 0.5) / float(1 << 21)
 
 
-def sample_keys(term: Column, weights: list[Column], j: int) -> list[Column]:
+def sample_keys(term: Column, weights: list[Column], j: Column) -> list[Column]:
     """Per weight the j-th sample of a term: its key in the upper bits, so that the least number is the
     sample, and a hash of (term, t) in the lower 32. EMPTY where the weight is 0."""
-    one, two = F.xxhash64(term, F.lit(j)), F.xxhash64(term, F.lit(j + SAMPLES))
+    one, two = F.xxhash64(term, j), F.xxhash64(term, j + SAMPLES)
     r = -F.log(_uniform(one, 0) * _uniform(one, 21))
     ln_c = F.log(-F.log(_uniform(two, 0) * _uniform(two, 21)))
     b = _uniform(one, 42)
@@ -98,10 +101,17 @@ def successors(keys: DataFrame) -> DataFrame:
 def _sampled(terms: DataFrame, weights: list[str]) -> DataFrame:
     """Per document the least key of each sample, one column per weight and sample."""
     columns = []
-    for j in range(SAMPLES):
-        for w, key in zip(weights, sample_keys(F.col("term"), [F.col(w) for w in weights], j), strict=True):
-            columns.append(F.min(key).alias(f"{w}_{j}"))
-    return terms.groupBy("doc_id", "h").agg(*columns)
+    for i in range(AT_ONCE):
+        keys = sample_keys(F.col("term"), [F.col(w) for w in weights], F.col("part") * AT_ONCE + i)
+        columns += [F.min(key).alias(f"{w}_{i}") for w, key in zip(weights, keys, strict=True)]
+    # A row per part of the samples, so that the aggregations stay compiled.
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("part")
+    least = terms.select("doc_id", "h", "term", *weights, parts).groupBy("doc_id", "h", "part").agg(*columns)
+    packed = F.struct("part", *[F.array(*[F.col(f"{w}_{i}") for i in range(AT_ONCE)]).alias(w) for w in weights])
+    whole = least.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(packed)).alias("parts"))
+    return whole.select(
+        "doc_id", "h", *[F.col("parts")[j // AT_ONCE][w][j % AT_ONCE].alias(f"{w}_{j}") for w in weights for j in range(SAMPLES)]
+    )
 
 
 def _samples(prefix: str, frame: DataFrame | None = None) -> list[Column]:

@@ -132,6 +132,22 @@ def test_samples_collide_as_often_as_weights_agree(spark):
     assert abs(near.agg(F.avg("n")).first()[0] - true) < 0.04
 
 
+def test_likeness_of_a_pair_is_near_its_true_value(spark):
+    """Pairs of likeness 0.6 seldom read 0.8 or more, and those of 0.9 seldom below 0.8."""
+    rows = []
+    for pair in range(400):
+        same = 6 if pair % 2 else 9  # of ten terms in either
+        rows += [(pair, 0, pair * 1000 + w, 1, int(w < same * 10)) for w in range(100)]
+    terms = spark.createDataFrame(rows, "doc_id long, h long, term long, own int, changed int")
+    near = fingerprints._sampled(terms, ["own", "changed"]).select(
+        "doc_id", fingerprints.likeness(fingerprints._samples("own"), fingerprints._samples("changed")).alias("n")
+    ).collect()
+    low, high = ([r.n for r in near if r.doc_id % 2 == odd] for odd in (1, 0))
+    assert sum(n >= 0.8 for n in low) <= 0.01 * len(low) and sum(n < 0.8 for n in high) <= 0.03 * len(high)
+    for found, true in ((low, 0.6), (high, 0.9)):
+        assert (sum((n - true) ** 2 for n in found) / len(found)) ** 0.5 < 0.08
+
+
 # ---------------------------------------------------------------- classifiers
 
 

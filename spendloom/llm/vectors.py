@@ -3,8 +3,9 @@
 Vectors of one label are linked when their cosine is at least LEAST. Each pass gives every vector a
 code of CODE_BITS random hyperplane signs, orders the vectors by (label, code) and compares each one
 with the WINDOW before it. Passes have hyperplanes of their own; their number grows with the
-logarithm of the table, so that a pair at the least cosine is missed by all of them with a chance of
-at most MISS. Verified pairs are united into components.
+logarithm of the table. Where hyperplanes halve the vectors of a label, a pair at the least cosine is missed
+by all of them with a chance of at most MISS; in a dense cluster, which they seldom split, more are missed.
+Verified pairs are united into components.
 
 A window is bounded, a group of near-equal vectors is not. So all pairs inside a component are then
 compared in blocks of BLOCK x BLOCK vectors: one task takes two blocks, and returns numbers of links
@@ -40,7 +41,7 @@ SEED = 20_240_131
 
 def passes(rows: int) -> int:
     """How many passes miss a pair at the least cosine with a chance of at most MISS: a pass finds it if
-    the signs agree until about WINDOW vectors are left."""
+    the signs agree until about WINDOW vectors are left, which takes each plane to halve them."""
     agree = 1 - math.acos(LEAST) / math.pi
     found = agree ** max(1.0, math.log2(max(2, rows) / WINDOW) + 1)
     return max(2, math.ceil(math.log(MISS) / math.log(1 - found)))

@@ -67,13 +67,13 @@ def _unit(rows: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row with its unit vector; null where it links with nothing."""
     for batch in batches:
-        found = _unit(batch.column(2))
-        keep = [i for i, v in enumerate(found) if v is not None]
-        data = pa.array([found[i].astype("<f8").tobytes() for i in keep], pa.binary())
-        kept = batch.take(pa.array(keep, pa.int32()))
-        yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), data], names=["vec_id", "label", "unit"])
+        ids, labels = batch.column(0), batch.column(1)
+        able = zip(_unit(batch.column(2)), ids.is_valid().to_pylist(), labels.is_valid().to_pylist(), strict=True)
+        data = [v.astype("<f8").tobytes() if v is not None and i and y else None for v, i, y in able]
+        yield pa.RecordBatch.from_arrays([ids, labels, pa.array(data, pa.binary())], names=["vec_id", "label", "unit"])
 
 
 def _coded(count: int):
@@ -162,19 +162,19 @@ def _seam(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
-def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links between the two blocks of a component that share this group (or inside its one block)."""
-    by = {k: g for k, g in rows.sort_values("id").groupby("block")}
-    blocks = sorted(by)
-    one, two = by[blocks[0]], by[blocks[-1]]
+def _block_links(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks of a component's vectors of one label, or inside one block. group:
+    component, label, one, two (the blocks)."""
+    rows = rows.sort_values(["id", "key"])
+    one, two = (rows[rows["block"] == block] for block in group[2:])
     linked = _dots(list(one["unit"]), list(two["unit"])) >= LEAST
-    if len(blocks) == 1:
+    if group[2] == group[3]:
         np.fill_diagonal(linked, False)
         n = linked @ two["copies"].to_numpy()
-        return pd.DataFrame({"id": one["id"].to_numpy(), "n": n})
+        return pd.DataFrame({"key": one["key"].to_numpy(), "n": n})
     return pd.DataFrame(
         {
-            "id": np.concatenate([one["id"], two["id"]]),
+            "key": np.concatenate([one["key"], two["key"]]),
             "n": np.concatenate([linked @ two["copies"].to_numpy(), one["copies"].to_numpy() @ linked]),
         }
     )
@@ -185,12 +185,11 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding")
     )
-    usable = rows.where("vec_id is not null and label is not null and embedding is not null")
-    usable = written(usable.mapInArrow(_usable, "vec_id long, label int, unit binary"))
-    # Equal vectors once; the smallest id stands for them.
-    single = written(
-        usable.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
-    )
+    marked = written(rows.mapInArrow(_marked, "vec_id long, label int, unit binary"))
+    usable = marked.where("unit is not null")
+    # Equal vectors once; the smallest id stands for them. An id may have several vectors: key tells them apart.
+    distinct = usable.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+    single = written(distinct.withColumn("key", F.xxhash64("label", "unit")))
     number = passes(single.count())
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = (
@@ -207,21 +206,22 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     grouped = single.join(parted, "id")
     # Blocks of a component: by hash, so many that they hold about BLOCK vectors each.
     sizes = parted.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    grouped = grouped.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    grouped = grouped.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     every = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least("block", other).alias("one"), F.greatest("block", other).alias("two")),
     )
-    met = grouped.select("component", "block", "id", "unit", "copies", F.explode(every).alias("pair"))
-    counted = met.groupBy("component", "pair").applyInPandas(_block_links, "id long, n long")
-    links = counted.groupBy("id").agg(F.sum("n").alias("n"))
-    known = single.join(links, "id", "left").join(parted, "id", "left")
+    met = grouped.select("component", "label", "block", "id", "key", "unit", "copies", F.explode(every).alias("pair"))
+    met = met.select("*", "pair.one", "pair.two").drop("pair")
+    counted = met.groupBy("component", "label", "one", "two").applyInPandas(_block_links, "key long, n long")
+    links = counted.groupBy("key").agg(F.sum("n").alias("n"))
+    known = single.join(links, "key", "left").join(parted, "id", "left")
     known = known.select(
         "label", "unit", "id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),
     )
     linked = usable.join(known, ["label", "unit"]).select("vec_id", "label", "n_links", "component_id")
-    others = rows.join(usable.select("vec_id").distinct(), "vec_id", "left_anti").select(
+    others = marked.where("unit is null").select(
         "vec_id", "label", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return linked.unionByName(others).select(

@@ -242,3 +242,20 @@ def test_no_vectors(spark):
     assert vectors.near_vectors(_vectors(spark, [])).count() == 0
     got = vectors.near_vectors(_vectors(spark, [(None, [1.0], 0), (1, [1.0], 0), (2, [3.0], 0)])).collect()
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in got} == {(None, 0, None, True), (1, 1, 1, True), (2, 1, 1, False)}
+
+
+def test_rows_of_a_repeated_id_all_stay(spark):
+    """One usable row of an id and others without a vector or a label."""
+    rows = [(1, [1.0, 0.0], 0), (1, None, 0), (1, [0.0, 0.0], 0), (1, [1.0, 0.0], None), (2, [1.0, 0.01], 0), (3, None, None)]
+    got = vectors.near_vectors(_vectors(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (1, 0, 1, True), (1, 0, 1, True), (1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True),
+    ]
+
+
+def test_vectors_of_a_repeated_id_have_links_of_their_own(spark):
+    """Two vectors of one id in different directions, and one of another label."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [1.0, 0.02], 0), (4, [0.01, 1.0], 0),
+            (1, [1.0, 0.03], 1), (5, [1.0, 0.04], 1)]
+    got = vectors.near_vectors(_vectors(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links) for r in got) == [(1, 1), (1, 1), (1, 2), (2, 2), (3, 2), (4, 1), (5, 1)]

@@ -9,7 +9,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,5 +113,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: tuple[in
     return texts(docs).join(F.broadcast(few[0].unionAll(few[1])), "doc_id")
 
 
+def portions(sizes: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of rows of about `most` bytes together, one row at least. sizes: bytes of each row."""
+    ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most)))
+        yield start, end
+        start = end
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data)

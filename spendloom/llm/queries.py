@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import fingerprints, lines, minhash, packing, pieces, quality_rules, secret_scan, token_files, toxicity, vectors
+from spendloom.llm import alignment, fingerprints, language, lines, minhash, packing, pieces, quality_rules, secret_scan, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,15 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": _pack,
@@ -65,6 +74,8 @@ def queries() -> dict[str, Query]:
         "op8_secret_index": _secrets,
         "op9_toxicity": _toxicity,
         "op10_shared_prefix_viterbi": _pieces,
+        "op12_marginal_unigrams": _languages,
+        "op13_pair_bitmaps": _alignment,
     }
 
 

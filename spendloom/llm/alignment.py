@@ -26,7 +26,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ BLOCK, LINKS = 4_096, 1 << 22
 SAFE = re.compile(rf"(?<=[^\s{MARK}])(?= )")
 UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}▁] "
 # Segments that a worker keeps, and the characters of the longest.
-KEPT, LONGEST = 300_000, 64
+KEPT, LONGEST = 500_000, 64
 LIST, BITS = 0, 1
 
 
@@ -56,6 +56,14 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _with(rows: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """`rows`, of which `used` are in use, with more behind them; doubled where they don't fit."""
+    while used + len(more) > len(rows):
+        rows = np.concatenate([rows, np.zeros_like(rows)])
+    rows[used : used + len(more)] = more
+    return rows
+
+
 class Aligner:
     """Groups and links of segments. Memory: about KEPT segments of up to LONGEST characters, one portion of texts."""
 
@@ -68,60 +76,90 @@ class Aligner:
         self._a.encode_special_tokens = True
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         known, added = byte_of_character(), {t.content for t in self._a.get_added_tokens_decoder().values()}
-        self._bytes_a = {
-            i: t.encode() if t in added else bytes(map(known.__getitem__, t)) for t, i in self._a.get_vocab().items()
-        }
-        self._bytes_b = {}
+        entries = {i: t.encode() if t in added else bytes(map(known.__getitem__, t)) for t, i in self._a.get_vocab().items()}
+        bytes_a = [entries.get(i, b"") for i in range(max(entries) + 1)]
+        bytes_b = []
         for i in range(self._b.vocab_size()):
             piece = self._b.id_to_piece(i)
-            self._bytes_b[i] = bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace(MARK, " ").encode()
+            bytes_b.append(bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace(MARK, " ").encode())
+        self._bytes = bytes_a, bytes_b
+        self._lengths = [np.array([len(x) for x in t], np.int64) for t in self._bytes]
+        # Ids as text with what comes behind them: in a group, between A and B, after a group.
+        n, m = len(bytes_a), len(bytes_b)
+        self._said = np.array([f"{i}{c}" for c, k in ((",", n), ("|", n), (",", m), (";", m)) for i in range(k)], object)
         self._space = self._b.piece_to_id(MARK)
-        self._forget()
-
-    def _forget(self) -> None:
         self._number: dict[str, int] = {}
         self.groups: list[str] = []
-        # Per segment: tokens of A, of B, groups; -1 where the tokens don't spell it. Its links, one after another.
-        self.sizes: list[tuple[int, int, int]] = []
-        self.links: list[list[int]] = []
-
-    def _groups(self, segment: str, a: list[int], b: list[int]) -> None:
-        data, bytes_a, bytes_b = segment.encode(), self._bytes_a, self._bytes_b
-        if b"".join(map(bytes_a.__getitem__, a)) != data or b"".join(map(bytes_b.__getitem__, b)) != data:
-            self.sizes.append((-1, 0, 0))
-            self.groups.append("")
-            self.links.append([])
-            return
-        links, said, i, j, from_i, from_j, at_a, at_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            if at_a <= at_b:
-                at_a += len(bytes_a[a[i]])
-                i += 1
-            while at_b < at_a:
-                at_b += len(bytes_b[b[j]])
-                j += 1
-            if at_a == at_b:
-                left, right = a[from_i:i], b[from_j:j]
-                links += [x << 32 | y for x in left for y in right]
-                said.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-                from_i, from_j = i, j
-        self.sizes.append((len(a), len(b), len(said)))
-        self.groups.append(";".join(said))
-        self.links.append(links)
+        # Per segment: tokens of A (-1 where tokens don't spell it), of B, groups, links, where its links begin.
+        self.sizes = np.zeros((1 << 16, 5), np.int64)
+        self.links, self._used = np.zeros(1 << 18, np.int64), 0
+
+    def _forget(self) -> None:
+        """Keep the first half of the segments: frequent ones come early."""
+        half = len(self.groups) // 2
+        self._used = int(self.sizes[half, 4])
+        self._number = {x: i for x, i in self._number.items() if i < half}
+        del self.groups[half:]
+
+    def _spelled(self, segments: list[bytes], ids: list[list[int]], side: int) -> np.ndarray:
+        """Whether the tokens of each segment spell it."""
+        known = self._bytes[side]
+        if b"".join(map(known.__getitem__, chain.from_iterable(ids))) == b"".join(segments):
+            sizes = np.fromiter((len(x) for x in segments), np.int64, len(segments))
+            own = self._lengths[side][np.fromiter(chain.from_iterable(ids), np.int64)]
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            ends = np.concatenate([[0], np.cumsum(own)])[np.cumsum(counts)]
+            if (ends == np.cumsum(sizes)).all():
+                return np.ones(len(segments), bool)
+        return np.array([b"".join(map(known.__getitem__, x)) == y for x, y in zip(ids, segments, strict=True)])
+
+    def _add(self, segments: list[str], a: list[list[int]], b: list[list[int]]) -> None:
+        """Groups of segments that have the ids a and b. All are laid end to end, and bytes count through."""
+        data = [x.encode() for x in segments]
+        spelled = self._spelled(data, a, 0) & self._spelled(data, b, 1)
+        if not spelled.all():
+            a, b = ([x if ok else [] for x, ok in zip(ids, spelled.tolist(), strict=True)] for ids in (a, b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        ends_a, ends_b = (np.cumsum(own[ids]) for own, ids in zip(self._lengths, (ids_a, ids_b), strict=True))
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        in_a, in_b = (np.bincount(g, minlength=len(cuts)) for g in (group_a, group_b))
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        # Links: every A token with each B token of its group.
+        times = in_b[group_a]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        links = np.repeat(ids_a << 32, times) | ids_b[np.repeat(first_b[group_a], times) + inside]
+        owner_a = np.repeat(np.arange(len(a)), n_a)
+        n_links = np.bincount(owner_a, times, len(a)).astype(np.int64)
+        n_groups = np.bincount(owner_a, ends_a == cuts[group_a], len(a)).astype(np.int64)
+        # Words of the digest, group by group: A tokens, then B tokens.
+        n, m = map(len, self._bytes)
+        words = np.empty(len(ids_a) + len(ids_b), np.int64)
+        words[np.arange(len(ids_a)) + first_b[group_a]] = ids_a + n * (ends_a == cuts[group_a])
+        words[np.arange(len(ids_b)) + (first_a + in_a)[group_b]] = 2 * n + ids_b + m * (ends_b == cuts[group_b])
+        said, stops = self._said[words].tolist(), np.cumsum(n_a + n_b).tolist()
+        self.groups += ["".join(said[i:j])[:-1] for i, j in zip([0, *stops], stops, strict=False)]
+        at = self._used + np.cumsum(n_links) - n_links
+        rows = np.stack([np.where(spelled, n_a, -1), n_b, n_groups, n_links, at], axis=1)
+        self.sizes = _with(self.sizes, len(self.groups) - len(a), rows)
+        self.links = _with(self.links, self._used, links)
+        self._used += len(links)
 
     def numbers(self, segments: list[str]) -> list[int]:
-        """Places of segments in the lists; each begins with a space."""
+        """Places of segments, each without the space that it begins with."""
         out = list(map(self._number.get, segments))
         new = [i for i, x in enumerate(out) if x is None]
         for at in range(0, len(new), 10_000):
             part = [segments[i] for i in new[at : at + 10_000]]
-            a = [x.ids for x in self._a.encode_batch_fast(part, add_special_tokens=False)]
-            b = self._b.encode([x[1:] for x in part], num_threads=1)
-            for i, segment, ids_a, ids_b in zip(new[at : at + 10_000], part, a, b, strict=True):
-                out[i] = len(self.groups)
-                self._groups(segment, ids_a, ids_b or [self._space])
+            spaced, first = [" " + x for x in part], len(self.groups)
+            a = [x.ids for x in self._a.encode_batch_fast(spaced, add_special_tokens=False)]
+            b = [x or [self._space] for x in self._b.encode(part, num_threads=1)]
+            self._add(spaced, a, b)
+            for place, (i, segment) in enumerate(zip(new[at : at + 10_000], part, strict=True), first):
+                out[i] = place
                 if len(segment) <= LONGEST:
-                    self._number[segment] = out[i]
+                    self._number[segment] = place
         return out
 
     def cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +174,7 @@ class Aligner:
                 lists[i] = [x[1:] for x in SAFE.split(" " + texts[i].as_py())]
             lists = pa.array(lists, pa.list_(pa.string()))
         coded = lists.flatten().dictionary_encode()
-        place = np.array(self.numbers([" " + x for x in coded.dictionary.to_pylist()]), np.int64)
+        place = np.array(self.numbers(coded.dictionary.to_pylist()), np.int64)
         return pc.list_value_length(lists).to_numpy(), place[coded.indices.to_numpy()]
 
 
@@ -255,27 +293,19 @@ def _documents(part: pa.RecordBatch, block: _Block, align: Aligner) -> pa.Record
     if len(full):
         sizes, places = align.cut(part.column(1).take(pa.array(full)))
         starts = np.cumsum(sizes) - sizes
-        # Work on the distinct segments of the portion only.
-        distinct, place = np.unique(places, return_inverse=True)
-        about = np.array([(*align.sizes[i], len(align.links[i])) for i in distinct.tolist()], np.int64)
-        each = about[place]
+        each = align.sizes[places]
         spelled = np.minimum.reduceat(each[:, 0], starts) >= 0
-        sums[full] = np.add.reduceat(each, starts, axis=0) * spelled[:, None]
-        said = [align.groups[i] for i in distinct.tolist()]
-        order = place.tolist()
+        sums[full] = np.add.reduceat(each[:, :4], starts, axis=0) * spelled[:, None]
+        order = places.tolist()
         for d, s, k, ok in zip(full.tolist(), starts.tolist(), sizes.tolist(), spelled.tolist(), strict=True):
             if ok:
-                text = ";".join(map(said.__getitem__, order[s : s + k]))
+                text = ";".join(map(align.groups.__getitem__, order[s : s + k]))
                 digests[d] = hashlib.sha256(text.encode()).hexdigest()
-        flat = np.fromiter(chain.from_iterable(align.links[i] for i in distinct.tolist()), np.int64)
-        lengths = about[:, 3]
-        begins = np.cumsum(lengths) - lengths
         kept = np.repeat(spelled, sizes)
-        place, owner = place[kept], np.repeat(full, sizes)[kept]
-        count = lengths[place]
+        count, begins = each[kept, 3], each[kept, 4]
         ends = np.cumsum(count)
         inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
-        pairs, where = flat[np.repeat(begins[place], count) + inside], np.repeat(owner, count)
+        pairs, where = align.links[np.repeat(begins, count) + inside], np.repeat(np.repeat(full, sizes)[kept], count)
     block.add(pairs, where, n)
     return _table(
         block=np.full(n, block.number), slot=np.arange(first, first + n), doc_id=part.column(0),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendloom.llm import alignment, fingerprints, language, lines, minhash, packing, pieces, quality_rules, secret_scan, token_files, toxicity, vectors
+from spendloom.llm import alignment, conversations, fingerprints, language, lines, minhash, packing, pieces, quality_rules, secret_scan, sql, token_files, toxicity, vectors
 from spendloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -74,10 +78,11 @@ def queries() -> dict[str, Query]:
         "op8_secret_index": _secrets,
         "op9_toxicity": _toxicity,
         "op10_shared_prefix_viterbi": _pieces,
+        "op11_deepening_repair": _conversations,
         "op12_marginal_unigrams": _languages,
         "op13_pair_bitmaps": _alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_deepening_repair": sql.OP11}

@@ -21,9 +21,10 @@ an empty table gives no rows. Long texts are scored whole, long words in time pr
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import islice
 
 import numpy as np
@@ -41,8 +42,8 @@ FIT_ROWS = 4_000
 ROUNDS = 3
 # Added to each expected count.
 SMOOTHING = 0.05
-# Words of up to this length are summed side by side, longer ones alone and rescaled on the way.
-SHORT = 32
+# Words of up to this length are summed side by side, so many at once, longer ones alone and rescaled on the way.
+SHORT, PART = 32, 4_096
 # Texts are scored in portions of about so many bytes.
 PORTION = 1 << 23
 NO_LANGUAGE = "und"
@@ -64,19 +65,7 @@ class Vocabulary:
                 self.pieces[piece] = i
                 for end in range(1, len(piece)):
                     self.pieces.setdefault(piece[:end], None)
-
-    def edges(self, word: str) -> Iterator[tuple[int, int, int]]:
-        """(end, start, piece) of all pieces in a word; each character is at least an unknown piece."""
-        known, n = self.pieces, len(word)
-        for start in range(n):
-            if known.get(word[start]) is None:
-                yield start + 1, start, UNKNOWN
-            for end in range(start + 1, n + 1):
-                piece = known.get(word[start:end], -1)
-                if piece == -1:
-                    break
-                if piece is not None:
-                    yield end, start, piece
+        self.longest = max(map(len, self.pieces), default=1)
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -90,10 +79,25 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def _lattice(words: list[str], vocab: Vocabulary) -> np.ndarray:
-    """Edges (end, word, start, piece) of all words, sorted by end, then word."""
-    edges = [(end, w, start, piece) for w, word in enumerate(words) for end, start, piece in vocab.edges(word)]
-    table = np.array(edges, np.int64).reshape(-1, 4)
-    return table[np.lexsort((table[:, 1], table[:, 0]))]
+    """Edges (end, word, start, piece) of up to PART words of up to SHORT characters, sorted by end, then word.
+    Each character is at least an unknown piece."""
+    get, codes = vocab.pieces.get, []
+    add = codes.append
+    for w, word in enumerate(words):
+        n = len(word)
+        for start in range(n):
+            where = w << 30 | start << 24
+            if get(word[start]) is None:
+                add(start + 1 << 44 | where | UNKNOWN)
+            for end in range(start + 1, n + 1):
+                piece = get(word[start:end], -1)
+                if piece is None:
+                    continue
+                if piece < 0:
+                    break
+                add(end << 44 | where | piece)
+    code = np.sort(np.array(codes, np.int64))
+    return np.stack([code >> 44, code >> 30 & 0x3FFF, code >> 24 & 0x3F, code & 0xFFFFFF], axis=1)
 
 
 def _sums(edges: np.ndarray, p: np.ndarray, states: np.ndarray, at: int, come: int) -> None:
@@ -108,8 +112,8 @@ def forward(words: list[str], p: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     """Log probability of every word in every language, all segmentations summed. p: piece x language."""
     out = np.zeros((len(words), p.shape[1]))
     short = [i for i, w in enumerate(words) if len(w) <= SHORT]
-    for at in range(0, len(short), 4_096):
-        part = short[at : at + 4_096]
+    for at in range(0, len(short), PART):
+        part = short[at : at + PART]
         chosen = [words[i] for i in part]
         lengths = np.array([len(w) for w in chosen])
         states = np.zeros((len(part), lengths.max() + 1, p.shape[1]))
@@ -128,7 +132,7 @@ def forward(words: list[str], p: np.ndarray, vocab: Vocabulary) -> np.ndarray:
 
 def _long_forward(word: str, p: np.ndarray, vocab: Vocabulary) -> np.ndarray:
     """The same for one word of any length; the states within reach of a piece are kept, rescaled together."""
-    reach = max(map(len, vocab.pieces), default=1) + 1
+    reach = vocab.longest + 1
     window = np.zeros((reach, p.shape[1]))
     window[0], scale = 1.0, np.zeros(p.shape[1])
     known = vocab.pieces
@@ -171,11 +175,12 @@ def expected(words: list[str], counts: np.ndarray, langs: np.ndarray, p: np.ndar
 
 @dataclass(frozen=True)
 class Model:
-    """Languages in ascending order, their log priors, and the probability of each piece in each."""
+    """Languages in ascending order, their log priors, and the probability of each piece in each. key: of this model."""
 
     languages: list[str]
     prior: np.ndarray
     pieces: np.ndarray
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def marked_words(text: str) -> list[str]:
@@ -214,8 +219,8 @@ def _expectations(words: DataFrame, languages: list[str], p: np.ndarray, path: s
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(p.shape)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4_096):
-                part = batch.slice(at, 4_096)
+            for at in range(0, batch.num_rows, PART):
+                part = batch.slice(at, PART)
                 langs = np.array([number[x] for x in part.column(0).to_pylist()])
                 counts = part.column(2).to_numpy().astype(float)
                 total += expected(part.column(1).to_pylist(), counts, langs, p, vocabulary(path))
@@ -308,6 +313,17 @@ class Scorer:
         return [self._model.languages[i] for i in best], 1 / np.exp(z - top[:, None]).sum(axis=1)
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer(model: Model, path: str) -> Scorer:
+    """One per Python worker and model, so that tasks share what is known; the last model's only."""
+    if model.key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.key] = Scorer(model, path)
+    return _SCORERS[model.key]
+
+
 def languages(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     model = train(docs, path)
@@ -319,7 +335,6 @@ def languages(docs: DataFrame, path: str) -> DataFrame:
         return slim.select("doc_id", "held_out", *none)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model, path)
         for batch in batches:
             for start, end in portions(pc.binary_length(batch.column(2)), PORTION):
                 part = batch.slice(start, end - start)
@@ -327,7 +342,7 @@ def languages(docs: DataFrame, path: str) -> DataFrame:
                 names = np.full(part.num_rows, NO_LANGUAGE, object)
                 value, where = np.zeros(part.num_rows), has.to_numpy(zero_copy_only=False)
                 if where.any():
-                    names[where], value[where] = scorer.predict(part.column(2).filter(has))
+                    names[where], value[where] = scorer(model, path).predict(part.column(2).filter(has))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(value)],
                     names=["doc_id", "held_out", "lang_pred", "score"],

@@ -19,6 +19,7 @@ from spendloom.operators import ads, alerts, fact, gate, marts, quality, reports
 from spendloom.operators.staging import STAGING
 from spendloom.params import Params
 from spendloom.plans import driver, saved
+from spendloom.plans.store import Landing, Store
 from spendloom.plans.warehouse import MODELS, Warehouse
 from spendloom.sources import state as state_tables
 from spendloom.sources.ads import report_rows
@@ -44,16 +45,19 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 6) for c in doubles if c not in METRICS})
 
 
-# Models that read the fact or the campaign mart more than once keep them; the others read
-# them once, and then keeping them would only stop Spark from pruning columns.
+# Models that read the fact or the campaign mart more than once store them first; the others read
+# them once, and build what they need of them.
 SHARED = {"mart_alerts", "mart_exec_overview"}
 
 
 def warehouse(
-    spark: SparkSession, sf_dir: str, source: str = "events", persist: bool = False
+    spark: SparkSession, sf_dir: str, source: str = "events", stored: str | None = None
 ) -> Warehouse:
+    """``stored``: keep the fact in a database of this name."""
     raw = {"events": driver.from_events, "lineitem": driver.from_lineitem}[source](spark, sf_dir)
-    return Warehouse(raw, PARAMS, persist)
+    # The log has 33 days, the lines have seven years.
+    period = {"events": "MONTH", "lineitem": "YEAR"}[source]
+    return Warehouse(raw, PARAMS, Store(spark, f"{stored}_{source}", f"{stored}_{source}", period=period) if stored else None)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -62,9 +66,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _on_warehouse(
-    build: Callable[[Warehouse], DataFrame], source: str = "events", persist: bool = False
+    build: Callable[[Warehouse], DataFrame], source: str = "events", stored: str | None = None
 ) -> Query:
-    return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir, source, persist)))
+    return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir, source, stored)))
 
 
 def _ads(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -88,6 +92,30 @@ def _ads(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return run
 
 
+def _restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a restatement: the platforms' last ten days are landed wrong, saved, and put right."""
+    raw = driver.from_events(spark, sf_dir)
+    platform = raw["platform_daily"]
+    window = platform.groupBy("client").agg(F.max("date").alias("end")).withColumn("start", F.date_sub("end", 9))
+    late = platform.join(window, "client").where(F.col("date") >= F.col("start")).select(platform.columns)
+    early = platform.join(window, "client").where(F.col("date") < F.col("start")).select(platform.columns)
+    wrong = late.where("campaign <> 'cmp_4'").withColumn("spend", F.col("spend") / 2)
+    store = Store(spark, "restated_core", "restated_marts")
+    landing = Landing(store, "restated_raw")
+    landing.land(raw | {"platform_daily": early.unionByName(wrong)})
+    Warehouse(landing.raw(), PARAMS, store).save()
+    landing.restate("platform_daily", late, window)
+    Warehouse.open(store, landing.raw(), PARAMS).refresh(landing, late.select("client", "date"))
+    return rounded(Warehouse.open(store, landing.raw(), PARAMS).fct_performance_daily())
+
+
+def _save_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a save counts while it writes: rows, rows without a spend, and spend of each model that has one."""
+    made = warehouse(spark, sf_dir, stored="counts").save()
+    known = [(m.table.split(".")[1], m.rows, m.nulls.get("spend"), m.spend) for m in made if m.table.split(".")[1] in MODELS]
+    return rounded(spark.createDataFrame(known, "model string, rows long, no_spend long, spend double"))
+
+
 def _gate(build: Callable[[Warehouse, SparkSession, str], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir), spark, sf_dir))
 
@@ -147,8 +175,16 @@ def queries() -> dict[str, Query]:
     # Marts, over both views of the given tables.
     for name in MODELS:
         build = lambda w, name=name: getattr(w, name)()
-        out[name] = _on_warehouse(build, "events", name in SHARED)
-        out[f"{name}_lineitem"] = _on_warehouse(build, "lineitem", name in SHARED)
+        stored = name if name in SHARED else None
+        out[name] = _on_warehouse(build, "events", stored)
+        out[f"{name}_lineitem"] = _on_warehouse(build, "lineitem", stored)
+    for name in ("fct_performance_daily", "mart_campaign_performance", "mart_channel_performance", "mart_funnel",
+                 "mart_channel_daily", "mart_reconciliation", "mart_approvals"):
+        out[f"{name}_stored"] = _on_warehouse(
+            lambda w, name=name: getattr(w, name)(), "events", f"stored_{name}"
+        )
+    out["fct_performance_daily_restated"] = _restated
+    out["save_counts"] = _save_counts
     out["campaign_totals"] = _on_warehouse(
         lambda w: marts.campaign_totals(w.daily).drop("ref_date", *marts.RECENT)
     )
@@ -162,7 +198,7 @@ def queries() -> dict[str, Query]:
     for name in ("mart_campaign_performance", "mart_channel_performance", "mart_funnel",
                  "mart_approvals", "mart_alerts", "mart_reconciliation", "mart_freshness"):
         out[f"report_{name[5:]}"] = _on_warehouse(
-            lambda w, name=name: reports.ordered(name, getattr(w, name)()), "events", name in SHARED
+            lambda w, name=name: reports.ordered(name, getattr(w, name)()), "events", f"report_{name}" if name in SHARED else None
         )
     out["platform_over_claim"] = _saved("platform_over_claim")
     out["channel_by_week"] = _saved("channel_by_week")
@@ -269,10 +305,10 @@ def queries() -> dict[str, Query]:
                 "overview": w.mart_exec_overview(),
             }
         ),
-        persist=True,
+        stored="spend_agreement",
     )
     out["budget_agreement"] = _on_warehouse(
-        lambda w: quality.budget_position(w.mart_exec_overview(), w.ledger()), persist=True
+        lambda w: quality.budget_position(w.mart_exec_overview(), w.ledger()), stored="budget_agreement"
     )
     out["backend_after_coverage"] = _on_warehouse(
         lambda w: quality.backend_after_coverage(  # planted: the sources claim two days less

@@ -670,6 +670,22 @@ def statements() -> dict[str, str]:
         put(f"{name}_lineitem", body, doubles, "lineitem")
         if name.startswith("mart_") and name not in ("mart_channel_daily", "mart_exec_overview"):
             put(f"report_{name[5:]}", body, doubles)
+    # The same models over the saved fact, and after a restatement of it.
+    for name in ("fct_performance_daily", "mart_campaign_performance", "mart_channel_performance", "mart_funnel",
+                 "mart_channel_daily", "mart_reconciliation", "mart_approvals"):
+        put(f"{name}_stored", *_MODELS[name])
+    put("fct_performance_daily_restated", *_MODELS["fct_performance_daily"])
+    put(
+        "save_counts",
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS model, count(*) AS rows, "
+            + ("count(*) - count(spend) AS no_spend, " + xs("spend") + " AS spend" if "spend" in doubles.split()
+               else "NULL::bigint AS no_spend, NULL::double AS spend")
+            + f" FROM ({body})"
+            for name, (body, doubles) in _MODELS.items()
+        ),
+        "spend",
+    )
     put("campaign_totals", "SELECT * FROM totals", TOTALS)
     put("campaign_run_rate", "SELECT * FROM rate", "low_daily mean_daily high_daily")
     put(

@@ -130,7 +130,7 @@ def test_ads_only_engagement_builds_the_models(spark, landed):
             fixture.GATE["gate_requests"],
         ),
     }
-    w = Warehouse(raw, persist=False)
+    w = Warehouse(raw)
     ov = w.mart_exec_overview().collect()[0]
     assert (ov.spend, ov.is_synthetic, ov.crm_as_of) == (4333.34, False, None)
     hits = [(r.rule, r.campaign) for r in w.mart_alerts().filter("rule = 'unapproved_spend'").collect()]

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 import fixture
 from spendloom.operators import quality, reports
 from spendloom.params import Params
+from spendloom.plans.store import Store
 from spendloom.plans.warehouse import MODELS, Warehouse
 
 
 @pytest.fixture(scope="module")
 def built(spark):
-    with Warehouse(fixture.raw_tables(spark, ("demo", "other"))) as w:
-        yield w
+    return Warehouse(fixture.raw_tables(spark, ("demo", "other")), store=Store(spark, "models", "models"))
 
 
 @pytest.fixture(scope="module")
@@ -115,14 +115,6 @@ def test_report_order(built):
     assert spends[:3] == sorted(spends[:3], reverse=True)
 
 
-def test_kept_frames_are_released(spark):
-    with Warehouse(fixture.raw_tables(spark, ("z",))) as w:
-        w.daily.count()
-        assert w.daily.storageLevel.useMemory
-        held = w.daily
-    assert not held.storageLevel.useMemory
-
-
 # ---------------------------------------------------------------- partial and odd inputs
 
 
@@ -134,7 +126,7 @@ def test_platform_only_client_builds(spark):
             return [r for r in rows if r[1] == "ad_platforms"]
         return rows
 
-    w = Warehouse(fixture.raw_tables(spark, only=only, change=change), persist=False)
+    w = Warehouse(fixture.raw_tables(spark, only=only, change=change))
     flags = w.fct_performance_daily().select("has_crm_data", "sessions", "backend_orders").distinct()
     assert [tuple(r) for r in flags.collect()] == [(None, None, None)]
     ov = w.mart_exec_overview().collect()[0]
@@ -146,7 +138,7 @@ def test_platform_only_client_builds(spark):
 
 def test_without_freshness_nothing_is_covered_and_nothing_is_false(spark):
     only = {"platform_daily", "plan_daily", "gate_engagement"}
-    w = Warehouse(fixture.raw_tables(spark, only=only), persist=False)
+    w = Warehouse(fixture.raw_tables(spark, only=only))
     fact = w.fct_performance_daily()
     assert fact.filter("has_platform_data is not null or has_crm_data is not null").count() == 0
     assert fact.agg(F.sum("spend_backend_window")).collect()[0][0] == 0.0
@@ -155,12 +147,12 @@ def test_without_freshness_nothing_is_covered_and_nothing_is_false(spark):
 
 
 def test_empty_inputs_build_empty_models(spark):
-    w = Warehouse(fixture.raw_tables(spark, only=set()), persist=False)
+    w = Warehouse(fixture.raw_tables(spark, only=set()))
     assert {name: build().count() for name, build in w.models().items()} == dict.fromkeys(MODELS, 0)
 
 
 def test_client_without_facts_keeps_its_overview_row(spark):
-    w = Warehouse(fixture.raw_tables(spark, only={"gate_engagement"}), persist=False)
+    w = Warehouse(fixture.raw_tables(spark, only={"gate_engagement"}))
     ov = w.mart_exec_overview().collect()
     assert len(ov) == 1 and ov[0].spend is None and ov[0].open_alerts == 0 and ov[0].ceiling == fixture.CEILING
 
@@ -169,7 +161,7 @@ def _tiny(spark, **rows):
     def change(name, _):
         return rows.get(name, [])
 
-    return Warehouse(fixture.raw_tables(spark, change=change), Params(hot_key_rows=2), persist=False)
+    return Warehouse(fixture.raw_tables(spark, change=change), Params(hot_key_rows=2))
 
 
 DAY = date(2025, 3, 10)

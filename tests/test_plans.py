@@ -25,7 +25,7 @@ def stored(spark, tmp_path_factory):
     for name, df in fixture.raw_tables(spark, ("a", "b")).items():
         df.write.parquet(str(folder / name))
         raw[name] = spark.read.parquet(str(folder / name))
-    return Warehouse(raw, persist=False)
+    return Warehouse(raw)
 
 
 @pytest.mark.parametrize("name", sorted(MODELS))

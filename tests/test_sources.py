@@ -139,8 +139,7 @@ HEADER = "".join(f"-- {f}: x\n" for f in ("question", "period", "source", "metri
 
 @pytest.fixture(scope="module")
 def saved_tables(spark):
-    with Warehouse(fixture.raw_tables(spark)) as w:
-        w.save()
+    Warehouse(fixture.raw_tables(spark)).save()
 
 
 def test_saved_queries_run_over_saved_tables(spark, saved_tables):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,12 +40,15 @@ def row_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return tagged.groupBy(*keys).agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
 
 
+# The list of hot keys is sent to all tasks, so it is the heaviest so many. A key that isn't on it has at most that
+# share of all rows: an ordinary task.
+MOST_HOT = 8_192
+
+
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Keys with at least ``rows`` rows on either side of `row_counts` (which may be finer than
-    ``keys``), and into how many slices of about ``rows`` rows each side is to be cut.
-
-    The result has at most (all rows counted) / ``rows`` rows, which is what makes it safe to
-    broadcast.
+    ``keys``), the heaviest MOST_HOT of them, and into how many slices of about ``rows`` rows each side is
+    to be cut.
     """
     # A null key joins nothing, so it is never cut. Told by the totals, not by a filter on the
     # keys: that would be pushed below the counts and split them off from their other uses.
@@ -58,6 +61,8 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
             F.bool_and(no_null).alias("joins"),
         )
         .filter(F.col("joins") & ((F.col("l") >= rows) | (F.col("r") >= rows)))
+        .orderBy((F.col("l") + F.col("r")).desc(), *keys)
+        .limit(MOST_HOT)
     )
     slices = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows))).cast("int")
     return totals.select(*keys, slices("l").alias("left_slices"), slices("r").alias("right_slices"))
@@ -79,44 +84,51 @@ def fan_out(
     unique rows in every cell. A cell left empty on a side that was cut is dropped: the key has
     its rows of that side in other cells. All joins share the keys (keys, cell), so base is
     shuffled once for the three of them.
+
+    What a row says decides its slice, never where it lies, so a task that runs again cuts as it did before, in
+    whatever order its rows come. Exact copies of a row are counted, dealt over the slices as
+    numbers, and become rows again behind the joins.
     """
     keys = list(keys)
     on = [*keys, "_cell"]
-    # Bounded (see `hot_keys`); mostly empty, and then the joins to it vanish.
+    # At most MOST_HOT rows (see `hot_keys`); mostly none, and then the joins to it vanish.
     hot = F.broadcast(hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys}))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys))
     n_left, n_right = F.col("left_slices"), F.col("right_slices")
-    ones = {n: F.coalesce(n, F.lit(1)) for n in ("left_slices", "right_slices")}
-
-    def in_cells(frame: DataFrame, first, last, step=F.lit(1)) -> DataFrame:
-        return frame.withColumn("_cell", F.explode(F.sequence(first, last, step)))
-
-    def cut(frame: DataFrame) -> DataFrame:
-        # Row position, not row content, picks the slice: exact copies must spread as well. A
-        # position in a file scan is the same when a lost task is run again.
-        at = {"_at": F.monotonically_increasing_id()}
-        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys))
-        found = frame.withColumns(at).join(hot, same, "left").withColumns(ones)
-        return found.drop(*(f"_hot_{k}" for k in keys))
-
-    def done(frame: DataFrame, *extra: str) -> DataFrame:
-        return frame.drop("_at", "_slice", "left_slices", "right_slices", *extra)
-
-    everywhere = (F.lit(0), n_left * n_right - 1)
-    in_left = cut(left).withColumn("_slice", F.pmod("_at", n_left).cast("int"))
-    in_left = in_cells(in_left, F.col("_slice") * n_right, (F.col("_slice") + 1) * n_right - 1)
-    in_right = cut(right).withColumn("_slice", F.pmod("_at", n_right).cast("int"))
-    in_right = in_cells(in_right, F.col("_slice"), (n_left - 1) * n_right + F.col("_slice"), n_right)
-    empty = ((n_left > 1) & F.col("_has_left").isNull()) | (
-        (n_right > 1) & F.col("_has_right").isNull()
-    )
-    joined = in_cells(cut(base), *everywhere)
+    sliced = ["left_slices", "right_slices"]
+
+    def everywhere(frame: DataFrame) -> DataFrame:
+        """Rows that stand in every cell of their key."""
+        found = frame.join(hot, same, "left").drop(*(f"_hot_{k}" for k in keys))
+        found = found.withColumns({n: F.coalesce(n, F.lit(1)) for n in sliced})
+        return found.withColumn("_cell", F.explode(F.sequence(F.lit(0), n_left * n_right - 1)))
+
+    def in_slices(frame: DataFrame, mine: Column, cells: Callable[[Column], Column], copies: str) -> DataFrame:
+        """Rows of ordinary keys in cell 0; those of hot keys in the cells of their slice, copies as a number."""
+        cold = frame.join(hot, same, "left_anti").withColumns({"_cell": F.lit(0), copies: F.lit(1).cast("long")})
+        of_hot = frame.join(hot, same).drop(*(f"_hot_{k}" for k in keys))
+        counted = of_hot.groupBy(*of_hot.columns).agg(F.count("*").alias("_n"))
+        # n copies over so many slices: slice number (start + i) has n / slices of them, the first ones one more.
+        start = F.pmod(F.xxhash64(*frame.columns), mine)
+        dealt = counted.withColumn("_i", F.explode(F.sequence(F.lit(0), F.least("_n", mine.cast("long")).cast("int") - 1)))
+        share = F.floor(F.col("_n") / mine) + F.when(F.col("_i") < F.col("_n") % mine, 1).otherwise(0)
+        dealt = dealt.withColumns({"_slice": F.pmod(start + F.col("_i"), mine).cast("int"), copies: share.cast("long")})
+        placed = dealt.withColumn("_cell", F.explode(cells(F.col("_slice"))))
+        return cold.unionByName(placed.select(*cold.columns))
+
+    def again(frame: DataFrame, copies: str) -> DataFrame:
+        """Each row as often as it was counted; rows without a partner stay."""
+        return frame.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(copies, F.lit(1))))).drop("_again")
+
+    in_left = in_slices(left, n_left, lambda at: F.sequence(at * n_right, (at + 1) * n_right - 1), "_left")
+    in_right = in_slices(right, n_right, lambda at: F.sequence(at, (n_left - 1) * n_right + at, n_right), "_right")
+    joined = everywhere(base)
     if unique is not None:
-        joined = joined.join(done(in_cells(cut(unique), *everywhere)), on, "left")
-    joined = (
-        joined.join(done(in_left).withColumn("_has_left", F.lit(True)), on, "left")
-        .join(done(in_right).withColumn("_has_right", F.lit(True)), on, "left")
-    )
-    return done(joined.filter(~empty), "_cell", "_has_left", "_has_right")
+        joined = joined.join(everywhere(unique).drop(*sliced), on, "left")
+    joined = joined.join(in_left, on, "left").join(in_right, on, "left")
+    empty = ((n_left > 1) & F.col("_left").isNull()) | ((n_right > 1) & F.col("_right").isNull())
+    whole = again(again(joined.filter(~empty), "_left"), "_right")
+    return whole.drop("_cell", "_left", "_right", *sliced)
 
 
 def running_total(

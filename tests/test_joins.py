@@ -72,6 +72,30 @@ def test_fan_out_spreads_exact_copies_of_a_hot_key(spark):
     assert out.count() == 400
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_slices_do_not_depend_on_where_rows_lie(spark, seed):
+    """Inputs that come in another order and other partitions each time they are read, as after a lost task."""
+    rng = random.Random(seed)
+    left = [("h", 1, rng.choice([1, 1, 1, 2, 3])) for _ in range(300)] + [("x", 1, 4)] * 3
+    right = [("h", 1, 9)] * 40 + [("h", 1, i) for i in range(20)]
+    base = [("h", 1, "c1"), ("h", 1, "c2"), ("x", 1, "c1")]
+    shaken = lambda data, v, t: spark.createDataFrame(data, f"a string, b int, {v} {t}").repartition(5, F.rand()).sortWithinPartitions(F.rand())
+    unique = shaken([("h", 1, 5)], "u", "int")
+    out = fan_out(shaken(base, "c", "string"), unique, shaken(left, "l", "int"), shaken(right, "r", "int"), KEYS, 25)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan
+    want = _brute(base, [("h", 1, 5)], left, right)
+    for _ in range(2):
+        assert sorted(map(tuple, out.select("a", "b", "c", "u", "l", "r").collect()), key=str) == want
+
+
+def test_the_heaviest_keys_are_on_the_list(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_HOT", 2)
+    rows = spark.createDataFrame([(k, 1) for k, n in (("p", 9), ("q", 5), ("r", 7)) for _ in range(n)], "a string, b int")
+    got = hot_keys(rows, rows.limit(0), KEYS, 2).collect()
+    assert {(r.a, r.left_slices) for r in got} == {("p", 5), ("r", 4)}
+
+
 def test_hot_key_list_is_bounded(spark):
     df = spark.range(1000).select(F.lit("k").alias("a"), (F.col("id") % 100).alias("b"))
     assert hot_keys(df, df.limit(0), KEYS, 11).count() == 0

@@ -105,6 +105,15 @@ def test_fan_out_spreads_a_hot_key(spark, plain_shuffles):
     assert _largest_share(out) < 0.3
 
 
+def test_fan_out_spreads_copies_of_one_row(spark, plain_shuffles):
+    right = spark.range(40_000).select(F.lit("hot").alias("k"), F.lit(3).alias("v"))
+    base = right.distinct().select("k")
+    left = base.withColumn("l", F.lit(2))
+    hot = joins.hot_keys(joins.row_counts(left, right, ["k"]), ["k"], 500)
+    out = joins.fan_out(base, None, left, right, ["k"], hot)
+    assert out.count() == 40_000 and _largest_share(out) < 0.3
+
+
 def test_running_total_spreads_a_hot_key(spark, plain_shuffles):
     df = spark.range(40_000).select(
         F.lit("hot").alias("k"), (F.col("id") / 20_000).cast("int").alias("day"), F.col("id").alias("seq"),

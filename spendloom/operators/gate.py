@@ -7,14 +7,13 @@ depend on the order of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.functions.values import money, zero_if_null
+from spendloom.operators import approvals
 from spendloom.operators.joins import lookup
+from spendloom.sources.scratch import written
 
 # Action kinds and the scope that covers every campaign.
 SPEND_ACTIONS = ("launch", "increase_budget", "extend_flight")
@@ -203,39 +202,8 @@ def check_requests(proposals: DataFrame, position: DataFrame, salts: int = 16) -
     )
 
 
-AUDITED = (
-    "client string, request_id string, at timestamp_ntz, seq bigint, approved double, cap double, "
-    "running_approved double, modified boolean, valid boolean, reason string"
-)
-
-
-def _fold_approvals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Decisions in order of client and time. Kept between rows: the client's approved cents and
-    its decided requests."""
-    client, total, decided = None, 0, set()
-    for rows in batches:
-        reasons, totals = [], []
-        for r in rows.itertuples(index=False):
-            if r.client != client:
-                client, total, decided = r.client, 0, set()
-            reason = r.reason
-            if reason != "no_request" and r.request_id in decided:
-                reason = "already_decided"
-            elif reason is None and total + int(r.cents) > r.ceiling_cents:
-                reason = "over_ceiling"
-            elif reason is None:
-                total += int(r.cents)
-                decided.add(r.request_id)
-            reasons.append(reason)
-            totals.append(total / 100)
-        yield rows[["client", "request_id", "at", "seq", "approved", "cap"]].assign(
-            running_approved=totals, modified=rows["modified"],
-            valid=[x is None for x in reasons], reason=reasons,
-        )
-
-
 def check_approvals(
-    decisions: DataFrame, requests: DataFrame, engagement: DataFrame, salts: int = 16
+    decisions: DataFrame, requests: DataFrame, engagement: DataFrame, salts: int = 16, most: int = approvals.MOST
 ) -> DataFrame:
     """Recorded approvals, replayed: would the gate have taken each one, given those before it?
 
@@ -243,8 +211,8 @@ def check_approvals(
     requested), via (null: not from a chat); ``requests``: client, request_id, requested_amount,
     daily_cap. A refused decision changes nothing: neither the approved total nor its request.
     ``running_approved`` is the total after the decision. Decisions on unknown requests stay in
-    the result. What doesn't depend on the order is decided in columns; the rest is one pass over
-    each client's decisions in order, a row at a time, as each result is an input of the next.
+    the result. What doesn't depend on the order is decided in columns; the rest in stretches of a client's log
+    (`approvals.accepted`), so that no task holds a client with more than ``most`` open decisions.
     """
     asked = requests.select(
         "client", "request_id", "requested_amount", F.col("daily_cap").alias("requested_cap")
@@ -265,12 +233,29 @@ def check_approvals(
         (F.col("ceiling").isNotNull(), "no_engagement"),
     )
     cents = lambda c: F.coalesce(F.round(F.col(c) * 100).cast("bigint"), F.lit(0))
-    ordered = rows.select(
-        "client", "request_id", "at", "seq", "approved", "cap", F.coalesce(changed, F.lit(False)).alias("modified"),
-        reason.alias("reason"), cents("approved").alias("cents"), cents("ceiling").alias("ceiling_cents"),
+    known = written(
+        rows.select(
+            "client", "request_id", "at", "seq", "approved", "cap", F.coalesce(changed, F.lit(False)).alias("modified"),
+            reason.alias("broken"), cents("approved").alias("cents"),
+        )
+    )
+    room = engagement.select("client", cents("ceiling").alias("room"))
+    taken = approvals.accepted(known.where("broken is null"), room, salts, most).select(
+        "client", "request_id", F.col("at").alias("t_at"), F.col("seq").alias("t_seq"), F.col("cents").alias("t_cents")
+    )
+    # A request has one accepted decision at most.
+    rows = known.join(taken, ["client", "request_id"], "left")
+    is_taken = F.coalesce((F.col("at") == F.col("t_at")) & (F.col("seq") == F.col("t_seq")), F.lit(False))
+    rows = rows.withColumn("adds", F.when(is_taken, F.col("t_cents")).otherwise(0))
+    verdict = (
+        F.when((F.coalesce("broken", F.lit("")) != "no_request") & approvals.before("t_", ""), "already_decided")
+        .when(F.col("broken").isNotNull(), F.col("broken"))
+        .when(~is_taken, "over_ceiling")
+    )
+    return approvals.running(rows.withColumn("reason", verdict), "adds", "total").select(
+        "client", "request_id", "at", "seq", "approved", "cap", (F.col("total") / 100).alias("running_approved"),
+        "modified", F.col("reason").isNull().alias("valid"), "reason",
     )
-    ordered = ordered.repartition("client").sortWithinPartitions("client", "at", "seq")
-    return ordered.mapInPandas(_fold_approvals, AUDITED)
 
 
 def request_states(requests: DataFrame, audited: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from spendloom.operators import gate
+from spendloom.operators import approvals, gate
 from spendloom.sources.state import request_messages
 
 CAMPAIGNS = "client string, campaign string, request_id string, channel string, budget double, " \
@@ -155,12 +155,12 @@ DECISIONS = "client string, request_id string, at timestamp_ntz, seq bigint, app
     "daily_cap double, via string"
 
 
-def _audit(spark, ceiling, asked, decided):
+def _audit(spark, ceiling, asked, decided, **more):
     at = datetime(2027, 5, 3, 8, 0, 0)
     rows = [("kite", rid, at + timedelta(hours=i // 2), i, amount, cap, via) for i, (rid, amount, cap, via) in enumerate(decided)]
     requests = spark.createDataFrame([("kite", *r) for r in asked], ASKED)
     engagement = spark.createDataFrame([("kite", ceiling)], "client string, ceiling double")
-    return requests, gate.check_approvals(spark.createDataFrame(rows, DECISIONS).repartition(3), requests, engagement)
+    return requests, gate.check_approvals(spark.createDataFrame(rows, DECISIONS).repartition(3), requests, engagement, **more)
 
 
 def test_refused_decisions_count_for_nothing(spark):
@@ -188,6 +188,55 @@ def test_refused_decisions_count_for_nothing(spark):
     assert states == {"q1": ("APPROVED", 55.0, 5.0), "q2": ("APPROVED", 5.0, 5.0), "q3": ("APPROVED", 30.0, 4.0)}
 
 
+def _one_by_one(decided, ceiling):
+    """(seq, cents, request) in order -> seqs that are accepted."""
+    total, done, taken = 0, set(), set()
+    for seq, cents, request in decided:
+        if request not in done and total + cents <= ceiling:
+            total += cents
+            done.add(request)
+            taken.add(seq)
+    return taken
+
+
+SHAPES = {
+    "even": lambda rng, i: rng.randint(1, 50),
+    "falling": lambda rng, i: max(1, 400 - i) if i % 2 else 1,  # a large one that just fails after each small one
+    "few large": lambda rng, i: 900 if rng.random() < 0.05 else rng.randint(1, 3),
+    "all too large": lambda rng, i: 5_000,
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("most", [5, 100_000])
+def test_stretches_equal_one_by_one(spark, shape, most):
+    rng = random.Random(shape)
+    at, rows, want, ceilings = datetime(2027, 5, 3), [], set(), []
+    for client, n, ceiling in (("hot", 400, 3_000), ("cold", 30, 200), ("tiny", 3, 10), ("none", 40, 0)):
+        # Several decisions a second, some requests again and again.
+        mine = [(i, SHAPES[shape](rng, i), f"{client}{rng.randrange(n)}") for i in range(n)]
+        want |= {(client, s) for s in _one_by_one(mine, ceiling)}
+        rows += [(client, request, at + timedelta(seconds=s // 7), s, cents) for s, cents, request in mine]
+        ceilings.append((client, ceiling))
+    frame = spark.createDataFrame(rows, "client string, request_id string, at timestamp_ntz, seq bigint, cents bigint")
+    room = spark.createDataFrame(ceilings, "client string, room bigint")
+    got = approvals.accepted(frame.repartition(4), room, salts=3, most=most).collect()
+    assert {(r.client, r.seq) for r in got} == want and len(got) == len(want)
+
+
+def test_no_task_holds_a_client(spark):
+    """Half of all rows are one client's, more than a task folds."""
+    rng = random.Random(8)
+    asked = [(f"q{i}", float(rng.randint(1, 90)), 5.0) for i in range(150)]
+    decided = [(rng.choice(asked)[0], rng.choice([None, float(rng.randint(-2, 99))]), rng.choice([None, 0.0, 4.0]),
+                rng.choice([None, "chat"])) for _ in range(300)]
+    requests, whole = _audit(spark, 900.0, asked, decided)
+    _, cut = _audit(spark, 900.0, asked, decided, most=10)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, cut.collect()), key=str)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan
+
+
 def test_a_client_without_an_engagement_keeps_its_decisions(spark):
     requests = spark.createDataFrame([("lone", "q", 1.0, 1.0)], ASKED)
     decisions = spark.createDataFrame([("lone", "q", datetime(2027, 1, 1), 1, None, None, None)], DECISIONS)

@@ -8,6 +8,7 @@ depend on the order of rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendloom.functions.values import money, zero_if_null
@@ -302,67 +303,111 @@ def check_decreases(
 # ---------------------------------------------------------------- audit log
 
 
+# An event's place and a value in one whole number, of which a hash aggregate can take the largest: seconds, then
+# sequence number, then the value, each with so many digits. 0 stands for no value.
+SEQ_DIGITS, VALUE_DIGITS = 13, 14
+_ZERO_MONEY, _ZERO_DAY = 5 * 10**13, 10**7
+_WIDE = "decimal(38,0)"
+
+
+def _within(number: Column, digits: int, what: str) -> Column:
+    """The number, if it is 0 or more and has so many digits at most; any other fails the job."""
+    bad = F.raise_error(F.concat(F.lit(f"{what} out of range: "), number.cast("string")))
+    return F.when((number < 0) | (number >= 10**digits), bad.cast("bigint")).otherwise(number)
+
+
+def _place() -> Column:
+    """(at, seq) as one number; times have one-second resolution and sequence numbers start at -1."""
+    at = _within(F.unix_seconds(F.col("at").cast("timestamp")), 11, "time")
+    seq = _within(F.col("seq") + 1, SEQ_DIGITS, "sequence number")
+    return (at.cast("decimal(11,0)") * F.lit(10**SEQ_DIGITS).cast("decimal(14,0)") + seq.cast("decimal(13,0)")).cast("decimal(24,0)")
+
+
+def _coded_money(c: str) -> Column:
+    cents = F.round(F.col(c) * 100).cast("bigint") + _ZERO_MONEY
+    return F.coalesce(_within(cents, VALUE_DIGITS, "money"), F.lit(0))
+
+
+def _coded_day(c: str) -> Column:
+    return F.coalesce(F.unix_date(present(c).try_cast("date")).cast("bigint") + _ZERO_DAY, F.lit(0))
+
+
+def _value(packed: str) -> Column:
+    code = F.pmod(F.col(packed), F.lit(10**VALUE_DIGITS).cast("decimal(15,0)")).cast("bigint")
+    return F.nullif(code, F.lit(0))
+
+
+def _order(packed: str) -> Column:
+    """The place in a packed number, to compare with those of other fields."""
+    return F.floor(F.col(packed) / F.lit(10**VALUE_DIGITS).cast("decimal(15,0)"))
+
+
 def replay(executed: DataFrame, requests: DataFrame, salts: int = 16) -> DataFrame:
     """Campaign state after all executed actions. ``executed``: client, at, seq, action struct.
 
     Every field is decided by the last event that sets it, except the daily budget: a launch
     or increase sets it, a decrease only lowers it. So it is the last value set, lowered to
-    the least decrease after that. Both steps are grouped aggregates with map-side partial
-    results: a campaign's log is never gathered or sorted in one place.
+    the least decrease after that. Places and values are packed into numbers, so one hash aggregate with
+    map-side partial results finds all last values: a campaign's log is never gathered or sorted. The terms of a
+    launch that are text are keys of that aggregate, and a window over a campaign's few launches picks the last.
     """
     key = ["client", "campaign"]
     kind = F.col("action.type")
-    when = F.struct("at", "seq")
     events = executed.select(
-        "client", F.col("action.campaign").alias("campaign"), kind.alias("kind"), when.alias("when"),
+        "client", F.col("action.campaign").alias("campaign"), kind.alias("kind"), _place().alias("place"),
         *(F.col(f"action.{c}").alias(c) for c in ("request_id", "channel", "start", "end")),
         money(F.col("action.budget")).alias("budget"),
         money(F.col("action.daily_budget")).alias("daily_budget"),
     )
-    launch = F.col("kind") == "launch"
-    sets_daily = F.col("kind").isin("launch", "increase_budget") & F.col("daily_budget").isNotNull()
-    sets_budget = F.col("kind").isin("launch", "increase_budget", "decrease_budget")
-
-    def last(value: Column | str, where: Column) -> Column:
-        value = F.col(value) if isinstance(value, str) else value
-        return F.max(F.when(where, F.struct("when", value.alias("v"))))["v"]
-
-    state = events.groupBy(*key).agg(
-        last("request_id", launch).alias("request_id"),
-        last("channel", launch).alias("channel"),
-        last("start", launch).alias("launch_start"),
-        last("end", launch).alias("launch_end"),
-        last("end", F.col("kind") == "extend_flight").alias("extended_to"),
-        last("budget", sets_budget).alias("budget"),
-        last("daily_budget", sets_daily).alias("daily_set"),
-        F.max(F.when(sets_daily, F.col("when"))).alias("daily_set_when"),
-        F.max(F.when(launch, F.col("when"))).alias("launched_when"),
-        F.max(F.when(F.col("kind") == "pause", F.col("when"))).alias("paused_when"),
-    ).filter(F.col("launched_when").isNotNull())
+    launch, raised = F.col("kind") == "launch", F.col("kind") == "increase_budget"
+    lowers = F.col("kind") == "decrease_budget"
+    sets_daily = (launch | raised) & F.col("daily_budget").isNotNull()
+    packed = lambda value: (F.col("place") * F.lit(10**VALUE_DIGITS).cast("decimal(15,0)")).cast(_WIDE) + value.cast(_WIDE)
+    last = lambda value, where: F.max(F.when(where, packed(value).cast(_WIDE)))
+    fields = {
+        "launched": (F.lit(0), launch),
+        "launch_start": (_coded_day("start"), launch),
+        "launch_end": (_coded_day("end"), launch),
+        "extended_to": (_coded_day("end"), F.col("kind") == "extend_flight"),
+        "budget_set": (_coded_money("budget"), launch | raised | lowers),
+        "daily_set": (_coded_money("daily_budget"), sets_daily),
+        "paused": (F.lit(0), F.col("kind") == "pause"),
+    }
+    terms_of = {"launch_request": F.when(launch, F.col("request_id")), "launch_channel": F.when(launch, F.col("channel"))}
+    per_launch = events.withColumns(terms_of).groupBy(*key, *terms_of).agg(
+        *(last(value, where).alias(name) for name, (value, where) in fields.items())
+    )
+    of_campaign = W.partitionBy(*key)
+    state = (
+        per_launch.withColumn("own", F.col("launched"))
+        .withColumns({name: F.max(name).over(of_campaign) for name in fields})
+        .where(F.col("own") == F.col("launched"))
+        .withColumn("daily_place", _order("daily_set").cast("decimal(24,0)"))
+    )
     lowered = (
         lookup(
-            events.filter((F.col("kind") == "decrease_budget") & F.col("daily_budget").isNotNull()),
-            state.select(*key, "daily_set_when"), key, ["when"], salts, how="inner",
+            events.filter(lowers & F.col("daily_budget").isNotNull()),
+            state.select(*key, "daily_place"), key, ["place"], salts, how="inner",
         )
-        .filter(F.col("when") > F.col("daily_set_when"))
+        .filter(F.col("place") > F.col("daily_place"))
         .groupBy(*key)
         .agg(F.min("daily_budget").alias("lowered_to"))
     )
     terms = requests.select(
         "client", "request_id", F.col("start_date").alias("r_start"), F.col("end_date").alias("r_end")
     )
+    amount = lambda c: (_value(c) - _ZERO_MONEY) / 100
+    day = lambda c: F.date_from_unix_date((_value(c) - _ZERO_DAY).cast("int"))
     return (
-        state.join(lowered, key, "left")
+        state.withColumnsRenamed({"launch_request": "request_id", "launch_channel": "channel"})
+        .join(lowered, key, "left")
         .join(terms, ["client", "request_id"], "left")
         .select(
-            *key, "request_id", "channel", "budget",
-            F.least("daily_set", "lowered_to").alias("daily_budget"),
-            F.coalesce(present("launch_start").try_cast("date"), "r_start").alias("start_date"),
-            F.coalesce(
-                present("extended_to").try_cast("date"), present("launch_end").try_cast("date"), "r_end"
-            ).alias("end_date"),
-            F.when(F.col("paused_when") > F.col("launched_when"), "paused")
-            .otherwise("live").alias("status"),
+            *key, "request_id", "channel", amount("budget_set").alias("budget"),
+            F.least(amount("daily_set"), "lowered_to").alias("daily_budget"),
+            F.coalesce(day("launch_start"), "r_start").alias("start_date"),
+            F.coalesce(day("extended_to"), day("launch_end"), "r_end").alias("end_date"),
+            F.when(F.col("paused") > F.col("launched"), "paused").otherwise("live").alias("status"),
         )
     )
 

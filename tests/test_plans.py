@@ -133,4 +133,6 @@ def test_replay_of_a_hot_campaign_keeps_no_log_in_one_place(spark):
             spark.createDataFrame([], "client string, request_id string, start_date date, end_date date"),
         )
     )
-    assert "Window" not in plan and "collect_list" not in plan
+    assert "SortAggregate" not in plan and "collect_list" not in plan
+    # The window holds a campaign's launches, one row each, behind the aggregate.
+    assert re.search(r"Window [^\n]*\n(?:[^\n]*\n){1,4}?[^\n]*HashAggregate", plan)

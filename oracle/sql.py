@@ -590,6 +590,19 @@ _MODELS = {
     ),
 }
 
+# What each report is sorted by.
+_REPORT_ORDER = {
+    "mart_campaign_performance": "client, channel NULLS LAST, campaign NULLS LAST, request_id NULLS LAST",
+    "mart_channel_performance": "client, spend DESC NULLS LAST, channel NULLS LAST",
+    "mart_channel_daily": "client, date, channel NULLS LAST",
+    "mart_funnel": "client, level = 'All channels' DESC, spend DESC NULLS LAST, level NULLS LAST",
+    "mart_approvals": "client, request_id",
+    "mart_alerts": "client, severity, rule, campaign NULLS LAST, channel NULLS LAST, detail",
+    "mart_reconciliation": "client, campaign NULLS LAST, channel NULLS LAST, request_id NULLS LAST",
+    "mart_freshness": "client, source",
+    "mart_exec_overview": "client",
+}
+
 _CLAIM = f"""
 SELECT client, channel, claimed AS platform_conversions, orders AS crm_orders,
        round({div("claimed", "orders")}, 2) AS over_claim_ratio
@@ -668,8 +681,9 @@ def statements() -> dict[str, str]:
     for name, (body, doubles) in _MODELS.items():
         put(name, body, doubles)
         put(f"{name}_lineitem", body, doubles, "lineitem")
-        if name.startswith("mart_") and name not in ("mart_channel_daily", "mart_exec_overview"):
-            put(f"report_{name[5:]}", body, doubles)
+        if name in _REPORT_ORDER:
+            place = f"row_number() OVER (ORDER BY {_REPORT_ORDER[name]}) AS position"
+            put(f"report_{name[5:]}", f"SELECT *, {place} FROM ({body})", doubles)
     # The same models over the saved fact, and after a restatement of it.
     for name in ("fct_performance_daily", "mart_campaign_performance", "mart_channel_performance", "mart_funnel",
                  "mart_channel_daily", "mart_reconciliation", "mart_approvals"):
@@ -696,6 +710,7 @@ def statements() -> dict[str, str]:
     for rule in TEXTS:
         put(f"alert_{rule}", f"SELECT * FROM alerts WHERE rule = '{rule}'", "value threshold")
     put("spend_trend", "SELECT * FROM trend", "plan_cum spend_cum")
+    put("report_spend_trend", "SELECT *, row_number() OVER (ORDER BY client, date) AS position FROM trend", "plan_cum spend_cum")
     put("spend_trend_lineitem", "SELECT * FROM trend", "plan_cum spend_cum", "lineitem")
     put("platform_over_claim", _CLAIM, "platform_conversions over_claim_ratio")
     weeks = "spend platform_conversions cpa_platform cpa_backend"

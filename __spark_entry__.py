@@ -21,6 +21,7 @@ from spendloom.params import Params
 from spendloom.plans import driver, saved
 from spendloom.plans.store import Landing, Store
 from spendloom.plans.warehouse import MODELS, Warehouse
+from spendloom.sources import audit
 from spendloom.sources import state as state_tables
 from spendloom.sources.ads import report_rows
 from spendloom.sources.extracts import load_counts
@@ -69,14 +70,14 @@ def _on_warehouse(
     return lambda spark, sf_dir: rounded(build(warehouse(spark, sf_dir, source, stored)))
 
 
-def _ads(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    """The connector chain, with its stages by name."""
+def _ads(build: Callable[[dict[str, DataFrame]], DataFrame], landed: bool = False) -> Query:
+    """The connector chain, with its stages by name; the report from its landed files if so asked."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = driver.from_events(spark, sf_dir)
         accounts = ads.require_currency(driver.ads_accounts(spark, sf_dir), raw["gate_engagement"])
         window = ads.extraction_window(accounts, ADS_DAYS, driver.ads_today(spark, sf_dir))
-        report = report_rows(driver.ads_report(spark, sf_dir))
+        report = driver.landed_report(spark, sf_dir) if landed else report_rows(driver.ads_report(spark, sf_dir))
         rows = ads.in_window(ads.normalise(report), window)
         mapped = ads.map_campaigns(rows, driver.ads_campaign_map(spark, sf_dir))
         stages = {
@@ -107,6 +108,17 @@ def _restated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(Warehouse.open(store, landing.raw(), PARAMS).fct_performance_daily())
 
 
+def _one_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The campaign mart after client c1, whose spend was saved wrong, is saved again alone."""
+    raw = driver.from_events(spark, sf_dir)
+    of_c1, spend = F.col("client") == "c1", F.col("spend")
+    wrong = raw["platform_daily"].withColumn("spend", F.when(of_c1, spend / 2).otherwise(spend))
+    store = Store(spark, "client_core", "client_marts")
+    Warehouse(raw | {"platform_daily": wrong}, PARAMS, store).save()
+    Warehouse({name: df.where(of_c1) for name, df in raw.items()}, PARAMS, store).save(client="c1")
+    return rounded(spark.table("client_marts.mart_campaign_performance"))
+
+
 def _save_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a save counts while it writes: rows, rows without a spend, and spend of each model that has one."""
     made = warehouse(spark, sf_dir, stored="counts").save()
@@ -153,6 +165,8 @@ def queries() -> dict[str, Query]:
     # Sources: counts per raw table, nested state documents and report batches to rows.
     out["load_counts"] = lambda spark, d: load_counts(driver.from_events(spark, d))
     out["extract_csv_rows"] = lambda spark, d: rounded(driver.csv_rows(spark, d))
+    out["landed_counts"] = lambda spark, d: load_counts(driver.landed_extracts(spark, d))
+    out["landed_platform_rows"] = lambda spark, d: rounded(driver.landed_extracts(spark, d)["platform_daily"])
     for name, flatten in {
         "state_engagement": state_tables.flatten_engagement,
         "state_requests": state_tables.flatten_requests,
@@ -183,6 +197,7 @@ def queries() -> dict[str, Query]:
         )
     out["fct_performance_daily_restated"] = _restated
     out["save_counts"] = _save_counts
+    out["mart_campaign_performance_one_client"] = _one_client
     out["campaign_totals"] = _on_warehouse(
         lambda w: marts.campaign_totals(w.daily).drop("ref_date", *marts.RECENT)
     )
@@ -219,6 +234,11 @@ def queries() -> dict[str, Query]:
     )
     out["ads_rows_in_window"] = _ads(lambda s: s["rows"])
     out["ads_platform_extract"] = _ads(lambda s: s["extract"])
+    out["ads_platform_extract_landed"] = _ads(lambda s: s["extract"], landed=True)
+    out["ads_currency_mismatches"] = lambda s, d: ads.currency_mismatches(  # planted: c1's account is in another one
+        driver.ads_accounts(s, d).withColumn("currency", F.when(F.col("client") == "c1", "EUR").otherwise(F.col("currency"))),
+        driver.from_events(s, d)["gate_engagement"],
+    )
     out["ads_unmapped_campaigns"] = _ads(lambda s: ads.unmapped_campaigns(s["mapped"]))
     out["ads_extract_summary"] = _ads(lambda s: ads.extract_summary(s["extract"], s["window"]))
     out["freshness_upsert"] = _ads(lambda s: ads.upsert_freshness(s["freshness"], s["window"]))
@@ -269,6 +289,13 @@ def queries() -> dict[str, Query]:
             driver.executed_actions(s, d), w.stg["stg_gate_requests"]
         )
     )
+    out["campaign_state_from_log"] = _gate(
+        lambda w, s, d: gate.replay(audit.executed(driver.landed_audit(s, d)), w.stg["stg_gate_requests"])
+    )
+    out["audit_positions"] = lambda s, d: driver.landed_audit(s, d).groupBy("client", "event").agg(
+        F.count("*").alias("events"), F.min("line").alias("first_line"), F.max("line").alias("last_line"),
+        F.sum("line").alias("lines"),
+    )
     out["audit_counts"] = lambda s, d: gate.audit_counts(driver.audit_log(s, d))
     out["refused_decisions"] = lambda s, d: gate.refused_decisions(driver.audit_log(s, d))
     out["requests_to_send"] = lambda s, d: gate.requests_to_send(
@@ -277,6 +304,11 @@ def queries() -> dict[str, Query]:
     out["pending_request_owner"] = lambda s, d: gate.pending_owner(
         state_tables.request_messages(driver.state_documents(driver.from_events(s, d)), "chat")
     )
+    out["ambiguous_request_owner"] = lambda s, d: gate.pending_owner(  # planted: ids without their client, all pending
+        state_tables.request_messages(driver.state_documents(driver.from_events(s, d)), "chat").withColumns(
+            {"request_id": F.regexp_replace("request_id", r"SAR-\d+-", "SAR-"), "status": F.lit("PENDING")}
+        ).where("not (client = 'c2' and request_id = 'SAR-1')")
+    )
     # Data quality.
     out["duplicate_campaign_days"] = _on_warehouse(
         lambda w: quality.duplicate_keys(  # planted: some days twice

@@ -473,12 +473,11 @@ audited AS (
            ELSE CASE event_id % 4 WHEN 2 THEN 'decision_refused_stale_message' WHEN 3 THEN 'decision_refused_bad_key'
                 ELSE 'action_blocked' END END AS event,
          CASE WHEN event_type = 'error' AND event_id % 4 < 2
-              THEN (['expired', 'over_daily_cap', 'unknown_action'])[event_id % 3 + 1] END AS reason
+              THEN (['expired', 'over_daily_cap', 'unknown_action'])[event_id % 3 + 1] END AS reason,
+         date_trunc('second', ts) AS "at", event_id AS seq
   FROM log
   UNION ALL
-  SELECT DISTINCT client, 'action_executed', NULL FROM (SELECT DISTINCT client, campaign FROM log) WHERE false
-  UNION ALL
-  SELECT client, 'action_executed', NULL FROM (SELECT DISTINCT client, campaign FROM log)),
+  SELECT client, 'action_executed', NULL, TIMESTAMP '2023-12-31 00:00:00', -1 FROM (SELECT DISTINCT client, campaign FROM log)),
 ads AS (
   SELECT client, date, n, (n + 100)::varchar AS platform_id, 'Net | ' || campaign AS platform_name,
          CASE WHEN n = 29 THEN 'google_ads_other'
@@ -637,6 +636,13 @@ def statements() -> dict[str, str]:
         " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t}" for n, t in counts.items()),
     )
     put("extract_csv_rows", "SELECT * FROM raw_platform", ADS_MONEY)
+    put("landed_platform_rows", "SELECT * FROM raw_platform", ADS_MONEY)
+    landed = {n: t for n, t in counts.items() if n in ("platform_daily", "web_sessions", "source_freshness")}
+    put(
+        "landed_counts",
+        " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t}" for n, t in landed.items())
+        + " UNION ALL SELECT 'crm_orders', 0 UNION ALL SELECT 'plan_daily', 0",
+    )
     put("state_engagement", "SELECT client, currency, ceiling FROM raw_engagement", "ceiling")
     put(
         "state_requests",
@@ -689,6 +695,7 @@ def statements() -> dict[str, str]:
                  "mart_channel_daily", "mart_reconciliation", "mart_approvals"):
         put(f"{name}_stored", *_MODELS[name])
     put("fct_performance_daily_restated", *_MODELS["fct_performance_daily"])
+    put("mart_campaign_performance_one_client", *_MODELS["mart_campaign_performance"])
     put(
         "save_counts",
         " UNION ALL ".join(
@@ -811,6 +818,12 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
         "daily_budget_after",
     )
     put("campaign_state_replay", "SELECT * FROM replayed", "budget daily_budget")
+    put("campaign_state_from_log", "SELECT * FROM replayed", "budget daily_budget")
+    put(
+        "audit_positions",
+        "SELECT client, event, count(*) AS events, min(line) AS first_line, max(line) AS last_line, CAST(sum(line) AS bigint) AS lines "
+        'FROM (SELECT client, event, row_number() OVER (PARTITION BY client ORDER BY "at", seq) AS line FROM audited) GROUP BY ALL',
+    )
     put("audit_counts", "SELECT client, event, reason, count(*) AS events FROM audited GROUP BY ALL")
     put(
         "refused_decisions",
@@ -826,6 +839,13 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
         "CASE WHEN count(*) = 1 THEN min(client) END AS client "
         "FROM raw_requests WHERE status = 'PENDING' AND client <> 'c1' GROUP BY request_id",
     )
+    put(
+        "ambiguous_request_owner",
+        "SELECT 7::bigint AS user_id, id AS request_id, count(*) AS clients, CASE WHEN count(*) = 1 THEN min(client) END AS client "
+        "FROM (SELECT client, regexp_replace(request_id, 'SAR-[0-9]+-', 'SAR-') AS id FROM raw_requests WHERE client <> 'c1') "
+        "WHERE NOT (client = 'c2' AND id = 'SAR-1') GROUP BY id",
+    )
+    put("ads_currency_mismatches", "SELECT client, 'EUR' AS currency, currency AS expected FROM raw_engagement WHERE client = 'c1'")
     put(
         "duplicate_campaign_days",
         "SELECT client, date, campaign, count(*) AS n FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE day(date) % 10 = 3) "
@@ -874,4 +894,5 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
         "SELECT client, count(*) FILTER (is_synthetic) AS synthetic, count(*) FILTER (NOT is_synthetic) AS real "
         "FROM (SELECT client, NOT (source = 'plan' AND client <> 'c1') AS is_synthetic FROM raw_freshness) GROUP BY client HAVING bool_or(is_synthetic) AND bool_or(NOT is_synthetic)",
     )
+    out["ads_platform_extract_landed"] = out["ads_platform_extract"]
     return out

@@ -62,6 +62,13 @@ def _utc_now() -> Column:
     )
 
 
+def currency_mismatches(accounts: DataFrame, engagement: DataFrame) -> DataFrame:
+    """Accounts whose currency is not their engagement's: client, currency, expected."""
+    expected = engagement.select("client", F.col("currency").alias("expected"))
+    rows = accounts.select("client", "currency").join(expected, "client", "left")
+    return rows.where(~F.col("currency").eqNullSafe(F.col("expected")))
+
+
 def require_currency(accounts: DataFrame, engagement: DataFrame) -> DataFrame:
     """``accounts`` unchanged, or a failed job if an account's currency is not its engagement's.
 

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from spendloom.operators.joins import lookup
 from spendloom.schemas import ADS_BATCHES, AUDIT, EXTRACTS, STATE
+from spendloom.sources.ads import read_ads_report
+from spendloom.sources.audit import read_audit
+from spendloom.sources.extracts import read_extract, write_csv
+from spendloom.sources.scratch import scratch_path
 
 SUPPLIERS = 10**12  # above any supplier number
 LOADED_AT = "2024-01-31 06:00:00"
@@ -410,6 +414,33 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed[0].unionByName(parsed[1])
 
 
+def landed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit events as files of JSON lines, a folder per client, without numbers, read by the log's reader."""
+    at = scratch_path(spark)
+    lines = [df.select("client", "at", "seq", F.to_json(F.struct(*(c for c in df.columns if c not in ("client", "seq")))).alias("value"))
+             for df in audit_events(spark, sf_dir)]
+    rows = lines[0].unionByName(lines[1]).repartition("client").sortWithinPartitions("client", "at", "seq")
+    rows.select("client", "value").write.partitionBy("client").text(at)
+    return read_audit(spark, at)
+
+
+def landed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The extracts through CSV files and the extracts' reader. Plan and CRM were never connected: no files."""
+    raw, at = from_events(spark, sf_dir), scratch_path(spark)
+    for name in ("platform_daily", "web_sessions", "source_freshness"):
+        write_csv(raw[name].select("client", *EXTRACTS[name].names), f"{at}/{name}", ("client",))
+    return {name: read_extract(spark, at, name, by_extract=True) for name in EXTRACTS}
+
+
+def landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ads report as files, each a list of batches, a folder per client, read by the connector's reader."""
+    at = scratch_path(spark)
+    batches = ads_report(spark, sf_dir).select("client", F.to_json(F.array(F.struct("results"))).alias("value"))
+    # A file is one document, so each batch goes to a file of its own.
+    batches.write.option("maxRecordsPerFile", 1).partitionBy("client").text(at)
+    return read_ads_report(spark, at)
+
+
 def executed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, launches = audit_events(spark, sf_dir)
     done = lines.filter("event = 'action_executed'")

@@ -12,9 +12,12 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
-def read_ads_report(spark: SparkSession, path: str, client: str) -> DataFrame:
-    """All result rows of all batches, in one frame."""
-    return report_rows(_read(spark, path, ADS_BATCHES).withColumn("client", F.lit(client)))
+def read_ads_report(spark: SparkSession, path: str, client: str | None = None) -> DataFrame:
+    """All result rows of all batches, in one frame. Without ``client`` the path has a folder per client
+    (``client=<name>``)."""
+    batches = _read(spark, path, ADS_BATCHES)
+    named = F.col("client").cast("string") if client is None else F.lit(client)
+    return report_rows(batches.withColumn("client", named))
 
 
 def report_rows(batches: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """CSV extracts, result exports and saved tables.
 
 Layouts: one folder per client (``<root>/client=<name>/<extract>.csv``), read in one scan
-for all clients, or a plain folder for one named client.
+for all clients, a plain folder for one named client, or what `write_csv` leaves: one folder per extract with
+one per client in it (``<root>/<extract>/client=<name>``).
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from spendloom.schemas import EXTRACTS
 
 
 def read_extract(
-    spark: SparkSession, root: str, name: str, client: str | None = None
+    spark: SparkSession, root: str, name: str, client: str | None = None, by_extract: bool = False
 ) -> DataFrame:
     """Typed scan of one extract. A bad cell or header fails the job. A source that was
     never connected (no file) gives zero rows of the declared schema."""
     columns = EXTRACTS[name]
     if client is None:
         columns = T.StructType([*columns.fields, T.StructField("client", T.StringType())])
-        path = f"{root}/client=*/{name}.csv"
+        path = f"{root}/{name}" if by_extract else f"{root}/client=*/{name}.csv"
     else:
         path = f"{root}/{name}.csv"
     reader = (
@@ -34,7 +35,7 @@ def read_extract(
         .option("mode", "FAILFAST")
     )
     if client is None:
-        reader = reader.option("basePath", root)
+        reader = reader.option("basePath", path if by_extract else root)
     try:
         df = reader.csv(path)
     except AnalysisException as missing:

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as Parquet under spark.checkpoint.dir, or the warehouse where the session names none, read again: what
-    follows doesn't depend on lost executors and doesn't repeat what came before."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path under spark.checkpoint.dir, or the warehouse where the session names none."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
-    path = f"{root.rstrip('/')}/{uuid4().hex}"
+    return f"{root.rstrip('/')}/{uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as Parquet at a scratch path, read again: what follows doesn't depend on lost executors and doesn't
+    repeat what came before."""
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

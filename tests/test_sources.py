@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
@@ -11,7 +12,7 @@ from spendloom.plans.saved import load_saved_query, run_saved_query
 from spendloom.plans.warehouse import MODELS, Warehouse
 from spendloom.schemas import EXTRACTS
 from spendloom.sources import extracts
-from spendloom.sources.audit import read_audit
+from spendloom.sources.audit import executed, read_audit
 from spendloom.sources.state import gate_tables, read_state
 from spendloom.streaming.audit import append_audit, stream_audit
 
@@ -62,6 +63,14 @@ def test_extract_round_trip(spark, tmp_path):
         assert sorted(map(str, back.collect())) == sorted(map(str, df.collect())), name
 
 
+def test_written_extracts_are_read_again(spark, tmp_path):
+    raw = fixture.raw_tables(spark, ("a", "b"))
+    extracts.write_csv(raw["plan_daily"].drop("_loaded_at"), str(tmp_path / "plan_daily"), ("client",))
+    back = extracts.read_extract(spark, str(tmp_path), "plan_daily", by_extract=True)
+    assert sorted(map(str, back.collect())) == sorted(map(str, raw["plan_daily"].drop("_loaded_at").collect()))
+    assert extracts.read_extract(spark, str(tmp_path), "crm_orders", by_extract=True).count() == 0
+
+
 def test_load_stamp_and_counts(spark):
     raw = fixture.raw_tables(spark)
     assert raw["plan_daily"].select("_loaded_at").distinct().collect()[0][0] == fixture.LOADED
@@ -114,7 +123,8 @@ def test_audit_scan_keeps_file_order(spark, tmp_path):
     path = tmp_path / "acme.audit.jsonl"
     path.write_text("".join(json.dumps(e) + "\n" for e in AUDIT_LINES))
     audit = read_audit(spark, str(path), "acme")
-    rows = audit.orderBy("at", "seq").collect()
+    rows = audit.orderBy("line").collect()
+    assert [r.line for r in rows] == [1, 2, 3] and [r.seq for r in rows] == [None] * 3
     assert [r.event for r in rows] == [e["event"] for e in AUDIT_LINES]
     assert rows[1].action.campaign == "x" and rows[0].file.endswith("acme.audit.jsonl")
     counts = {(r.event, r.reason): r.events for r in gate.audit_counts(audit).collect()}
@@ -122,6 +132,43 @@ def test_audit_scan_keeps_file_order(spark, tmp_path):
     assert [r.refused for r in gate.refused_decisions(audit).collect()] == [1]
 
 
+def test_positions_do_not_change_with_how_files_are_cut(spark, tmp_path):
+    """Numbers of lines, whatever the size of blocks and whatever other files there are."""
+    event = {"at": "2026-11-05T10:00:00+00:00", "actor": "x", "event": "spend_recorded"}
+
+    def log(name, n):
+        lines = [json.dumps({**event, "note": f"{name}-{i} " + "é" * (i % 40)}) for i in range(1, n + 1)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+
+    def read():
+        return {(Path(r.file).name, r.note.split()[0]): r.line for r in read_audit(spark, str(tmp_path)).collect()}
+
+    log("a", 700)
+    before, first = spark.conf.get("spark.sql.files.maxPartitionBytes"), read()
+    assert first == {("a.jsonl", f"a-{i}"): i for i in range(1, 701)}
+    try:
+        for size in ("900b", "7k", "1g"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert read() == first
+        log("0", 300)
+        assert {k: v for k, v in read().items() if k[0] == "a.jsonl"} == first and len(read()) == 1_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_log_without_numbers_is_replayed_by_its_lines(spark, tmp_path):
+    def act(kind, **more):
+        return {"at": "2026-11-05T10:00:00+00:00", "actor": "x", "event": "action_executed",
+                "action": {"type": kind, "campaign": "c", **more}}
+
+    lines = [act("launch", request_id="R", budget=10.0, daily_budget=5.0), act("decrease_budget", budget=8.0, daily_budget=2.0),
+             act("increase_budget", budget=20.0, daily_budget=6.0), act("decrease_budget", budget=9.0, daily_budget=4.0)]
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    terms = spark.createDataFrame([], "client string, request_id string, start_date date, end_date date")
+    (row,) = gate.replay(executed(read_audit(spark, str(tmp_path), "acme")), terms).collect()
+    assert (row.budget, row.daily_budget, row.status) == (9.0, 4.0, "live")
+
+
 def test_audit_stream_lands_each_line_once(spark, tmp_path):
     source, sink, checkpoint = (tmp_path / n for n in ("in", "out", "checkpoint"))
     source.mkdir()
@@ -178,6 +225,33 @@ def test_saved_query_over_frames_leaves_views_and_literals_alone(spark, saved_ta
     spark.catalog.dropTempView("fct_performance_daily")
 
 
+@pytest.mark.parametrize(
+    "text, told",
+    [
+        ("select reflect('java.lang.System', 'getProperty', 'user.home') as x", "reflect"),
+        ("with t as (select java_method('java.lang.Math', 'abs', -1) as x) select * from t", "java_method"),
+        ("select * from scratch.t", "scratch.t"),
+        ("select * from (select max(spend) from marts.mart_funnel where exists (select 1 from scratch.t))", "scratch.t"),
+        ("select * from parquet.`/etc/hosts`", "parquet"),
+        ("select transform(channel) using 'cat' as (x) from marts.mart_funnel", "Script"),
+        ("select * from read_files('/etc')", "read_files"),
+        ("select * from mart_funnel", "mart_funnel"),
+    ],
+)
+def test_saved_query_is_refused_by_its_plan(spark, saved_tables, tmp_path, text, told):
+    path = tmp_path / "refused.sql"
+    path.write_text(HEADER + text)
+    with pytest.raises(ValueError, match=told):
+        run_saved_query(spark, path)
+
+
+def test_saved_query_may_name_parts_and_count(spark, saved_tables, tmp_path):
+    path = tmp_path / "parts.sql"
+    path.write_text(HEADER + "with Spent as (select channel, sum(spend) as s from core.fct_performance_daily group by 1)\n"
+                    "select s.channel, n.id, (select count(*) from marts.mart_alerts) as a from spent s, range(2) n")
+    assert run_saved_query(spark, path).rows.count() == 6
+
+
 def test_saved_query_needs_its_header(tmp_path):
     path = tmp_path / "bare.sql"
     path.write_text("select 1")

@@ -279,6 +279,18 @@ def queries() -> dict[str, Query]:
             driver.recorded_approvals(s, d)["requests"], gate.check_approvals(**driver.recorded_approvals(s, d))
         )
     )
+    def decided(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+        given = driver.recorded_approvals(s, d, rejections=True)
+        return given["requests"], gate.check_approvals(**given)
+
+    out["check_decisions"] = lambda s, d: rounded(decided(s, d)[1].drop("approved", "cap", "modified"))
+    out["request_state_decided"] = lambda s, d: rounded(gate.request_states(*decided(s, d)))
+    out["check_pauses"] = _gate(
+        lambda w, s, d: gate.check_pauses(driver.proposed_actions(s, d), w.stg["stg_gate_campaigns"])
+    )
+    out["check_ledger_entries"] = _gate(
+        lambda w, s, d: gate.check_ledger_entries(driver.ledger_entries(s, d), w.stg["stg_gate_campaigns"])
+    )
     out["check_decreases"] = _gate(
         lambda w, s, d: gate.check_decreases(
             driver.proposed_actions(s, d), w.stg["stg_gate_campaigns"], w.stg["stg_gate_spend"]

@@ -503,7 +503,8 @@ decided AS (
          date_trunc('second', ts) AS "at", event_id * 2 + again.i AS seq, event_id % 13 = 0 AS unknown,
          CASE WHEN event_id % 13 = 0 AND event_id % 9 <> 0 AND event_id % 6 <> 0 AND event_id % 5 = 0 THEN NULL
               WHEN event_id % 9 = 0 THEN -c WHEN event_id % 6 = 0 THEN 2 * c ELSE c END AS cents,
-         CASE WHEN event_id % 13 <> 0 THEN c END AS asked, event_id % 19 = 0 AS no_cap, c // 10 AS cap_asked, event_id % 4 = 0 AS chat
+         CASE WHEN event_id % 13 <> 0 THEN c END AS asked, event_id % 19 = 0 AS no_cap, c // 10 AS cap_asked, event_id % 4 = 0 AS chat,
+         false AS rejects
   FROM signups, (SELECT unnest([0, 1]) AS i) again WHERE again.i = 0 OR event_id % 7 = 0),
 queue AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY client ORDER BY "at", seq) AS bigint) AS pos FROM decided),
@@ -512,18 +513,19 @@ walk AS (
   SELECT client, 0::bigint AS pos, 0::bigint AS total, []::varchar[] AS granted,
          NULL::varchar AS reason FROM ceilings
   UNION ALL
-  SELECT client, pos, CASE WHEN reason IS NULL THEN total + cents ELSE total END,
+  SELECT client, pos, CASE WHEN reason IS NULL AND NOT rejects THEN total + cents ELSE total END,
          CASE WHEN reason IS NULL THEN list_append(granted, request_id) ELSE granted END, reason
-  FROM (SELECT q.client, q.pos, w.total, w.granted, q.cents, q.request_id,
+  FROM (SELECT q.client, q.pos, w.total, w.granted, q.cents, q.request_id, q.rejects,
                CASE WHEN unknown THEN 'no_request'
                     WHEN list_contains(w.granted, q.request_id) THEN 'already_decided'
+                    WHEN rejects THEN NULL
                     WHEN q.cents <= 0 THEN 'amount_not_positive'
                     WHEN no_cap OR cap_asked <= 0 THEN 'cap_not_positive'
                     WHEN chat AND q.cents > asked THEN 'raised_from_chat'
                     WHEN w.total + q.cents > k.ceiling THEN 'over_ceiling' END AS reason
         FROM walk w JOIN queue q ON q.client = w.client AND q.pos = w.pos + 1 JOIN ceilings k ON k.client = q.client)),
 audited_decisions AS (
-  SELECT q.client, q.request_id, q."at", q.seq, round(q.cents::double / 100, 6) AS approved,
+  SELECT q.client, q.request_id, q."at", q.seq, q.rejects, round(q.cents::double / 100, 6) AS approved,
          CASE WHEN no_cap THEN 0 WHEN NOT unknown THEN round(cap_asked::double / 100, 6) END AS cap,
          round(w.total::double / 100, 6) AS running_approved,
          NOT unknown AND (q.cents <> q.asked OR (no_cap AND cap_asked <> 0)) AS modified, w.reason IS NULL AS valid, w.reason
@@ -801,7 +803,34 @@ def statements() -> dict[str, str]:
         "WHEN event_id % 13 = 0 THEN 'start_after_end' WHEN approved + c > ceiling THEN 'over_ceiling' END AS reason "
         "FROM log l JOIN standing p ON p.client = l.client WHERE event_type = 'purchase')",
     )
-    out["check_approvals"] = f"{APPROVALS_REPLAYED} SELECT * FROM audited_decisions"
+    out["check_approvals"] = f"{APPROVALS_REPLAYED} SELECT * EXCLUDE (rejects) FROM audited_decisions"
+    # The same log with every 11th decision a rejection.
+    rejecting = APPROVALS_REPLAYED.replace("false AS rejects", "event_id % 11 = 0 AS rejects")
+    out["check_decisions"] = (
+        f"{rejecting} SELECT client, request_id, \"at\", seq, CASE WHEN rejects THEN 'reject' ELSE 'approve' END AS decision, "
+        "running_approved, valid, reason FROM audited_decisions"
+    )
+    out["request_state_decided"] = f"""{rejecting}
+SELECT s.client, 'RQ-' || s.event_id AS request_id, s.value AS requested_amount,
+       CASE WHEN d.seq IS NULL THEN 'PENDING' WHEN d.rejects THEN 'REJECTED' ELSE 'APPROVED' END AS status,
+       CASE WHEN d.seq IS NULL OR d.rejects THEN 0 ELSE d.approved END AS approved_amount,
+       CASE WHEN d.seq IS NULL OR d.rejects THEN (s.c // 10)::double / 100 ELSE d.cap END AS daily_cap, d."at" AS decided_at
+FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.request_id = 'RQ-' || s.event_id AND d.valid"""
+    put(
+        "check_pauses",
+        "SELECT client, action_id, campaign, launched AS valid, CASE WHEN NOT launched THEN 'no_campaign' END AS reason "
+        "FROM asked WHERE type = 'pause'",
+    )
+    put(
+        "check_ledger_entries",
+        "SELECT client, entry_id, campaign, reason IS NULL AS valid, reason, CASE WHEN reason IS NULL THEN amount END AS booked FROM ("
+        "SELECT e.client, entry_id, e.campaign, amount, CASE WHEN g.campaign IS NULL THEN 'no_campaign' WHEN amount IS NULL THEN 'no_amount' "
+        "WHEN strange THEN 'unreadable_date' END AS reason FROM (SELECT client, event_id AS entry_id, "
+        "CASE WHEN event_id % 6 = 0 THEN 'new_' || (event_id % 40) ELSE campaign END AS campaign, "
+        "CASE WHEN event_id % 35 <> 0 THEN c::double / 100 END AS amount, event_id % 25 = 0 AS strange "
+        "FROM log WHERE event_type = 'click') e LEFT JOIN raw_campaigns g ON g.client = e.client AND g.campaign = e.campaign)",
+        "booked",
+    )
     out["request_state_replay"] = f"""{APPROVALS_REPLAYED}
 SELECT s.client, 'RQ-' || s.event_id AS request_id, s.value AS requested_amount,
        CASE WHEN d.seq IS NULL THEN 'PENDING' ELSE 'APPROVED' END AS status, coalesce(d.approved, 0) AS approved_amount,

@@ -212,12 +212,16 @@ def check_approvals(
     requested), via (null: not from a chat); ``requests``: client, request_id, requested_amount,
     daily_cap. A refused decision changes nothing: neither the approved total nor its request.
     ``running_approved`` is the total after the decision. Decisions on unknown requests stay in
-    the result. What doesn't depend on the order is decided in columns; the rest in stretches of a client's log
+    the result. A column ``decision`` may say "reject": a rejection decides its request, takes nothing of the
+    ceiling and needs no amount; the column stays in the result. What doesn't depend on the order is decided in columns; the rest in stretches of a client's log
     (`approvals.accepted`), so that no task holds a client with more than ``most`` open decisions.
     """
     asked = requests.select(
         "client", "request_id", "requested_amount", F.col("daily_cap").alias("requested_cap")
     )
+    has_kind = "decision" in decisions.columns
+    rejects = F.coalesce(F.col("decision") == "reject", F.lit(False)) if has_kind else F.lit(False)
+    kind = ["decision"] if has_kind else []
     rows = lookup(decisions, asked, ["client", "request_id"], ["seq"], salts)
     rows = (
         lookup(rows, engagement.select("client", "ceiling"), ["client"], ["seq"], salts)
@@ -228,16 +232,17 @@ def check_approvals(
     changed = (F.col("approved") != F.col("requested_amount")) | (F.col("cap") != F.col("requested_cap"))
     reason = first_broken(
         (F.col("requested_amount").isNotNull(), "no_request"),
-        (F.col("approved") > 0, "amount_not_positive"),
-        (F.col("cap") > 0, "cap_not_positive"),
-        (F.col("via").isNull() | ~raised, "raised_from_chat"),
+        (rejects | (F.col("approved") > 0), "amount_not_positive"),
+        (rejects | (F.col("cap") > 0), "cap_not_positive"),
+        (rejects | F.col("via").isNull() | ~raised, "raised_from_chat"),
         (F.col("ceiling").isNotNull(), "no_engagement"),
     )
     cents = lambda c: F.coalesce(F.round(F.col(c) * 100).cast("bigint"), F.lit(0))
     known = written(
         rows.select(
-            "client", "request_id", "at", "seq", "approved", "cap", F.coalesce(changed, F.lit(False)).alias("modified"),
-            reason.alias("broken"), cents("approved").alias("cents"),
+            "client", "request_id", "at", "seq", *kind, F.when(~rejects, F.col("approved")).alias("approved"),
+            F.when(~rejects, F.col("cap")).alias("cap"), (~rejects & F.coalesce(changed, F.lit(False))).alias("modified"),
+            reason.alias("broken"), F.when(rejects, 0).otherwise(cents("approved")).alias("cents"),
         )
     )
     room = engagement.select("client", cents("ceiling").alias("room"))
@@ -254,22 +259,22 @@ def check_approvals(
         .when(~is_taken, "over_ceiling")
     )
     return approvals.running(rows.withColumn("reason", verdict), "adds", "total").select(
-        "client", "request_id", "at", "seq", "approved", "cap", (F.col("total") / 100).alias("running_approved"),
+        "client", "request_id", "at", "seq", *kind, "approved", "cap", (F.col("total") / 100).alias("running_approved"),
         "modified", F.col("reason").isNull().alias("valid"), "reason",
     )
 
 
 def request_states(requests: DataFrame, audited: DataFrame) -> DataFrame:
     """Requests after their recorded decisions (`check_approvals`): approved with the amount and
-    cap that were granted, or still pending. A request has at most one valid decision."""
+    cap that were granted, rejected, or still pending. A request has at most one valid decision."""
+    rejected = F.col("decision") == "reject" if "decision" in audited.columns else F.lit(False)
     granted = audited.filter("valid").select(
         "client", "request_id", F.col("approved").alias("_amount"), F.col("cap").alias("_cap"),
-        F.col("at").alias("decided_at"),
+        F.col("at").alias("decided_at"), F.coalesce(rejected, F.lit(False)).alias("_rejected"),
     )
-    taken = F.col("decided_at").isNotNull()
+    status = F.when(F.col("_rejected"), "REJECTED").when(F.col("decided_at").isNotNull(), "APPROVED").otherwise("PENDING")
     return requests.join(granted, ["client", "request_id"], "left").select(
-        "client", "request_id", "requested_amount",
-        F.when(taken, "APPROVED").otherwise("PENDING").alias("status"),
+        "client", "request_id", "requested_amount", status.alias("status"),
         F.coalesce("_amount", F.lit(0.0)).alias("approved_amount"),
         F.coalesce("_cap", "daily_cap").alias("daily_cap"), "decided_at",
     )
@@ -300,6 +305,30 @@ def check_decreases(
     )
 
 
+def check_pauses(actions: DataFrame, campaigns: DataFrame, salts: int = 16) -> DataFrame:
+    """Pauses: the campaign exists."""
+    have = campaigns.select("client", "campaign", F.lit(True).alias("known"))
+    rows = lookup(actions.filter(F.col("type") == "pause"), have, ["client", "campaign"], ["action_id"], salts)
+    reason = first_broken((F.col("known"), "no_campaign"))
+    return rows.select("client", "action_id", "campaign", reason.isNull().alias("valid"), reason.alias("reason"))
+
+
+def check_ledger_entries(entries: DataFrame, campaigns: DataFrame, salts: int = 16) -> DataFrame:
+    """Spend to be booked: the campaign exists and the day can be read. ``entries``: client, entry_id, campaign,
+    amount, date (text). ``booked`` is the amount that goes into the ledger."""
+    have = campaigns.select("client", "campaign", F.lit(True).alias("known"))
+    rows = lookup(entries, have, ["client", "campaign"], ["entry_id"], salts)
+    reason = first_broken(
+        (F.col("known"), "no_campaign"),
+        (F.col("amount").isNotNull(), "no_amount"),
+        (F.col("date").try_cast("date").isNotNull(), "unreadable_date"),
+    )
+    return rows.select(
+        "client", "entry_id", "campaign", reason.isNull().alias("valid"), reason.alias("reason"),
+        F.when(reason.isNull(), money(F.col("amount"))).alias("booked"),
+    )
+
+
 # ---------------------------------------------------------------- audit log
 
 

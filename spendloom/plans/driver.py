@@ -462,11 +462,22 @@ def executed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole(done).unionByName(whole(launches))
 
 
-def recorded_approvals(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ledger entry per click, some for campaigns that don't exist, without an amount or with a strange day."""
+    return event_log(spark, sf_dir).filter("event_type = 'click'").select(
+        "client", F.col("event_id").alias("entry_id"),
+        F.when(_every(6), F.concat(F.lit("new_"), F.col("event_id") % 40)).otherwise(F.col("campaign")).alias("campaign"),
+        F.when(_every(35), None).otherwise(F.col("value")).alias("amount"),
+        F.when(_every(25), "soon").otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+    )
+
+
+def recorded_approvals(spark: SparkSession, sf_dir: str, rejections: bool = False) -> dict[str, DataFrame]:
     """Decisions, the requests they are about and the clients' ceilings, from the log's signups.
 
     Every signup is a request for its value. Each is decided once; every seventh a second time.
-    Every 13th decision names a request that was never filed. Ceilings are 60 % of all requests.
+    Every 13th decision names a request that was never filed. Ceilings are 60 % of all requests. With
+    ``rejections`` every 11th decision is one.
     """
     log = event_log(spark, sf_dir).filter("event_type = 'signup'")
     rid = F.concat(F.lit("RQ-"), "event_id")
@@ -483,6 +494,10 @@ def recorded_approvals(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         (F.col("event_id") * 2 + F.col("time")).alias("seq"), asked.alias("approved_amount"),
         F.when(_every(19), 0.0).alias("daily_cap"), F.when(_every(4), "chat").alias("via"),
     )
+    if rejections:
+        # The sequence number is twice that of the event, and one more for the second time.
+        of_event = F.floor(F.col("seq") / 2)
+        decisions = decisions.withColumn("decision", F.when(of_event % 11 == 0, "reject").otherwise("approve"))
     ceilings = log.groupBy("client").agg(money_of(F.floor(F.sum("c") * 60 / 100)).alias("ceiling"))
     return {"decisions": decisions, "requests": requests, "engagement": ceilings}
 

@@ -188,6 +188,39 @@ def test_refused_decisions_count_for_nothing(spark):
     assert states == {"q1": ("APPROVED", 55.0, 5.0), "q2": ("APPROVED", 5.0, 5.0), "q3": ("APPROVED", 30.0, 4.0)}
 
 
+def test_a_rejection_decides_and_takes_nothing(spark):
+    at = datetime(2027, 5, 3, 8, 0, 0)
+    rows = [("q1", "reject", None), ("q1", "approve", 5.0), ("q2", "approve", 60.0), ("q2", "reject", None), ("q9", "reject", None),
+            ("q3", "reject", -1.0), ("q4", None, 30.0)]
+    decisions = spark.createDataFrame(
+        [("kite", rid, at, i, amount, None, None, what) for i, (rid, what, amount) in enumerate(rows)], f"{DECISIONS}, decision string"
+    )
+    requests = spark.createDataFrame([("kite", f"q{i}", 70.0, 5.0) for i in (1, 2, 3, 4, 5)], ASKED)
+    engagement = spark.createDataFrame([("kite", 90.0)], "client string, ceiling double")
+    for most in (2, 100_000):
+        audit = gate.check_approvals(decisions, requests, engagement, most=most)
+        got = [(r.reason, r.running_approved) for r in sorted(audit.collect(), key=lambda r: r.seq)]
+        assert got == [(None, 0.0), ("already_decided", 0.0), (None, 60.0), ("already_decided", 60.0), ("no_request", 60.0),
+                       (None, 60.0), (None, 90.0)]
+    states = {r.request_id: (r.status, r.approved_amount) for r in gate.request_states(requests, audit).collect()}
+    assert states == {"q1": ("REJECTED", 0.0), "q2": ("APPROVED", 60.0), "q3": ("REJECTED", 0.0), "q4": ("APPROVED", 30.0),
+                      "q5": ("PENDING", 0.0)}
+
+
+def test_ledger_entries_and_pauses_need_their_campaign(spark):
+    _, _, campaigns, _ = _ledger_frames(spark)
+    entries = [("acme", 1, "brand", 10.004, "2026-11-05"), ("acme", 2, "ghost", 1.0, "2026-11-05"),
+               ("acme", 3, "brand", None, "2026-11-05"), ("acme", 4, "small", 1.0, "never"), ("other", 5, "brand", 1.0, "2026-11-05")]
+    frame = spark.createDataFrame(entries, "client string, entry_id bigint, campaign string, amount double, date string")
+    got = {r.entry_id: (r.reason, r.booked) for r in gate.check_ledger_entries(frame, campaigns).collect()}
+    assert got == {1: (None, 10.0), 2: ("no_campaign", None), 3: ("no_amount", None), 4: ("unreadable_date", None), 5: ("no_campaign", None)}
+    columns = [c.strip().split(" ")[0] for c in ACTIONS.split(",")][2:]
+    actions = [_launch(type="pause", campaign=c) for c in ("brand", "ghost", None)] + [_launch()]
+    frame = spark.createDataFrame([("acme", i, *(a[c] for c in columns)) for i, a in enumerate(actions)], ACTIONS)
+    got = {r.action_id: r.reason for r in gate.check_pauses(frame, campaigns).collect()}
+    assert got == {0: None, 1: "no_campaign", 2: "no_campaign"}
+
+
 def _one_by_one(decided, ceiling):
     """(seq, cents, request) in order -> seqs that are accepted."""
     total, done, taken = 0, set(), set()

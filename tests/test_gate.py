@@ -15,68 +15,72 @@ REQUESTS = "client string, request_id string, campaign_scope string, channel str
     "daily_cap double, status string"
 ACTIONS = "client string, action_id bigint, type string, campaign string, request_id string, " \
     "channel string, budget double, daily_budget double, start string, end string, today date"
-NOV1, NOV30, TODAY = date(2026, 11, 1), date(2026, 11, 30), date(2026, 11, 5)
+# A winter flight: an envelope for radio, under which one campaign runs and one was stopped.
+OPENS, CLOSES, TODAY = date(2028, 1, 17), date(2028, 3, 5), date(2028, 2, 9)
+GRANTED, CAP = 64_000.0, 1_900.0
+RUNS, RUNS_DAILY, STOPPED = 41_500.0, 1_150.0, 6_500.0
+ROOM, DAILY_ROOM = GRANTED - RUNS - STOPPED, CAP - RUNS_DAILY
 
 
-def _request(rid="R", status="APPROVED", approved=200_000.0, scope="*"):
-    return ("acme", rid, scope, "paid_search", 200_000.0, approved, NOV1, NOV30, 8_000.0, status)
+def _request(rid="R", status="APPROVED", approved=GRANTED, scope="*"):
+    return ("acme", rid, scope, "radio", GRANTED, approved, OPENS, CLOSES, CAP, status)
 
 
-def _campaign(name="brand", rid="R", budget=100_000.0, daily=4_000.0, status="live", end=NOV30):
-    return ("acme", name, rid, "paid_search", budget, daily, NOV1, end, status)
+def _campaign(name="lighthouse", rid="R", budget=RUNS, daily=RUNS_DAILY, status="live", end=CLOSES):
+    return ("acme", name, rid, "radio", budget, daily, OPENS, end, status)
 
 
 def _launch(**change):
-    action = dict(type="launch", campaign="generic", request_id="R", channel="paid_search",
-                  budget=50_000.0, daily_budget=2_000.0, start=None, end=None, today=TODAY)
+    action = dict(type="launch", campaign="canal", request_id="R", channel="radio",
+                  budget=9_000.0, daily_budget=400.0, start=None, end=None, today=TODAY)
     return {**action, **change}
 
 
 def _raise(**change):
-    blank = dict(type="increase_budget", campaign="brand", request_id=None, channel=None, daily_budget=None)
-    return _launch(**{**blank, **change})
+    blank = dict(type="increase_budget", campaign="lighthouse", request_id=None, channel=None, daily_budget=None)
+    return _launch(**{**blank, "budget": RUNS + 500, **change})
 
 
+LATE = date(2028, 3, 6)
 CASES = {
-    "launch within scope": (_launch(), None),
-    "pause needs nothing": (_launch(type="pause", request_id=None), None),
-    "decrease needs nothing": (_launch(type="decrease_budget", request_id=None, today=date(2030, 1, 1)), None),
-    "unknown action": (_launch(type="boost"), "unknown_action"),
-    "no action type": (_launch(type=None), "unknown_action"),
-    "no request": (_launch(request_id=None), "no_request"),
-    "empty request id": (_launch(request_id=""), "no_request"),
-    "missing request": (_launch(request_id="Z"), "no_request"),
-    "pending": (_launch(request_id="PEND"), "not_approved"),
-    "rejected": (_launch(request_id="REJ"), "not_approved"),
-    "expired": (_launch(today=date(2026, 12, 1)), "expired"),
-    "last day counts": (_launch(today=NOV30), None),
-    "change before launch": (_raise(campaign="generic", request_id="R", channel="paid_search"), "not_launched"),
-    "launch twice": (_launch(campaign="brand"), "already_exists"),
-    "other channel": (_launch(channel="paid_social"), "channel_mismatch"),
-    "no channel": (_launch(channel=None), "channel_mismatch"),
-    "other campaign": (_launch(request_id="ONE"), "campaign_out_of_scope"),
-    "named campaign": (_launch(request_id="ONE", campaign="only"), None),
-    "flight too long": (_launch(end="2026-12-15"), "outside_approved_dates"),
-    "flight too early": (_launch(start="2026-10-15"), "outside_approved_dates"),
-    "extend past approval": (_raise(type="extend_flight", end="2026-12-10"), "outside_approved_dates"),
-    "extend within, no budget": (_raise(type="extend_flight", end="2026-11-25", budget=None), None),
-    "no budget": (_raise(budget=None), "budget_not_positive"),
-    "zero daily": (_launch(daily_budget=0.0), "budget_not_positive"),
-    "not an increase": (_raise(budget=100_000.0), "not_an_increase"),
-    "raise daily only": (_raise(budget=100_000.0, daily_budget=4_500.0), None),
-    "increase within": (_raise(budget=140_000.0), None),
-    "over approved": (_launch(budget=60_001.0), "over_approved_amount"),
-    "exactly approved": (_launch(budget=60_000.0), None),
-    "own budget is replaced, not added": (_raise(budget=160_000.0), None),
-    "over own approval": (_raise(budget=160_001.0), "over_approved_amount"),
-    "over daily cap": (_launch(daily_budget=4_001.0), "over_daily_cap"),
-    "paused is not live": (_launch(daily_budget=4_000.0), None),
+    "fits": (_launch(), None),
+    "takes all the room": (_launch(budget=ROOM), None),
+    "more than the room": (_launch(budget=ROOM + 1), "over_approved_amount"),
+    "takes all of the cap": (_launch(daily_budget=DAILY_ROOM), None),  # what is stopped spends nothing a day
+    "more than the cap": (_launch(daily_budget=DAILY_ROOM + 0.01), "over_daily_cap"),
+    "a raise counts its own budget once": (_raise(budget=GRANTED - STOPPED), None),
+    "a raise beyond": (_raise(budget=GRANTED - STOPPED + 1), "over_approved_amount"),
+    "a raise of the day alone": (_raise(budget=RUNS, daily_budget=RUNS_DAILY + 50), None),
+    "a raise that raises nothing": (_raise(budget=RUNS), "not_an_increase"),
+    "a raise of nobody": (_raise(campaign="canal", request_id="R", channel="radio"), "not_launched"),
+    "a raise without a budget": (_raise(budget=None), "budget_not_positive"),
+    "a day worth nothing": (_launch(daily_budget=0.0), "budget_not_positive"),
+    "there already": (_launch(campaign="lighthouse"), "already_exists"),
+    "a pause asks nobody": (_launch(type="pause", request_id=None), None),
+    "nor does a decrease, ever": (_launch(type="decrease_budget", request_id=None, today=date(2031, 1, 1)), None),
+    "some other action": (_launch(type="boost"), "unknown_action"),
+    "no action at all": (_launch(type=None), "unknown_action"),
+    "without a request": (_launch(request_id=None), "no_request"),
+    "with an empty one": (_launch(request_id=""), "no_request"),
+    "with one that isn't there": (_launch(request_id="Z"), "no_request"),
+    "undecided": (_launch(request_id="PEND"), "not_approved"),
+    "turned down": (_launch(request_id="REJ"), "not_approved"),
+    "the day after": (_launch(today=LATE), "expired"),
+    "the last day": (_launch(today=CLOSES), None),
+    "in print": (_launch(channel="print"), "channel_mismatch"),
+    "anywhere": (_launch(channel=None), "channel_mismatch"),
+    "meant for another": (_launch(request_id="ONE"), "campaign_out_of_scope"),
+    "meant for this one": (_launch(request_id="ONE", campaign="only"), None),
+    "ends late": (_launch(end=str(LATE)), "outside_approved_dates"),
+    "starts early": (_launch(start="2028-01-16"), "outside_approved_dates"),
+    "prolonged too far": (_raise(type="extend_flight", end=str(LATE)), "outside_approved_dates"),
+    "prolonged, no budget named": (_raise(type="extend_flight", end="2028-03-01", budget=None), None),
 }
 
 
 def test_authorise_gives_the_first_reason(spark):
     campaigns = spark.createDataFrame(
-        [_campaign(), _campaign("old", budget=40_000.0, daily=9_000.0, status="paused")], CAMPAIGNS
+        [_campaign(), _campaign("pier", budget=STOPPED, daily=5_000.0, status="paused")], CAMPAIGNS
     )
     requests = spark.createDataFrame(
         [_request(), _request("PEND", "PENDING", 0.0), _request("REJ", "REJECTED", 0.0),
@@ -104,11 +108,11 @@ def _ledger_frames(spark):
         [("acme", "INR", 500_000.0), ("idle", "USD", 10.0)], "client string, currency string, ceiling double"
     )
     requests = spark.createDataFrame(
-        [_request(), _request("P", "PENDING", 0.0), _request("J", "REJECTED", 50_000.0)], REQUESTS
+        [_request(), _request("P", "PENDING", 0.0), _request("J", "REJECTED", 31_000.0)], REQUESTS
     )
     campaigns = spark.createDataFrame([_campaign(), _campaign("small", budget=10.0)], CAMPAIGNS)
     spend = spark.createDataFrame(
-        [("acme", "brand", TODAY, 12_500.0), ("acme", "small", TODAY, 0.1)] + [("acme", "small", TODAY, 1.1)] * 9,
+        [("acme", "lighthouse", TODAY, 12_500.0), ("acme", "small", TODAY, 0.1)] + [("acme", "small", TODAY, 1.1)] * 9,
         "client string, campaign string, date date, ledger_spend double",
     )
     return engagement, requests, campaigns, spend
@@ -117,8 +121,8 @@ def _ledger_frames(spark):
 def test_ledger_position(spark):
     rows = {r.client: r for r in gate.ledger_position(*_ledger_frames(spark)).collect()}
     a = rows["acme"]
-    assert (a.approved, a.committed, a.spent) == (200_000.0, 100_010.0, 12_510.0)
-    assert (a.unapproved_headroom, a.remaining_of_ceiling) == (300_000.0, 487_490.0)
+    assert (a.approved, a.committed, a.spent) == (GRANTED, RUNS + 10, 12_510.0)
+    assert (a.unapproved_headroom, a.remaining_of_ceiling) == (500_000.0 - GRANTED, 487_490.0)
     assert (rows["idle"].approved, rows["idle"].remaining_of_ceiling) == (0.0, 10.0)
 
 
@@ -132,14 +136,14 @@ def test_pending_and_budget_line(spark):
     frames = _ledger_frames(spark)
     assert [r.request_id for r in gate.pending_requests(frames[1]).collect()] == ["P"]
     line = gate.budget_line(frames[1], gate.ledger_position(*frames)).collect()
-    assert [(r.request_id, r.headroom_after) for r in line] == [("P", 100_000.0)]
+    assert [(r.request_id, r.headroom_after) for r in line] == [("P", 500_000.0 - 2 * GRANTED)]
     assert gate.request_by_id(frames[1], "acme", "J").count() == 1
 
 
 def test_check_requests(spark):
     position = gate.ledger_position(*_ledger_frames(spark))
     rows = [
-        ("acme", 1, 300_000.0, 10.0, "2026-11-01", "2026-11-30"), ("acme", 2, 300_000.01, 10.0, "2026-11-01", "2026-11-30"),
+        ("acme", 1, 436_000.0, 10.0, "2026-11-01", "2026-11-30"), ("acme", 2, 436_000.01, 10.0, "2026-11-01", "2026-11-30"),
         ("acme", 3, 0.0, 10.0, "2026-11-01", "2026-11-30"), ("acme", 4, 1.0, 0.004, "2026-11-01", "2026-11-30"),
         ("acme", 5, 1.0, 1.0, "2026-11-02", "2026-11-01"), ("acme", 6, 1.0, 1.0, "2026-11-01", "2026-11-01"),
     ]
@@ -209,13 +213,13 @@ def test_a_rejection_decides_and_takes_nothing(spark):
 
 def test_ledger_entries_and_pauses_need_their_campaign(spark):
     _, _, campaigns, _ = _ledger_frames(spark)
-    entries = [("acme", 1, "brand", 10.004, "2026-11-05"), ("acme", 2, "ghost", 1.0, "2026-11-05"),
-               ("acme", 3, "brand", None, "2026-11-05"), ("acme", 4, "small", 1.0, "never"), ("other", 5, "brand", 1.0, "2026-11-05")]
+    entries = [("acme", 1, "lighthouse", 10.004, "2026-11-05"), ("acme", 2, "ghost", 1.0, "2026-11-05"),
+               ("acme", 3, "lighthouse", None, "2026-11-05"), ("acme", 4, "small", 1.0, "never"), ("other", 5, "lighthouse", 1.0, "2026-11-05")]
     frame = spark.createDataFrame(entries, "client string, entry_id bigint, campaign string, amount double, date string")
     got = {r.entry_id: (r.reason, r.booked) for r in gate.check_ledger_entries(frame, campaigns).collect()}
     assert got == {1: (None, 10.0), 2: ("no_campaign", None), 3: ("no_amount", None), 4: ("unreadable_date", None), 5: ("no_campaign", None)}
     columns = [c.strip().split(" ")[0] for c in ACTIONS.split(",")][2:]
-    actions = [_launch(type="pause", campaign=c) for c in ("brand", "ghost", None)] + [_launch()]
+    actions = [_launch(type="pause", campaign=c) for c in ("lighthouse", "ghost", None)] + [_launch()]
     frame = spark.createDataFrame([("acme", i, *(a[c] for c in columns)) for i, a in enumerate(actions)], ACTIONS)
     got = {r.action_id: r.reason for r in gate.check_pauses(frame, campaigns).collect()}
     assert got == {0: None, 1: "no_campaign", 2: "no_campaign"}
@@ -289,15 +293,15 @@ def test_unreadable_dates_refuse_one_action_only(spark):
 def test_check_decreases(spark):
     _, _, campaigns, spend = _ledger_frames(spark)
     columns = [c.strip().split(" ")[0] for c in ACTIONS.split(",")][2:]
-    cut = lambda **c: _launch(type="decrease_budget", campaign="brand", **c)
+    cut = lambda **c: _launch(type="decrease_budget", campaign="lighthouse", **c)
     actions = [cut(budget=40_000.0, daily_budget=None), cut(budget=400_000.0), cut(budget=12_499.99),
                cut(budget=12_500.0, daily_budget=9_999.0), _launch(type="decrease_budget", campaign="ghost"),
                _launch()]
     frame = spark.createDataFrame([("acme", i, *(a[c] for c in columns)) for i, a in enumerate(actions)], ACTIONS)
     out = {r.action_id: (r.reason, r.daily_budget_after) for r in gate.check_decreases(frame, campaigns, spend).collect()}
     assert out == {
-        0: (None, 4_000.0), 1: ("raises_budget", None), 2: ("below_spent", None),
-        3: (None, 4_000.0), 4: ("no_campaign", None),
+        0: (None, RUNS_DAILY), 1: ("raises_budget", None), 2: ("below_spent", None),
+        3: (None, RUNS_DAILY), 4: ("no_campaign", None),
     }
 
 
@@ -318,7 +322,7 @@ FIELDS = ("rid", "channel", "budget", "daily", "start", "end")
 
 def _fold(events):
     """One campaign's events applied in order, by the table of effects."""
-    state = {"start": str(NOV1), "end": str(NOV30)}
+    state = {"start": str(OPENS), "end": str(CLOSES)}
     for event in sorted(events, key=lambda e: e[1:3]):
         kind, _, *values = event[3]
         given = dict(zip(FIELDS, values, strict=True))
@@ -336,7 +340,7 @@ def test_replay_equals_a_sequential_fold(spark, seed):
     events, want = [], {}
     for c in range(12):
         name = f"c{c}"
-        mine = [("acme", "2026-11-01T00:00:00+00:00", c, ("launch", name, "R", "paid_search", 100.0, 50.0,
+        mine = [("acme", "2026-11-01T00:00:00+00:00", c, ("launch", name, "R", "radio", 100.0, 50.0,
                  None, rng.choice([None, "2026-11-20"])))]
         for i in range(rng.choice([0, 3, 200 if c == 0 else 30])):
             kind = rng.choice(["increase_budget", "decrease_budget", "decrease_budget", "extend_flight", "pause"])

@@ -6,6 +6,8 @@ own, so further columns of any name do no harm. A null text counts as an empty o
 
 from __future__ import annotations
 
+import math
+import re
 import tempfile
 import uuid
 import zlib
@@ -32,13 +34,16 @@ def texts(docs: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A fresh path in the folder that all executors share (spark.checkpoint.dir).
 
-    Only where the session names none, as in tests on one machine, a temporary folder is set.
+    Where the session names none and runs on one machine, as in tests, a temporary folder is set; on a cluster that
+    would be another folder on each machine, and is refused.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
     if not root:
         root = tempfile.mkdtemp(prefix="llm-scratch-")
         spark.sparkContext.setCheckpointDir(root)
@@ -105,11 +110,20 @@ def training_labels(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: tuple[int, int]) -> DataFrame:
-    """doc_id, text, label of at most `most` training documents of each label, taken by the hash of
-    their ids. The ids are few by that bound, so they are broadcast and no text is shuffled."""
+def chosen(share: float) -> Column:
+    """Whether a document is in a sample of about this share of all, taken by the hash of its id."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    return place < F.lit(min(1 << 30, math.ceil(share * (1 << 30))))
+
+
+def training_rows(
+    docs: DataFrame, labels: DataFrame, label: str, most: tuple[int, int], counted: tuple[int, int]
+) -> DataFrame:
+    """doc_id, text, label of about `most` training documents of each label at most, of which there are `counted`.
+    A threshold on the hash of their ids takes them, wherever they lie; the ids are few by that bound, so they
+    are broadcast and no text is shuffled."""
     known = training_labels(labels, label)
-    few = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[y]) for y in (0, 1)]
+    few = [known.where((F.col("label") == y) & chosen(most[y] / max(1, counted[y]))) for y in (0, 1)]
     return texts(docs).join(F.broadcast(few[0].unionAll(few[1])), "doc_id")
 
 

@@ -6,7 +6,7 @@ every path from a root to a node is a rule, a conjunction of thresholds on stati
 regression with a lasso penalty chooses among all rules and gives the weights; the rules with a
 weight are compiled into one column expression, so that scoring is a projection of the statistics.
 
-The statistics cover whole texts, all documents. The trees and weights are fitted on at most FIT_ROWS
+The statistics cover whole texts, all documents. The trees and weights are fitted on about FIT_ROWS
 labelled documents, taken by the hash of their ids. Neither label, language, source nor id is part of a score.
 
 Results in special cases: a null text is an empty one; an empty text has statistics of 0 and a score;
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import held_out, texts, training_labels, written
+from spendloom.llm.common import chosen, held_out, texts, training_labels, written
 
 # Fit on at most so many labelled documents.
 FIT_ROWS = 20_000
@@ -184,7 +184,9 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataF
     stats = texts(docs).select("doc_id", *[c.alias(k) for k, c in statistics(F.col("text")).items()])
     stats = written(stats)
     known = training_labels(labels, label)
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).toPandas()
+    # A threshold on the hash of the ids: what reaches the driver is about FIT_ROWS rows, in however many partitions.
+    rows = stats.join(known.where(chosen(FIT_ROWS / max(1, known.count()))), "doc_id")
+    rows = rows.toPandas().sort_values(["doc_id", "label", *NAMES])
     ensemble = fit(rows[list(NAMES)].to_numpy(float), rows["label"].to_numpy(float))
     return stats.withColumn("score", ensemble.column()).select(
         "doc_id",

@@ -4,7 +4,7 @@ A document is the set of its lower-case character n-grams, each hashed to one of
 For every number the training documents are counted by label, in Spark; r is the log ratio of the
 smoothed shares among toxic and other documents. Numbers whose shares differ within chance are left
 out. A logistic regression over the remaining presences, each scaled by its r, gives the weights. Counts
-and weights are fitted on at most FIT_ROWS training documents of each label, taken by the hash of their
+and weights are fitted on about FIT_ROWS training documents of each label at most, taken by the hash of their
 ids; the prior of the labels is their share among all training documents. A score reads the whole text and neither label, language, source nor id.
 
 Results in special cases: null text is an empty one; an empty text has no n-grams and scores the
@@ -27,7 +27,7 @@ from spendloom.llm.common import fresh, held_out, training_labels, training_rows
 
 ORDERS = (4, 5)
 SLOTS = 1 << 19
-# Learn from at most this many training documents of each label (0, 1).
+# Learn from about this many training documents of each label (0, 1) at most.
 FIT_ROWS = (24_000, 8_000)
 # The shares of a feature must differ between labels by so many standard errors.
 LEAST_Z = 5.0
@@ -137,7 +137,7 @@ def _documents_by_label(docs: DataFrame, labels: DataFrame, label: str) -> tuple
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """The model learned from a bounded sample of the training documents, with the prior of all."""
     all0, all1 = _documents_by_label(docs, labels, label)
-    rows = written(training_rows(docs, labels, label, FIT_ROWS))
+    rows = written(training_rows(docs, labels, label, FIT_ROWS, (all0, all1)))
     features, ratios, (n0, n1) = _log_ratios(rows)
     if not n0 or not n1:
         share = 0.5 if not all0 + all1 else all1 / (all0 + all1)

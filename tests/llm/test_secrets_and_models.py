@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import odd_rows
-from spendloom.llm import fingerprints, quality_rules, secret_scan, toxicity
+from spendloom.llm import common, fingerprints, quality_rules, secret_scan, toxicity
 
 KEY = "AKIA" + "Z" * 16
 SECRETS = [
@@ -221,6 +221,20 @@ def test_scores_keep_the_share_of_labels_under_any_cap(spark, monkeypatch, caps)
     )
 
 
+def test_samples_are_taken_where_rows_lie(spark):
+    """A threshold, no best rows of every partition: about as many as asked for, the same however rows are dealt."""
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    labels = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("toxic"))
+    counted = toxicity._documents_by_label(rows, labels, "toxic")
+    taken = [common.training_rows(rows.repartition(n), labels, "toxic", (3_000, 1_000), counted) for n in (1, 40)]
+    got = [{(r.doc_id, r.label) for r in t.select("doc_id", "label").collect()} for t in taken]
+    assert got[0] == got[1]
+    sizes = [sum(y == label for _, y in got[0]) for label in (0, 1)]
+    assert abs(sizes[0] - 3_000) < 250 and abs(sizes[1] - 1_000) < 150
+    assert "TakeOrdered" not in taken[1]._jdf.queryExecution().executedPlan().toString()
+    assert taken[0].sparkSession.range(5).select(F.col("id").alias("doc_id")).where(common.chosen(1.0)).count() == 5
+
+
 def test_rules_are_columns(spark):
     """Scores of the compiled expression equal those of the fitted rules."""
     import numpy as np

@@ -85,4 +85,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_deepening_repair": sql.OP11}
+    return {"op2_sorted_projections": sql.OP2, "op11_deepening_repair": sql.OP11}

@@ -80,3 +80,30 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
   coalesce(audit, '') AS audit, sha256(coalesce(left(lines, length(lines) - 1), '')) AS repaired_sha256
 FROM everyone LEFT JOIN faults USING (k) LEFT JOIN (SELECT * FROM ends WHERE best = 1) USING (k)
 """
+
+# All pairs of a label, and who is reached over links.
+OP2 = """
+WITH RECURSIVE
+rows_of AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER () AS r FROM embeddings
+),
+usable AS (
+  SELECT * FROM rows_of
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND list_aggregate(list_transform(e, lambda x:
+    CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END), 'sum') = 0
+    AND list_aggregate(list_transform(e, lambda x: abs(x)), 'max') > 0
+),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reached(x, low) AS (
+  SELECT vec_id, vec_id FROM usable
+  UNION
+  SELECT links.y, reached.low FROM reached JOIN links ON links.x = reached.x WHERE reached.low < links.y
+),
+lowest AS (SELECT x, min(low) AS low FROM reached GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id, vec_id IS NOT DISTINCT FROM coalesce(low, vec_id) AS kept
+FROM rows_of LEFT JOIN counted ON counted.x = vec_id LEFT JOIN lowest ON lowest.x = vec_id
+"""

@@ -76,12 +76,12 @@ def _ads(build: Callable[[dict[str, DataFrame]], DataFrame], landed: bool = Fals
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = driver.from_events(spark, sf_dir)
         accounts = ads.require_currency(driver.ads_accounts(spark, sf_dir), raw["gate_engagement"])
-        window = ads.extraction_window(accounts, ADS_DAYS, driver.ads_today(spark, sf_dir))
+        window = ads.extraction_window(accounts, ADS_DAYS, F.col("today"))
         report = driver.landed_report(spark, sf_dir) if landed else report_rows(driver.ads_report(spark, sf_dir))
         rows = ads.in_window(ads.normalise(report), window)
         mapped = ads.map_campaigns(rows, driver.ads_campaign_map(spark, sf_dir))
         stages = {
-            "accounts": accounts, "window": window, "report": report, "rows": rows,
+            "accounts": accounts, "window": window, "report": report, "rows": rows, "normalised": ads.normalise(report),
             "mapped": mapped, "extract": ads.platform_extract(mapped),
             "platform": raw["platform_daily"].drop("_loaded_at"),
             "freshness": raw["source_freshness"].drop("_loaded_at"),
@@ -239,6 +239,9 @@ def queries() -> dict[str, Query]:
         driver.ads_accounts(s, d).withColumn("currency", F.when(F.col("client") == "c1", "EUR").otherwise(F.col("currency"))),
         driver.from_events(s, d)["gate_engagement"],
     )
+    out["ads_rows_without_account"] = _ads(  # planted: client c2 has none
+        lambda s: ads.rows_without_account(s["normalised"], s["window"].where("client <> 'c2'"))
+    )
     out["ads_unmapped_campaigns"] = _ads(lambda s: ads.unmapped_campaigns(s["mapped"]))
     out["ads_extract_summary"] = _ads(lambda s: ads.extract_summary(s["extract"], s["window"]))
     out["freshness_upsert"] = _ads(lambda s: ads.upsert_freshness(s["freshness"], s["window"]))

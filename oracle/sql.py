@@ -874,6 +874,11 @@ FROM signups s LEFT JOIN audited_decisions d ON d.client = s.client AND d.reques
         "FROM (SELECT client, regexp_replace(request_id, 'SAR-[0-9]+-', 'SAR-') AS id FROM raw_requests WHERE client <> 'c1') "
         "WHERE NOT (client = 'c2' AND id = 'SAR-1') GROUP BY id",
     )
+    put(
+        "ads_rows_without_account",
+        f"SELECT client, count(*) AS rows, {xs('spend')} AS spend FROM ads WHERE client = 'c2' AND impressions > 0 GROUP BY client",
+        "spend",
+    )
     put("ads_currency_mismatches", "SELECT client, 'EUR' AS currency, currency AS expected FROM raw_engagement WHERE client = 'c1'")
     put(
         "duplicate_campaign_days",

@@ -44,10 +44,11 @@ def has_valid_id(account_id: Column | str) -> Column:
     return F.length(F.regexp_replace(raw.cast("string"), r"[^0-9]", "")) == ACCOUNT_DIGITS
 
 
-def extraction_window(accounts: DataFrame, days: int = 30, today: date | None = None) -> DataFrame:
-    """Per account the last ``days`` full days, ending yesterday in the account's time zone."""
+def extraction_window(accounts: DataFrame, days: int = 30, today: date | Column | None = None) -> DataFrame:
+    """Per account the last ``days`` full days, ending yesterday in the account's time zone, or the day
+    before ``today``, a day or a column of the accounts."""
     here = (
-        F.lit(today)
+        (today if isinstance(today, Column) else F.lit(today))
         if today is not None
         else F.to_date(F.convert_timezone(F.lit("UTC"), F.col("time_zone"), _utc_now()))
     )
@@ -122,6 +123,13 @@ def in_window(rows: DataFrame, window: DataFrame) -> DataFrame:
     )
 
 
+def rows_without_account(rows: DataFrame, window: DataFrame) -> DataFrame:
+    """Delivered rows of clients that have no account, which no extract will hold: client, rows, spend."""
+    delivered = rows.filter(F.col("impressions") > 0)
+    lost = delivered.join(window.select("client"), "client", "left_anti")
+    return lost.groupBy("client").agg(F.count("*").alias("rows"), exact_sum("spend").alias("spend"))
+
+
 def map_campaigns(rows: DataFrame, campaign_map: DataFrame) -> DataFrame:
     """Agency campaign by platform id, else by exact name, else the platform's own name.
     ``campaign_map``: client, key, campaign. Adds ``campaign`` and ``is_mapped``."""

@@ -7,9 +7,8 @@ handled in whole cents until the last step, so both engines compute equal double
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendloom.operators.joins import lookup
@@ -531,17 +530,15 @@ def ads_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("client", F.from_json("json", ADS_BATCHES).alias("b")).select("client", "b.*")
 
 
-def ads_today(spark: SparkSession, sf_dir: str) -> date:
-    """The day after the last one of the log."""
-    last = table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
-    return (last or date(2024, 1, 1)) + timedelta(days=1)
-
-
 def ads_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One account per client; ``today`` is the day after the last one of the whole log."""
     money_unit = F.when(F.col("client") == "c2", "USD").otherwise("INR")
-    return event_log(spark, sf_dir).select("client").distinct().select(
+    everybody = W.partitionBy(F.lit(1))
+    days = event_log(spark, sf_dir).groupBy("client").agg(F.max("date").alias("last"))
+    return days.select(
         "client", F.concat(F.lit("123-456-789"), F.substring("client", 2, 1)).alias("account_id"),
         money_unit.alias("currency"), F.lit("Asia/Kolkata").alias("time_zone"),
+        F.date_add(F.max("last").over(everybody), 1).alias("today"),
     )
 
 

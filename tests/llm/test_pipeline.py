@@ -96,4 +96,4 @@ def test_every_id_is_packed(run):
 
 def test_registered(spark):
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and entry.queries()["pipeline"] is corpus_pipeline.run
+    assert names == {f"op{n}" for n in range(1, 14)} and entry.queries()["pipeline"] is corpus_pipeline.run

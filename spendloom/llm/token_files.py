@@ -1,7 +1,8 @@
 """Token ids of a corpus in binary shards, compressed by Re-Pair grammars.
 
 A shard holds consecutive documents in ascending doc_id order. Its ids are one sequence in which the
-most frequent pairs of neighbours are replaced by new symbols, again and again; the rules (left and
+most frequent pairs of neighbours are replaced by new symbols, in rounds, until none is left that occurs
+LEAST times; the rules (left and
 right symbol of each new one) and the number of ids that every symbol expands to are stored with what
 is left. Symbols never cross the end of a document, so each document is a stretch of the shard's
 symbols, and one document (or any range of ids of it) is decoded without the rest of its shard.
@@ -12,8 +13,8 @@ A file of the format is Parquet with one row per shard:
   base int                    symbols below it are ids; base + i is made by rule i
   rules binary                left and right symbol of each rule, unsigned 32-bit little-endian pairs
   spans binary                ids per rule after full expansion, unsigned 32-bit
-  symbols binary              the sequence, unsigned 32-bit, or 16-bit where all symbols fit
-  wide boolean                whether symbols are 32-bit
+  symbols binary              the sequence, unsigned little-endian, in as few bytes as the largest symbol takes
+  symbol_bytes int            bytes of a symbol: 2, 3 or 4
   doc_ids array<long>, first array<long> (first symbol of each document), n_tokens array<long>
 
 Files are written by Spark's committer, so that a lost executor leaves no half shard.
@@ -39,81 +40,97 @@ from spendloom.llm.tokens import encoder
 
 END_ID = 1
 BASE = 49_408
-# Ids after which a shard is closed, rounds of replacement, and pairs replaced in one round.
-SHARD_IDS, ROUNDS, PER_ROUND, SLOT_BITS = 1 << 20, 4, 4_096, 20
+# Ids after which a shard is closed, and slots in which pairs are first counted together.
+SHARD_IDS, SLOT_BITS = 1 << 20, 20
 # A pair must occur this often to be worth a rule.
 LEAST = 8
 
 SHARDS = (
-    "shard long, base int, rules binary, spans binary, symbols binary, wide boolean, "
+    "shard long, base int, rules binary, spans binary, symbols binary, symbol_bytes int, "
     "doc_ids array<long>, first array<long>, n_tokens array<long>"
 )
 _ARROW = pa.schema(
     [("shard", pa.int64()), ("base", pa.int32()), ("rules", pa.binary()), ("spans", pa.binary()),
-     ("symbols", pa.binary()), ("wide", pa.bool_()), ("doc_ids", pa.list_(pa.int64())),
+     ("symbols", pa.binary()), ("symbol_bytes", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
      ("first", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64()))]
 )
 
 
-def _chosen(pairs: np.ndarray, count: np.ndarray, width: int) -> np.ndarray:
-    """The most frequent pairs of which no symbol is both a left and a right one of two pairs."""
-    order = np.lexsort((pairs, -count))[: 2 * PER_ROUND]
-    side = bytearray(width)  # 1: taken as a left symbol, 2: as a right one
-    kept = []
-    for i, p in zip(order.tolist(), pairs[order].tolist(), strict=True):
-        a, b = divmod(p, width)
-        if a != b and side[a] != 2 and side[b] != 1:
-            side[a], side[b] = 1, 2
-            kept.append(i)
-            if len(kept) == PER_ROUND:
-                break
-    return np.array(kept, np.int64)
+def _odd(at: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Places of equal pairs that overlap the one before: a run is paired from its left end."""
+    run = at[equal]
+    begins = np.ones(len(run), bool)
+    begins[1:] = run[1:] != run[:-1] + 1
+    start = run[begins][np.cumsum(begins) - 1] if len(run) else run
+    odd = np.zeros(len(at), bool)
+    odd[equal] = (run - start) % 2 == 1
+    return odd
+
+
+def _slots(pair: np.ndarray, salt: int) -> np.ndarray:
+    mixed = (pair ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    return (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """symbols, first symbol of each document, rules (n x 2), ids per rule.
 
-    ends: position after each document's last id. Pairs across documents are never replaced. In one
-    round no symbol is the left part of a pair and the right part of another, so occurrences don't
-    overlap and all can be replaced at once. Pairs are counted in 2 ** SLOT_BITS slots; of the pairs that meet in a slot one
-    is counted, exactly, and the others wait for a later round.
+    ends: position after each document's last id. Pairs across documents are never replaced. Rounds go on
+    until no pair occurs LEAST times. A round replaces every pair that does, each place by the pair that
+    is more frequent than its neighbours (by powers of two; among equals a hash decides, so that
+    long repeats are halved and not eaten from one end); a pair left with fewer than LEAST places waits.
+    The most frequent pair keeps all of its places, so every round makes a rule. A pair that is rare stays
+    rare, so later rounds only look at frequent pairs and at those with a new symbol.
     """
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends - 1] = True
-    rules, spans = np.empty((0, 2), np.int64), np.empty(0, np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
+    rules, size, turn = [], np.ones(base, np.int64), 0
+    active = ~last  # the pair of this place and the next may be frequent
+    while True:
+        at = np.flatnonzero(active)
+        pair = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+        odd = _odd(at, symbols[at] == symbols[at + 1])
+        # A slot holds all places of its pairs: where it has few, its pairs are rare.
+        slot = _slots(pair, turn).astype(np.int64)
+        likely = np.bincount(slot[~odd], minlength=1 << SLOT_BITS)[slot] >= LEAST
+        at, pair, odd = at[likely], pair[likely], odd[likely]
+        kinds, count = np.unique(pair[~odd], return_counts=True)
+        kinds, count = kinds[count >= LEAST], count[count >= LEAST]
+        if not len(kinds):
             break
-        width = base + len(rules)
-        left, right = symbols[:-1], symbols[1:]
-        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA6B))) >> np.uint32(32 - SLOT_BITS)
-        slot[last[:-1]] = 1 << SLOT_BITS  # no pair
-        pair_of = np.zeros((1 << SLOT_BITS) + 1, np.uint64)
-        pair = left.astype(np.uint64) << np.uint64(32) | right
-        pair_of[slot] = pair
-        same = pair_of[slot] == pair
-        count = np.bincount(slot[same], minlength=(1 << SLOT_BITS) + 1)[:-1]
-        often = np.flatnonzero(count >= LEAST)
-        parts = np.stack([pair_of[often] >> np.uint64(32), pair_of[often] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
-        taken = _chosen(parts[:, 0] * width + parts[:, 1], count[often], width)
-        if not len(taken):
-            break
-        often, parts = often[taken], parts[taken]
-        made = np.zeros((1 << SLOT_BITS) + 1, np.uint32)
-        made[often] = width + np.arange(len(often))
-        new = made[slot]
-        where = np.flatnonzero((new > 0) & same)
-        size = np.concatenate([np.ones(base, np.int64), spans])
-        spans = np.concatenate([spans, size[parts].sum(axis=1)])
-        rules = np.concatenate([rules, parts])
-        symbols[where] = new[where]
+        kind = np.minimum(np.searchsorted(kinds, pair), len(kinds) - 1)
+        often = kinds[kind] == pair
+        at, odd, kind = at[often], odd[often], kind[often]
+        rank = np.empty(len(kinds), np.int32)
+        rank[np.lexsort((_slots(kinds, turn + 1), -np.frexp(count)[1]))] = np.arange(len(kinds))
+        none = np.int32(len(kinds))
+        ranks = np.full(len(symbols) + 2, none)
+        ranks[at + 1] = np.where(odd, none, rank[kind])
+        here = ranks[at + 1]
+        wins = (here < ranks[at]) & (here < ranks[at + 2])
+        made = np.bincount(kind[wins], minlength=len(kinds)) >= LEAST
+        wins &= made[kind]
+        number = len(size) + np.cumsum(made) - 1
+        parts = np.stack([kinds[made] >> np.uint64(32), kinds[made] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
+        rules.append(parts)
+        size = np.concatenate([size, size[parts].sum(axis=1)])
+        where = at[wins]
+        symbols[where] = number[kind[wins]]
         last[where] = last[where + 1]
+        active[:] = False
+        active[at] = True
+        active[where] = True
         stay = np.ones(len(symbols), bool)
         stay[where + 1] = False
-        symbols, last = symbols[stay], last[stay]
+        moved = where - np.arange(len(where))  # places of the new symbols once the others close up
+        symbols, last, active = symbols[stay], last[stay], active[stay]
+        active[np.maximum(moved - 1, 0)] = True
+        active &= ~last
+        turn += 1
     first = np.concatenate([[0], np.flatnonzero(last)[:-1] + 1]) if len(symbols) else np.empty(0, np.int64)
-    return symbols.astype(np.int64), first, rules, spans
+    return symbols.astype(np.int64), first, np.concatenate([np.empty((0, 2), np.int64), *rules]), size[base:]
 
 
 class Grammar:
@@ -124,15 +141,18 @@ class Grammar:
         # Where the expansion of each symbol lies in `_ids`: first the ids themselves, then rule by rule.
         self._size = np.concatenate([np.ones(base, np.int64), spans])
         self._at = np.cumsum(self._size) - self._size
-        symbols = np.arange(base, base + len(rules))
-        while (high := symbols >= base).any():
-            width = 1 + high
-            start = np.cumsum(width) - width
-            out = np.empty(int(width.sum()), np.int64)
-            out[start[~high]] = symbols[~high]
-            out[start[high]], out[start[high] + 1] = rules[symbols[high] - base].T
-            symbols = out
-        self._ids = np.concatenate([np.arange(base), symbols]).astype("<u4")
+        self._ids = np.empty(int(self._size.sum()), "<u4")
+        self._ids[:base] = np.arange(base)
+        depth = np.zeros(len(self._size), np.int64)
+        while (deeper := depth[rules].max(axis=1, initial=0) + 1).any() and (deeper != depth[base:]).any():
+            depth[base:] = deeper
+        for level in range(1, int(depth.max(initial=0)) + 1):  # its parts are of lower levels, expanded before
+            at = np.flatnonzero(depth[base:] == level)
+            left, right = rules[at].T
+            for part, to in ((left, self._at[base + at]), (right, self._at[base + at] + self._size[left])):
+                size = self._size[part]
+                within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                self._ids[np.repeat(to, size) + within] = self._ids[np.repeat(self._at[part], size) + within]
 
     def sizes(self, symbols: np.ndarray) -> np.ndarray:
         return self._size[symbols]
@@ -150,13 +170,23 @@ class Grammar:
         return self.expand(symbols[lo:hi])[start - before : start - before + length]
 
 
+def _narrow(symbols: np.ndarray, each: int) -> bytes:
+    return symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :each].tobytes()
+
+
+def _widened(data: bytes, each: int) -> np.ndarray:
+    whole = np.zeros((len(data) // each, 4), np.uint8)
+    whole[:, :each] = np.frombuffer(data, np.uint8).reshape(-1, each)
+    return whole.reshape(-1).view("<u4").astype(np.int64)
+
+
 def _shard(number: int, doc_ids: list, data: list[bytes]) -> pa.RecordBatch:
     lengths = np.array([len(x) // 4 for x in data], np.int64)
     ids = np.frombuffer(b"".join(data), "<u4")
     symbols, first, rules, spans = compress(ids, np.cumsum(lengths))
-    wide = bool(len(symbols) and symbols.max() >= 1 << 16)
+    each = max(2, (int(symbols.max(initial=0)).bit_length() + 7) // 8)
     row = (number, BASE, rules.astype("<u4").tobytes(), spans.astype("<u4").tobytes(),
-           symbols.astype("<u4" if wide else "<u2").tobytes(), wide, doc_ids, first, lengths)
+           _narrow(symbols, each), each, doc_ids, first, lengths)
     return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _ARROW, strict=True)], schema=_ARROW)
 
 
@@ -191,8 +221,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
 def _opened(row: dict) -> tuple[Grammar, np.ndarray]:
     rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
     spans = np.frombuffer(row["spans"], "<u4").astype(np.int64)
-    symbols = np.frombuffer(row["symbols"], "<u4" if row["wide"] else "<u2").astype(np.int64)
-    return Grammar(rules, spans, row["base"]), symbols
+    return Grammar(rules, spans, row["base"]), _widened(row["symbols"], row["symbol_bytes"])
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

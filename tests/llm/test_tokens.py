@@ -110,9 +110,48 @@ def test_grammar_round_trip_and_random_access(seed, kinds):
         assert (grammar.id_range(symbols[i:j], start, length) == whole[start : start + length]).all()
 
 
+def _frequent(symbols, first):
+    """Pairs within documents that occur LEAST times without overlapping, counted one by one."""
+    counts, ends = {}, {*first[1:].tolist(), len(symbols)}
+    previous = None
+    for i in range(len(symbols) - 1):
+        pair = (int(symbols[i]), int(symbols[i + 1]))
+        if i + 1 in ends or (pair[0] == pair[1] and previous == (i - 1, pair)):
+            continue
+        counts[pair], previous = counts.get(pair, 0) + 1, (i, pair)
+    return [p for p, n in counts.items() if n >= token_files.LEAST]
+
+
+@pytest.mark.parametrize("seed, kinds", [(1, 2), (2, 30), (3, 3_000)])
+def test_no_frequent_pair_is_left(seed, kinds):
+    rng = np.random.default_rng(seed)
+    ids = np.minimum(rng.zipf(1.3, 60_000), kinds)
+    ends = np.unique(np.append(rng.integers(1, len(ids), 100), len(ids)))
+    symbols, first, rules, spans = token_files.compress(ids, ends)
+    assert (token_files.Grammar(rules, spans, token_files.BASE).expand(symbols) == ids).all()
+    assert not _frequent(symbols, first)
+
+
+@pytest.mark.parametrize("document", [np.arange(500), np.random.default_rng(5).integers(0, 49_000, 500)])
+def test_copies_of_a_document_become_a_symbol_each(document):
+    ids = np.tile(document, 2_000)
+    symbols, first, rules, spans = token_files.compress(ids, np.arange(1, 2_001) * 500)
+    assert len(symbols) == 2_000 and len(rules) == 499 and (first == np.arange(2_000)).all()
+    grammar = token_files.Grammar(rules, spans, token_files.BASE)
+    assert (grammar.expand(symbols) == ids).all()
+    assert (grammar.id_range(symbols[7:8], 123, 45) == document[123:168]).all()
+
+
 def test_one_id_again_and_again():
-    symbols, _, rules, spans = token_files.compress(np.full(100, 4), np.array([100]))
+    symbols, _, rules, spans = token_files.compress(np.full(1_000, 4), np.array([1_000]))
     assert (token_files.Grammar(rules, spans, token_files.BASE).expand(symbols) == 4).all()
+    assert len(symbols) < 2 * token_files.LEAST + 4 and len(rules) == 6
+
+
+@pytest.mark.parametrize("each", [2, 3, 4])
+def test_symbols_in_few_bytes(each):
+    symbols = np.array([0, 1, 255, (1 << (8 * each)) - 1])
+    assert (token_files._widened(token_files._narrow(symbols, each), each) == symbols).all()
 
 
 def test_token_files_in_order_of_ids(spark, monkeypatch):

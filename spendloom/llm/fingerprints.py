@@ -4,7 +4,7 @@ A text is a weighted set of terms: its lower-case words, each weighing as often
 without words is one term, itself; an empty text has none). For every term and each of SAMPLES samples,
 hashes give two gamma(2, 1) numbers r and c and a uniform number b. A term of weight w has the step
 t = floor(ln(w) / r + b) and the key ln(c) - r * (t - b) - r; the sample is the (term, t) of the
-smallest key. Two texts agree in a sample with a chance equal to the generalised Jaccard similarity of
+smallest key. ln(w) doesn't depend on the sample and is taken once per term. Two texts agree in a sample with a chance equal to the generalised Jaccard similarity of
 their weights, so the share of equal samples estimates it.
 
 The order of documents that tells each one its next is built from ids alone: ranges of ids, their
@@ -29,8 +29,10 @@ from spendloom.llm.common import texts, written
 
 # The likeness of a pair has a standard error of sqrt(s * (1 - s) / SAMPLES), 0.0625 at most.
 SAMPLES = 64
-# Samples that one row of the aggregation holds.
-AT_ONCE = 16
+# Samples that one row of the aggregation holds: few, so that its compiled code stays small.
+AT_ONCE = 4
+# Steps times this odd number differ in their lower 32 bits.
+STEP = 2_654_435_761
 # Not a sample of any term.
 EMPTY = (1 << 63) - 1
 
@@ -58,20 +60,20 @@ def _uniform(h: Column, shift: int) -> Column:
     return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)) + 0.5) / float(1 << 21)
 
 
-def sample_keys(term: Column, weights: list[Column], j: Column) -> list[Column]:
-    """Per weight the j-th sample of a term: its key in the upper bits, so that the least number is the
-    sample, and a hash of (term, t) in the lower 32. EMPTY where the weight is 0."""
+def sample_keys(term: Column, logs: list[Column], j: Column) -> list[Column]:
+    """Per logarithm of a weight the j-th sample of a term: its key in the upper bits, so that the least number is the
+    sample, and a mix of (term, t) in the lower 32. Null where the logarithm is, of a weight of 0."""
     one, two = F.xxhash64(term, j), F.xxhash64(term, j + SAMPLES)
     r = -F.log(_uniform(one, 0) * _uniform(one, 21))
     ln_c = F.log(-F.log(_uniform(two, 0) * _uniform(two, 21)))
     b = _uniform(one, 42)
     out = []
-    for w in weights:
-        t = F.floor(F.log(w.cast("double")) / r + b)
+    for ln_w in logs:
+        t = F.floor(ln_w / r + b)
         key = ln_c - r * (t - b) - r
         place = F.shiftleft(((key + 512.0) * float(1 << 20)).cast("long"), 32)
-        low = F.xxhash64(term, t).bitwiseAND(F.lit((1 << 32) - 1))
-        out.append(F.when(w > 0, place.bitwiseOR(low)).otherwise(F.lit(EMPTY)))
+        low = term.bitwiseXOR(t * STEP).bitwiseAND(F.lit((1 << 32) - 1))
+        out.append(place.bitwiseOR(low))
     return out
 
 
@@ -106,7 +108,8 @@ def _sampled(terms: DataFrame, weights: list[str]) -> DataFrame:
         columns += [F.min(key).alias(f"{w}_{i}") for w, key in zip(weights, keys, strict=True)]
     # A row per part of the samples, so that the aggregations stay compiled.
     parts = F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("part")
-    least = terms.select("doc_id", "h", "term", *weights, parts).groupBy("doc_id", "h", "part").agg(*columns)
+    logs = [F.log(F.col(w).cast("double")).alias(w) for w in weights]
+    least = terms.select("doc_id", "h", "term", *logs).select("doc_id", "h", "term", *weights, parts).groupBy("doc_id", "h", "part").agg(*columns)
     packed = F.struct("part", *[F.array(*[F.col(f"{w}_{i}") for i in range(AT_ONCE)]).alias(w) for w in weights])
     whole = least.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(packed)).alias("parts"))
     return whole.select(

@@ -1,11 +1,16 @@
 """Secret scans, fingerprints and the two classifiers."""
 
 import hashlib
+import math
 import random
 import re
+import struct
 import zlib
+from collections import Counter
 
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from llm import odd_rows
@@ -117,6 +122,41 @@ def test_fingerprints(spark):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def _fingerprint(text):
+    """Plain version: consistent weighted sampling term by term."""
+
+    def uniform(h, shift):
+        return ((h >> shift & (1 << 21) - 1) + 0.5) / (1 << 21)
+
+    weights = Counter(regex.findall(r"[\p{L}\p{N}]+", text.lower()) or ([text] if text else []))
+    out = []
+    for j in range(fingerprints.SAMPLES):
+        least = None
+        for word, w in weights.items():
+            term = xxhash.xxh64_intdigest(word.encode(), 42)
+            seed = xxhash.xxh64_intdigest(struct.pack("<Q", term), 42)
+            one, two = (xxhash.xxh64_intdigest(struct.pack("<i", n), seed) for n in (j, j + fingerprints.SAMPLES))
+            r = -math.log(uniform(one, 0) * uniform(one, 21))
+            c = -math.log(uniform(two, 0) * uniform(two, 21))
+            b = uniform(one, 42)
+            t = math.floor(math.log(w) / r + b)
+            key = math.log(c) - r * (t - b) - r
+            sample = (int((key + 512) * (1 << 20)), (term ^ t * fingerprints.STEP) & 0xFFFFFFFF)
+            least = sample if least is None else min(least, sample)
+        out.append("--------" if least is None else f"{least[1]:08x}")
+    return "".join(out)
+
+
+def test_fingerprints_equal_a_plain_sampler(spark):
+    texts = [(0, "a b a"), (1, ""), (2, "!!! ???"), (3, "w" * 500 + " x")] + [(10 + i, odd_rows.prose(i, 30 + i)) for i in range(20)]
+    texts += [(40, " ".join(["often"] * 3_000 + odd_rows.words(4, 50)))]
+    edits = _edits(texts)
+    for r in fingerprints.fingerprints(odd_rows.table(spark, texts)).collect():
+        text = dict(texts)[r.doc_id]
+        assert r.fingerprint == _fingerprint(text)
+        assert r.edited_fingerprint == _fingerprint(edits[r.doc_id, text])
+
+
 def test_samples_collide_as_often_as_weights_agree(spark):
     """Share of equal samples over many pairs against the generalised Jaccard similarity."""
     rng = random.Random(2)

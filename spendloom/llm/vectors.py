@@ -1,11 +1,14 @@
 """Near-equal embeddings by sorted projection passes.
 
 Vectors of one label are linked when their cosine is at least LEAST. Each pass gives every vector a
-code of CODE_BITS random hyperplane signs, orders the vectors by (label, code) and compares each one
-with the WINDOW before it. Passes have hyperplanes of their own; their number grows with the
-logarithm of the table. Where hyperplanes halve the vectors of a label, a pair at the least cosine is missed
-by all of them with a chance of at most MISS; in a dense cluster, which they seldom split, more are missed.
-Verified pairs are united into components.
+code of random hyperplane signs, orders the vectors by (label, code) and compares each one with the
+window before it. Passes have hyperplanes of their own; their number grows with the logarithm of the table, so
+that where hyperplanes halve the vectors of a label, a pair at the least cosine is missed by all with a
+chance of at most MISS. In a dense label they seldom do, so misses are estimated per label, from the vectors that
+exactly one and exactly two passes linked to any other (Chao's lower bound of those that none has linked). Labels
+with an estimate above MISS of their linked vectors get as many passes again, with codes and windows
+twice as long, until none is left, or the window is as long as the label. Verified pairs are united into
+components.
 
 A window is bounded, a group of near-equal vectors is not. So all pairs inside a component are then
 compared in blocks of BLOCK x BLOCK vectors: one task takes two blocks, and returns numbers of links
@@ -34,6 +37,7 @@ from spendloom.llm.common import written
 from spendloom.llm.components import components
 
 LEAST = 0.98
+# Of the first round of passes; each further one doubles bits and window.
 CODE_BITS, WINDOW, BLOCK = 48, 48, 256
 MISS = 0.001
 SEED = 20_240_131
@@ -47,8 +51,8 @@ def passes(rows: int) -> int:
     return max(2, math.ceil(math.log(MISS) / math.log(1 - found)))
 
 
-def _planes(width: int, number: int) -> np.ndarray:
-    return np.random.default_rng((SEED, number, width)).standard_normal((width, CODE_BITS))
+def _planes(width: int, number: int, bits: int) -> np.ndarray:
+    return np.random.default_rng((SEED, number, width)).standard_normal((width, bits))
 
 
 def _unit(rows: pa.Array) -> list[np.ndarray | None]:
@@ -76,22 +80,20 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([ids, labels, pa.array(data, pa.binary())], names=["vec_id", "label", "unit"])
 
 
-def _coded(count: int):
+def _coded(turns: range, bits: int):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = 1 << np.arange(CODE_BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             units = batch.column(2).to_pylist()
             widths = np.array([len(u) for u in units])
-            codes = np.zeros((len(units), count), np.int64)
-            for width in np.unique(widths):
-                at = np.flatnonzero(widths == width)
-                x = np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(len(at), -1)
-                for number in range(count):
-                    codes[at, number] = (x @ _planes(x.shape[1], number) > 0) @ powers
-            for number in range(count):
-                turn = pa.array(np.full(len(units), number, np.int32))
+            alike = [(at, np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(len(at), -1))
+                     for at in (np.flatnonzero(widths == width) for width in np.unique(widths))]
+            for turn in turns:
+                codes = np.zeros((len(units), bits // 8), np.uint8)
+                for at, x in alike:
+                    codes[at] = np.packbits(x @ _planes(x.shape[1], turn, bits) > 0, axis=1)
+                turned = pa.array(np.full(len(units), turn, np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [turn, batch.column(1), pa.array(codes[:, number]), batch.column(0), batch.column(2)],
+                    [turned, batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), batch.column(0), batch.column(2)],
                     names=["turn", "label", "code", "id", "unit"],
                 )
 
@@ -110,56 +112,108 @@ def _dots(one: list[bytes], two: list[bytes]) -> np.ndarray:
     return out
 
 
-def _neighbours(rows: list[tuple], since: int) -> tuple[list[int], list[int]]:
-    """Linked pairs of sorted rows (turn, label, id, unit): those from `since` on with the WINDOW before."""
-    a, b = [], []
+def _neighbours(rows: list[tuple], since: int, window: int) -> list[tuple[int, int, int, int]]:
+    """Linked pairs (a, b, turn, label) of sorted rows (turn, label, id, unit): those from `since` on
+    with the window before."""
+    out = []
     for at in range(since, len(rows), BLOCK):
-        end, low = min(len(rows), at + BLOCK), max(0, at - WINDOW)
+        end, low = min(len(rows), at + BLOCK), max(0, at - window)
         near = _dots([r[3] for r in rows[at:end]], [r[3] for r in rows[low:end]]) >= LEAST
         for i, j in zip(*np.nonzero(near), strict=True):
             x, y = rows[at + i], rows[low + j]
-            if 0 < at + i - low - j <= WINDOW and x[:2] == y[:2]:
-                a.append(min(x[2], y[2]))
-                b.append(max(x[2], y[2]))
-    return a, b
+            if 0 < at + i - low - j <= window and x[:2] == y[:2]:
+                out.append((min(x[2], y[2]), max(x[2], y[2]), *x[:2]))
+    return out
 
 
-_PAIRS = "a long, b long, edge long, position int, turn int, label int, id long, unit binary"
+_LINKS = "a long, b long, turn int, label int"
+_PAIRS = _LINKS + ", edge long, position long, id long, unit binary"
+_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("turn", pa.int32()), ("label", pa.int32()),
+                     ("edge", pa.int64()), ("position", pa.int64()), ("id", pa.int64()), ("unit", pa.binary())])
 
 
 def _rows(batch: pa.RecordBatch) -> list[tuple]:
     return list(zip(*(batch.column(c).to_pylist() for c in ("turn", "label", "id", "unit")), strict=True))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
+
+
+def _windows(window: int):
     """Linked neighbours within a sorted partition, and its first and last rows for the seams."""
-    worker, tail, head = TaskContext.get().partitionId(), [], []
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int64()), ("position", pa.int32()),
-                        ("turn", pa.int32()), ("label", pa.int32()), ("id", pa.int64()), ("unit", pa.binary())])
 
-    def seam(rows: list[tuple], edge: int, first: int) -> pa.RecordBatch:
-        out = [(None, None, edge, first + i, *r) for i, r in enumerate(rows)]
-        columns = zip(*out, strict=True) if out else [[]] * len(schema)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker, tail, head = TaskContext.get().partitionId(), [], []
+        seam = lambda rows, edge, first: _batch(
+            [(None, None, turn, label, edge, first + i, id_, unit) for i, (turn, label, id_, unit) in enumerate(rows)]
+        )
+        for batch in batches:
+            rows = tail + _rows(batch)
+            yield _batch([(*link, None, None, None, None) for link in _neighbours(rows, len(tail), window)])
+            head = head if len(head) == window else (head + rows[len(tail) :])[:window]
+            tail = rows[-window:]
+        yield seam(head, worker, window)
+        yield seam(tail, worker + 1, 0)
 
-    for batch in batches:
-        rows = tail + _rows(batch)
-        a, b = _neighbours(rows, len(tail))
-        head = head if len(head) == WINDOW else (head + rows[len(tail) :])[:WINDOW]
-        tail = rows[-WINDOW:]
-        nulls = [pa.nulls(len(a), f.type) for f in schema][2:]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *nulls], schema=schema)
-    yield seam(head, worker, WINDOW)
-    yield seam(tail, worker + 1, 0)
+    return compare
 
 
-def _seam(rows: pd.DataFrame) -> pd.DataFrame:
-    """Linked neighbours across the end of one partition and the begin of the next: 2 * WINDOW rows."""
-    rows = rows.sort_values("position")
-    sorted_rows = list(rows[["turn", "label", "id", "unit"]].itertuples(index=False, name=None))
-    since = int((rows["position"] < WINDOW).sum())
-    a, b = _neighbours(sorted_rows, since)
-    return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+def _seam(window: int):
+    """Linked neighbours across the end of one partition and the begin of the next: two windows of rows."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("position")
+        sorted_rows = list(rows[["turn", "label", "id", "unit"]].itertuples(index=False, name=None))
+        links = _neighbours(sorted_rows, int((rows["position"] < window).sum()), window)
+        types = {"a": "int64", "b": "int64", "turn": "int32", "label": "int32"}
+        return pd.DataFrame(links, columns=list(types)).astype(types)
+
+    return compare
+
+
+def _passed(rows: DataFrame, turns: range, window: int, bits: int, parts: int) -> DataFrame:
+    """Linked pairs (a, b, turn, label) of rows(id, label, unit) found by these passes."""
+    ordered = (
+        rows.mapInArrow(_coded(turns, bits), "turn int, label int, code binary, id long, unit binary")
+        .withColumn("tie", F.xxhash64("turn", "id"))  # equal codes lie in another order in each pass
+        .repartitionByRange(parts, "turn", "label", "code", "tie")
+        .sortWithinPartitions("turn", "label", "code", "tie")
+        .select("turn", "label", "id", "unit")
+    )
+    compared = written(ordered.mapInArrow(_windows(window), _PAIRS))
+    seams = compared.where("edge is not null").groupBy("edge")
+    return compared.where("edge is null").select("a", "b", "turn", "label").unionByName(
+        seams.applyInPandas(_seam(window), _LINKS)
+    )
+
+
+def _linked(single: DataFrame) -> DataFrame:
+    """Pairs (a, b) of linked vectors of single(id, label, unit), as many as unite their components."""
+    parts = max(1, int(single.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rest, found, times = single.select("id", "label", "unit"), None, None
+    sizes = rest.groupBy("label").agg(F.count("*").alias("size"))
+    done, window, bits = 0, WINDOW, CODE_BITS
+    while count := rest.count():
+        number = passes(count)
+        # A partition far longer than a window, or its neighbours on both sides would have to meet.
+        few = max(1, min(parts, count * number // (16 * window)))
+        links = written(_passed(rest, range(done, done + number), window, bits, few))
+        pairs = links.select("a", "b").distinct()
+        found = pairs if found is None else found.unionByName(pairs)
+        ends = links.select("label", "turn", F.explode(F.array("a", "b")).alias("id")).distinct()
+        often = ends.groupBy("label", "id").agg(F.count("*").alias("n"))
+        often = often if times is None else often.unionByName(times).groupBy("label", "id").agg(F.sum("n").alias("n"))
+        times = written(often)
+        once, twice = (F.sum(F.when(F.col("n") == n, 1.0).otherwise(0.0)) for n in (1, 2))
+        missed = (once * (once - 1) / (2 * (twice + 1))).alias("missed")
+        misses = times.groupBy("label").agg(missed, F.count("*").alias("met"))
+        open_labels = misses.where(F.col("missed") > MISS * (F.col("met") + F.col("missed"))).join(sizes, "label")
+        more = open_labels.where(F.col("size") > window)
+        rest = written(rest.join(more, "label", "left_semi").select("id", "label", "unit"))
+        done, window, bits = done + number, 2 * window, 2 * bits
+    return found if found is not None else single.select(F.col("id").alias("a"), F.col("id").alias("b"))
 
 
 def _block_links(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -190,19 +244,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     # Equal vectors once; the smallest id stands for them. An id may have several vectors: key tells them apart.
     distinct = usable.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     single = written(distinct.withColumn("key", F.xxhash64("label", "unit")))
-    number = passes(single.count())
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = (
-        single.select("id", "label", "unit")
-        .mapInArrow(_coded(number), "turn int, label int, code long, id long, unit binary")
-        .repartitionByRange(parts, "turn", "label", "code", "id")
-        .sortWithinPartitions("turn", "label", "code", "id")
-        .select("turn", "label", "id", "unit")
-    )
-    compared = written(ordered.mapInArrow(_windows, _PAIRS))
-    seams = compared.where("edge is not null").groupBy("edge")
-    found = compared.where("edge is null").select("a", "b").unionByName(seams.applyInPandas(_seam, "a long, b long"))
-    parted = written(components(found.distinct()))
+    parted = written(components(_linked(single).distinct()))
     grouped = single.join(parted, "id")
     # Blocks of a component: by hash, so many that they hold about BLOCK vectors each.
     sizes = parted.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))

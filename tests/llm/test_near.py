@@ -238,6 +238,29 @@ def test_vectors_equal_all_pairs(spark):
     assert all(r.kept == (i == root[i]) for i, r in got.items())
 
 
+@pytest.mark.parametrize("mean", [0.0, 0.8, 0.9])
+def test_pairs_in_a_dense_label_are_found(spark, mean):
+    """20,000 vectors around one direction, with 400 pairs at a cosine of 0.982."""
+    rng, n, width = np.random.default_rng(7), 20_000, 64
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = unit(rng.standard_normal((1, width)))
+    x = unit(np.sqrt(mean) * centre + np.sqrt(1 - mean) * unit(rng.standard_normal((n, width))))
+    across = rng.standard_normal((400, width))
+    across = unit(across - (across * x[:400]).sum(axis=1, keepdims=True) * x[:400])
+    x = np.concatenate([x, 0.982 * x[:400] + np.sqrt(1 - 0.982**2) * across])
+    rows = _vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = {r.vec_id: r for r in vectors.near_vectors(rows).collect()}
+    pairs, links = [], np.zeros(len(x), int)
+    for low in range(0, len(x), 2_000):
+        i, j = np.nonzero(x[low : low + 2_000] @ x.T >= 0.98)
+        pairs += [(a, b) for a, b in zip((i + low).tolist(), j.tolist()) if a < b]
+    for pair in pairs:
+        links[list(pair)] += 1
+    assert len(pairs) >= 400 and all(got[i].n_links <= k for i, k in enumerate(links))
+    met = sum(got[a].component_id == got[b].component_id for a, b in pairs)
+    assert met >= 0.999 * len(pairs), met
+
+
 def test_no_vectors(spark):
     assert vectors.near_vectors(_vectors(spark, [])).count() == 0
     got = vectors.near_vectors(_vectors(spark, [(None, [1.0], 0), (1, [1.0], 0), (2, [3.0], 0)])).collect()

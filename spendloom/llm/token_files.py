@@ -73,6 +73,21 @@ def _slots(pair: np.ndarray, salt: int) -> np.ndarray:
     return (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS)
 
 
+def _kinds(kinds: np.ndarray, pair: np.ndarray, slot: np.ndarray, salt: int) -> np.ndarray:
+    """Per pair the number of its kind, or of another one if it isn't among the (sorted) kinds."""
+    of_kind = _slots(kinds, salt).astype(np.int64)
+    number = np.zeros(1 << SLOT_BITS, np.int32)
+    number[of_kind] = np.arange(len(kinds))
+    kind = number[slot]
+    lost = of_kind[number[of_kind] != np.arange(len(kinds))]
+    if len(lost):  # slots of two kinds or more
+        several = np.zeros(1 << SLOT_BITS, bool)
+        several[lost] = True
+        search = np.flatnonzero(several[slot])
+        kind[search] = np.minimum(np.searchsorted(kinds, pair[search]), len(kinds) - 1)
+    return kind
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """symbols, first symbol of each document, rules (n x 2), ids per rule.
 
@@ -94,14 +109,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE) -> tuple[np.nd
         odd = _odd(at, symbols[at] == symbols[at + 1])
         # A slot holds all places of its pairs: where it has few, its pairs are rare.
         slot = _slots(pair, turn).astype(np.int64)
-        likely = np.bincount(slot[~odd], minlength=1 << SLOT_BITS)[slot] >= LEAST
-        at, pair, odd = at[likely], pair[likely], odd[likely]
+        counted = slot[~odd] if odd.any() else slot
+        full = np.bincount(counted, minlength=1 << SLOT_BITS) >= LEAST
+        likely = np.flatnonzero(full[slot])
+        at, pair, odd, slot = at[likely], pair[likely], odd[likely], slot[likely]
         kinds, count = np.unique(pair[~odd], return_counts=True)
         kinds, count = kinds[count >= LEAST], count[count >= LEAST]
         if not len(kinds):
             break
-        kind = np.minimum(np.searchsorted(kinds, pair), len(kinds) - 1)
-        often = kinds[kind] == pair
+        kind = _kinds(kinds, pair, slot, turn)
+        often = np.flatnonzero(kinds[kind] == pair)
         at, odd, kind = at[often], odd[often], kind[often]
         rank = np.empty(len(kinds), np.int32)
         rank[np.lexsort((_slots(kinds, turn + 1), -np.frexp(count)[1]))] = np.arange(len(kinds))
@@ -124,6 +141,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE) -> tuple[np.nd
         active[where] = True
         stay = np.ones(len(symbols), bool)
         stay[where + 1] = False
+        stay = np.flatnonzero(stay)
         moved = where - np.arange(len(where))  # places of the new symbols once the others close up
         symbols, last, active = symbols[stay], last[stay], active[stay]
         active[np.maximum(moved - 1, 0)] = True

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from spendloom.functions.metrics import METRICS, metric_columns
 from spendloom.functions.values import exact_sum, zero_if_null
-from spendloom.operators.joins import fan_out, hot_keys, lookup, row_counts
+from spendloom.operators.joins import HASH, fan_out, hot_keys, lookup, row_counts, with_hash
 from spendloom.params import Params
+from spendloom.sources.scratch import written
 
-# Joins sort by their keys in this order. Campaign first: a sort compares the first bytes of the
-# first key, and a whole partition often has one client.
 KEY = ["campaign", "date", "client"]
 
 FACT_COLUMNS = (
@@ -84,7 +83,8 @@ def daily_activity(stg: dict[str, DataFrame], logs: tuple[str, ...] = tuple(LOGS
     """Sessions, orders and ledger spend per campaign-day, in one grouped pass.
 
     The logs are stacked and summed together: partial sums before the only shuffle, so a hot
-    campaign is safe. Rows without a campaign or day can match nothing and go first.
+    campaign is safe. Rows without a campaign or day can match nothing and go first. Grouped by the keys' hash as
+    well, which stays in the result, so that the fact joins the rows where they lie.
     """
     values = {
         "web": (stg["stg_web_sessions"], {"sessions": F.col("sessions")}),
@@ -111,7 +111,7 @@ def daily_activity(stg: dict[str, DataFrame], logs: tuple[str, ...] = tuple(LOGS
 
     rows = reduce(DataFrame.unionByName, map(stacked, logs))
     added = lambda m: exact_sum(m) if m in money else F.sum(m)
-    return rows.groupBy(*KEY).agg(*(added(m).alias(m) for m in measures))
+    return with_hash(rows, KEY).groupBy(HASH, *KEY).agg(*(added(m).alias(m) for m in measures))
 
 
 def daily_fact(
@@ -124,13 +124,19 @@ def daily_fact(
     With fewer ``logs`` the others are not read, and their measures and the ratio metrics are
     not in the result: for a mart that needs none of them.
     """
-    days = spine(stg)
-    hot = hot_keys(days, KEY, params.hot_key_rows)
+    # Kept before its four uses: the plan and the platforms are counted once, and how many hot keys and campaigns
+    # there are is known when the joins are planned.
+    days = written(spine(stg))
+    hot = written(hot_keys(days, KEY, params.hot_key_rows))
     context = reporting_context(days, stg["stg_source_freshness"])
     requests = stg["stg_gate_campaigns"].select("client", "campaign", "request_id")
-    # A client may have a third of the spine; a campaign has at most its days x channels.
-    rows = lookup(days, context, ["client"], ["campaign", "date"], params.salts)
-    rows = rows.join(requests, ["client", "campaign"], "left")
+    # A client may have a third of the campaigns; a campaign has at most its days x channels.
+    # Both lookups are made per campaign. Spark sends the terms round if they are few.
+    named = days.select("client", "campaign").distinct().join(requests, ["client", "campaign"], "left")
+    terms = written(lookup(named, context, ["client"], ["campaign"], params.salts))
+    terms = terms.withColumnsRenamed({"client": "_client", "campaign": "_campaign"})
+    of_campaign = F.col("client").eqNullSafe(F.col("_client")) & F.col("campaign").eqNullSafe(F.col("_campaign"))
+    rows = days.join(terms, of_campaign, "left").drop("_client", "_campaign")
     plan = stg["stg_plan_daily"].select(
         *KEY, "planned_spend", "kpi", "kpi_target", F.col("is_synthetic").alias("plan_synthetic")
     )
@@ -138,7 +144,7 @@ def daily_fact(
         "is_synthetic", "platform_synthetic"
     )
     activity = daily_activity(stg, logs) if logs else None
-    rows = fan_out(rows, activity, plan, platform, KEY, hot)
+    rows = fan_out(rows, activity, plan, platform, KEY, None if hot.isEmpty() else hot)
 
     web_covers = F.col("date") <= F.col("web_as_of")
     crm_covers = F.col("date") <= F.col("crm_as_of")

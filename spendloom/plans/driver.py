@@ -199,7 +199,7 @@ def from_lineitem(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     suppliers = read("supplier").select("s_suppkey").withColumns(_named("s_suppkey"))
     # Clients by supplier number, so that the lines are summed before names are put on.
     shipped = read("lineitem").groupBy((F.col("l_suppkey") % 5).alias("k")).agg(
-        F.min(F.to_date("l_shipdate")).alias("first_day"), F.max(F.to_date("l_shipdate")).alias("last_day")
+        F.to_date(F.min("l_shipdate")).alias("first_day"), F.to_date(F.max("l_shipdate")).alias("last_day")
     )
     calendar = shipped.select(F.concat(F.lit("client_"), "k").alias("client"), "first_day", "last_day")
     lines = read("lineitem").select(

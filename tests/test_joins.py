@@ -63,6 +63,31 @@ def test_fan_out_equals_plain_left_joins(spark, rows, seed):
     assert sorted(map(tuple, got), key=str) == _brute(base, unique, left, right)
 
 
+def test_without_hot_keys_every_side_is_shuffled_once(spark):
+    rng = random.Random(4)
+    base = list({r[:2] + (c,) for r in _rows(rng, 40) for c in ("c1", "c2")})
+    left, right, seen = _rows(rng, 30), _rows(rng, 20), _rows(rng, 40)
+    frame = lambda data, v, t: spark.createDataFrame(data, f"a string, b int, {v} {t}").repartition(3)
+    grouped = joins.with_hash(frame(seen, "u", "int"), KEYS).groupBy(joins.HASH, *KEYS).agg(F.sum("u").alias("u"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = joins.fan_out(
+            frame(base, "c", "string"), grouped, frame(left, "l", "int"), frame(right, "r", "int"), KEYS, None
+        ).select("a", "b", "c", "u", "l", "r")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 4
+    totals = {}
+    for a, b, u in seen:
+        totals[a, b] = totals.get((a, b), 0) + u
+    assert sorted(map(tuple, got), key=str) == _brute(base, [(*k, u) for k, u in totals.items()], left, right)
+
+
 def test_fan_out_spreads_exact_copies_of_a_hot_key(spark):
     left = spark.createDataFrame([("h", 1, 7)] * 400, "a string, b int, l int").repartition(4)
     one = spark.createDataFrame([("h", 1, 1)], "a string, b int, r int")
@@ -112,6 +137,17 @@ def test_lookup_equals_plain_join(spark, how):
     assert sorted(map(str, got)) == sorted(map(str, plain))
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("rows", [3, 1000])
+def test_lookup_of_many_equals_plain_join(spark, how, rows):
+    rng = random.Random(6)
+    big = spark.createDataFrame(_rows(rng, 300), "a string, b int, v int")
+    small = spark.createDataFrame([("hot", 10), ("x", 20), ("k3", 30), (None, 40)], "a string, w int")
+    plain = big.join(small, "a", how).select("a", "b", "v", "w").collect()
+    got = joins.lookup_of_many(big, small, ["a"], ["b", "v"], rows, how).select("a", "b", "v", "w").collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain))
+
+
 def test_running_total_equals_one_sorted_pass(spark):
     rng = random.Random(9)
     rows = [

@@ -65,8 +65,9 @@ def _round(pending: DataFrame, room: DataFrame, salts: int) -> tuple[DataFrame,
     marked = rows.join(_firsts(small, "f_"), ["client", "request_id"], "left")
     late = F.coalesce(before("f_", ""), F.lit(False))
     alive = marked.where(~late).withColumn("is_small", F.col("cents") * 2 <= F.col("room"))
-    summed = written(running(alive.withColumn("adds", F.when(F.col("is_small"), F.col("cents")).otherwise(0)), "adds", "sum").select(
-        *OPEN, "room", "is_small", "sum"))
+    # Kept, because every level of the running total reads it.
+    alive = written(alive.select(*OPEN, "room", "is_small", F.when(F.col("is_small"), F.col("cents")).otherwise(0).alias("adds")))
+    summed = written(running(alive, "adds", "sum").drop("adds"))
     ends = F.when(F.col("is_small"), F.col("sum") * 2 > F.col("room")).otherwise(F.col("sum") + F.col("cents") <= F.col("room"))
     hits = summed.where(ends)
     first_at = hits.groupBy("client").agg(F.min("at").alias("e_at"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendloom.functions.values import money, zero_if_null
 from spendloom.operators import approvals
-from spendloom.operators.joins import lookup
+from spendloom.operators.joins import lookup, lookup_of_many
 from spendloom.sources.scratch import written
 
 # Action kinds and the scope that covers every campaign.
@@ -222,7 +222,7 @@ def check_approvals(
     has_kind = "decision" in decisions.columns
     rejects = F.coalesce(F.col("decision") == "reject", F.lit(False)) if has_kind else F.lit(False)
     kind = ["decision"] if has_kind else []
-    rows = lookup(decisions, asked, ["client", "request_id"], ["seq"], salts)
+    rows = lookup_of_many(decisions, asked, ["client", "request_id"], ["seq"], most)
     rows = (
         lookup(rows, engagement.select("client", "ceiling"), ["client"], ["seq"], salts)
         .withColumn("approved", money(F.coalesce("approved_amount", "requested_amount")))
@@ -258,7 +258,7 @@ def check_approvals(
         .when(F.col("broken").isNotNull(), F.col("broken"))
         .when(~is_taken, "over_ceiling")
     )
-    return approvals.running(rows.withColumn("reason", verdict), "adds", "total").select(
+    return approvals.running(written(rows.withColumn("reason", verdict)), "adds", "total").select(
         "client", "request_id", "at", "seq", *kind, "approved", "cap", (F.col("total") / 100).alias("running_approved"),
         "modified", F.col("reason").isNull().alias("valid"), "reason",
     )

@@ -274,6 +274,23 @@ def test_no_task_holds_a_client(spark):
     assert "MapInPandas" not in plan
 
 
+def test_requests_are_not_copied_for_their_decisions(spark, monkeypatch):
+    """There are as many requests as decisions; only a table of few rows is worth a copy per slice."""
+    copied, real = [], gate.lookup
+    monkeypatch.setattr(gate, "lookup", lambda big, small, on, *more: copied.append(on) or real(big, small, on, *more))
+    at = datetime(2026, 1, 1)
+    decisions = spark.createDataFrame(
+        [("c", "R1", at, 1, None, None, None), ("c", "R1", at, 2, None, None, None), ("c", "R2", at, 3, 5.0, None, None)],
+        "client string, request_id string, at timestamp_ntz, seq bigint, approved_amount double, daily_cap double, via string",
+    )
+    requests = spark.createDataFrame([("c", "R1", 10.0, 1.0)], "client string, request_id string, requested_amount double, daily_cap double")
+    ceilings = spark.createDataFrame([("c", 100.0)], "client string, ceiling double")
+    for most in (1, 100):
+        got = gate.check_approvals(decisions, requests, ceilings, most=most).orderBy("seq").collect()
+        assert [(r.valid, r.reason) for r in got] == [(True, None), (False, "already_decided"), (False, "no_request")]
+    assert copied and ["client", "request_id"] not in copied
+
+
 def test_a_client_without_an_engagement_keeps_its_decisions(spark):
     requests = spark.createDataFrame([("lone", "q", 1.0, 1.0)], ASKED)
     decisions = spark.createDataFrame([("lone", "q", datetime(2027, 1, 1), 1, None, None, None)], DECISIONS)

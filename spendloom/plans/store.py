@@ -11,6 +11,7 @@ on the way; `publish` points the names to the new versions, all or none of those
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,6 +24,8 @@ BUCKETED = ["client", "campaign"]
 # Columns whose nulls are counted while a table is written, where it has them.
 COUNTED = ("client", "date", "campaign", "channel", "spend")
 _NEW = "__new"
+# Bytes of input files per bucket. The rows made of them are some 20 times that in a task's memory.
+BUCKET_BYTES = 16 * 2**20
 
 
 @dataclass(frozen=True)
@@ -46,9 +49,18 @@ def in_parts(parts: list[tuple[str, str]]) -> Column:
     return F.concat_ws("|", *PARTS).isin([f"{client}|{period}" for client, period in parts])
 
 
+def bytes_read(frames: list[DataFrame]) -> int:
+    """Size of the files that these frames are made of, each file once. Nothing is read of them."""
+    files = sorted({unquote(f) for df in frames for f in df.inputFiles()})
+    if not files:
+        return 0
+    lengths = frames[0].sparkSession.read.format("binaryFile").load(files).agg(F.sum("length").alias("n"))
+    return lengths.first().n or 0
+
+
 class Store:
-    """Tables of a warehouse in the databases ``core`` and ``marts`` (or others). ``buckets`` is for the
-    cluster at hand: a bucket is the least that one task reads."""
+    """Tables of a warehouse in the databases ``core`` and ``marts`` (or others). A bucket is the least that one task
+    reads and sorts, so there are as many as the files that a fact is made of need, ``buckets`` at least."""
 
     def __init__(
         self, spark: SparkSession, core: str = "core", marts: str = "marts", buckets: int = 8, period: str = "MONTH"
@@ -67,11 +79,12 @@ class Store:
 
     # ------------------------------------------------------------ write beside
 
-    def _put(self, df: DataFrame, table: str, by: list[str], buckets: bool = False) -> Written:
+    def _put(self, df: DataFrame, table: str, by: list[str], buckets: int = 0) -> Written:
         database, name = table.split(".")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         self.spark.sql(f"DROP TABLE IF EXISTS {table}{_NEW}")
         path = f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{database}.tables/{name}-{uuid4().hex}"
+        df = df.repartition(buckets, *BUCKETED) if buckets else df
         # Counted in the stage that writes, where each row passes once.
         seen = Observation()
         known = [c for c in COUNTED if c in df.columns]
@@ -82,7 +95,7 @@ class Store:
         if by:
             writer = writer.partitionBy(*by)
         if buckets:
-            writer = writer.bucketBy(self.buckets, *BUCKETED)
+            writer = writer.bucketBy(buckets, *BUCKETED)
         writer.saveAsTable(f"{table}{_NEW}")
         got = seen.get
         made = Written(table, got["rows"], {c: got[f"null_{c}"] for c in known}, got.get("spend"))
@@ -93,13 +106,20 @@ class Store:
         """A new version of a table, partitioned by client, not visible yet."""
         return self._put(df.hint("rebalance", "client"), table, ["client"])
 
-    def stage_bucketed(self, df: DataFrame, table: str) -> Written:
+    def stage_bucketed(self, df: DataFrame, table: str, like: str) -> Written:
+        """In as many buckets as the table ``like`` has, so that the two are joined bucket by bucket."""
         rows = df.withColumn(PARTS[0], F.coalesce("client", F.lit("none")))
-        return self._put(rows.repartition(self.buckets, *BUCKETED), table, PARTS[:1], True)
+        return self._put(rows, table, PARTS[:1], self.buckets_of(like))
 
-    def stage_fact(self, df: DataFrame, table: str) -> Written:
+    def stage_fact(self, df: DataFrame, table: str, read: list[DataFrame] | None = None) -> Written:
+        """``read``: the frames that the fact is made of, if df doesn't tell by itself."""
         rows = df.withColumns(parts_of("date", self.period))
-        return self._put(rows.repartition(self.buckets, *BUCKETED), table, PARTS, True)
+        return self._put(rows, table, PARTS, max(self.buckets, -(-bytes_read(read or [df]) // BUCKET_BYTES)))
+
+    def buckets_of(self, table: str) -> int:
+        """Of the staged version if there is one, else the published one."""
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}{_NEW if table in self._staged else ''}")
+        return int(told.where("col_name = 'Num Buckets'").first().data_type)
 
     # ------------------------------------------------------------ publish
 

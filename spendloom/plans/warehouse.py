@@ -50,7 +50,7 @@ class Warehouse:
     @cached_property
     def stored_fact(self) -> DataFrame:
         rows = lambda: fact.daily_fact(self.stg, self.params).drop("ref_date")
-        return self._kept(FACT, lambda table: self.store.stage_fact(rows(), table))
+        return self._kept(FACT, lambda table: self.store.stage_fact(rows(), table, list(self.raw.values())))
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -69,12 +69,12 @@ class Warehouse:
     def terms(self) -> DataFrame:
         """The campaigns' approved terms."""
         terms = self.stg["stg_gate_campaigns"]
-        return self._kept(TERMS, lambda table: self.store.stage_bucketed(terms, table)) if self.store else terms
+        return self._kept(TERMS, lambda table: self.store.stage_bucketed(terms, table, f"{self.store.core}.{FACT}")) if self.store else terms
 
     @cached_property
     def _campaigns(self) -> DataFrame:
         made = lambda: marts.campaign_performance(self.daily, self.terms)
-        return self._kept(DAYS, lambda table: self.store.stage_bucketed(made(), table)) if self.store else made()
+        return self._kept(DAYS, lambda table: self.store.stage_bucketed(made(), table, f"{self.store.core}.{FACT}")) if self.store else made()
 
     @cached_property
     def context(self) -> DataFrame:
@@ -219,7 +219,8 @@ class Warehouse:
         parts = Warehouse.open(store, raw, self.params).touched(changed)
         if parts:
             table = f"{store.core}.{FACT}"
-            store.stage_fact(Warehouse(landing.raw(parts), self.params).fct_performance_daily(), table)
+            logs = landing.raw(parts)
+            store.stage_fact(Warehouse(logs, self.params).fct_performance_daily(), table, list(logs.values()))
             store.publish({table: in_parts(parts)})
         try:
             Warehouse(raw, self.params, store, (FACT,))._stage_all()

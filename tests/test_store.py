@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixture
+from spendloom.plans import store as stores
 from spendloom.plans.store import Landing, Store, in_parts
 from spendloom.plans.warehouse import MODELS, Warehouse
 
@@ -215,3 +216,15 @@ def test_partitions_of_odd_rows(spark):
     got = rows.select(*(c.alias(n) for n, c in parts_of("date", "MONTH").items()))
     assert sorted(map(tuple, got.collect())) == [("a", "2025-05-01"), ("none", "none")]
     assert got.where(in_parts([("none", "none")])).count() == 1
+
+
+def test_a_fact_of_larger_files_has_more_buckets(spark, monkeypatch):
+    store, raw = _store(spark, "larger"), fixture.raw_tables(spark, ("a",))
+    landing = Landing(store, "larger_raw")
+    landing.land(raw)
+    size = stores.bytes_read(list(landing.raw().values()))
+    monkeypatch.setattr(stores, "BUCKET_BYTES", -(-size // 9))
+    Warehouse(landing.raw(), store=store).save()
+    found = {store.buckets_of(f"{store.core}.{t}") for t in ("fct_performance_daily", "campaign_days", "campaign_terms")}
+    assert found == {9}
+    assert _rows(Warehouse.open(store, landing.raw()).fct_performance_daily()) == _rows(Warehouse(raw).fct_performance_daily())

@@ -111,7 +111,7 @@ def daily_activity(stg: dict[str, DataFrame], logs: tuple[str, ...] = tuple(LOGS
 
     rows = reduce(DataFrame.unionByName, map(stacked, logs))
     added = lambda m: exact_sum(m) if m in money else F.sum(m)
-    return with_hash(rows, KEY).groupBy(HASH, *KEY).agg(*(added(m).alias(m) for m in measures))
+    return with_hash(rows, KEY).groupBy(*KEY, HASH).agg(*(added(m).alias(m) for m in measures))
 
 
 def daily_fact(

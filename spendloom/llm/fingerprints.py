@@ -4,7 +4,10 @@ A text is a weighted set of terms: its lower-case words, each weighing as often
 without words is one term, itself; an empty text has none). For every term and each of SAMPLES samples,
 hashes give two gamma(2, 1) numbers r and c and a uniform number b. A term of weight w has the step
 t = floor(ln(w) / r + b) and the key ln(c) - r * (t - b) - r; the sample is the (term, t) of the
-smallest key. ln(w) doesn't depend on the sample and is taken once per term. Two texts agree in a sample with a chance equal to the generalised Jaccard similarity of
+smallest key. ln(w) doesn't depend on the sample and is taken once per term. exp(key) is exponential with a mean of 1 by
+the weight of the whole text, and at least (1 - e^-c) * e^-r / w, which takes no logarithm: terms for which that is beyond
+REACH such means are left out, and so are keys beyond it. Where a sample is left without a key (once in exp(REACH) samples)
+its text is sampled again over all terms, so the result doesn't depend on it. Two texts agree in a sample with a chance equal to the generalised Jaccard similarity of
 their weights, so the share of equal samples estimates it.
 
 The order of documents that tells each one its next is built from ids alone: ranges of ids, their
@@ -29,8 +32,8 @@ from spendloom.llm.common import texts, written
 
 # The likeness of a pair has a standard error of sqrt(s * (1 - s) / SAMPLES), 0.0625 at most.
 SAMPLES = 64
-# Samples that one row of the aggregation holds: few, so that its compiled code stays small.
-AT_ONCE = 4
+# Means of the smallest key up to which keys are looked at first, and room for rounding.
+REACH, ROUNDING = 24.0, 1e-3
 # Steps times this odd number differ in their lower 32 bits.
 STEP = 2_654_435_761
 # Not a sample of any term.
@@ -60,21 +63,20 @@ def _uniform(h: Column, shift: int) -> Column:
     return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)) + 0.5) / float(1 << 21)
 
 
-def sample_keys(term: Column, logs: list[Column], j: Column) -> list[Column]:
-    """Per logarithm of a weight the j-th sample of a term: its key in the upper bits, so that the least number is the
-    sample, and a mix of (term, t) in the lower 32. Null where the logarithm is, of a weight of 0."""
+def _products(term: Column, j: Column) -> tuple[Column, Column, Column]:
+    """Of the j-th sample of a term: e^-r and e^-c, products of two uniform numbers, and b."""
     one, two = F.xxhash64(term, j), F.xxhash64(term, j + SAMPLES)
-    r = -F.log(_uniform(one, 0) * _uniform(one, 21))
-    ln_c = F.log(-F.log(_uniform(two, 0) * _uniform(two, 21)))
-    b = _uniform(one, 42)
-    out = []
-    for ln_w in logs:
-        t = F.floor(ln_w / r + b)
-        key = ln_c - r * (t - b) - r
-        place = F.shiftleft(((key + 512.0) * float(1 << 20)).cast("long"), 32)
-        low = term.bitwiseXOR(t * STEP).bitwiseAND(F.lit((1 << 32) - 1))
-        out.append(place.bitwiseOR(low))
-    return out
+    return _uniform(one, 0) * _uniform(one, 21), _uniform(two, 0) * _uniform(two, 21), _uniform(one, 42)
+
+
+def sample_key(term: Column, ln_w: Column, r: Column, ln_c: Column, b: Column, limit: Column) -> Column:
+    """The sample of a term for a weight: its key in the upper bits, so that the least number is the sample, and a mix
+    of (term, t) in the lower 32. Null where the logarithm is, of a weight of 0, and for keys beyond the limit."""
+    t = F.floor(ln_w / r + b)
+    key = ln_c - r * (t - b) - r
+    place = F.shiftleft(((key + 512.0) * float(1 << 20)).cast("long"), 32)
+    low = term.bitwiseXOR(t * STEP).bitwiseAND(F.lit((1 << 32) - 1))
+    return F.when(key < limit, place.bitwiseOR(low))
 
 
 def successors(keys: DataFrame) -> DataFrame:
@@ -100,20 +102,24 @@ def successors(keys: DataFrame) -> DataFrame:
     )
 
 
-def _sampled(terms: DataFrame, weights: list[str]) -> DataFrame:
-    """Per document the least key of each sample, one column per weight and sample."""
-    columns = []
-    for i in range(AT_ONCE):
-        keys = sample_keys(F.col("term"), [F.col(w) for w in weights], F.col("part") * AT_ONCE + i)
-        columns += [F.min(key).alias(f"{w}_{i}") for w, key in zip(weights, keys, strict=True)]
-    # A row per part of the samples, so that the aggregations stay compiled.
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("part")
-    logs = [F.log(F.col(w).cast("double")).alias(w) for w in weights]
-    least = terms.select("doc_id", "h", "term", *logs).select("doc_id", "h", "term", *weights, parts).groupBy("doc_id", "h", "part").agg(*columns)
-    packed = F.struct("part", *[F.array(*[F.col(f"{w}_{i}") for i in range(AT_ONCE)]).alias(w) for w in weights])
-    whole = least.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(packed)).alias("parts"))
+def _sampled(terms: DataFrame, weights: list[str], reach: float | None = None) -> DataFrame:
+    """Per document the least key of each sample, one column per weight and sample. With `reach`, terms also has
+    all_{weight}, that of the whole text, and a sample whose keys are all beyond that many means has none."""
+    far = F.lit(float("inf"))
+    whole_of = lambda w: F.greatest(f"all_{w}", F.lit(1))
+    limits = [(F.log(reach / whole_of(w)) - ROUNDING if reach else far).alias(f"limit_{w}") for w in weights]
+    most = F.greatest(*[F.col(w) / whole_of(w) for w in weights]) * reach if reach else far
+    logs = [F.log(F.col(w).cast("double")).alias(f"ln_{w}") for w in weights]
+    each = terms.select("doc_id", "h", "term", *logs, *limits, most.alias("most"))
+    each = each.select("*", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES - 1))).alias("sample"))
+    exp_r, exp_c, b = _products(F.col("term"), F.col("sample"))
+    each = each.where((1 - exp_c) * exp_r < F.col("most"))
+    each = each.select("*", (-F.log(exp_r)).alias("r"), F.log(-F.log(exp_c)).alias("ln_c"), b.alias("b"))
+    key = lambda w: sample_key(*map(F.col, ("term", f"ln_{w}", "r", "ln_c", "b", f"limit_{w}")))
+    least = each.groupBy("doc_id", "h", "sample").agg(*[F.min(key(w)).alias(w) for w in weights])
+    whole = least.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("sample", *weights))).alias("samples"))
     return whole.select(
-        "doc_id", "h", *[F.col("parts")[j // AT_ONCE][w][j % AT_ONCE].alias(f"{w}_{j}") for w in weights for j in range(SAMPLES)]
+        "doc_id", "h", *[F.get("samples", F.lit(j))[w].alias(f"{w}_{j}") for w in weights for j in range(SAMPLES)]
     )
 
 
@@ -138,6 +144,29 @@ def likeness(one: list[Column], two: list[Column]) -> Column:
     return reduce(add, [F.when(a == b, 1).otherwise(0) for a, b in zip(one, two, strict=True)]) / float(len(one))
 
 
+def _told(both: DataFrame, reach: float | None) -> DataFrame:
+    """doc_id, h, edited_sha256, the samples of the own and the changed text, and whether one of them is missing.
+
+    both: doc_id, h, text, edited.
+    """
+    listed = both.select("doc_id", "h", words(F.col("text")).alias("a"), words(F.col("edited")).alias("b"))
+    sizes = [F.size("a").alias("all_own"), F.size("b").alias("all_changed")]
+    placed = listed.select("doc_id", "h", *sizes, F.posexplode(F.concat("a", "b")).alias("at", "word"))
+    terms = placed.groupBy("doc_id", "h", "all_own", "all_changed", F.xxhash64("word").alias("term")).agg(
+        F.sum(F.when(F.col("at") < F.col("all_own"), 1).otherwise(0)).alias("own"),
+        F.sum(F.when(F.col("at") >= F.col("all_own"), 1).otherwise(0)).alias("changed"),
+    )
+    sampled = _sampled(terms, ["own", "changed"], reach)
+    edits = both.select("doc_id", "h", F.sha2("edited", 256).alias("edited_sha256"), *[(F.col(c) != "").alias(f"in_{c}") for c in ("text", "edited")])
+    found = edits.join(sampled, _same(edits, sampled), "left").select(
+        edits["doc_id"], edits["h"], "edited_sha256", "in_text", "in_edited",
+        F.array(*_samples("own")).alias("own"), F.array(*_samples("changed")).alias("changed"),
+    )
+    lacks = lambda w: F.array_contains(w, F.lit(-1).cast("long"))
+    again = (F.col("in_text") & lacks("own")) | (F.col("in_edited") & lacks("changed"))
+    return found.select("doc_id", "h", "edited_sha256", "own", "changed", again.alias("again"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -159,18 +188,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     kept = F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))")
     both = once.join(given, _same(once, given)).select(once["doc_id"], once["h"], "text", F.concat(kept, "piece").alias("edited"))
-    listed = both.select("doc_id", "h", words(F.col("text")).alias("a"), words(F.col("edited")).alias("b"))
-    placed = listed.select("doc_id", "h", F.size("a").alias("many"), F.posexplode(F.concat("a", "b")).alias("at", "word"))
-    terms = placed.groupBy("doc_id", "h", F.xxhash64("word").alias("term")).agg(
-        F.sum(F.when(F.col("at") < F.col("many"), 1).otherwise(0)).alias("own"),
-        F.sum(F.when(F.col("at") >= F.col("many"), 1).otherwise(0)).alias("changed"),
-    )
-    sampled = _sampled(terms, ["own", "changed"])
-    edits = both.select("doc_id", "h", F.sha2("edited", 256).alias("edited_sha256"))
-    told = edits.join(sampled, _same(edits, sampled), "left").select(
-        edits["doc_id"], edits["h"], "edited_sha256", F.array(*_samples("own")).alias("own"), F.array(*_samples("changed")).alias("changed")
-    )
-    told = written(told)
+    told = written(_told(both, REACH))
+    again = told.where("again").select("doc_id", "h")
+    if not again.isEmpty():
+        rest = both.join(again, ["doc_id", "h"], "left_semi")
+        told = written(told.where("not again").unionByName(_told(rest, None)))
     nexts = told.select(F.struct("doc_id", "h").alias("k"), F.col("own").alias("follows"))
     found = told.join(order, _same(told, order)).select(
         told["doc_id"], "missing", "edited_sha256", "own", "changed", "n_chars", "n", "next"

@@ -157,6 +157,20 @@ def test_fingerprints_equal_a_plain_sampler(spark):
         assert r.edited_fingerprint == _fingerprint(edits[r.doc_id, text])
 
 
+@pytest.mark.parametrize("reach", [0.5, 6.0])
+def test_samples_beyond_reach_are_taken_again(spark, monkeypatch, reach):
+    """Terms that can't give a sample are left out; texts that lose one by it are sampled over all terms."""
+    texts = [(0, "a b a"), (1, ""), (2, "!!! ???")] + [(10 + i, odd_rows.prose(i, 30 + i)) for i in range(6)]
+    monkeypatch.setattr(fingerprints, "REACH", reach)
+    edits = _edits(texts)
+    rows = fingerprints.fingerprints(odd_rows.table(spark, texts)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text = dict(texts)[r.doc_id]
+        assert r.fingerprint == _fingerprint(text)
+        assert r.edited_fingerprint == _fingerprint(edits[r.doc_id, text])
+
+
 def test_samples_collide_as_often_as_weights_agree(spark):
     """Share of equal samples over many pairs against the generalised Jaccard similarity."""
     rng = random.Random(2)

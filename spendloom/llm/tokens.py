@@ -2,38 +2,57 @@
 
 A text is cut where no token of the tokenizer can cross: before a space that follows a character
 other than white space. The ids of a segment don't depend on its surroundings, so they are asked
-for once and kept; most words of a corpus come again and again.
+for once and kept; most words of a corpus come again and again. A new segment of
+Latin letters and ASCII signs falls into words at once, so the tokenizer's model is asked for these, without its other steps.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate, chain, islice
+from operator import attrgetter
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+if TYPE_CHECKING:
+    from tokenizers.models import Model
+
 # White space before a space: the space may then belong to a run, and isn't a safe cut.
 _RUN = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _SAFE = re.compile(r"(?<=\S)(?= )")
+# Letters and signs without an apostrophe behind, in one line or more: each run is a word by itself. These letters are
+# composed, and each has one lower-case letter.
+_LETTERS, _SIGNS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", r"[!-&(-/:-@\[-`{-~]"
+_PLAIN = re.compile(rf"({_LETTERS})({_SIGNS}*)((?:\n{_LETTERS}{_SIGNS}*)*)")
+_LINE = re.compile(rf"\n({_LETTERS})({_SIGNS}*)")
+_ID = attrgetter("id")
+# Characters by which byte-level vocabularies write bytes that aren't printable.
+_BYTES = dict(zip([*range(33), *range(127, 161), 173], map(chr, range(256, 256 + 68)), strict=True))
 # Texts are encoded in portions of about so many bytes.
-PORTION = 1 << 23
+PORTION = 1 << 24
 
 
 class SegmentEncoder:
     """Ids of texts. Memory: at most `limit` segments of up to 64 characters, and one portion of texts."""
 
     run, safe = _RUN, _SAFE
+    # The tokenizer's model, where it can be asked for the ids of a word.
+    _model: Model | None = None
 
     def __init__(self, path: str, spaces_matter: bool, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        if spaces_matter and not self._tokenizer.normalizer and isinstance(self._tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+            self._model = self._tokenizer.model
         self._spaces_matter = spaces_matter
         self._limit = limit
         # Ids by segment, without the space that it begins with, as little-endian 32-bit bytes.
@@ -45,6 +64,50 @@ class SegmentEncoder:
         ends = list(accumulate(4 * len(x) for x in found))
         return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
+    def _space(self, word: str) -> str:
+        """A word after a space as the model gets it."""
+        return f"\u0120{word}"
+
+    def _lower(self, letters: str) -> str:
+        return letters
+
+    def _line_end(self) -> bytes:
+        return array("I", map(_ID, self._model.tokenize("\u010a"))).tobytes()
+
+    def _word_ids(self, segments: list[str]) -> list[bytes | None]:
+        """Ids of segments after a space that are plain words and signs; None for others."""
+        out: list[bytes | None] = [None] * len(segments)
+        if self._model is None:
+            return out
+        tokenize, line_end, signs_of, known = self._model.tokenize, self._line_end(), {"": b""}, self._known.get
+
+        def letters(word: str) -> str:
+            return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+
+        def ids(word: str) -> bytes:
+            return array("I", map(_ID, tokenize(word))).tobytes()
+
+        def of_signs(signs: str) -> bytes:
+            if signs not in signs_of:
+                signs_of[signs] = ids(signs)
+            return signs_of[signs]
+
+        for i, plain in enumerate(map(_PLAIN.fullmatch, segments)):
+            if plain is None:
+                continue
+            word, signs, lines = plain.groups()
+            word = self._lower(word)
+            # The word may be known as a segment of its own.
+            found = known(word) if word != segments[i] else None
+            found = found or ids(self._space(letters(word)))
+            if signs:
+                found += of_signs(signs)
+            if lines:
+                for word, signs in _LINE.findall(lines):
+                    found += line_end + ids(letters(self._lower(word))) + of_signs(signs)
+            out[i] = found
+        return out
+
     def _head_ids(self, heads: list[str]) -> list[bytes]:
         """Ids of the first segments of texts, which have no space before them."""
         return self._ids(heads)
@@ -58,7 +121,11 @@ class SegmentEncoder:
         space = " " * self._spaces_matter
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
-            for i, ids in zip(part, self._ids([space + segments[i] for i in part]), strict=True):
+            found = self._word_ids([segments[i] for i in part])
+            rest = [n for n, x in enumerate(found) if x is None]
+            for n, ids in zip(rest, self._ids([space + segments[part[n]] for n in rest]), strict=True):
+                found[n] = ids
+            for i, ids in zip(part, found, strict=True):
                 out[i] = ids
                 if len(segments[i]) <= 64:
                     self._known[segments[i]] = ids
@@ -91,7 +158,7 @@ class SegmentEncoder:
         coded = segments.dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
         heads = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1])))
-        found = self._looked_up(coded.dictionary.to_pylist())
+        found = self._looked_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         code[bounds[:-1]] = len(found) + np.arange(len(texts))  # the first segment has no space before it
         found += self._head_ids(heads.to_pylist())
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -113,10 +180,20 @@ class WordEndEncoder(SegmentEncoder):
 
     def __init__(self, path: str) -> None:
         super().__init__(path, spaces_matter=False)
+        self._model = self._tokenizer.model
         pieces = self._tokenizer.get_vocab()
         self._ends_word = np.zeros(max(pieces.values()) + 1, bool)
         self._ends_word[[i for piece, i in pieces.items() if piece.endswith(self.mark)]] = True
 
+    def _space(self, word: str) -> str:
+        return word
+
+    def _lower(self, letters: str) -> str:
+        return letters.lower()
+
+    def _line_end(self) -> bytes:
+        return b""
+
     def _words_of(self, segment: str) -> int:
         """Words of a segment; 0 where that isn't plain."""
         if segment.isalpha():

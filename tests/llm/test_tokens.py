@@ -47,6 +47,23 @@ def test_word_ends_tell_segments_apart():
     assert got == [_library(WORD, t) for t in odd]
 
 
+@pytest.mark.parametrize("path, make", [(BYTE, lambda p: SegmentEncoder(p, True)), (WORD, WordEndEncoder)])
+def test_plain_words_are_asked_of_the_model_alone(path, make):
+    encoder, whole = make(path), []
+    ids = encoder._ids
+    encoder._ids = lambda segments: whole.extend(segments) or ids(segments)
+    text = "Head the The THE don't x y. Zq, zq; it's a,b hello! ÜBER àÿßÀÞ$$$ a.\nNew é\nx&&\ny strasse? a\n\nb \nc c\n aªb ×x 3x x3 \u0130x xe\u0301 " + "q" * 300 + " "
+    text += odd_rows.prose(3, 400)
+    texts = [text, text + " tail:", *["".join(chr(c) for c in (0x61, n, 0x20, 0x62, n, n, 0x20, n, 0x63)) for n in range(1, 0x250)]]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    asked = {x.strip(" ") for x in whole}
+    assert asked >= {"don't", "it's", "a,b", "a\n\nb", "×x", "3x", "x3", "\u0130x", "xe\u0301"}
+    assert not asked & {"the", "The", "THE", "x", "y.", "Zq,", "zq;", "hello!", "ÜBER", "àÿßÀÞ$$$", "a.\nNew", "é\nx&&\ny", "tail:", "q" * 300}
+
+
 @pytest.mark.parametrize("n", [1, 2, 31, 32, 33, 1023, 1024, 1025, 1500, 2047, 2048, 2049, 70_001])
 def test_cuts_cover_the_length_and_fit_their_class(n):
     cuts = packing.cut_lengths(n)

@@ -162,6 +162,30 @@ def test_lines_equal_all_pairs(spark):
     assert all(r.n_chars == len(r.text) for r in again.collect())
 
 
+def test_buckets_of_one_known_class_go_no_further(spark):
+    members = spark.createDataFrame([(1, 10, 5), (1, 11, 5), (2, 10, 5), (2, 12, 5), (3, 13, 5), (3, 14, 5)], "bucket long, id long, mark int")
+    known = spark.createDataFrame([(10, 10), (11, 10), (14, 14)], "id long, component long")
+    got = {(r.bucket, r.id) for r in components.unsettled(members, known).collect()}
+    assert got == {(2, 10), (2, 12), (3, 13), (3, 14)}
+    assert components.unsettled(members, None).count() == 6
+
+
+def test_passes_of_buckets_give_the_classes_of_one_pass(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = []
+    for i in range(40):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(90))
+        for edits in (0, 1, 4):
+            at = set(rng.sample(range(90), edits))
+            texts.append("x" + "".join("z" if j in at else c for j, c in enumerate(line)) + "x")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = []
+    for choices in (11, lines.BANDS):
+        monkeypatch.setattr(lines, "PASS", choices)
+        kept.append(sorted(r.doc_id for r in lines.dedup_lines(docs).collect() if r.n_kept))
+    assert kept[0] == kept[1] and 40 <= len(kept[0]) < 50
+
+
 def test_simhash_bits_are_majorities(spark):
     forms = spark.createDataFrame([(1, " ".join("abcdefghi")), (2, " ".join("aaaaaaabb"))], "key long, line string")
     got = {r.key: r.sim & (2**64 - 1) for r in lines.with_simhash(forms).collect()}

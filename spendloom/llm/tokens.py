@@ -35,7 +35,7 @@ _ID = attrgetter("id")
 # Characters by which byte-level vocabularies write bytes that aren't printable.
 _BYTES = dict(zip([*range(33), *range(127, 161), 173], map(chr, range(256, 256 + 68)), strict=True))
 # Texts are encoded in portions of about so many bytes.
-PORTION = 1 << 24
+PORTION = 1 << 22
 
 
 class SegmentEncoder:
@@ -150,10 +150,14 @@ class SegmentEncoder:
         while start < len(texts):
             before = size[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(size, before + PORTION)))
-            yield from self._portion(texts[start:end])
+            data, stops = self._portion(texts[start:end])
+            for i, j in zip([0, *stops], stops, strict=False):
+                yield data[i:j]
             start = end
 
-    def _portion(self, texts: pa.Array) -> Iterator[bytes]:
+    def _portion(self, texts: pa.Array) -> tuple[bytes, list[int]]:
+        """Ids of all texts together and where each text ends. Returned as a whole, so that nothing else of a
+        portion is kept while its ids are used."""
         bounds, segments = self._cut(texts)
         coded = segments.dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
@@ -167,9 +171,7 @@ class SegmentEncoder:
         each = size[code]
         ends = np.cumsum(each)
         ids = flat[np.repeat(shift[code] - (ends - each), each) + np.arange(ends[-1])]
-        data, stops = ids.tobytes(), (4 * ends[bounds[1:] - 1]).tolist()
-        for i, j in zip([0, *stops], stops, strict=False):
-            yield data[i:j]
+        return ids.tobytes(), (4 * ends[bounds[1:] - 1]).tolist()
 
 
 class WordEndEncoder(SegmentEncoder):

@@ -1,6 +1,7 @@
 """Packing, token files and SentencePiece ids against the libraries' own encodings."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -210,3 +211,21 @@ def test_padding_by_class():
         total += n
         empty += sum(packing.CAPACITY / k - length for length, k in packing.cut_lengths(n))
     assert empty / total < 0.005 and math.isfinite(empty)
+
+
+def test_ids_of_many_texts_need_room_for_a_portion_only():
+    """16 MB of texts: what is worked on and kept while their ids are used."""
+    text = " ".join(["some words again and again"] * 10_000)
+    texts = pa.array([text] * 62)
+    encode = WordEndEncoder(WORD).encode
+    first = next(iter(encode(texts.slice(0, 1))))
+    tracemalloc.start()
+    try:
+        held = 0
+        for ids in encode(texts):
+            assert ids == first
+            held = max(held, tracemalloc.get_traced_memory()[0])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 16e6 and most < 120e6, (held, most)

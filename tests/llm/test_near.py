@@ -2,12 +2,13 @@
 
 import random
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from llm import odd_rows
-from spendloom.llm import components, lines, minhash, vectors
+from spendloom.llm import common, components, lines, minhash, vectors
 
 
 def _smallest(ids, links):
@@ -306,3 +307,27 @@ def test_vectors_of_a_repeated_id_have_links_of_their_own(spark):
             (1, [1.0, 0.03], 1), (5, [1.0, 0.04], 1)]
     got = vectors.near_vectors(_vectors(spark, rows)).collect()
     assert sorted((r.vec_id, r.n_links) for r in got) == [(1, 1), (1, 1), (1, 2), (2, 2), (3, 2), (4, 1), (5, 1)]
+
+
+def test_few_edits_are_tried_before_all(spark, monkeypatch):
+    """Lines of about 300 to 3,000 characters with 1 to 5 % of their letters changed, and such with 12 %: at whichever number of
+    edits the answer comes, it is the same; long lines have the n-grams that begin a word only."""
+    bases = [" ".join(odd_rows.words(7_000 + i, n)) for i, n in enumerate((80, 120, 200, 800))]
+    pairs = [(b, _letters_changed(b, int(len(b) * share), i)) for i, (b, share) in enumerate(zip(bases, (0.01, 0.04, 0.02, 0.05)))]
+    assert _found(spark, pairs) == 1.0
+    far = [(2 * n + i, x) for n, b in enumerate(bases) for i, x in enumerate((b, _letters_changed(b, int(len(b) * 0.12), n)))]
+    forms = spark.createDataFrame(far, "key long, line string")
+    assert {r.part for r in lines.with_minima(forms).collect()} == {2}
+    for few in ((), (1, 5)):
+        monkeypatch.setattr(lines, "FEW_EDITS", few)
+        got = {r.id: r.component for r in lines.line_classes(forms).collect()}
+        assert all(got.get(2 * n, 2 * n) != got.get(2 * n + 1, 2 * n + 1) for n in range(len(bases)))
+
+
+def test_emptied_tables_take_no_room(spark, tmp_path):
+    df = common.written(spark.range(100_000).selectExpr("xxhash64(id) as x"))
+    folder = Path(df.inputFiles()[0].removeprefix("file:")).parent
+    size = lambda: sum(f.stat().st_size for f in folder.iterdir())
+    before = size()
+    common.dropped(df, common.written(df.where("x is null")))
+    assert before > 500_000 and size() < 5_000

@@ -89,36 +89,102 @@ def _leaders(members: DataFrame, number: int, salt: int) -> DataFrame:
     return chosen.select("bucket", F.col("l.id").alias("a"), F.col("l.class").alias("a_class"), F.col("l.mark").alias("a_mark"))
 
 
+# Ids of a block, and the sum of their marks, about. Leading blocks of a bucket by round; the last number holds for all
+# further ones.
+BLOCK, BLOCK_MARKS, LEADING = 512, 4_000_000, (4, 16, 64, 256)
+
+
+def blocks(members: DataFrame) -> DataFrame:
+    """id, class, rank, block, own: each id in one block of about BLOCK. Marks are sizes.
+
+    Ids whose largest bucket is small go together to the largest one that other ids of their buckets have, so that a
+    group has few blocks and all of them are full. A class that fills a block there has blocks of its own, and `own` is that class; it
+    is null in blocks of several classes.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    largest = members.join(sizes, "bucket").groupBy("id").agg(F.max(F.struct("size", "bucket")).alias("first"))
+    near = written(members.select("bucket", "id", "class", "rank", "mark").join(largest, "id"))
+    tops = near.groupBy("bucket").agg(F.max("first").alias("top"))
+    homes = near.join(tops, "bucket").groupBy("id", "class", "rank", "mark", "first").agg(F.max("top").alias("home"))
+    together = F.when(F.col("first.size") < BLOCK, F.col("first.bucket")).otherwise(F.col("class"))
+    homes = homes.select("id", "class", "rank", "mark", together.alias("together"), F.col("home.bucket").alias("home"))
+    # How many blocks it takes.
+    share = F.lit(1 / BLOCK) + F.col("mark") / BLOCK_MARKS
+    counted = homes.groupBy("home", "class").agg(F.sum(share).alias("n"))
+    mixed = counted.where(F.col("n") < 1).groupBy("home").agg(F.sum("n").alias("mixed"))
+    many = F.col("n") >= 1
+    slots = F.ceil(F.when(many, F.col("n")).otherwise(F.col("mixed")))
+    slot = F.pmod(F.xxhash64(F.when(many, F.col("id")).otherwise(F.col("together"))), slots)
+    own = F.when(many, F.col("class"))
+    return homes.join(counted, ["home", "class"]).join(mixed, "home", "left").select(
+        "id", "class", "rank", F.xxhash64("home", many, own, slot).alias("block"), own.alias("own")
+    )
+
+
+def _leading(in_bucket: DataFrame, number: int, salt: int) -> DataFrame:
+    slot = F.pmod(F.xxhash64("block", F.lit(salt)), F.lit(number))
+    chosen = in_bucket.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("rank", "block", "own")).alias("l"))
+    return chosen.select("bucket", F.col("l.block").alias("leader"), F.col("l.own").alias("leader_own"))
+
+
+def block_classes(members: DataFrame, compared: Callable[[DataFrame], DataFrame], classes: DataFrame) -> DataFrame:
+    """Classes (id, component) and further ones that are linked through pairs of one bucket.
+
+    members: bucket, id, mark, rank, class. compared: (a, b) that link the classes of rows(pair, block, id, class): of
+    each pair the ids of two blocks (or of one) are all compared to each other's.
+
+    Rows are made for ids of blocks that meet, not for pairs of ids, so a bucket of n open ids makes n * n / BLOCK of
+    them at most. In each round all blocks of a bucket meet a bounded number of leading ones, which then step back; blocks
+    of the same one class don't meet, and a bucket of one class is done.
+    """
+    step = 0
+    while not members.isEmpty():
+        placed = written(blocks(members))
+        in_bucket = members.select("bucket", "id").join(placed, "id").groupBy("bucket", "block", "own").agg(F.max("rank").alias("rank"))
+        in_bucket = written(in_bucket)
+        leading = _leading(in_bucket, LEADING[min(step, len(LEADING) - 1)], step)
+        meets = in_bucket.join(leading, "bucket").where(F.coalesce(F.col("own") != F.col("leader_own"), F.lit(True)))
+        pairs = meets.select(F.least("block", "leader").alias("x"), F.greatest("block", "leader").alias("y")).distinct()
+        ends = pairs.select(F.xxhash64("x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+        links = written(compared(ends.join(placed.select("block", "id", "class"), "block")))
+        if not links.isEmpty():
+            links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            classes = written(components(links))
+        rest = members.join(placed.select("id", "block"), "id")
+        rest = rest.join(leading.select("bucket", F.col("leader").alias("block")), ["bucket", "block"], "left_anti")
+        rest = _classed(rest.drop("class", "block"), classes).select("bucket", "id", "mark", "rank", "class")
+        before, members = members, written(_open(rest))
+        dropped(before, placed, in_bucket)
+        step += 1
+    return classes
+
+
 def bucket_classes(
     members: DataFrame,
     verified: Callable[[DataFrame], DataFrame],
     may: Callable[[Column, Column], Column],
-    pivot: bool = False,
+    compared: Callable[[DataFrame], DataFrame] | None = None,
     known: DataFrame | None = None,
 ) -> DataFrame:
     """id, component of the ids that are linked through pairs of one bucket, or as known (id, component) before.
 
     members: bucket, id, mark, each pair of bucket and id once, and only buckets of two or more.
-    verified: (a, b, linked, distance) of pairs (a, b). may: whether marks allow that two ids are linked.
+    verified: (a, b, linked) of pairs (a, b); those that aren't linked may be left out. may: whether marks allow that two
+    ids are linked.
 
     In each round a bucket's members are compared to a bounded number of leaders, so the pairs are in
     proportion to its size; leaders then step back, and a bucket whose members are all in one class is
     done. The others go on, with more leaders, so no pair of a bucket stays open unless its ids are
     already connected or their marks rule it out. The first leader is the member that shares most
-    buckets, the middle of a group, which most others are linked to. With `pivot`, a member's distance to
-    it becomes its mark: by the triangle inequality two ids whose distances to a third differ by more than
-    a link's length aren't linked, and such pairs are never made.
+    buckets, the middle of a group, which most others are linked to. With `compared`, all after it is
+    done in blocks of ids, as `block_classes` says.
     """
     spark = members.sparkSession
     members, classes, step = written(_ranked(members, known)), known, 0
     while not members.isEmpty():
         leaders = _leaders(members, LEADERS[min(step, len(LEADERS) - 1)], step)
         meets = members.join(leaders, "bucket").where((F.col("class") != F.col("a_class")) & may(F.col("a_mark"), F.col("mark")))
-        first = pivot and step == 0
-        if first:
-            pairs = meets.select("a", F.col("id").alias("b")).distinct()
-        else:
-            pairs = meets.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        pairs = meets.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
         found = written(verified(pairs))
         links = found.where("linked").select("a", "b")
         if classes is None:
@@ -127,11 +193,10 @@ def bucket_classes(
             links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("component").alias("b")))
             classes = written(components(links))
         rest = members.join(leaders.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti")
-        if first:
-            to_leader = leaders.select("bucket", "a").join(found.select("a", F.col("b").alias("id"), "distance"), "a")
-            rest = rest.join(to_leader, ["bucket", "id"], "left").withColumn("mark", F.col("distance"))
         rest = _classed(rest.drop("class"), classes).select("bucket", "id", "mark", "rank", "class")
         before, members = members, written(_open(rest))
         dropped(before, found)
+        if compared is not None:
+            return block_classes(members, compared, classes)
         step += 1
     return spark.createDataFrame([], "id long, component long") if classes is None else classes

@@ -14,8 +14,9 @@ one, so the work per document is its length plus COORDINATES * log(COORDINATES).
 
 Links: signatures are cut into BANDS bands of ROWS coordinates; documents that agree in a band are
 candidates, and those with a likeness of at least LEAST are linked, checked over whole texts. Within a
-bucket all documents are compared to leaders, as `bucket_classes` says: no pair stays open unless its
-documents are already in one class or too differently far from a third, and no group is expanded into all its pairs.
+bucket all documents are compared to a leader, and what that leaves open in blocks, as `block_classes` says: no pair stays
+open unless its documents are already in one class, and no group is expanded into all its pairs. Documents of two blocks are
+compared as a product of matrices.
 
 Results in special cases: equal texts are always in one class (also empty ones; null counts as
 empty); texts are told apart by a 64-bit hash; repeated rows are copies of each other; a null doc_id is
@@ -141,7 +142,8 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = np.array([len(s[0]) > 0 for s in sets])
             sig = bands(signatures(sets))
             rows = [s if f else None for s, f in zip(sig, full, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["id", "bands"])
+            columns = [part.column(0), part.column(2), pa.array(rows, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "bands"])
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,20 +183,98 @@ def _compared(least: float):
                     last, leader = a, _opened(x.as_py())
                 found.append(likeness(leader, _opened(y.as_py())))
             found = np.array(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found >= least), pa.array(1 - found)],
-                names=["a", "b", "linked", "distance"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found >= least)], names=["a", "b", "linked"])
 
     return compare
 
 
+# Columns of a matrix of elements at a time.
+COLUMNS = 1 << 14
+
+
+def _units(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """An element of weight n as n elements of weight one: their numbers and whose they are."""
+    element, weight = (np.concatenate([s[i] for s in sets]) for i in (0, 1))
+    owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    which, unit = _spread(weight)
+    return _mixed(element[which] + unit.astype(np.uint64) * _U(0x9E3779B97F4A7C15)), owner[which]
+
+
+def likenesses(one: list[tuple[np.ndarray, np.ndarray]], two: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """Generalised Jaccard similarity of each of some weighted sets with each of others, or of their own (but itself)."""
+    x, of_x = _units(one)
+    if two is None:
+        two, (y, of_y), (elements, n) = one, (x, of_x), np.unique(x, return_counts=True)
+        elements = elements[n > 1]
+    else:
+        y, of_y = _units(two)
+        elements = np.intersect1d(x, y)
+    shared = np.zeros((len(one), len(two)))
+    for low in range(0, len(elements), COLUMNS):
+        some, sides = elements[low : low + COLUMNS], []
+        for units, owner, n in ((x, of_x, len(one)), (y, of_y, len(two))):
+            at = np.minimum(np.searchsorted(some, units), len(some) - 1)
+            here = some[at] == units
+            side = np.zeros((n, len(some)), np.float32)
+            side[owner[here], at[here]] = 1
+            sides.append(side)
+        shared += sides[0] @ sides[1].T
+    totals = [np.array([float(w.sum()) for _, w in sets]) for sets in (one, two)]
+    return shared / np.maximum(totals[0][:, None] + totals[1] - shared, 1e-300)
+
+
+def _links(of_pair: list[tuple[int, int, int, bytes]], least: float) -> list[tuple[int, int]]:
+    """Ids that link the classes of two blocks (or of one), no more than it takes. of_pair: block, id, class, set."""
+    first = of_pair[0][0]
+    one = [r for r in of_pair if r[0] == first]
+    two = [r for r in of_pair if r[0] != first]
+    root = {r[2]: r[2] for r in of_pair}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    like = likenesses([_opened(r[3]) for r in one], [_opened(r[3]) for r in two] if two else None)
+    two = two or one
+    for i, j in np.argwhere(like >= least):
+        a, b = top(one[i][2]), top(two[j][2])
+        if a != b:
+            root[a] = b
+            out.append((one[i][1], two[j][1]))
+    return out
+
+
+def _compared_blocks(least: float):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, of_pair = None, []
+        for batch in batches:
+            found = []
+            for pair, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if pair != last and of_pair:
+                    found += _links(of_pair, least)
+                    of_pair = []
+                last = pair
+                of_pair.append(tuple(row))
+            yield _link_batch(found)
+        yield _link_batch(_links(of_pair, least) if of_pair else [])
+
+    return compare
+
+
+def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """id, component of every text (by its 64-bit hash) that has a near copy with another text."""
     slim = texts(docs).select(F.xxhash64("text").alias("id"), "text")
-    signed = slim.mapInArrow(_banded, "id long, bands array<long>").where("bands is not null")
-    rows = written(signed.select("id", F.explode("bands").alias("bucket")).distinct())
-    members = written(rows.join(shared_buckets(rows), "bucket").withColumn("mark", F.lit(None).cast("double")))
+    sized = slim.withColumn("mark", F.length("text").cast("long"))
+    signed = sized.mapInArrow(_banded, "id long, mark long, bands array<long>").where("bands is not null")
+    rows = written(signed.select("id", "mark", F.explode("bands").alias("bucket")).distinct())
+    members = written(rows.join(shared_buckets(rows), "bucket"))
     wanted = members.select("id").distinct()
     sets = slim.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_shingled, "id long, elements binary")
     sets = written(sets)
@@ -202,11 +282,14 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(two, "b").join(one, "a").select("a", "b", "of_a", "of_b")
-        return both.mapInArrow(_compared(least), "a long, b long, linked boolean, distance double")
+        return both.mapInArrow(_compared(least), "a long, b long, linked boolean")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        rows = rows.join(sets, "id").select("pair", "block", "id", "class", "elements")
+        rows = rows.repartition("pair").sortWithinPartitions("pair")
+        return rows.mapInArrow(_compared_blocks(least), "a long, b long")
 
-    # One less the likeness is a metric. A little room for rounding.
-    may = lambda x, y: F.coalesce(F.abs(x - y) <= 1 - least + 1e-9, F.lit(True))
-    return bucket_classes(members, verified, may, pivot=True)
+    return bucket_classes(members, verified, lambda x, y: F.lit(True), compared=compared)
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:

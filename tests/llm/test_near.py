@@ -6,6 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm import odd_rows
 from spendloom.llm import common, components, lines, minhash, vectors
@@ -330,3 +331,37 @@ def test_emptied_tables_take_no_room(spark, tmp_path):
     before = size()
     common.dropped(df, common.written(df.where("x is null")))
     assert before > 500_000 and size() < 5_000
+
+
+def test_blocks_of_a_large_bucket_make_few_rows_and_lose_no_link(spark, monkeypatch):
+    """One bucket of 300 ids, of which neighbours are linked, and a class of 200 of which one is linked to the last of them."""
+    monkeypatch.setattr(components, "BLOCK", 32)
+    members = [(1, i, 1) for i in range(500)] + [(2, i, 1) for i in range(0, 500, 7)]
+    links, made = [(i, i + 1) for i in range(0, 300) if i % 5 and i != 299] + [(299, 400)], []
+    known = spark.createDataFrame([(i, 300) for i in range(300, 500)], "id long, component long")
+    linked = spark.createDataFrame(links, "a long, b long")
+
+    def compared(rows):
+        made.append(rows.count())
+        two = rows.selectExpr("pair", "id as other")
+        return rows.join(two, "pair").join(linked, F.expr("a = id and b = other")).select("a", "b")
+
+    def verified(pairs):
+        return pairs.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").fillna(False, ["linked"])
+
+    rows = spark.createDataFrame(members, "bucket long, id long, mark long")
+    got = {r.id: r.component for r in components.bucket_classes(rows, verified, lambda x, y: F.lit(True), compared=compared, known=known).collect()}
+    want = _smallest(range(500), links + [(300, i) for i in range(301, 500)])
+    assert {i: got.get(i, i) for i in range(500)} == want
+    assert sum(made) < 500 * 500 / 8
+
+
+@pytest.mark.parametrize("columns", [7, 1 << 14])
+def test_likeness_of_blocks_is_that_of_pairs(monkeypatch, columns):
+    monkeypatch.setattr(minhash, "COLUMNS", columns)
+    rng = np.random.default_rng(3)
+    sets = [(np.sort(rng.choice(60, n, replace=False)).astype(np.uint64), rng.integers(1, 4, n)) for n in (1, 5, 20, 40, 40, 60)]
+    sets.append((np.empty(0, np.uint64), np.empty(0, np.int64)))
+    assert minhash.likenesses(sets[:3], sets[2:]).tolist() == [[minhash.likeness(a, b) for b in sets[2:]] for a in sets[:3]]
+    own = minhash.likenesses(sets)
+    assert all(own[i, j] == minhash.likeness(sets[i], sets[j]) for i in range(len(sets)) for j in range(len(sets)) if i != j)

@@ -365,3 +365,32 @@ def test_likeness_of_blocks_is_that_of_pairs(monkeypatch, columns):
     assert minhash.likenesses(sets[:3], sets[2:]).tolist() == [[minhash.likeness(a, b) for b in sets[2:]] for a in sets[:3]]
     own = minhash.likenesses(sets)
     assert all(own[i, j] == minhash.likeness(sets[i], sets[j]) for i in range(len(sets)) for j in range(len(sets)) if i != j)
+
+
+def test_counts_of_characters_spare_pairs_but_no_links(spark):
+    """Lines of 10 to 300 characters, those around 64 with both n-grams too, with as many edits as a link may have."""
+    rng, rows, linked = random.Random(4), [], set()
+    letters = "abcdefghijklmnopqrstuvwxyz éñ𝒜1"
+    for n in [*range(12, 76), 120, 300]:
+        for ends in (0, 1):
+            line = list("x" + "".join(rng.choice(letters) for _ in range(n - 2)) + "x")
+            other = list(line)
+            for at in sorted(rng.sample(range(1, n - 1), n // 10), reverse=True):
+                other[at : at + 1] = [] if ends and len(other) > 10 and rng.random() < 0.7 else [rng.choice(letters)]
+            linked.add((len(rows), len(rows) + 1))
+            rows += [(len(rows), "".join(line)), (len(rows) + 1, "".join(other))]
+    linked = {(a, b) for a, b in linked if 1 - _distance(rows[a][1], rows[b][1]) / max(len(rows[a][1]), len(rows[b][1])) >= lines.LEAST}
+    far = {(a, b) for a, b in combinations(range(len(rows)), 2) if a % 8 == 0 and (a, b) not in linked}
+    forms = spark.createDataFrame(rows, "key long, line string")
+    pairs = spark.createDataFrame(sorted(linked | far), "a long, b long")
+    got = {(r.a, r.b): r.least for r in lines.may_link(pairs, lines.with_minima(forms)).collect()}
+    assert len(linked) > 100 and linked <= set(got)
+    assert all(got[a, b] <= _distance(rows[a][1], rows[b][1]) for a, b in linked)
+    assert len(set(got) & far) < 0.05 * len(far)
+
+
+def test_edits_that_are_too_few_are_not_tried(spark, monkeypatch):
+    pairs = spark.createDataFrame([("abcdefghij", "abcdefghix", 1, 1), ("abcdefghij", "abcdefgxyz", 3, 1), ("a" * 50, "a" * 46 + "bbbb", 0, 5)],
+                                  "a_line string, b_line string, least int, may int")
+    monkeypatch.setattr(lines, "FEW_EDITS", (2, 16))
+    assert [r.linked for r in pairs.select(lines._linked().alias("linked")).collect()] == [True, False, True]

@@ -1,6 +1,7 @@
 """Near copies of documents, lines and vectors against brute force."""
 
 import random
+import uuid
 from itertools import combinations
 from pathlib import Path
 
@@ -333,6 +334,53 @@ def test_emptied_tables_take_no_room(spark, tmp_path):
     assert before > 500_000 and size() < 5_000
 
 
+def _rows_left(spark, folder):
+    """Rows of the tables in a scratch folder, most last."""
+    return sorted(spark.read.parquet(str(f)).count() for f in folder.iterdir())
+
+
+def test_contraction_leaves_no_table_but_its_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch", lambda spark: f"{tmp_path}/{uuid.uuid4().hex}")
+    links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101)], "a long, b long")
+    classes = components.components(links)
+    assert {r.id: r.component for r in classes.collect()} == {i: 0 for i in range(51)} | {100: 100, 101: 100}
+    left = _rows_left(spark, tmp_path)
+    assert left[-1] == 53 and not any(left[:-1])
+
+
+def test_line_classes_leave_no_table_but_their_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch", lambda spark: f"{tmp_path}/{uuid.uuid4().hex}")
+    bases = [" ".join(odd_rows.words(900 + i, 30)) for i in range(20)]
+    rows = [(i, x) for i, x in enumerate([*bases, *(_letters_changed(b, 3, i) for i, b in enumerate(bases))])]
+    forms = spark.createDataFrame(rows, "key long, line string")
+    classes = lines.line_classes(forms)
+    assert {r.id: r.component for r in classes.collect()} == {i: i % 20 for i in range(40)}
+    left = _rows_left(spark, tmp_path)
+    assert left[-1] == 40 and not any(left[:-1])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merged_classes_are_those_of_all_links(spark, seed):
+    rng = random.Random(seed)
+    first, then = ([(rng.randrange(40), rng.randrange(40)) for _ in range(n)] for n in (15, 12))
+    links = [spark.createDataFrame(x, "a long, b long") for x in (first, then)]
+    classes = components.merged(components.merged(None, links[0]), links[1]).collect()
+    want = _smallest(sorted({i for x in first + then for i in x}), first + then)
+    assert len(classes) == len(want) and {r.id: r.component for r in classes} == want
+
+
+def test_counts_of_characters_are_compared_lane_by_lane(spark):
+    """The sum of what one count is larger than the other, up to the most that are counted."""
+    rng, most = random.Random(8), lines.MOST_COUNTED
+    rows = [([rng.choice((0, 1, 7, most // 3, most)) if n % 9 == 0 else 0 for n in range(lines.BINS)],
+             [rng.choice((0, 1, 7, most // 3, most)) if n % 9 == 0 else 0 for n in range(lines.BINS)]) for _ in range(50)]
+    rows = [(a, b) for a, b in rows if sum(a) <= most and sum(b) <= most] + [([most] + [0] * 29, [0] * 30), ([0] * 30, [0, 0, most] + [0] * 27)]
+    packed = [[sum(v << (lines.LANE_BITS * i) for i, v in enumerate(x[n : n + 3])) for n in range(0, 30, 3)] for r in rows for x in r]
+    df = spark.createDataFrame([(n, *packed[2 * n], *packed[2 * n + 1]) for n in range(len(rows))], ["n", *(f"{e}{i}" for e in "ab" for i in range(10))])
+    got = df.select("n", lines._more([(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(10)]).alias("more"))
+    assert {r.n: r.more for r in got.collect()} == {n: sum(max(0, x - y) for x, y in zip(a, b)) for n, (a, b) in enumerate(rows)}
+
+
 def test_blocks_of_a_large_bucket_make_few_rows_and_lose_no_link(spark, monkeypatch):
     """One bucket of 300 ids, of which neighbours are linked, and a class of 200 of which one is linked to the last of them."""
     monkeypatch.setattr(components, "BLOCK", 32)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.functions.values import exact_sum
+from spendloom.sources.scratch import emptied, shuffles_removed, written
 
 PARTS = ["part_client", "part_period"]
 BUCKETED = ["client", "campaign"]
@@ -91,12 +92,13 @@ class Store:
         money = [exact_sum("spend").alias("spend")] if "spend" in df.columns else []
         nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in known]
         df = df.observe(seen, F.count("*").alias("rows"), *nulls, *money)
-        writer = df.write.format("parquet").option("path", path).option("partitionOverwriteMode", "dynamic")
+        writer = df.write.format("parquet").option("path", path).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
         if by:
             writer = writer.partitionBy(*by)
         if buckets:
             writer = writer.bucketBy(buckets, *BUCKETED)
-        writer.saveAsTable(f"{table}{_NEW}")
+        with shuffles_removed(self.spark):
+            writer.saveAsTable(f"{table}{_NEW}")
         got = seen.get
         made = Written(table, got["rows"], {c: got[f"null_{c}"] for c in known}, got.get("spend"))
         self._staged[table] = made
@@ -112,9 +114,15 @@ class Store:
         return self._put(rows, table, PARTS[:1], self.buckets_of(like))
 
     def stage_fact(self, df: DataFrame, table: str, read: list[DataFrame] | None = None) -> Written:
-        """``read``: the frames that the fact is made of, if df doesn't tell by itself."""
-        rows = df.withColumns(parts_of("date", self.period))
-        return self._put(rows, table, PARTS, max(self.buckets, -(-bytes_read(read or [df]) // BUCKET_BYTES)))
+        """``read``: the frames that the fact is made of, if df doesn't tell by itself.
+
+        The joined rows are written before they are dealt to buckets, so the shuffle files of the joins are gone by then.
+        """
+        buckets = max(self.buckets, -(-bytes_read(read or [df]) // BUCKET_BYTES))
+        rows = written(df.withColumns(parts_of("date", self.period)))
+        made = self._put(rows, table, PARTS, buckets)
+        emptied(rows)
+        return made
 
     def buckets_of(self, table: str) -> int:
         """Of the staged version if there is one, else the published one."""

@@ -3,6 +3,7 @@
 import re
 from datetime import date, timedelta
 from pathlib import Path
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ import fixture
 from spendloom.plans import store as stores
 from spendloom.plans.store import Landing, Store, in_parts
 from spendloom.plans.warehouse import MODELS, Warehouse
+from spendloom.sources import scratch
 
 
 def _plan(df):
@@ -228,3 +230,17 @@ def test_a_fact_of_larger_files_has_more_buckets(spark, monkeypatch):
     found = {store.buckets_of(f"{store.core}.{t}") for t in ("fct_performance_daily", "campaign_days", "campaign_terms")}
     assert found == {9}
     assert _rows(Warehouse.open(store, landing.raw()).fct_performance_daily()) == _rows(Warehouse(raw).fct_performance_daily())
+
+
+def test_a_staged_fact_leaves_no_shuffle_files_and_no_scratch_rows(spark, tmp_path, monkeypatch):
+    """What its joins and its buckets were dealt by is gone once it is written, before a mart is made of it."""
+    monkeypatch.setattr(scratch, "scratch_path", lambda spark: f"{tmp_path}/{uuid4().hex}")
+    kept = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    df = spark.range(3000).selectExpr("concat('c', id % 3) as client", "concat('x', id % 50) as campaign", "date_add(date'2024-01-01', cast(id % 90 as int)) as date", "id as spend")
+    joined = df.join(df.groupBy("campaign").agg(F.max("spend").alias("most")).hint("merge"), "campaign")
+    store, before = _store(spark, "room"), kept()
+    assert store.stage_fact(joined, f"{store.core}.fact").rows == 3000
+    assert kept() <= before
+    assert [spark.read.parquet(str(f)).count() for f in tmp_path.iterdir()] == [0]
+    assert _rows(store.table(f"{store.core}.fact").drop(*stores.PARTS)) == _rows(joined)
+    store.drop_staged()
